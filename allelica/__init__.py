@@ -1,0 +1 @@
+"""Genotyping-array analytics on Spark DataFrames."""

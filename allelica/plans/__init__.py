@@ -1,0 +1 @@
+"""Whole queries: the catalogue on the driver tables and the stage graph."""
