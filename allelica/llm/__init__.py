@@ -1,0 +1 @@
+"""Training-data pipeline operators.  Nothing else in the library imports this subpackage."""

@@ -1,0 +1,85 @@
+"""Helpers shared by the corpus operators."""
+
+from __future__ import annotations
+
+import tempfile
+import uuid
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: The white space of the contracts: space and U+0009 to U+000D.
+SPACES = " \t\n\x0b\x0c\r"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ASCII_LOWER = str.maketrans(UPPER, LOWER)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that all executors share; a temporary one only where the session names none (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = tempfile.mkdtemp(prefix="allelica-")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: each row is computed once, and lost executors lose nothing."""
+    path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def partitions(spark: SparkSession) -> int:
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Rows and characters that a Python operator holds at once.
+SLICE_ROWS, SLICE_CHARS = 2_000, 4_000_000
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
+    """(ids, texts) of (id, text) batches, cut small; a null text is empty."""
+    for batch in batches:
+        ids, texts, size = [], [], 0
+        for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+            t = t.as_py() or ""
+            ids.append(i)
+            texts.append(t)
+            size += len(t)
+            if size >= SLICE_CHARS or len(ids) >= SLICE_ROWS:
+                yield ids, texts
+                ids, texts, size = [], [], 0
+        if ids:
+            yield ids, texts
+
+
+def map_texts(docs: DataFrame, each: Callable[[list, list[str]], dict[str, list]], schema: str, *columns: str) -> DataFrame:
+    """Apply ``each(ids, texts)``, which returns columns of lists, to slices of whole texts."""
+    out = pa_schema(schema, docs)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in slices(batches):
+            got = each(ids, texts)
+            if len(got[out.names[0]]):
+                yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
+
+    return docs.select("doc_id", "text").mapInArrow(run, schema)
+
+
+def pa_schema(schema: str, docs: DataFrame) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    return to_arrow_schema(StructType.fromDDL(schema))
+
+
+def crc_mod(doc_id: str, k: int):
+    """crc32 of the id as text, modulo ``k``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary")) % k

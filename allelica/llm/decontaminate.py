@@ -1,0 +1,219 @@
+"""Benchmark decontamination: a BM25 inverted index of test items, asked with every training passage.
+
+The index holds, per term, postings (item, impact) in item order, cut into blocks with the largest impact of each.
+Passages are overlapping windows of a document that together cover it, each at least one item long on either side of
+any place.  As in WAND, lists are split by what they can add: the terms of more than ``ESSENTIAL`` items cannot lift an
+item over its threshold without rarer ones, so only the rare terms' lists propose (passage, item) candidates, kept if
+their score plus the block maxima of the passage's common terms reaches the threshold.  These are scored in full, and
+every item above its threshold is verified on the document's words: the shingles of the question part and of the
+answer part must both overlap.
+
+The threshold of an item is a share of the score of its own text.  The question of an item is all but its last
+sentence, the answer is that sentence (the last third of its words if there is one sentence only).  An item of more
+than ``PIECE`` words is indexed in pieces; any piece above its threshold proposes the item.
+
+Defined results: documents that hold no item have no row; a null or empty text holds none, a null or empty item is
+never found; of repeated items each is reported; repeated documents are reported once a row; empty tables give an
+empty result; further columns of the inputs are ignored.
+"""
+
+from __future__ import annotations
+
+import itertools
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import pa_schema, slices
+
+K1, B = 1.2, 0.75
+PIECE, SHINGLE, OVERLAP, SHARE = 64, 5, 0.8, 0.6
+BLOCK, ESSENTIAL = 64, 8
+#: Characters of items that one index (one pass over the documents) holds.
+INDEX_CHARS = 32 << 20
+#: Words are runs of letters, digits and non-ASCII characters of the lower-cased text, in UTF-8.
+BREAKS = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
+SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
+
+
+def words(text: str) -> list[bytes]:
+    return text.lower().encode("utf-8", "replace").translate(BREAKS).split()
+
+
+def shingles(tokens: list[bytes], n: int = SHINGLE) -> set[tuple]:
+    return {tuple(tokens[i : i + n]) for i in range(len(tokens) - n + 1)} if len(tokens) >= n else ({tuple(tokens)} if tokens else set())
+
+
+def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
+    parts = [w for s in SENTENCE.split(text) if (w := words(s))]
+    if len(parts) > 1:
+        return [w for p in parts[:-1] for w in p], parts[-1]
+    only = parts[0] if parts else []
+    k = len(only) - max(1, len(only) // 3) if only else 0
+    return only[:k], only[k:]
+
+
+class BenchmarkIndex:
+    """Inverted index of (item_id, text) items with block maxima."""
+
+    def __init__(self, items: list[tuple[int, str]], share: float = SHARE):
+        self.items = [(i, *question_answer(t)) for i, t in items]
+        self.terms: dict[bytes, int] = {}
+        pieces, self.of = [], []
+        for k, (_, t) in enumerate(items):
+            tokens = words(t)
+            for a in range(0, len(tokens), PIECE):
+                piece = tokens[a : a + PIECE]
+                if a and len(piece) < PIECE // 2:
+                    piece = tokens[-PIECE:]
+                pieces.append(np.unique([self.terms.setdefault(w, len(self.terms)) for w in piece], return_counts=True) + (len(piece),))
+                self.of.append(k)
+        n, m = len(pieces), len(self.terms)
+        df = np.zeros(m, np.int64)
+        for t, _, _ in pieces:
+            df[t] += 1
+        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        mean = sum(p[2] for p in pieces) / n if n else 1.0
+        term = np.concatenate([p[0] for p in pieces]) if n else np.zeros(0, np.int64)
+        piece = np.repeat(np.arange(n), [len(p[0]) for p in pieces])
+        tf = np.concatenate([p[1] for p in pieces]) if n else np.zeros(0)
+        norm = np.repeat([K1 * (1 - B + B * p[2] / mean) for p in pieces], [len(p[0]) for p in pieces])
+        impact = idf[term] * tf * (K1 + 1) / (tf + norm)
+        order = np.lexsort((piece, term))
+        self.piece, self.impact = piece[order], impact[order]
+        self.start = np.concatenate([[0], np.cumsum(df)])
+        self.own = np.bincount(piece, weights=impact, minlength=n)
+        self.threshold = share * self.own
+        self.rare = df <= ESSENTIAL
+        common = ~self.rare[term]
+        # what the common terms can add to each piece, at most
+        self.common = np.bincount(piece[common], weights=impact[common], minlength=n)
+        # terms are rare only in part for pieces whose rare terms cannot reach the threshold: for these all lists propose
+        self.weak = np.flatnonzero(self.threshold - self.common <= 0)
+        self.propose = self.rare.copy()
+        if len(self.weak):
+            self.propose[np.unique(term[np.isin(piece, self.weak)])] = True
+            self.common = np.bincount(piece[~self.propose[term]], weights=impact[~self.propose[term]], minlength=n)
+        self.blocks = {}
+        for t in np.flatnonzero(~self.propose):
+            own = slice(self.start[t], self.start[t + 1])
+            ids = self.piece[own] // BLOCK
+            maxima = np.zeros(n // BLOCK + 1)
+            np.maximum.at(maxima, ids, self.impact[own])
+            self.blocks[int(t)] = maxima
+        self.shingles = [[[b" %s " % b" ".join(x) for x in shingles(part)] for part in parts] for _, *parts in self.items]
+
+    def passages(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], float]:
+        """Best (document, piece) scores above the thresholds.  ids: terms found; doc, at: where (document, word)."""
+        n = len(self.own)
+        best: dict[tuple[int, int], float] = {}
+        if not n or not len(ids):
+            return best
+        # windows of 2 * PIECE words every PIECE words: each place is in window at // PIECE + 1 and the one before
+        stride = int(at.max()) // PIECE + 2
+        rare = self.propose[ids]
+        window = doc[rare] * stride + at[rare] // PIECE + 1
+        seen = np.sort(np.concatenate([window, window - 1]) * len(self.terms) + np.tile(ids[rare], 2))
+        seen = seen[np.concatenate([[True], seen[1:] != seen[:-1]])] if len(seen) else seen
+        w, t = seen // len(self.terms), seen % len(self.terms)
+        length = self.start[t + 1] - self.start[t]
+        lists = np.repeat(self.start[t] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(int(length.sum()))
+        pair, place = np.unique(np.repeat(w, length) * n + self.piece[lists], return_inverse=True)
+        partial = np.bincount(place, weights=self.impact[lists], minlength=len(pair))
+        piece = pair % n
+        keep = partial + self.common[piece] >= self.threshold[piece] - 1e-9
+        for p, s in zip(pair[keep].tolist(), partial[keep].tolist()):
+            win, k = divmod(p, n)
+            d, j = divmod(win, stride)
+            a, b = np.searchsorted(doc, [d, d + 1])
+            a, b = a + np.searchsorted(at[a:b], [(j - 1) * PIECE, (j + 1) * PIECE])
+            rest = [x for x in set(ids[a:b].tolist()) if not self.propose[x]]
+            if s + sum(self.blocks[x][k // BLOCK] for x in rest) < self.threshold[k] - 1e-9:
+                continue
+            for x in rest:
+                i = self.start[x] + np.searchsorted(self.piece[self.start[x] : self.start[x + 1]], k)
+                if i < self.start[x + 1] and self.piece[i] == k:
+                    s += float(self.impact[i])
+            key = (d, k)
+            if s >= self.threshold[k] - 1e-9 and s > best.get(key, -1.0):
+                best[key] = s
+        return best
+
+    def search(self, texts: list[str]) -> list[tuple[int, int, float, float, float, float]]:
+        """(text number, item_id, score, own score, question overlap, answer overlap) of every item that a text holds."""
+        get = self.terms.get
+        split = [words(t) for t in texts]
+        found = [np.fromiter(map(get, tokens, itertools.repeat(-1)), np.int64, len(tokens)) for tokens in split]
+        where = [np.flatnonzero(f >= 0) for f in found]
+        docs = np.repeat(np.arange(len(texts)), [len(w) for w in where])
+        ids = np.concatenate([f[w] for f, w in zip(found, where)]) if texts else np.zeros(0, np.int64)
+        at = np.concatenate(where) if texts else np.zeros(0, np.int64)
+        best: dict[tuple[int, int], tuple[float, float]] = {}
+        for (d, k), s in self.passages(ids, docs, at).items():
+            key = (d, self.of[k])
+            if s / self.own[k] > best.get(key, (0.0, 1.0))[0] / best.get(key, (0.0, 1.0))[1]:
+                best[key] = (s, float(self.own[k]))
+        out, last, whole = [], -1, b""
+        for (d, k), (s, own) in sorted(best.items()):
+            if d != last:
+                last, whole = d, b" %s " % b" ".join(split[d])
+            overlaps = [sum(x in whole for x in part) / len(part) if part else 1.0 for part in self.shingles[k]]
+            if min(overlaps) >= OVERLAP:
+                out.append((d, self.items[k][0], s, own, *overlaps))
+        return out
+
+
+RESULT = "doc_id long, item_id long, score double, own_score double, question_overlap double, answer_overlap double"
+
+
+def chunks(items: Iterator, limit: int) -> Iterator[list[tuple[int, str]]]:
+    got, size = [], 0
+    for r in items:
+        if got and size + len(r.text) > limit:
+            yield got
+            got, size = [], 0
+        got.append((r.item_id, r.text))
+        size += len(r.text)
+    if got:
+        yield got
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = INDEX_CHARS) -> DataFrame:
+    """The (document, item) pairs of ``docs(doc_id, text)`` and ``benchmark(item_id, text)`` that are confirmed.
+
+    An index holds at most ``limit`` characters of items (or one item); a larger benchmark takes several indexes, each asked with all
+    documents.
+    """
+    spark = docs.sparkSession
+    shape = pa_schema(RESULT, docs)
+
+    def ask(items: list[tuple[int, str]]) -> DataFrame:
+        spread = spark.sparkContext.broadcast(items)
+        held: dict[int, BenchmarkIndex] = {}
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for ids, texts in slices(batches):
+                if 0 not in held:
+                    held[0] = BenchmarkIndex(spread.value)
+                hits = held[0].search(texts)
+                if hits:
+                    columns = list(zip(*hits))
+                    columns[0] = [ids[k] for k in columns[0]]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
+
+        return docs.select("doc_id", "text").mapInArrow(run, RESULT)
+
+    found = None
+    items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text").toLocalIterator()
+    for part in chunks(items, limit):
+        found = ask(part) if found is None else found.unionByName(ask(part))
+    return spark.createDataFrame([], RESULT) if found is None else found
+
+
+def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """One row per document that holds an item: doc_id, its items, and the best score."""
+    return contaminated(docs, benchmark).groupBy("doc_id").agg(F.array_sort(F.collect_set("item_id")).alias("items"), F.max("score").alias("score"))

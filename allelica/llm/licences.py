@@ -1,0 +1,216 @@
+"""Licence scans by a generalised suffix automaton of licence tokens.
+
+All templates and phrases go into one suffix automaton over word numbers.  A file is streamed through it to obtain,
+at every word, the longest match that ends there (matching statistics).  Phrases are found at the states that hold
+them; maximal matches of at least ``MIN_MATCH`` words are chained, per template and in order in both file and template,
+into covered template spans, and a template whose spans cover enough of it gives its label.
+
+Defined results: null or empty text has 0 words and no label; A-Z is lower-cased; words are runs of letters, digits
+and non-ASCII characters; repeated rows give repeated results; an empty table gives an empty result; further columns
+of the input are ignored.
+"""
+
+from __future__ import annotations
+
+import functools
+import re
+from bisect import bisect_left
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import ASCII_LOWER, map_texts
+
+PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
+#: Opening passages of public licence texts and their usual notices.
+TEMPLATES = {
+    "mit": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software""",
+    "apache": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in
+        compliance with the License. You may obtain a copy of the License at""",
+    "gpl": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General
+        Public License as published by the Free Software Foundation, either version 3 of the License, or any later version""",
+    "bsd": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+        the following conditions are met: Redistributions of source code must retain the above copyright notice""",
+    "isc": """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby
+        granted, provided that the above copyright notice and this permission notice appear in all copies""",
+    "mpl": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0""",
+    "cc-by": """This work is licensed under a Creative Commons Attribution 4.0 International License""",
+}
+MIN_MATCH, MIN_COVER = 4, 0.6
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def words(text: str) -> list[str]:
+    return WORD.findall(text.lower() if text.isascii() else text.translate(ASCII_LOWER))
+
+
+class SuffixAutomaton:
+    """Generalised suffix automaton over word numbers; every state knows where in which strings it first ends."""
+
+    def __init__(self, strings: list[list[int]]):
+        self.go: list[dict[int, int]] = [{}]
+        self.link, self.length = [-1], [0]
+        self.ends: list[dict[int, list[int]]] = [{}]
+        for number, string in enumerate(strings):
+            last, path = 0, []
+            for c in string:
+                last = self.extend(last, c)
+                path.append(last)
+            for i, state in enumerate(path):
+                while state > 0:
+                    self.ends[state].setdefault(number, []).append(i + 1)
+                    state = self.link[state]
+
+    def new(self, length: int, go: dict[int, int], link: int) -> int:
+        self.go.append(go)
+        self.length.append(length)
+        self.link.append(link)
+        self.ends.append({})
+        return len(self.go) - 1
+
+    def split(self, p: int, c: int, q: int) -> int:
+        """A copy of state q for the strings that p reaches by c."""
+        copy = self.new(self.length[p] + 1, dict(self.go[q]), self.link[q])
+        self.ends[copy] = {k: list(v) for k, v in self.ends[q].items()}
+        while p >= 0 and self.go[p].get(c) == q:
+            self.go[p][c] = copy
+            p = self.link[p]
+        self.link[q] = copy
+        return copy
+
+    def extend(self, last: int, c: int) -> int:
+        if (q := self.go[last].get(c)) is not None:
+            return q if self.length[q] == self.length[last] + 1 else self.split(last, c, q)
+        state = self.new(self.length[last] + 1, {}, 0)
+        p = last
+        while p >= 0 and c not in self.go[p]:
+            self.go[p][c] = state
+            p = self.link[p]
+        if p >= 0:
+            q = self.go[p][c]
+            self.link[state] = q if self.length[q] == self.length[p] + 1 else self.split(p, c, q)
+        return state
+
+
+class LicenceIndex:
+    def __init__(self, phrases: dict[str, str] = PHRASES, templates: dict[str, str] = TEMPLATES, min_match: int = MIN_MATCH, min_cover: float = MIN_COVER):
+        self.min_match, self.min_cover = min_match, min_cover
+        self.number: dict[str, int] = {}
+        texts = [words(t) for t in (*phrases, *templates.values())]
+        strings = [[self.number.setdefault(w, len(self.number)) for w in t] for t in texts]
+        self.phrases = list(phrases.values())
+        self.labels = list(templates)
+        self.sizes = [len(s) for s in strings]
+        self.automaton = a = SuffixAutomaton(strings)
+        # phrases that end wherever a match of at least their length ends in this state
+        self.phrase_at: list[list[tuple[int, int]]] = [[] for _ in a.go]
+        for k in range(len(phrases)):
+            state = 0
+            for c in strings[k]:
+                state = a.go[state][c]
+            self.phrase_at[state].append((len(strings[k]), k))
+        for state in sorted(range(1, len(a.go)), key=a.length.__getitem__):
+            if a.link[state] > 0:
+                self.phrase_at[state] = self.phrase_at[state] + self.phrase_at[a.link[state]]
+
+    def statistics(self, ids: list[int | None]):
+        """(position, state, length) after every word at which some match ends."""
+        a = self.automaton
+        go, link, length = a.go, a.link, a.length
+        state = n = 0
+        for i, c in enumerate(ids):
+            if c is None:
+                if n:
+                    state = n = 0
+                continue
+            while state and c not in go[state]:
+                state = link[state]
+                n = length[state]
+            if (to := go[state].get(c)) is not None:
+                state, n = to, n + 1
+            else:
+                n = 0
+            if n:
+                yield i, state, n
+
+    def scan(self, text: str) -> tuple[int, list[tuple[str, int]], list[tuple[str, int, int, int, int]], dict[str, float]]:
+        """Words, phrase places (label, start), covered spans (label, start, end, template start, template end), cover by label."""
+        ids = list(map(self.number.get, words(text)))
+        places, matches, before = [], [], (-2, 0, 0)
+        for at in self.statistics(ids):
+            i, state, n = at
+            places += [(self.phrases[k], i - size + 1) for size, k in self.phrase_at[state] if n >= size]
+            if before[2] >= self.min_match and (i != before[0] + 1 or n <= before[2]):
+                matches.append(before)
+            before = at
+        if before[2] >= self.min_match:
+            matches.append(before)
+        spans, cover = self.chain(matches)
+        return len(ids), places, spans, cover
+
+    def chain(self, matches: list[tuple[int, int, int]]):
+        """Per template, the order-preserving chain of matches that covers most of it."""
+        skip, spans, cover = len(self.phrases), [], {}
+        per: dict[int, list[tuple[int, int, int]]] = {}
+        for i, state, n in matches:
+            for string, ends in self.automaton.ends[state].items():
+                if string >= skip:
+                    per.setdefault(string, []).extend((i, e, n) for e in ends)
+        for string, found in sorted(per.items()):
+            found.sort()
+            # best chains by where they end in the template: ends rise, so do covers
+            ends, covers, chains = [0], [0], [None]
+            for i, e, n in found:
+                k = bisect_left(ends, e - n + 1) - 1
+                got, chain = covers[k] + n, (i, e, n, chains[k])
+                at = bisect_left(ends, e)
+                if covers[at - 1] >= got or (at < len(ends) and ends[at] == e and covers[at] >= got):
+                    continue
+                stop = at
+                while stop < len(ends) and covers[stop] <= got:
+                    stop += 1
+                ends[at:stop], covers[at:stop], chains[at:stop] = [e], [got], [chain]
+            label, chain = self.labels[string - skip], chains[-1]
+            cover[label] = covers[-1] / self.sizes[string]
+            while chain:
+                i, e, n, chain = chain
+                spans.append((label, i - n + 1, i + 1, e - n, e))
+        return sorted(spans, key=lambda s: (s[1], s[0])), cover
+
+
+@functools.lru_cache(maxsize=1)
+def default_index() -> LicenceIndex:
+    return LicenceIndex()
+
+
+SCHEMA = (
+    "doc_id long, n_words long, phrases array<struct<label:string,start:long>>, "
+    "spans array<struct<label:string,start:long,end:long,template_start:long,template_end:long>>, base_labels array<string>, labels array<string>, score double"
+)
+
+
+def licence_scan(docs: DataFrame) -> DataFrame:
+    """Words, phrase places, covered template spans, labels and score (the best cover; 1 with a phrase) of every row."""
+
+    def each(ids: list, texts: list[str]) -> dict[str, list]:
+        index, out = default_index(), {c: [] for c in ("doc_id", "n_words", "phrases", "spans", "base_labels", "labels", "score")}
+        for i, t in zip(ids, texts):
+            n, places, spans, cover = index.scan(t)
+            base = {label for label, _ in places}
+            row = (i, n, [{"label": x, "start": s} for x, s in places], [dict(zip(("label", "start", "end", "template_start", "template_end"), s)) for s in spans], sorted(base),
+                   sorted(base | {k for k, c in cover.items() if c >= index.min_cover}), 1.0 if base else min(1.0, max(cover.values(), default=0.0)))
+            for c, v in zip(out.values(), row):
+                c.append(v)
+        return out
+
+    return map_texts(docs, each, SCHEMA)
+
+
+def licence_digest(found: DataFrame) -> DataFrame:
+    starts = F.transform("phrases", lambda p: p["start"])
+    return found.select(
+        "doc_id", "n_words", F.size("phrases").cast("long").alias("n_base"), F.array_min(starts).alias("first_word"), F.array_max(starts).alias("last_word"),
+        F.concat_ws(",", "base_labels").alias("base_labels"), F.concat_ws(",", "labels").alias("labels"), "score",
+    )

@@ -1,0 +1,100 @@
+"""Mixing sources to target weights, with DataFrame operations alone.
+
+Every document has a hash-random key.  Within its source a document is dealt to a bucket by key range (the keys are
+uniform, so equal ranges are equal shares), bucket totals are summed up in key order, and the running sum inside a
+bucket completes the distributed prefix sum.  A source whose target is e times its size is taken e whole times
+(epochs) and then up to the exact word where its budget ends; the last document is taken in part.
+
+Targets: sources in code-point order, null last, weigh 3, 1, 2, repeating, and share 150 % of all sizes; no target is
+above 2 times its source's size, and the excess goes to the others by weight.  Sorted by the weight at which a source
+is full, the full ones are a prefix, so one running sum finds them all.
+
+Defined results: a null text has size 0; null is a source of its own; equal keys are ordered by size, rows that
+are equal in both are taken in any order with the same sums; rows whose doc_id repeats are mixed one by one; if all
+sizes are 0, targets and takes are 0; an empty table gives an empty result; further columns of the input are ignored.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from .common import cut
+
+WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
+#: Rows of a source to a bucket, and most buckets of a source (the key's leading hex digits bound it).
+BUCKET_ROWS, KEY_DIGITS = 2_000, 12
+
+
+def word_count(text: Column) -> Column:
+    """Number of [^\\x20\\x09-\\x0D]+ in a text (null: 0): every run becomes one mark, then only marks stay."""
+    marked = F.regexp_replace(text, r"[^\x20\x09-\x0D]++", "x")
+    return F.coalesce(F.length(F.translate(marked, " \t\n\x0b\x0c\r", "")), F.lit(0)).cast("long")
+
+
+def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """Add rank, weight and target to ``sources(source, source_size)``, one row a source."""
+    ranked = sources.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())))
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.pmod(F.col("rank") - 1, F.lit(len(weights))) + 1).cast("int"))
+    cap = F.lit(float(most)) * F.col("source_size")
+    w = ranked.withColumn("weight", weight).withColumn("cap", cap).withColumn("full_at", F.col("cap") / F.col("weight"))
+    everything = Window.partitionBy()
+    order = Window.orderBy("full_at", "rank")
+    w = w.withColumn("budget", F.lit(float(share)) * F.sum("source_size").over(everything))
+    # the level that the sources from this one on would have if all before it were full
+    below = order.rowsBetween(Window.unboundedPreceding, -1)
+    w = w.withColumn("left", F.col("budget") - F.coalesce(F.sum("cap").over(below), F.lit(0.0)))
+    w = w.withColumn("open", F.sum("weight").over(order.rowsBetween(0, Window.unboundedFollowing)))
+    w = w.withColumn("full", F.col("full_at") <= F.col("left") / F.col("open"))
+    level = F.min(F.when(~F.col("full"), F.struct("full_at", "rank", (F.col("left") / F.col("open")).alias("level")))).over(everything)
+    w = w.withColumn("level", level["level"])
+    return w.select("source", "source_size", "rank", "weight", F.when(F.col("full"), F.col("cap")).otherwise(F.col("weight") * F.col("level")).alias("target"))
+
+
+def mixed(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, share: float = SHARE, most: float = MOST, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+    """doc_id, source, size, source_size, target and taken of every row of ``docs(doc_id, text, source)``."""
+    sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+    per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    goal = targets(per.select("source", "source_size"), weights, share, most).withColumnRenamed("source", "of")
+    goal = goal.join(per.select(F.col("source").alias("of2"), "rows"), F.col("of").eqNullSafe(F.col("of2"))).drop("of2")
+    goal = cut(goal.withColumn("buckets", F.ceil(F.col("rows") / F.lit(float(bucket_rows)))))
+    part = F.conv(F.substring("key", 1, KEY_DIGITS), 16, 10).cast("double") / F.lit(float(16**KEY_DIGITS))
+    dealt = sized.withColumn("key", key).join(goal, F.col("source").eqNullSafe(F.col("of"))).withColumn("bucket", F.floor(part * F.col("buckets")))
+    dealt = dealt.select("doc_id", "source", "size", "source_size", "target", "rank", "bucket", "key")
+    totals = dealt.groupBy("rank", "bucket").agg(F.sum("size").alias("words"))
+    before = totals.select(
+        F.col("rank").alias("r"), F.col("bucket").alias("b"),
+        F.coalesce(F.sum("words").over(Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+    )
+    inside = Window.partitionBy("rank", "bucket").orderBy("key", "size", "doc_id").rowsBetween(Window.unboundedPreceding, -1)
+    run = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    run = run.join(before, (F.col("rank") == F.col("r")) & (F.col("bucket") == F.col("b")))
+    whole = F.floor(F.col("target"))
+    epochs = F.coalesce(F.floor(whole / F.col("source_size")), F.lit(0))
+    rest = whole - epochs * F.col("source_size") - F.col("before") - F.col("inside")
+    taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
+    return run.select("doc_id", "source", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
+
+
+def mix_digest(done: DataFrame) -> DataFrame:
+    return done.select("doc_id", "size", "source_size", F.round("target", 6).alias("target"), "taken")
+
+
+SQL = rf"""
+WITH d AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
+                  md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':mix') AS key FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+r AS (SELECT *, row_number() OVER (ORDER BY source COLLATE "binary" ASC NULLS LAST) AS rank FROM s),
+w AS (SELECT *, CAST(CASE (rank - 1) % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS DOUBLE) AS weight, CAST(2 * source_size AS DOUBLE) AS cap FROM r),
+l AS (SELECT *, CAST(1.5 AS DOUBLE) * sum(source_size) OVER () - coalesce(sum(cap) OVER (ORDER BY cap / weight, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS left_over,
+             sum(weight) OVER (ORDER BY cap / weight, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS open_weight FROM w),
+f AS (SELECT *, cap / weight <= left_over / open_weight AS is_full FROM l),
+g AS (SELECT source, source_size, CASE WHEN is_full THEN cap ELSE weight * first_value(left_over / open_weight) OVER (ORDER BY is_full, cap / weight, rank) END AS target FROM f),
+p AS (SELECT d.doc_id, d.size, g.source_size, g.target, floor(g.target) AS whole,
+             coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.key, d.size, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before_it
+      FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
+SELECT doc_id, size, source_size, round(target, 6) AS target,
+       CAST(CASE WHEN source_size = 0 THEN 0 ELSE floor(whole / source_size) * size + greatest(0, least(size, whole - floor(whole / source_size) * source_size - before_it)) END AS BIGINT) AS taken
+FROM p
+"""

@@ -1,0 +1,253 @@
+"""Near-duplicates by ProbMinHash, banding and verification.
+
+A document is its set of five-word shingles (words: A-Z lower-cased, cut at white space; a shorter document is one
+shingle), weighted by 1 + ln(occurrences).  In ProbMinHash each shingle is a Poisson process of arrivals, whose rate is
+its weight; every arrival goes to a random register, a register keeps the first shingle that reaches it, and a shingle
+stops as soon as its next arrival is later than all registers.  Two signatures agree in a register with the probability
+Jaccard similarity of the documents.  Registers are banded; documents that share a band are candidates.
+
+Documents with the same shingle set are one set from the start.  Band buckets give one edge per member (to the
+bucket's smallest id), never all pairs, and the components of these edges are verified on whole shingle sets: sets of
+0.8 Jaccard similarity or more are linked.  A component is checked in tasks of bounded size: blocks of it are clustered,
+the classes' representatives are clustered again until one block holds them, and then the members of every bucket that
+still spans classes are checked against those of the other classes, in blocks; so candidates are never capped and no
+link between candidates is lost.  Only sets with candidates are ever shuffled.
+
+Defined results: null or empty texts have no shingle and are never linked; copies (also repeated rows) share a class;
+the smallest doc_id names its class and stays; rows with a null doc_id are left out; an empty table gives an empty
+result; further columns of the input are ignored.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from .common import cut, map_texts, slices
+
+SHINGLE, THRESHOLD = 5, 0.8
+BANDS, ROWS = 16, 4
+#: Sets and shingles of one verification task.
+BLOCK_SETS, BLOCK_SHINGLES = 1_000, 2_000_000
+WORD_MEMO = 1_000_000
+
+
+class WordHash(dict):
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > WORD_MEMO:
+            self.clear()
+        self[word] = h = xxhash.xxh3_64_intdigest(word)
+        return h
+
+
+MEMO = WordHash()
+
+
+def mix(x: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit finaliser with a seed."""
+    x = x + np.uint64((seed * 0x9E3779B97F4A7C15 + 0x1B873593CC9E2D51) % 2**64)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def shingle_hashes(text: str, n: int = SHINGLE) -> np.ndarray:
+    """The hash of the shingle at every place of a text."""
+    tokens = text.encode("utf-8").lower().split()
+    words = np.fromiter(map(MEMO.__getitem__, tokens), np.uint64, len(tokens))
+    if not len(words):
+        return words
+    n = min(n, len(words))
+    h = np.zeros(len(words) - n + 1, np.uint64)
+    for k in range(n):
+        h = h * np.uint64(0x9FB21C651E98DF25) + words[k : len(words) - n + 1 + k]
+    return mix(h, n)
+
+
+def prob_minhash(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs: int, registers: int) -> np.ndarray:
+    """docs x registers signatures of weighted shingles: row i belongs to document doc[i]."""
+    first, sig = np.full(docs * registers, np.inf), np.zeros(docs * registers, np.uint64)
+    time, turn = np.zeros(len(doc)), 0
+    while len(doc):
+        r = mix(shingle, 2 * turn + 1)
+        time = time - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) / 2.0**53) / weight
+        at = doc * registers + (mix(shingle, 2 * turn + 2) % np.uint64(registers)).astype(np.int64)
+        np.minimum.at(first, at, time)
+        won = time == first[at]
+        sig[at[won]] = shingle[won]
+        alive = time < first.reshape(docs, registers).max(1)[doc]
+        doc, shingle, weight, time, turn = doc[alive], shingle[alive], weight[alive], time[alive], turn + 1
+    return sig.reshape(docs, registers)
+
+
+def band_hashes(sig: np.ndarray, bands: int) -> np.ndarray:
+    rows = sig.shape[1] // bands
+    parts = sig.reshape(len(sig), bands, rows)
+    h = np.zeros((len(sig), bands), np.uint64)
+    for k in range(rows):
+        h = mix(h ^ parts[:, :, k], k)
+    return h.view(np.int64)
+
+
+def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE) -> DataFrame:
+    """doc_id, the address (hi, lo) and size of its shingle set, and its bands; documents without words are left out."""
+
+    def each(ids: list, texts: list[str]) -> dict[str, list]:
+        sets = [np.unique(h, return_counts=True) for h in (shingle_hashes(t, n) for t in texts)]
+        keep = [k for k, s in enumerate(sets) if len(s[0])]
+        sets = [sets[k] for k in keep]
+        if not sets:
+            return {c: [] for c in ("doc_id", "hi", "lo", "size", "bands")}
+        size = np.array([len(s[0]) for s in sets])
+        sig = prob_minhash(np.repeat(np.arange(len(sets)), size), np.concatenate([s[0] for s in sets]), 1.0 + np.log(np.concatenate([s[1] for s in sets])), len(sets), bands * rows)
+        address = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s[0].tobytes()) for s in sets), np.int64).reshape(-1, 2)
+        return {"doc_id": [ids[k] for k in keep], "hi": address[:, 0], "lo": address[:, 1], "size": size, "bands": list(band_hashes(sig, bands))}
+
+    return map_texts(docs.filter(F.col("doc_id").isNotNull()), each, "doc_id long, hi long, lo long, size long, bands array<long>")
+
+
+def components(edges: DataFrame) -> DataFrame:
+    """node and root (the smallest node) of every node that has an edge (a, b), by alternating large and small stars."""
+    now, before = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), None
+    while True:
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m"))
+        large = both.filter("v > u").join(low, F.col("u") == F.col("at")).select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        low = large.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m"))
+        small = large.join(low, F.col("u") == F.col("at"))
+        now = cut(small.select("v", "m").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(low.select(F.col("at").alias("u"), F.col("m").alias("v"))).distinct())
+        mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).collect()[0])
+        if mark == before:
+            break
+        before = mark
+    return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+
+
+def linked(own: list[np.ndarray], label: list[int], threshold: float) -> list[int]:
+    """Classes after linking all sets of at least the threshold; equal labels are linked from the start.  The smallest label names a class."""
+    names = sorted(set(label))
+    number = {x: i for i, x in enumerate(names)}
+    cls = np.array([number[x] for x in label])
+    size = np.array([len(x) for x in own])
+    _, flat = np.unique(np.concatenate(own), return_inverse=True)
+    ends = np.cumsum(size)
+    starts, mark, left = ends - size, np.zeros(flat.max() + 1, np.int64), len(names)
+    for i in range(len(own)):
+        if left == 1:
+            break
+        if not (cls[i + 1 :] != cls[i]).any():
+            continue
+        part = flat[starts[i] : ends[i]]
+        mark[part] = 1
+        shared = np.add.reduceat(mark[flat], starts)
+        mark[part] = 0
+        near = np.flatnonzero((shared >= threshold * (size[i] + size - shared) - 1e-9) & (cls != cls[i]))
+        for j in np.unique(cls[near]).tolist():
+            if j != cls[i]:
+                a, b = min(j, cls[i]), max(j, cls[i])
+                cls[cls == b] = a
+                left -= 1
+    return [names[k] for k in cls.tolist()]
+
+
+def verified(tasks: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """label and cls: how the labels of ``tasks(task, rep, label)`` are linked in each task by the shingle sets (rep, shingles)."""
+
+    def check(rows: pa.Table) -> pa.Table:
+        label = rows.column("label").to_pylist()
+        cls = linked([np.array(x.as_py(), np.int64) for x in rows.column("shingles")], label, threshold)
+        pairs = sorted(set(zip(label, cls)))
+        return pa.table({"label": pa.array([p[0] for p in pairs], pa.int64()), "cls": pa.array([p[1] for p in pairs], pa.int64())})
+
+    return tasks.join(sets, "rep").select("task", "label", "shingles").groupBy("task").applyInArrow(check, "label long, cls long")
+
+
+def deal(members: DataFrame, band: int, block_sets: int, block_shingles: int) -> DataFrame:
+    """Add task and blocks to ``members(comp, size, bands, ...)``: a component, or blocks of it that share a band where they can."""
+    total = members.groupBy(F.col("comp").alias("c")).agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("size") / block_shingles)).alias("blocks"))
+    key = F.element_at("bands", band % BANDS + 1)
+    hot = members.groupBy(F.col("comp").alias("c2"), key.alias("k")).agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("size") / block_shingles)).alias("salts")).filter("salts > 1")
+    both = members.join(total, F.col("comp") == F.col("c")).join(hot, (F.col("comp") == F.col("c2")) & (key == F.col("k")), "left")
+    salt = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("rep", F.lit(band)), F.col("salts"))).otherwise(F.lit(-1))
+    block = F.when(F.col("blocks") == 1, F.lit(0)).otherwise(F.when(salt >= 0, F.xxhash64(key, salt)).otherwise(F.pmod(F.xxhash64(key, F.lit(band)), F.col("blocks"))))
+    return both.withColumn("task", F.concat_ws(":", F.col("comp").cast("string"), block.cast("string"))).drop("c", "c2", "k", "salts")
+
+
+def shingle_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
+    """rep and its sorted shingle set, for the documents named in ``reps(rep)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, texts in slices(batches):
+            for k in range(0, len(ids), 200):
+                sets = [np.unique(shingle_hashes(t, n)).view(np.int64) for t in texts[k : k + 200]]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[k : k + 200], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "shingles"])
+
+    return docs.select("doc_id", "text").join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(run, "rep long, shingles array<long>")
+
+
+def near_duplicates(
+    docs: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES
+) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)`` with an id: doc_id, class_id and kept (the class's smallest doc_id stays)."""
+    docs = docs.select("doc_id", "text")
+    signed = cut(signatures(docs, bands, rows, n))
+    distinct = cut(signed.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    # of repeated doc_ids with different texts the first set stands for the document
+    member = distinct.groupBy("rep").agg(F.max("size").alias("size"), F.max("bands").alias("bands"))
+    bucket = member.select("rep", F.posexplode("bands").alias("band", "h"))
+    heads = bucket.groupBy(F.col("band").alias("b2"), F.col("h").alias("h2")).agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    edges = bucket.join(heads, (F.col("band") == F.col("b2")) & (F.col("h") == F.col("h2"))).filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    found = components(edges).withColumnRenamed("node", "rep").withColumnRenamed("root", "comp")
+    found = cut(found.join(member, "rep"))
+    sets = cut(shingle_sets(docs, found, n))
+    dealt = cut(deal(found, 0, block_sets, block_shingles).withColumn("label", F.col("rep")))
+    classes = cut(dealt.select("rep", "comp", "blocks", "bands", "size").join(verified(dealt, sets, threshold).withColumnRenamed("label", "rep"), "rep"))
+    large = classes.filter("blocks > 1")
+    if not large.isEmpty():
+        classes = cut(classes.filter("blocks = 1").select("rep", "cls").unionByName(merged(large, sets, threshold, block_sets, block_shingles)))
+    named = signed.select("doc_id", "hi", "lo").join(distinct.select("hi", "lo", "rep"), ["hi", "lo"]).join(classes.select("rep", "cls"), "rep", "left")
+    named = named.select("doc_id", F.coalesce("cls", "rep").alias("class_id"))
+    empty = docs.filter(F.col("doc_id").isNotNull() & (F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")) == ""))
+    everyone = named.unionByName(empty.select("doc_id", F.col("doc_id").alias("class_id")))
+    return everyone.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+
+
+def merged(large: DataFrame, sets: DataFrame, threshold: float, block_sets: int, block_shingles: int) -> DataFrame:
+    """Classes (rep, cls) of the components that needed several blocks."""
+    # representatives of the blocks' classes, block by block again, while that joins any
+    now, turn = large.select("rep", "comp", "bands", "size", "cls"), 0
+    left = now.select("cls").distinct().count()
+    while True:
+        turn += 1
+        heads = now.filter("rep = cls").select("rep", "comp", "bands", "size").withColumn("label", F.col("rep"))
+        dealt = cut(deal(heads, turn, block_sets, block_shingles))
+        single = dealt.filter("blocks > 1").isEmpty()
+        step = verified(dealt, sets, threshold).select(F.col("label").alias("cls"), F.col("cls").alias("up"))
+        now = cut(now.join(step, "cls").select("rep", "comp", "bands", "size", F.col("up").alias("cls")))
+        count = now.select("cls").distinct().count()
+        if single or count == left:
+            break
+        left = count
+    # buckets that still span classes: the largest class in blocks, all others against each block and among themselves
+    bucket = now.select("rep", "cls", "size", F.posexplode("bands").alias("band", "h"))
+    per = bucket.groupBy("band", "h", "cls").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    open_ = per.groupBy("band", "h").agg(F.count("*").alias("k"), F.max_by("cls", F.struct("n", "cls")).alias("main"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("n").alias("m")).filter("k > 1")
+    half = lambda n, s: F.greatest(F.ceil(n / (block_sets / 2)), F.ceil(s / (block_shingles / 2)), F.lit(1)).cast("int")
+    open_ = open_.select("band", "h", "main", half(F.col("n"), F.col("s")).alias("blocks"), half(F.col("n") - F.col("m"), F.col("s") * (F.col("n") - F.col("m")) / F.col("n")).alias("few"))
+    spread = bucket.join(open_, ["band", "h"])
+    salt = F.xxhash64("rep", "band")
+    mains = spread.filter("cls = main").select("*", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i")).select(
+        "rep", "cls", F.concat_ws(":", F.lit("m"), "band", "h", "i", F.pmod(salt, F.col("blocks")).cast("string")).alias("task"))
+    others = spread.filter("cls <> main").withColumn("own", F.pmod(salt, F.col("few")).cast("int"))
+    against = others.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")).select("rep", "cls", F.concat_ws(":", F.lit("m"), "band", "h", "own", F.col("j").cast("string")).alias("task"))
+    among = others.select("*", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("j")).select(
+        "rep", "cls", F.concat_ws(":", F.lit("o"), "band", "h", F.least("own", "j").cast("string"), F.greatest("own", "j").cast("string")).alias("task"))
+    tasks = mains.unionByName(against).unionByName(among).withColumnRenamed("cls", "label")
+    links = verified(tasks, sets, threshold).filter("label <> cls").select(F.col("label").alias("a"), F.col("cls").alias("b"))
+    roots = components(links)
+    return now.select("rep", "cls").join(roots, F.col("cls") == F.col("node"), "left").select("rep", F.coalesce("root", "cls").alias("cls"))

@@ -1,0 +1,58 @@
+"""The registered queries of this subpackage, with production parameters over whole tables."""
+
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+
+from . import decontaminate, exact_dedup, language_id, lattice_lm, licences, line_dedup, mixing, near_dedup, pii, token_count
+from .common import table
+
+
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_count.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_digest(line_dedup.repeated_lines(table(spark, sf_dir, "documents")))
+
+
+def op4_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice_lm.lattice_scores(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op6_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pii_digest(pii.personal_data(table(spark, sf_dir, "documents")))
+
+
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_digest(licences.licence_scan(table(spark, sf_dir, "documents")))
+
+
+def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op9_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.languages(table(spark, sf_dir, "documents"))
+
+
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_digest(mixing.mixed(table(spark, sf_dir, "documents")))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_decontamination, op6_personal_data, op7_licences, op8_near_dedup, op9_languages, op10_mixing,
+    )
+}
+ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL}
