@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_texts, partitions, slices
+from .common import cut, map_texts, partitions, slices
 
 #: Bytes of edge labels that one trie may hold.
 TRIE_BYTES = 96 << 20
@@ -160,7 +160,8 @@ def addresses(docs: DataFrame) -> DataFrame:
 
 def exact_duplicates(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, keep_id, group_size, kept, text_sha256."""
-    return addresses(docs).join(text_owners(docs, limit), "text_sha256").select(
+    # the written owners leave a plain exchange on both sides, so a hot address can be split
+    return addresses(docs).join(cut(text_owners(docs, limit)), "text_sha256").select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("text_sha256")).alias("text_sha256")
     )
 
