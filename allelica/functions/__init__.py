@@ -1,0 +1,85 @@
+"""Column functions that the operators share."""
+
+from __future__ import annotations
+
+import math
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+NULL_TOKENS = ("", ".", "NA", "NaN", "nan", "null", "NULL", "N/A", "n/a", "None", "-nan", "-NaN")
+
+
+def number(c: Column) -> Column:
+    """Text to double: null tokens, text that is no number and NaN become null."""
+    t = F.trim(c)
+    d = F.when(t.isin(*NULL_TOKENS), None).otherwise(t).try_cast("double")
+    return F.nanvl(d, F.lit(None).cast("double"))
+
+
+def passes(test: Column, *measures: Column) -> Column:
+    """A threshold test; null or NaN measures never pass."""
+    bad = F.lit(False)
+    for m in measures:
+        bad = bad | m.isNull() | F.isnan(m)
+    return ~bad & F.coalesce(test, F.lit(False))
+
+
+def float_text(c: Column, digits: int = 4) -> Column:
+    """A double rounded half-even as the shortest plain decimal with at least one digit after the point."""
+    d = F.bround(c, digits).cast(f"decimal(18,{digits})").cast("string")
+    return F.regexp_replace(d, r"(\.\d+?)0+$", "$1")
+
+
+def variant_id(chrom: str = "chrom", pos: str = "pos", ref: str = "ref", alt: str = "alt") -> Column:
+    return F.concat_ws(":", F.col(chrom), F.col(pos).cast("string"), F.col(ref), F.col(alt))
+
+
+def log_factorial(n: Column) -> Column:
+    """ln n! by table below 16 and by Stirling's series (error under 1e-13) from there."""
+    x = F.greatest(n.cast("double"), F.lit(16.0))
+    series = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * F.pow(x, 3)) + 1 / (1260 * F.pow(x, 5))
+    table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(16)])
+    return F.when(n < 16, F.get(table, n.cast("int"))).otherwise(series)
+
+
+def hwe_exact(hom_ref: Column, het: Column, hom_alt: Column, midp: bool = True) -> Column:
+    """Exact test of Hardy-Weinberg proportions from genotype counts: the mass of all heterozygote counts that are no
+    likelier than the observed one (mid-p: half of the ties' mass)."""
+    n = hom_ref + het + hom_alt
+    rare = F.least(2 * hom_ref + het, 2 * hom_alt + het)
+
+    def log_weight(k: Column) -> Column:
+        return k * math.log(2.0) - log_factorial(k) - log_factorial((rare - k) / 2) - log_factorial(n - k - (rare - k) / 2)
+
+    ks = F.sequence((rare % 2).cast("long"), rare.cast("long"), F.lit(2).cast("long"))
+    add = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+    seen = log_weight(het.cast("double"))
+
+    def tail(w: Column, own: Column) -> Column:
+        low = add(F.filter(w, lambda x: x <= own * (1 + 1e-8)))
+        tied = add(F.filter(w, lambda x: (x <= own * (1 + 1e-8)) & (x >= own * (1 - 1e-8))))
+        return (low - tied * (0.5 if midp else 0.0)) / add(w)
+
+    def relative(logs: Column, top: Column) -> Column:
+        return let(F.transform(logs, lambda x: F.exp(x - top)), lambda w: let(F.exp(seen - top), lambda own: tail(w, own)))
+
+    p = let(F.transform(ks, lambda k: log_weight(k.cast("double"))), lambda logs: let(F.array_max(logs), lambda top: relative(logs, top)))
+    return F.when(n > 0, p)
+
+
+def let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def require(df: DataFrame, *columns: str) -> None:
+    missing = sorted(set(columns) - set(df.columns))
+    if missing:
+        raise ValueError(f"missing columns: {', '.join(missing)}")
+
+
+def ordered_concat(order: list[str], text: str, by: str = ";") -> Column:
+    """Aggregate: the texts of a group in the given order."""
+    rows = F.array_sort(F.collect_list(F.struct(*order, F.col(text).alias("text_"))))
+    return F.array_join(F.transform(rows, lambda x: x["text_"]), by)

@@ -1,0 +1 @@
+"""Operators on genotype calls, cohorts and reports."""

@@ -1,0 +1,60 @@
+"""Sharing between samples: identity-by-state counts, segments without opposite homozygotes, relationship classes."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+#: Lower bounds of PropIBD and of IBD2 share per class, after the published defaults of the segment method; configurable.
+DUPLICATE_IBD2, FIRST, SECOND, THIRD, FULL_SIB_IBD2 = 0.7, 0.35355, 0.17678, 0.08839, 0.08
+
+
+def pair_calls(calls: DataFrame, *more: str) -> DataFrame:
+    """(s1, s2, d1, d2, variant_id, ...) of every pair s1 < s2 called at a variant: pairs meet on the variant only."""
+    called = calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", "dosage", *more)
+    a = called.select("variant_id", *more, F.col("sample_id").alias("s1"), F.col("dosage").alias("d1"))
+    b = called.select("variant_id", F.col("sample_id").alias("s2"), F.col("dosage").alias("d2"))
+    return a.join(b, "variant_id").filter("s1 < s2")
+
+
+def ibs_counts(calls: DataFrame) -> DataFrame:
+    """ibs0, ibs1 and ibs2 of every pair of samples."""
+    d = F.abs(F.col("d1") - F.col("d2"))
+    return pair_calls(calls).groupBy("s1", "s2").agg(*[F.count_if(d == 2 - k).alias(f"ibs{k}") for k in range(3)])
+
+
+def segments(calls: DataFrame, min_snps: int = 8, min_bp: int = 0, state: int = 1) -> DataFrame:
+    """Runs per pair and chromosome of calls(variant_id, sample_id, dosage, chrom, pos) without a break.
+
+    IBD1 runs break at opposite homozygotes; IBD2 runs (state 2) break wherever the dosages differ.
+    """
+    pairs = pair_calls(calls, "chrom", "pos")
+    breaks = F.abs(F.col("d1") - F.col("d2")) == 2 if state == 1 else F.col("d1") != F.col("d2")
+    w = Window.partitionBy("s1", "s2", "chrom").orderBy("pos", "variant_id").rowsBetween(Window.unboundedPreceding, 0)
+    runs = pairs.withColumn("break_", breaks.cast("int")).withColumn("island", F.sum("break_").over(w))
+    out = runs.filter("break_ = 0").groupBy("s1", "s2", "chrom", "island").agg(F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("n_snps"))
+    return out.filter((F.col("n_snps") >= min_snps) & (F.col("end_pos") - F.col("start_pos") >= min_bp)).drop("island")
+
+
+def sharing(ibd1: DataFrame, ibd2: DataFrame, genome_length: int) -> DataFrame:
+    """IBD1Seg, IBD2Seg, PropIBD and the largest segments per pair; IBD2 runs lie within IBD1 runs and are taken off them."""
+    length = F.sum(F.col("end_pos") - F.col("start_pos") + 1)
+    longest = F.max(F.col("end_pos") - F.col("start_pos") + 1)
+    one = ibd1.groupBy("s1", "s2").agg(length.alias("l1"), longest.alias("MaxIBD1"))
+    two = ibd2.groupBy("s1", "s2").agg(length.alias("l2"), longest.alias("MaxIBD2"))
+    both = one.join(two, ["s1", "s2"], "full_outer").na.fill(0)
+    g = F.lit(float(genome_length))
+    both = both.withColumn("IBD2Seg", F.col("l2") / g).withColumn("IBD1Seg", F.greatest(F.lit(0.0), F.col("l1") / g - F.col("IBD2Seg")))
+    return both.withColumn("PropIBD", F.col("IBD1Seg") / 2 + F.col("IBD2Seg")).select("s1", "s2", "IBD1Seg", "IBD2Seg", "PropIBD", "MaxIBD1", "MaxIBD2")
+
+
+def relationship(prop: Column, ibd1: Column, ibd2: Column) -> Column:
+    """Dup/MZ, FS, PO, 2nd, 3rd; null beyond the third degree."""
+    return (
+        F.when(ibd2 > DUPLICATE_IBD2, "Dup/MZ").when((prop >= FIRST) & (ibd2 >= FULL_SIB_IBD2), "FS").when(prop >= FIRST, "PO").when(prop >= SECOND, "2nd").when(prop >= THIRD, "3rd")
+    )
+
+
+def relatives(shared: DataFrame) -> DataFrame:
+    """Classified pairs up to the third degree."""
+    return shared.withColumn("InfType", relationship(F.col("PropIBD"), F.col("IBD1Seg"), F.col("IBD2Seg"))).filter("InfType IS NOT NULL")

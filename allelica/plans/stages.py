@@ -1,0 +1,51 @@
+"""The nine stages as functions of tables: lazy frames in, lazy frames out."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import ibd, reports, samples, stats, variants
+from .workflow import Thresholds
+
+
+def plate_calls(intensity: DataFrame, sites: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(heavy, light) calls of a plate: intensities meet their sites(bpm_index, chrom, pos, ref, alt) and samples get their ids."""
+    heavy = intensity.join(sites, "bpm_index").withColumn("variant_id", F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt"))
+    heavy = samples.rename(heavy.withColumn("gq", F.round(F.col("score") * 100).cast("int")), names)
+    return heavy, heavy.select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq")
+
+
+def contamination(heavy: DataFrame, af: DataFrame | None = None) -> DataFrame:
+    """BAF regression per sample, on a reference's frequencies or else on the plate's own."""
+    if af is not None:
+        sites = variants.with_frequency(heavy, af).filter("af IS NOT NULL")
+    else:
+        own = stats.allele_frequency(heavy).select("variant_id", F.col("alt_freq").alias("af"))
+        sites = heavy.join(own, "variant_id")
+    return stats.baf_regression(sites)
+
+
+def plate_fileset(light: DataFrame) -> DataFrame:
+    """Biallelic calls, PAR split, canonical ids, repeated ids dropped in all copies, chr-prefixed contigs."""
+    out = variants.canonical_ids(variants.split_par(variants.biallelic(light)))
+    return variants.exclude_duplicates(out.withColumn("chrom", variants.chr_prefixed(F.col("chrom"))), "variant_id", "sample_id")
+
+
+def raw_qc(calls: DataFrame, people: DataFrame, min_samples: int = 50) -> dict[str, DataFrame]:
+    autosomes = calls.filter(F.col("chrom").rlike("^chr([1-9]|1[0-9]|2[0-2])$"))
+    return {
+        "smiss": stats.missingness(calls, "sample_id"), "afreq": stats.allele_frequency(calls), "het": stats.inbreeding(autosomes, min_samples), "sexcheck": stats.sex_check(calls, people),
+    }
+
+
+def relatedness(calls: DataFrame, genome_length: int, min_snps: int = 64, min_bp: int = 2_500_000) -> DataFrame:
+    auto = calls.filter(F.col("chrom").rlike("^(chr)?([1-9]|1[0-9]|2[0-2])$"))
+    return ibd.relatives(ibd.sharing(ibd.segments(auto, min_snps, min_bp), ibd.segments(auto, min_snps, min_bp, state=2), genome_length))
+
+
+def snp_qc(calls: DataFrame, egt: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """Missingness and the exact test both see the full variant set; the filters meet only in the flags."""
+    vmiss = stats.missingness(calls, "variant_id").select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"))
+    passed = stats.hwe_pass(stats.hardy_weinberg(calls, t.midp), t.hwe_p, t.hwe_k, t.keep_few_het).select(F.col("variant_id").alias("ID"))
+    return reports.variant_qc(egt, vmiss, passed, gentrain_min=t.gentrain_min, cluster_sep_min=t.cluster_sep_min, fmiss_max=t.fmiss_max)

@@ -1,0 +1,138 @@
+"""Stage graph: selection rules, skip of finished outputs, ordered runs, registration; and the command line."""
+
+from __future__ import annotations
+
+import argparse
+import tomllib
+from collections.abc import Callable
+from dataclasses import dataclass, field
+from graphlib import TopologicalSorter
+
+PHASE1 = ("GtcToBcfs", "BafRegress", "CohortBcfToPlink")
+PHASE2 = ("MergeCohortPlink", "ExportCohortDatasets", "Plink2Qc", "KingIbdseg", "SnpQcReport", "QcReport")
+ANALYSIS_TYPES = ("array_bafregress", "array_cohort_bed", "array_aggregate_pgen", "array_qc_raw", "array_relatedness_ibdseg", "array_snp_qc", "array_qc_report", "manifest")
+#: What each stage registers, and what it needs within a run.
+REGISTERS = {
+    "BafRegress": "array_bafregress", "CohortBcfToPlink": "array_cohort_bed", "ExportCohortDatasets": "array_aggregate_pgen", "Plink2Qc": "array_qc_raw",
+    "KingIbdseg": "array_relatedness_ibdseg", "SnpQcReport": "array_snp_qc", "QcReport": "array_qc_report",
+}
+NEEDS = {
+    "GtcToBcfs": (), "BafRegress": ("GtcToBcfs",), "CohortBcfToPlink": ("GtcToBcfs",), "MergeCohortPlink": (), "ExportCohortDatasets": ("MergeCohortPlink",),
+    "KingIbdseg": ("MergeCohortPlink",), "Plink2Qc": ("ExportCohortDatasets",), "SnpQcReport": ("ExportCohortDatasets",), "QcReport": ("Plink2Qc", "KingIbdseg"),
+}
+
+
+@dataclass(frozen=True)
+class Thresholds:
+    """Defaults of the variant filters; production values come from the configuration file."""
+
+    gentrain_min: float = 0.7
+    cluster_sep_min: float = 0.4
+    fmiss_max: float = 0.02
+    hwe_p: float = 1e-6
+    hwe_k: float = 0.0
+    midp: bool = True
+    keep_few_het: bool = True
+
+
+def load_config(path: str) -> dict:
+    with open(path, "rb") as f:
+        return tomllib.load(f)
+
+
+def setting(config: dict, *keys: str, default=None):
+    for k in keys:
+        if not isinstance(config, dict) or k not in config:
+            return default
+        config = config[k]
+    return config
+
+
+def output_prefix(root: str, workflow: str, stage: str, version: str | None = None) -> str:
+    return "/".join([root.rstrip("/"), workflow, stage, *([version] if version else [])])
+
+
+def project_name(name: str, test: bool) -> str:
+    return name if not test or name.endswith("-test") else f"{name}-test"
+
+
+def validate_selection(only_stages: list[str] | None, cohorts: list[str]) -> int:
+    """The phase (1 or 2) of a selection; names are case-sensitive, phases do not mix, phase 2 takes one cohort."""
+    if not only_stages:
+        raise ValueError("only_stages is not set")
+    chosen = set(only_stages)
+    if unknown := sorted(chosen - set(PHASE1) - set(PHASE2)):
+        raise ValueError(f"unknown stages: {', '.join(unknown)}")
+    if chosen & set(PHASE1) and chosen & set(PHASE2):
+        raise ValueError("stages of both phases")
+    phase = 1 if chosen & set(PHASE1) else 2
+    if phase == 2 and len(cohorts) != 1:
+        raise ValueError(f"phase 2 takes exactly one cohort, got {len(cohorts)}")
+    return phase
+
+
+@dataclass
+class Stage:
+    """``run(context)`` writes ``output``; it is skipped if ``done(output)``."""
+
+    name: str
+    run: Callable[[dict], None]
+    output: str
+    needs: tuple[str, ...] = ()
+    registers: str | None = None
+
+
+@dataclass
+class Runner:
+    stages: dict[str, Stage]
+    done: Callable[[str], bool]
+    register: Callable[[str, str], None] = lambda kind, path: None
+    log: list[str] = field(default_factory=list)
+
+    def order(self, only: list[str] | None = None) -> list[str]:
+        names = TopologicalSorter({s.name: [n for n in s.needs if n in self.stages] for s in self.stages.values()}).static_order()
+        return [n for n in names if only is None or n in only]
+
+    def run(self, context: dict, only: list[str] | None = None, dry_run: bool = False) -> list[str]:
+        """Run what is not done, in order; an analysis is registered only after its output is there."""
+        for name in self.order(only):
+            stage = self.stages[name]
+            if self.done(stage.output):
+                self.log.append(f"{name}: reused")
+            elif dry_run:
+                self.log.append(f"{name}: would run")
+            else:
+                stage.run(context)
+                self.log.append(f"{name}: done")
+                if stage.registers:
+                    if stage.registers not in ANALYSIS_TYPES:
+                        raise ValueError(f"unknown analysis type {stage.registers}")
+                    self.register(stage.registers, stage.output)
+        return self.log
+
+
+def spark_done(spark) -> Callable[[str], bool]:
+    """Whether an output is committed, asked of the store that holds it."""
+
+    def done(path: str) -> bool:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+        return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+    return done
+
+
+def main(argv: list[str] | None = None) -> int:
+    parser = argparse.ArgumentParser(description="Check a stage selection and print the order of its stages.")
+    parser.add_argument("config")
+    parser.add_argument("--dry-run", action="store_true")
+    args = parser.parse_args(argv)
+    config = load_config(args.config)
+    only, cohorts = setting(config, "workflow", "only_stages", default=[]), setting(config, "workflow", "input_cohorts", default=[])
+    phase = validate_selection(only, cohorts)
+    runner = Runner({n: Stage(n, lambda c: None, n, NEEDS[n], REGISTERS.get(n)) for n in only}, done=lambda p: False)
+    print(f"phase {phase}: " + " -> ".join(runner.order(only)))
+    return 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -1,0 +1,98 @@
+"""Writers.  Reports are small and leave as one file; calls stay partitioned Parquet."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..operators import reports
+from .readers import MANIFEST_COLUMNS
+
+AUDIT = ["CHROM", "POS", "REF", "ALT", "ID", "GenTrain_Score", "Cluster_Sep", "F_MISS", "pass_gentrain", "pass_cluster_sep", "pass_fmiss", "pass_hwe", "pass"]
+SEG_HEADER = "FID1 string, ID1 string, FID2 string, ID2 string, IBD1Seg double, IBD2Seg double, PropIBD double, InfType string"
+SEG_X_HEADER = "FID1 string, ID1 string, FID2 string, ID2 string, Sex1 int, Sex2 int, MaxIBD1 double, MaxIBD2 double, IBD1Seg double, IBD2Seg double, PropIBD double"
+
+
+def audit(flagged: DataFrame, path: str) -> None:
+    """All variants with their flags (True, False) as compressed TSV."""
+    flags = {c: F.initcap(F.col(c).cast("string")) for c in AUDIT if c.startswith("pass")}
+    flagged.withColumns(flags).select(AUDIT).coalesce(1).write.option("compression", "gzip").csv(path, sep="\t", header=True)
+
+
+def inclusion(flagged: DataFrame, path: str) -> None:
+    flagged.filter("pass").select("ID").coalesce(1).write.text(path)
+
+
+def variant_qc(flagged: DataFrame, audit_path: str, inclusion_path: str, summary_path: str) -> None:
+    """The three sinks of one computed frame."""
+    flagged = flagged.persist()
+    try:
+        audit(flagged, audit_path)
+        inclusion(flagged, inclusion_path)
+        reports.summary(flagged).coalesce(1).write.csv(summary_path, sep="\t", header=True)
+    finally:
+        flagged.unpersist()
+
+
+def sample_qc(report: DataFrame, path: str) -> None:
+    """CSV in the order of the smiss file (``ord``), nulls blank."""
+    order = [c for c in ("ord", "IID") if c in report.columns]
+    drop = [c for c in report.columns if c.split("_")[0] == "ord"]
+    report.orderBy(*order).drop(*drop).coalesce(1).write.csv(path, header=True, emptyValue="")
+
+
+def calls(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Calls by contig, sorted by position within it; never by sample."""
+    df.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").write.mode(mode).partitionBy("chrom").parquet(path)
+
+
+def dual(df: DataFrame, durable: str, temporary: str) -> None:
+    """One computed frame, two outputs."""
+    df = df.persist()
+    try:
+        df.write.parquet(durable)
+        df.write.parquet(temporary)
+    finally:
+        df.unpersist()
+
+
+def segments(df: DataFrame | None, path: str, spark, header: str = SEG_HEADER) -> None:
+    """Relatives as TSV; without any, a file with the header alone."""
+    df = spark.createDataFrame([], header) if df is None else df
+    df.coalesce(1).write.csv(path, sep="\t", header=True)
+
+
+def id_pairs(samples: DataFrame, path: str, *columns: str) -> None:
+    """Lines '0<tab>sample[<tab>column...]' (keep, remove and sex lists), sorted and distinct."""
+    rows = samples.select("sample_id", *columns).distinct().orderBy("sample_id")
+    rows.coalesce(1).select(F.concat_ws("\t", F.lit("0"), "sample_id", *columns)).write.text(path)
+
+
+def reheader(names: DataFrame, path: str) -> None:
+    names.coalesce(1).select(F.concat_ws(" ", "old_name", "sg_id")).write.text(path)
+
+
+def manifest(rows: DataFrame, path: str, force: bool = False) -> None:
+    """The 14-column manifest; an existing one is refused unless forced."""
+    rows.select(*MANIFEST_COLUMNS).coalesce(1).write.mode("overwrite" if force else "errorifexists").csv(path, header=True, emptyValue="")
+
+
+def fam(samples: DataFrame, path: str) -> None:
+    """FID 0, IID, no parents, sex, no phenotype."""
+    rows = samples.select(F.concat_ws("\t", F.lit("0"), "sample_id", F.lit("0"), F.lit("0"), F.coalesce(F.col("sex"), F.lit(0)).cast("string"), F.lit("-9")).alias("value"), "sample_id")
+    rows.orderBy("sample_id").coalesce(1).select("value").write.text(path)
+
+
+def bim(variants: DataFrame, path: str) -> None:
+    """Variants in order: contig, id, 0, position, ALT (A1), REF (A2)."""
+    rows = variants.orderBy("ord").coalesce(1)
+    rows.select(F.concat_ws("\t", "chrom", "variant_id", F.lit("0"), F.col("pos").cast("string"), "alt", "ref")).write.text(path)
+
+
+def register(analysis: DataFrame, path: str) -> None:
+    """Append completed analyses to the registry after their outputs are committed."""
+    analysis.write.mode("append").json(path)
+
+
+def contig_cache(chroms: DataFrame, path: str) -> None:
+    chroms.orderBy("bpm_index").coalesce(1).select("chrom").write.option("compression", "gzip").text(path)
