@@ -116,7 +116,8 @@ def components(edges: DataFrame) -> DataFrame:
     now, before = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()), None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m"))
+        # written, so that the join has a plain exchange on both sides and the edges of a hub can be split
+        low = cut(both.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m")))
         large = both.filter("v > u").join(low, F.col("u") == F.col("at")).select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         low = large.groupBy(F.col("u").alias("at")).agg(F.min("v").alias("m"))
         small = large.join(low, F.col("u") == F.col("at"))
