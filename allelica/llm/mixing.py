@@ -71,7 +71,7 @@ def mixed(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, share: float = SH
     run = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     run = run.join(before, (F.col("rank") == F.col("r")) & (F.col("bucket") == F.col("b")))
     whole = F.floor(F.col("target"))
-    epochs = F.coalesce(F.floor(whole / F.col("source_size")), F.lit(0))
+    epochs = F.coalesce(F.floor(whole / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
     rest = whole - epochs * F.col("source_size") - F.col("before") - F.col("inside")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
     return run.select("doc_id", "source", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
