@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -35,36 +33,33 @@ def variant_id(chrom: str = "chrom", pos: str = "pos", ref: str = "ref", alt: st
     return F.concat_ws(":", F.col(chrom), F.col(pos).cast("string"), F.col(ref), F.col(alt))
 
 
-def log_factorial(n: Column) -> Column:
-    """ln n! by table below 16 and by Stirling's series (error under 1e-13) from there."""
-    x = F.greatest(n.cast("double"), F.lit(16.0))
-    series = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * F.pow(x, 3)) + 1 / (1260 * F.pow(x, 5))
-    table = F.array(*[F.lit(math.lgamma(i + 1)) for i in range(16)])
-    return F.when(n < 16, F.get(table, n.cast("int"))).otherwise(series)
-
-
 def hwe_exact(hom_ref: Column, het: Column, hom_alt: Column, midp: bool = True) -> Column:
     """Exact test of Hardy-Weinberg proportions from genotype counts: the mass of all heterozygote counts that are no
-    likelier than the observed one (mid-p: half of the ties' mass)."""
-    n = hom_ref + het + hom_alt
-    rare = F.least(2 * hom_ref + het, 2 * hom_alt + het)
-
-    def log_weight(k: Column) -> Column:
-        return k * math.log(2.0) - log_factorial(k) - log_factorial((rare - k) / 2) - log_factorial(n - k - (rare - k) / 2)
-
-    ks = F.sequence((rare % 2).cast("long"), rare.cast("long"), F.lit(2).cast("long"))
-    add = lambda a: F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
-    seen = log_weight(het.cast("double"))
-
-    def tail(w: Column, own: Column) -> Column:
-        low = add(F.filter(w, lambda x: x <= own * (1 + 1e-8)))
-        tied = add(F.filter(w, lambda x: (x <= own * (1 + 1e-8)) & (x >= own * (1 - 1e-8))))
-        return (low - tied * (0.5 if midp else 0.0)) / add(w)
-
-    def relative(logs: Column, top: Column) -> Column:
-        return let(F.transform(logs, lambda x: F.exp(x - top)), lambda w: let(F.exp(seen - top), lambda own: tail(w, own)))
-
-    p = let(F.transform(ks, lambda k: log_weight(k.cast("double"))), lambda logs: let(F.array_max(logs), lambda top: relative(logs, top)))
+    likelier than the observed one (mid-p: half of the ties' mass).
+
+    Masses are relative to the observed count's and follow from their neighbours', upwards and downwards, so that each step
+    is a few multiplications; a mass beyond the doubles means a p-value of 0.
+    """
+    n = (hom_ref + het + hom_alt).cast("double")
+    rare = F.least(2 * hom_ref + het, 2 * hom_alt + het).cast("long")
+    start = het.cast("long")
+
+    def walk(ks: Column, ratio) -> Column:
+        def step(s: Column, k: Column) -> Column:
+            w, hom = s["w"], (rare - k) / 2.0
+            low = w <= 1 + 1e-8
+            return F.struct(
+                (w * ratio(k.cast("double"), hom, n - k - hom)).alias("w"), (s["all"] + w).alias("all"), (s["low"] + F.when(low, w).otherwise(0.0)).alias("low"),
+                (s["tied"] + F.when(low & (w >= 1 - 1e-8), w).otherwise(0.0)).alias("tied"),
+            )
+
+        return F.aggregate(ks, F.struct(F.lit(1.0).alias("w"), *[F.lit(0.0).alias(c) for c in ("all", "low", "tied")]), step)
+
+    up = walk(F.sequence(start, rare, F.lit(2).cast("long")), lambda k, a, b: 4.0 * a * b / ((k + 2) * (k + 1)))
+    down = walk(F.sequence(start, start % 2, F.lit(-2).cast("long")), lambda k, a, b: k * (k - 1) / (4.0 * (a + 1) * (b + 1)))
+    # both walks begin at the observed count, whose mass is 1
+    both = lambda u, d, c: u[c] + d[c] - 1
+    p = let(up, lambda u: let(down, lambda d: (both(u, d, "low") - both(u, d, "tied") * (0.5 if midp else 0.0)) / both(u, d, "all")))
     return F.when(n > 0, p)
 
 
