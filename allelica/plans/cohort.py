@@ -1,0 +1,145 @@
+"""The nine stages wired to storage: what each reads, writes and registers.  Tables are Parquet, reports leave as text.
+
+A stage writes the output that marks it as done last, so a run that lost executors is repeated from its first open stage.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..operators import reports, samples
+from ..sources import binary, readers, writers
+from . import stages
+from .workflow import NEEDS, PHASE1, PHASE2, REGISTERS, Runner, Stage, Thresholds, output_prefix, spark_done, validate_selection
+
+
+@dataclass(frozen=True)
+class PlateInputs:
+    """A plate: GTC files, Parquet of their sites(bpm_index, chrom, pos, ref, alt), the manifest that names the samples,
+    and if there are any Parquet of sexes(sample_id, sex) and a VCF of reference frequencies."""
+
+    gtc: str
+    sites: str
+    manifest: str
+    sexes: str | None = None
+    frequencies: str | None = None
+
+
+@dataclass(frozen=True)
+class MergeInputs:
+    """A rolling merge: filesets of plates, Parquet of the wanted samples(sample_id), the array's cluster scores, and if there
+    is one the carried aggregate with Parquet of its withdrawn samples(sample_id)."""
+
+    plates: tuple[str, ...]
+    wanted: str
+    egt: str
+    previous: str | None = None
+    withdrawn: str | None = None
+    baf: tuple[str, ...] = ()
+    thresholds: Thresholds = field(default_factory=Thresholds)
+    genome_length: int = 2_875_000_000
+    min_samples: int = 50
+    min_snps: int = 64
+    min_bp: int = 2_500_000
+
+
+def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: str) -> dict[str, Stage]:
+    """Phase 1.  Outputs: <GtcToBcfs>/heavy and light, <BafRegress>/baf, <CohortBcfToPlink>/samples and calls."""
+    at = {n: output_prefix(root, workflow, n) for n in PHASE1}
+
+    def decode(context: dict) -> None:
+        names = readers.manifest_reheader(readers.manifest_csv(spark, given.manifest))
+        heavy, _ = stages.plate_calls(binary.read_gtc(spark, given.gtc), spark.read.parquet(given.sites), names)
+        writers.calls(heavy, f"{at['GtcToBcfs']}/heavy", "overwrite")
+        # the light calls are columns of the heavy ones: the files are decoded once
+        light = spark.read.parquet(f"{at['GtcToBcfs']}/heavy").select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq")
+        writers.calls(light, f"{at['GtcToBcfs']}/light", "overwrite")
+
+    def contamination(context: dict) -> None:
+        af = readers.af_reference(spark, given.frequencies) if given.frequencies else None
+        stages.contamination(spark.read.parquet(f"{at['GtcToBcfs']}/heavy"), af).write.mode("overwrite").parquet(f"{at['BafRegress']}/baf")
+
+    def fileset(context: dict) -> None:
+        light = spark.read.parquet(f"{at['GtcToBcfs']}/light")
+        people = light.select("sample_id").distinct()
+        sexes = spark.read.parquet(given.sexes) if given.sexes else spark.createDataFrame([], "sample_id string, sex int")
+        samples.update_sex(people, sexes).write.mode("overwrite").parquet(f"{at['CohortBcfToPlink']}/samples")
+        writers.calls(stages.plate_fileset(light), f"{at['CohortBcfToPlink']}/calls", "overwrite")
+
+    return named({"GtcToBcfs": (decode, f"{at['GtcToBcfs']}/light"), "BafRegress": (contamination, f"{at['BafRegress']}/baf"), "CohortBcfToPlink": (fileset, f"{at['CohortBcfToPlink']}/calls")})
+
+
+def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: str, version: str, temporary: str | None = None) -> dict[str, Stage]:
+    """Phase 2.  A fileset (of a plate, or the aggregate) is a folder with samples and calls; the merge is a temporary output."""
+    at = {n: output_prefix(root, workflow, n, version) for n in PHASE2}
+    at["MergeCohortPlink"] = output_prefix(temporary or root, workflow, "MergeCohortPlink", version)
+    read = spark.read.parquet
+
+    def merge(context: dict) -> None:
+        wanted, gone = read(given.wanted), read(given.withdrawn) if given.withdrawn else None
+        previous = read(f"{given.previous}/calls") if given.previous else None
+        calls = samples.rolling_merge(previous, gone, [read(f"{p}/calls") for p in given.plates], wanted)
+        people = None
+        for p in ([given.previous] if given.previous else []) + list(given.plates):
+            people = read(f"{p}/samples") if people is None else people.unionByName(read(f"{p}/samples"))
+        people.join(wanted.select("sample_id").distinct(), "sample_id", "left_semi").write.mode("overwrite").parquet(f"{at['MergeCohortPlink']}/samples")
+        writers.calls(calls, f"{at['MergeCohortPlink']}/calls", "overwrite")
+
+    def merged(kind: str, name: str = "MergeCohortPlink") -> DataFrame:
+        return read(f"{at[name]}/{kind}")
+
+    def export(context: dict) -> None:
+        merged("samples").write.mode("overwrite").parquet(f"{at['ExportCohortDatasets']}/samples")
+        writers.calls(merged("calls"), f"{at['ExportCohortDatasets']}/calls", "overwrite")
+
+    def raw_qc(context: dict) -> None:
+        tables = stages.raw_qc(merged("calls", "ExportCohortDatasets"), merged("samples", "ExportCohortDatasets"), given.min_samples)
+        for name in ("afreq", "smiss", "het", "sexcheck"):
+            tables[name].write.mode("overwrite").parquet(f"{at['Plink2Qc']}/{name}")
+
+    def related(context: dict) -> None:
+        pairs = stages.relatedness(merged("calls"), given.genome_length, given.min_snps, given.min_bp)
+        pairs.withColumnsRenamed({"s1": "ID1", "s2": "ID2"}).write.mode("overwrite").parquet(f"{at['KingIbdseg']}/seg")
+
+    def variant_report(context: dict) -> None:
+        flagged = stages.snp_qc(merged("calls", "ExportCohortDatasets"), readers.egt_info(spark, given.egt), given.thresholds)
+        flagged.write.mode("overwrite").parquet(f"{at['SnpQcReport']}/flags")
+        flagged = read(f"{at['SnpQcReport']}/flags")
+        writers.variant_qc(flagged, *[f"{at['SnpQcReport']}/{x}" for x in ("audit", "inclusion", "summary")], mode="overwrite")
+
+    def sample_report(context: dict) -> None:
+        smiss, het, sexcheck = (read(f"{at['Plink2Qc']}/{n}").withColumnRenamed("sample_id", "IID") for n in ("smiss", "het", "sexcheck"))
+        seg = read(f"{at['KingIbdseg']}/seg").withColumn("ord", F.concat_ws(":", "ID1", "ID2"))
+        baf = None
+        for p in given.baf:
+            one = read(p).withColumnRenamed("sample_id", "IID")
+            baf = one if baf is None else baf.unionByName(one)
+        writers.sample_qc(reports.sample_qc(smiss, het, sexcheck, reports.relatedness_wide(seg), baf), f"{at['QcReport']}/report", mode="overwrite")
+
+    return named({
+        "MergeCohortPlink": (merge, f"{at['MergeCohortPlink']}/calls"), "ExportCohortDatasets": (export, f"{at['ExportCohortDatasets']}/calls"), "Plink2Qc": (raw_qc, f"{at['Plink2Qc']}/sexcheck"),
+        "KingIbdseg": (related, f"{at['KingIbdseg']}/seg"), "SnpQcReport": (variant_report, f"{at['SnpQcReport']}/summary"), "QcReport": (sample_report, f"{at['QcReport']}/report"),
+    })
+
+
+def named(found: dict) -> dict[str, Stage]:
+    return {n: Stage(n, run, output, NEEDS[n], REGISTERS.get(n)) for n, (run, output) in found.items()}
+
+
+def run(spark: SparkSession, given: PlateInputs | MergeInputs, cohort: str, only: list[str], root: str, workflow: str, registry: str | None = None, dry_run: bool = False, temporary: str | None = None) -> list[str]:
+    """Run the selected stages of a cohort and return the log.  Finished outputs are reused; analyses are registered once
+    their outputs are there.  Phase 2 keeps its outputs by cohort, phase 1 by workflow."""
+    phase = validate_selection(only, [cohort])
+    if isinstance(given, PlateInputs) != (phase == 1):
+        raise ValueError(f"inputs of the other phase than {phase}")
+    found = plate_stages(spark, given, root, workflow) if phase == 1 else merge_stages(spark, given, root, workflow, cohort, temporary)
+
+    def register(kind: str, path: str) -> None:
+        if registry:
+            row = spark.createDataFrame([(cohort, kind, path)], "cohort_id string, type string, path string")
+            writers.register(row.withColumn("status", F.lit("COMPLETED")).withColumn("ts", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")), registry)
+
+    return Runner(found, done=spark_done(spark), register=register).run({}, only, dry_run)

@@ -13,32 +13,32 @@ SEG_HEADER = "FID1 string, ID1 string, FID2 string, ID2 string, IBD1Seg double,
 SEG_X_HEADER = "FID1 string, ID1 string, FID2 string, ID2 string, Sex1 int, Sex2 int, MaxIBD1 double, MaxIBD2 double, IBD1Seg double, IBD2Seg double, PropIBD double"
 
 
-def audit(flagged: DataFrame, path: str) -> None:
+def audit(flagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """All variants with their flags (True, False) as compressed TSV."""
     flags = {c: F.initcap(F.col(c).cast("string")) for c in AUDIT if c.startswith("pass")}
-    flagged.withColumns(flags).select(AUDIT).coalesce(1).write.option("compression", "gzip").csv(path, sep="\t", header=True)
+    flagged.withColumns(flags).select(AUDIT).coalesce(1).write.mode(mode).option("compression", "gzip").csv(path, sep="\t", header=True)
 
 
-def inclusion(flagged: DataFrame, path: str) -> None:
-    flagged.filter("pass").select("ID").coalesce(1).write.text(path)
+def inclusion(flagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    flagged.filter("pass").select("ID").coalesce(1).write.mode(mode).text(path)
 
 
-def variant_qc(flagged: DataFrame, audit_path: str, inclusion_path: str, summary_path: str) -> None:
+def variant_qc(flagged: DataFrame, audit_path: str, inclusion_path: str, summary_path: str, mode: str = "errorifexists") -> None:
     """The three sinks of one computed frame."""
     flagged = flagged.persist()
     try:
-        audit(flagged, audit_path)
-        inclusion(flagged, inclusion_path)
-        reports.summary(flagged).coalesce(1).write.csv(summary_path, sep="\t", header=True)
+        audit(flagged, audit_path, mode)
+        inclusion(flagged, inclusion_path, mode)
+        reports.summary(flagged).coalesce(1).write.mode(mode).csv(summary_path, sep="\t", header=True)
     finally:
         flagged.unpersist()
 
 
-def sample_qc(report: DataFrame, path: str) -> None:
+def sample_qc(report: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """CSV in the order of the smiss file (``ord``), nulls blank."""
     order = [c for c in ("ord", "IID") if c in report.columns]
     drop = [c for c in report.columns if c.split("_")[0] == "ord"]
-    report.orderBy(*order).drop(*drop).coalesce(1).write.csv(path, header=True, emptyValue="")
+    report.orderBy(*order).drop(*drop).coalesce(1).write.mode(mode).csv(path, header=True, emptyValue="")
 
 
 def calls(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
