@@ -239,7 +239,8 @@ def merged(large: DataFrame, sets: DataFrame, threshold: float, block_sets: int,
     per = bucket.groupBy("band", "h", "cls").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
     open_ = per.groupBy("band", "h").agg(F.count("*").alias("k"), F.max_by("cls", F.struct("n", "cls")).alias("main"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("n").alias("m")).filter("k > 1")
     half = lambda n, s: F.greatest(F.ceil(n / (block_sets / 2)), F.ceil(s / (block_shingles / 2)), F.lit(1)).cast("int")
-    open_ = open_.select("band", "h", "main", half(F.col("n"), F.col("s")).alias("blocks"), half(F.col("n") - F.col("m"), F.col("s") * (F.col("n") - F.col("m")) / F.col("n")).alias("few"))
+    # written, so that the join has a plain exchange on both sides and a hot bucket can be split
+    open_ = cut(open_.select("band", "h", "main", half(F.col("n"), F.col("s")).alias("blocks"), half(F.col("n") - F.col("m"), F.col("s") * (F.col("n") - F.col("m")) / F.col("n")).alias("few")))
     spread = bucket.join(open_, ["band", "h"])
     salt = F.xxhash64("rep", "band")
     mains = spread.filter("cls = main").select("*", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i")).select(
