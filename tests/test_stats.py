@@ -23,7 +23,7 @@ def brute_hwe(a, h, b, midp):
 
 def test_hwe(spark):
     random.seed(1)
-    rows = [(0, 0, 5), (10, 0, 10), (1, 0, 0), (57, 78, 13), (1000, 0, 1000)] + [tuple(random.randint(0, 60) for _ in range(3)) for _ in range(40)]
+    rows = [(0, 0, 5), (10, 0, 10), (1, 0, 0), (57, 78, 13), (1000, 0, 1000), (100_000, 0, 100_000), (0, 20_000, 0)] + [tuple(random.randint(0, 60) for _ in range(3)) for _ in range(40)]
     df = spark.createDataFrame([r for r in rows if sum(r)], "a long, h long, b long")
     for midp in (True, False):
         for r in df.withColumn("p", hwe_exact(F.col("a"), F.col("h"), F.col("b"), midp)).collect():
