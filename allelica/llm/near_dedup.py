@@ -211,8 +211,9 @@ def near_duplicates(
     large = classes.filter("blocks > 1")
     if not large.isEmpty():
         classes = cut(classes.filter("blocks = 1").select("rep", "cls").unionByName(merged(large, sets, threshold, block_sets, block_shingles)))
-    named = signed.select("doc_id", "hi", "lo").join(distinct.select("hi", "lo", "rep"), ["hi", "lo"]).join(classes.select("rep", "cls"), "rep", "left")
-    named = named.select("doc_id", F.coalesce("cls", "rep").alias("class_id"))
+    # one row a set gets its class; the copies meet it once, in a join of two plain exchanges that can be split where a set is hot
+    classed = cut(distinct.select("hi", "lo", "rep").join(classes.select("rep", "cls"), "rep", "left").select("hi", "lo", F.coalesce("cls", "rep").alias("class_id")))
+    named = signed.select("doc_id", "hi", "lo").join(classed, ["hi", "lo"]).select("doc_id", "class_id")
     empty = docs.filter(F.col("doc_id").isNotNull() & (F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")) == ""))
     everyone = named.unionByName(empty.select("doc_id", F.col("doc_id").alias("class_id")))
     return everyone.withColumn("kept", F.col("doc_id") == F.col("class_id"))
