@@ -14,11 +14,11 @@ table gives an empty result; further columns of the input are ignored.
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,7 +29,8 @@ SAMPLE_PER_LANG, LANGS, EPOCHS = 600, 100, 3
 #: Terms of a learning document that are kept for the fit: the largest, so the sample's size is bounded.
 SAMPLE_TERMS = 4096
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
-LETTER = re.compile(r"[^\W\d_]")
+#: A letter is a code point of the category L; numbers such as fractions and circled digits are none.
+LETTER = regex.compile(r"\p{L}")
 PIECE = 1 << 20
 
 

@@ -146,6 +146,7 @@ def test_languages(odd, small, empty, spark):
     lang = {r.doc_id: r.lang for r in small.collect()}
     held = [r for r in language_id.languages(small).collect() if r.held_out]
     assert held and sum(lang[r.doc_id] == r.lang_pred for r in held) / len(held) > 0.95
+    assert language_id.has_letter("½ É") and not language_id.has_letter("½ ① ² _ 7")
     none = spark.createDataFrame([(1, "abc", None)], "doc_id long, text string, lang string")
     assert language_id.languages(none).collect()[0].lang_pred == "und"
 
