@@ -48,6 +48,18 @@ def sharing(ibd1: DataFrame, ibd2: DataFrame, genome_length: int) -> DataFrame:
     return both.withColumn("PropIBD", F.col("IBD1Seg") / 2 + F.col("IBD2Seg")).select("s1", "s2", "IBD1Seg", "IBD2Seg", "PropIBD", "MaxIBD1", "MaxIBD2")
 
 
+def sharing_x(calls: DataFrame, people: DataFrame, length: int, min_snps: int = 8, min_bp: int = 0) -> DataFrame:
+    """Sharing on chromosome X (without its pseudo-autosomal regions), with the sexes of ``people(sample_id, sex)``; 0 where unknown."""
+    x = calls.filter(F.col("chrom").rlike("^(chr)?(X|23)$"))
+    found = sharing(segments(x, min_snps, min_bp), segments(x, min_snps, min_bp, state=2), length)
+    for k in "12":
+        sex = people.select(F.col("sample_id").alias(f"s{k}"), F.col("sex").cast("int").alias(f"Sex{k}"))
+        found = found.join(sex, f"s{k}", "left")
+    return found.na.fill(0, ["Sex1", "Sex2"]).select(
+        F.col("s1").alias("ID1"), F.col("s2").alias("ID2"), "Sex1", "Sex2", "MaxIBD1", "MaxIBD2", "IBD1Seg", "IBD2Seg", "PropIBD"
+    )
+
+
 def relationship(prop: Column, ibd1: Column, ibd2: Column) -> Column:
     """Dup/MZ, FS, PO, 2nd, 3rd; null beyond the third degree."""
     return (

@@ -358,6 +358,20 @@ def ibd_sharing(spark, sf_dir):
     return six(out, "IBD1Seg", "IBD2Seg", "PropIBD")
 
 
+ON_X = SEGMENTS.replace("variant_id % 22 + 1", "'chrX'")
+
+
+@query(f"""WITH {CALLS.replace('calls AS', 'every AS')}, calls AS (SELECT * FROM every WHERE variant_id % 2 = 0), {PAIRS}, {ON_X.format(1, 'abs(d1 - d2) = 2', 6)}, {ON_X.format(2, 'd1 <> d2', 6)},
+a AS (SELECT s1, s2, sum(end_pos - start_pos + 1) AS l1, max(end_pos - start_pos + 1) AS m1 FROM seg1 GROUP BY s1, s2), b AS (SELECT s1, s2, sum(end_pos - start_pos + 1) AS l2, max(end_pos - start_pos + 1) AS m2 FROM seg2 GROUP BY s1, s2),
+c AS (SELECT coalesce(a.s1, b.s1) AS s1, coalesce(a.s2, b.s2) AS s2, coalesce(l1, 0) / 10000.0::DOUBLE AS x1, coalesce(l2, 0) / 10000.0::DOUBLE AS x2, coalesce(m1, 0) AS m1, coalesce(m2, 0) AS m2 FROM a FULL JOIN b ON a.s1 = b.s1 AND a.s2 = b.s2)
+SELECT s1 AS "ID1", s2 AS "ID2", CAST(p.s_nationkey % 2 + 1 AS INT) AS "Sex1", CAST(q.s_nationkey % 2 + 1 AS INT) AS "Sex2", CAST(m1 AS BIGINT) AS "MaxIBD1", CAST(m2 AS BIGINT) AS "MaxIBD2",
+round(greatest(0.0::DOUBLE, x1 - x2), 6) AS "IBD1Seg", round(x2, 6) AS "IBD2Seg", round(greatest(0.0::DOUBLE, x1 - x2) / 2 + x2, 6) AS "PropIBD" FROM c JOIN supplier p ON s1 = p.s_suppkey JOIN supplier q ON s2 = q.s_suppkey""")
+def ibd_sharing_x(spark, sf_dir):
+    c = calls(spark, sf_dir).withColumn("pos", F.col("variant_id")).withColumn("chrom", F.when(F.col("variant_id") % 2 == 0, "chrX").otherwise("chr1"))
+    people = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample_id"), (F.col("s_nationkey") % 2 + 1).alias("sex"))
+    return six(ibd.sharing_x(c, people, 10_000, 6), "IBD1Seg", "IBD2Seg", "PropIBD")
+
+
 @query("""SELECT l_suppkey AS variant_id, CAST(sum(1) AS BIGINT) AS obs_ct, CAST(count(*) FILTER (WHERE l_linenumber % 4 = 3) AS BIGINT) AS missing_ct, CAST(coalesce(sum(CASE WHEN l_linenumber % 4 < 3 THEN l_linenumber % 4 END), 0) AS BIGINT) AS alt_ct,
 CAST(count(*) FILTER (WHERE l_linenumber % 4 = 1) AS BIGINT) AS het_ct FROM lineitem GROUP BY l_suppkey""")
 def rolling_totals(spark, sf_dir):

@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import reports, samples
+from ..operators import ibd, reports, samples
 from ..sources import binary, readers, writers
 from . import stages
 from .workflow import NEEDS, PHASE1, PHASE2, REGISTERS, Runner, Stage, Thresholds, output_prefix, spark_done, validate_selection
@@ -41,6 +41,7 @@ class MergeInputs:
     baf: tuple[str, ...] = ()
     thresholds: Thresholds = field(default_factory=Thresholds)
     genome_length: int = 2_875_000_000
+    x_length: int = 153_000_000
     min_samples: int = 50
     min_snps: int = 64
     min_bp: int = 2_500_000
@@ -101,6 +102,8 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
             tables[name].write.mode("overwrite").parquet(f"{at['Plink2Qc']}/{name}")
 
     def related(context: dict) -> None:
+        on_x = ibd.sharing_x(merged("calls"), merged("samples"), given.x_length, given.min_snps, given.min_bp)
+        on_x.write.mode("overwrite").parquet(f"{at['KingIbdseg']}/seg_x")
         pairs = stages.relatedness(merged("calls"), given.genome_length, given.min_snps, given.min_bp)
         pairs.withColumnsRenamed({"s1": "ID1", "s2": "ID2"}).write.mode("overwrite").parquet(f"{at['KingIbdseg']}/seg")
 
