@@ -4,7 +4,9 @@ A document is its set of five-word shingles (words: A-Z lower-cased, cut at whit
 shingle), weighted by 1 + ln(occurrences).  In ProbMinHash each shingle is a Poisson process of arrivals, whose rate is
 its weight; every arrival goes to a random register, a register keeps the first shingle that reaches it, and a shingle
 stops as soon as its next arrival is later than all registers.  Two signatures agree in a register with the probability
-Jaccard similarity of the documents.  Registers are banded; documents that share a band are candidates.
+Jaccard similarity of the documents, which falls below that of their sets where shingles repeat; so each document has a
+second signature of weight 1 throughout, whose registers agree with the Jaccard similarity of the sets.  Registers are
+banded; documents that share a band of either signature are candidates.
 
 Documents with the same shingle set are one set from the start.  Band buckets give one edge per member (to the
 bucket's smallest id), never all pairs, and the components of these edges are verified on whole shingle sets: sets of
@@ -88,14 +90,16 @@ def prob_minhash(doc: np.ndarray, shingle: np.ndarray, weight: np.ndarray, docs:
 def band_hashes(sig: np.ndarray, bands: int) -> np.ndarray:
     rows = sig.shape[1] // bands
     parts = sig.reshape(len(sig), bands, rows)
-    h = np.zeros((len(sig), bands), np.uint64)
+    h = np.tile(np.arange(1, bands + 1, dtype=np.uint64), (len(sig), 1))
     for k in range(rows):
         h = mix(h ^ parts[:, :, k], k)
     return h.view(np.int64)
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE) -> DataFrame:
-    """doc_id, the address (hi, lo) and size of its shingle set, and its bands; documents without words are left out."""
+    """doc_id, the address (hi, lo) and size of its shingle set, and its bands: those of weight 1, then the weighted ones that differ.
+
+    Documents without words are left out."""
 
     def each(ids: list, texts: list[str]) -> dict[str, list]:
         sets = [np.unique(h, return_counts=True) for h in (shingle_hashes(t, n) for t in texts)]
@@ -104,9 +108,17 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = S
         if not sets:
             return {c: [] for c in ("doc_id", "hi", "lo", "size", "bands")}
         size = np.array([len(s[0]) for s in sets])
-        sig = prob_minhash(np.repeat(np.arange(len(sets)), size), np.concatenate([s[0] for s in sets]), 1.0 + np.log(np.concatenate([s[1] for s in sets])), len(sets), bands * rows)
+        doc, shingle, count = np.repeat(np.arange(len(sets)), size), np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets])
+        own = list(band_hashes(prob_minhash(doc, shingle, np.ones(len(doc)), len(sets), bands * rows), bands))
+        # without a repeated shingle both signatures are the same
+        uneven = np.array([(s[1] > 1).any() for s in sets])
+        if uneven.any():
+            at, number = uneven[doc], np.cumsum(uneven) - 1
+            sig = prob_minhash(number[doc[at]], shingle[at], 1.0 + np.log(count[at]), int(uneven.sum()), bands * rows)
+            for k, h in zip(np.flatnonzero(uneven).tolist(), band_hashes(sig, bands)):
+                own[k] = np.concatenate([own[k], h[h != own[k]]])
         address = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s[0].tobytes()) for s in sets), np.int64).reshape(-1, 2)
-        return {"doc_id": [ids[k] for k in keep], "hi": address[:, 0], "lo": address[:, 1], "size": size, "bands": list(band_hashes(sig, bands))}
+        return {"doc_id": [ids[k] for k in keep], "hi": address[:, 0], "lo": address[:, 1], "size": size, "bands": own}
 
     return map_texts(docs.filter(F.col("doc_id").isNotNull()), each, "doc_id long, hi long, lo long, size long, bands array<long>")
 
@@ -200,9 +212,9 @@ def near_duplicates(
     distinct = cut(signed.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")))
     # of repeated doc_ids with different texts the first set stands for the document
     member = distinct.groupBy("rep").agg(F.max("size").alias("size"), F.max("bands").alias("bands"))
-    bucket = member.select("rep", F.posexplode("bands").alias("band", "h"))
-    heads = bucket.groupBy(F.col("band").alias("b2"), F.col("h").alias("h2")).agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    edges = bucket.join(heads, (F.col("band") == F.col("b2")) & (F.col("h") == F.col("h2"))).filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
+    bucket = member.select("rep", F.explode("bands").alias("h"))
+    heads = bucket.groupBy(F.col("h").alias("h2")).agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    edges = bucket.join(heads, F.col("h") == F.col("h2")).filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
     found = components(edges).withColumnRenamed("node", "rep").withColumnRenamed("root", "comp")
     found = cut(found.join(member, "rep"))
     sets = cut(shingle_sets(docs, found, n))
@@ -236,20 +248,20 @@ def merged(large: DataFrame, sets: DataFrame, threshold: float, block_sets: int,
             break
         left = count
     # buckets that still span classes: the largest class in blocks, all others against each block and among themselves
-    bucket = now.select("rep", "cls", "size", F.posexplode("bands").alias("band", "h"))
-    per = bucket.groupBy("band", "h", "cls").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
-    open_ = per.groupBy("band", "h").agg(F.count("*").alias("k"), F.max_by("cls", F.struct("n", "cls")).alias("main"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("n").alias("m")).filter("k > 1")
+    bucket = now.select("rep", "cls", "size", F.explode("bands").alias("h"))
+    per = bucket.groupBy("h", "cls").agg(F.count("*").alias("n"), F.sum("size").alias("s"))
+    open_ = per.groupBy("h").agg(F.count("*").alias("k"), F.max_by("cls", F.struct("n", "cls")).alias("main"), F.sum("n").alias("n"), F.sum("s").alias("s"), F.max("n").alias("m")).filter("k > 1")
     half = lambda n, s: F.greatest(F.ceil(n / (block_sets / 2)), F.ceil(s / (block_shingles / 2)), F.lit(1)).cast("int")
     # written, so that the join has a plain exchange on both sides and a hot bucket can be split
-    open_ = cut(open_.select("band", "h", "main", half(F.col("n"), F.col("s")).alias("blocks"), half(F.col("n") - F.col("m"), F.col("s") * (F.col("n") - F.col("m")) / F.col("n")).alias("few")))
-    spread = bucket.join(open_, ["band", "h"])
-    salt = F.xxhash64("rep", "band")
+    open_ = cut(open_.select("h", "main", half(F.col("n"), F.col("s")).alias("blocks"), half(F.col("n") - F.col("m"), F.col("s") * (F.col("n") - F.col("m")) / F.col("n")).alias("few")))
+    spread = bucket.join(open_, "h")
+    salt = F.xxhash64("rep", "h")
     mains = spread.filter("cls = main").select("*", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("i")).select(
-        "rep", "cls", F.concat_ws(":", F.lit("m"), "band", "h", "i", F.pmod(salt, F.col("blocks")).cast("string")).alias("task"))
+        "rep", "cls", F.concat_ws(":", F.lit("m"), "h", "i", F.pmod(salt, F.col("blocks")).cast("string")).alias("task"))
     others = spread.filter("cls <> main").withColumn("own", F.pmod(salt, F.col("few")).cast("int"))
-    against = others.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")).select("rep", "cls", F.concat_ws(":", F.lit("m"), "band", "h", "own", F.col("j").cast("string")).alias("task"))
+    against = others.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("j")).select("rep", "cls", F.concat_ws(":", F.lit("m"), "h", "own", F.col("j").cast("string")).alias("task"))
     among = others.select("*", F.explode(F.sequence(F.lit(0), F.col("few") - 1)).alias("j")).select(
-        "rep", "cls", F.concat_ws(":", F.lit("o"), "band", "h", F.least("own", "j").cast("string"), F.greatest("own", "j").cast("string")).alias("task"))
+        "rep", "cls", F.concat_ws(":", F.lit("o"), "h", F.least("own", "j").cast("string"), F.greatest("own", "j").cast("string")).alias("task"))
     tasks = mains.unionByName(against).unionByName(among).withColumnRenamed("cls", "label")
     links = verified(tasks, sets, threshold).filter("label <> cls").select(F.col("label").alias("a"), F.col("cls").alias("b"))
     roots = components(links)

@@ -151,6 +151,16 @@ def test_near_duplicates(odd, small, empty, spark, blocks):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_near_duplicates_with_repeated_shingles(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for k in range(12):  # a text, and the same with a paragraph pasted many times
+        words = [f"p{k}w{i}" for i in rng.integers(0, 9000, 360)]
+        rows += [(2 * k, " ".join(words[:300])), (2 * k + 1, " ".join(words[:300] + words[300:] * 50))]
+    got = {r.doc_id: r.class_id for r in near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_classes(rows) == {d: d - d % 2 for d, _ in rows}
+
+
 def test_prob_minhash_estimates_probability_jaccard():
     rng = np.random.default_rng(5)
     ids, a, b = rng.integers(0, 2**62, 60).astype(np.uint64), rng.random(60) + 0.1, rng.random(60) + 0.1
