@@ -6,7 +6,9 @@ any place.  As in WAND, lists are split by what they can add: the terms of more
 item over its threshold without rarer ones, so only the rare terms' lists propose (passage, item) candidates, kept if
 their score plus the block maxima of the passage's common terms reaches the threshold.  These are scored in full, and
 every item above its threshold is verified on the document's words: the shingles of the question part and of the
-answer part must both overlap.
+answer part must both overlap, or those of the whole item.  One edited word takes up to five shingles, so a text of
+fewer than ``SHORT`` words may also be found by alignment: in one stretch of the passages that proposed the item, with
+an edit distance in words of at most a fifth of its own.
 
 The threshold of an item is a share of the score of its own text.  The question of an item is all but its last
 sentence, the answer is that sentence (the last third of its words if there is one sentence only).  An item of more
@@ -33,6 +35,8 @@ from .common import pa_schema, slices
 K1, B = 1.2, 0.75
 PIECE, SHINGLE, OVERLAP, SHARE = 64, 5, 0.8, 0.6
 BLOCK, ESSENTIAL = 64, 8
+#: From this many words on, one edited word leaves at least OVERLAP of the shingles.
+SHORT = 29
 #: Characters of items that one index (one pass over the documents) holds.
 INDEX_CHARS = 32 << 20
 #: Words are runs of letters, digits and non-ASCII characters of the lower-cased text, in UTF-8.
@@ -57,6 +61,31 @@ def question_answer(text: str) -> tuple[list[bytes], list[bytes]]:
     return only[:k], only[k:]
 
 
+def aligned(part: list[bytes], text: list[bytes]) -> float:
+    """1 less the least edit distance, in words, of a part to any stretch of a text, as a share of the part (bit-parallel)."""
+    m = len(part)
+    if not m:
+        return 1.0
+    at: dict[bytes, int] = {}
+    for i, w in enumerate(part):
+        at[w] = at.get(w, 0) | 1 << i
+    full, top = (1 << m) - 1, 1 << m - 1
+    up, down, distance = full, 0, m
+    least = m
+    for w in text:
+        eq = at.get(w, 0)
+        zero = (((eq & up) + up) ^ up) | eq | down
+        plus, minus = down | ~(zero | up) & full, up & zero
+        if plus & top:
+            distance += 1
+        elif minus & top:
+            distance -= 1
+            least = min(least, distance)
+        plus, minus = plus << 1 & full, minus << 1 & full
+        up, down = minus | ~(zero | plus) & full, plus & zero
+    return 1.0 - least / m
+
+
 class BenchmarkIndex:
     """Inverted index of (item_id, text) items with block maxima."""
 
@@ -105,12 +134,13 @@ class BenchmarkIndex:
             maxima = np.zeros(n // BLOCK + 1)
             np.maximum.at(maxima, ids, self.impact[own])
             self.blocks[int(t)] = maxima
-        self.shingles = [[[b" %s " % b" ".join(x) for x in shingles(part)] for part in parts] for _, *parts in self.items]
+        self.parts = [(words(t), *parts) for (_, t), (_, *parts) in zip(items, self.items)]
+        self.shingles = [[[b" %s " % b" ".join(x) for x in shingles(part)] for part in parts] for parts in self.parts]
 
-    def passages(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], float]:
-        """Best (document, piece) scores above the thresholds.  ids: terms found; doc, at: where (document, word)."""
+    def passages(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], tuple[float, list[int]]]:
+        """Best (document, piece) scores above the thresholds, and all windows above.  ids: terms found; doc, at: where (document, word)."""
         n = len(self.own)
-        best: dict[tuple[int, int], float] = {}
+        best: dict[tuple[int, int], tuple[float, list[int]]] = {}
         if not n or not len(ids):
             return best
         # windows of 2 * PIECE words every PIECE words: each place is in window at // PIECE + 1 and the one before
@@ -139,8 +169,9 @@ class BenchmarkIndex:
                 if i < self.start[x + 1] and self.piece[i] == k:
                     s += float(self.impact[i])
             key = (d, k)
-            if s >= self.threshold[k] - 1e-9 and s > best.get(key, -1.0):
-                best[key] = s
+            if s >= self.threshold[k] - 1e-9:
+                top, windows = best.get(key, (-1.0, []))
+                best[key] = (max(s, top), [*windows, j])
         return best
 
     def search(self, texts: list[str]) -> list[tuple[int, int, float, float, float, float]]:
@@ -153,8 +184,10 @@ class BenchmarkIndex:
         ids = np.concatenate([f[w] for f, w in zip(found, where)]) if texts else np.zeros(0, np.int64)
         at = np.concatenate(where) if texts else np.zeros(0, np.int64)
         best: dict[tuple[int, int], tuple[float, float]] = {}
-        for (d, k), s in self.passages(ids, docs, at).items():
+        near: dict[tuple[int, int], set[int]] = {}
+        for (d, k), (s, windows) in self.passages(ids, docs, at).items():
             key = (d, self.of[k])
+            near.setdefault(key, set()).update(windows)
             if s / self.own[k] > best.get(key, (0.0, 1.0))[0] / best.get(key, (0.0, 1.0))[1]:
                 best[key] = (s, float(self.own[k]))
         out, last, whole = [], -1, b""
@@ -162,10 +195,30 @@ class BenchmarkIndex:
             if d != last:
                 last, whole = d, b" %s " % b" ".join(split[d])
             overlaps = [sum(x in whole for x in part) / len(part) if part else 1.0 for part in self.shingles[k]]
-            if min(overlaps) >= OVERLAP:
-                out.append((d, self.items[k][0], s, own, *overlaps))
+            if not confirmed(overlaps):
+                stretches = self.stretches(split[d], near[d, k], len(self.parts[k][0]))
+                overlaps = [max(o, *(aligned(p, x) for x in stretches)) if o < OVERLAP and len(p) < SHORT else o for o, p in zip(overlaps, self.parts[k])]
+            if confirmed(overlaps):
+                out.append((d, self.items[k][0], s, own, *overlaps[1:]))
         return out
 
+    @staticmethod
+    def stretches(tokens: list[bytes], windows: set[int], more: int) -> list[list[bytes]]:
+        """The words of the windows, with as many as the item has before and after; windows that meet are one stretch."""
+        ends: list[list[int]] = []
+        for j in sorted(windows):
+            a, b = max(0, (j - 1) * PIECE - more), (j + 1) * PIECE + more
+            if ends and a <= ends[-1][1]:
+                ends[-1][1] = b
+            else:
+                ends.append([a, b])
+        return [tokens[a:b] for a, b in ends]
+
+
+def confirmed(overlaps: list[float]) -> bool:
+    """Overlaps of the whole item, of its question and of its answer."""
+    return overlaps[0] >= OVERLAP or min(overlaps[1:]) >= OVERLAP
+
 
 RESULT = "doc_id long, item_id long, score double, own_score double, question_overlap double, answer_overlap double"
 

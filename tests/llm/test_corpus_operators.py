@@ -113,6 +113,28 @@ def test_decontamination(odd, small, empty, spark):
     assert decontaminate.contaminated_documents(docs, extra).count() == len({d for d, _ in want})
 
 
+def test_contamination_with_one_edited_word(spark):
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet").collect()][:40]
+    index = decontaminate.BenchmarkIndex(items)
+    for i, text in items:
+        tokens = [w.decode() for w in decontaminate.words(text)]
+        for p in range(len(tokens)):
+            edited = ["qqedited" if k == p else w for k, w in enumerate(tokens)]
+            assert i in {r[1] for r in index.search([" ".join(["x"] * 300 + edited + ["y"] * 100)])}, (i, p)
+
+
+def test_alignment():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        part, text = [[bytes([97 + x]) for x in rng.integers(0, 4, rng.integers(1, n))] for n in (9, 25)]
+        row = [0] * (len(text) + 1)
+        for i, w in enumerate(part, 1):
+            row, last = [i], row
+            for j, x in enumerate(text, 1):
+                row.append(min(last[j - 1] + (w != x), last[j] + 1, row[-1] + 1))
+        assert decontaminate.aligned(part, text) == pytest.approx(1 - min(row) / len(part))
+
+
 def brute_classes(rows):
     sets = {d: set(near_dedup.shingle_hashes(t or "").tolist()) for d, t in rows}
     root = {d: d for d in sets}
