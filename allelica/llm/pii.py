@@ -2,7 +2,8 @@
 
 The proposals for e-mail addresses, IP addresses, card and phone numbers are leftmost and non-overlapping per kind;
 a proposal that its validator (octets, Luhn, number of digits) rejects is dropped and not retried.  Account numbers
-(IBAN) are confirmed by mod-97.  All scans are linear: candidates start only where a run of digits or of address
+(IBAN) are confirmed by mod-97: the proposal is a run of upper-case words, of which the words up to the length of the
+country's accounts, else the longest sequence that passes, are the span.  All scans are linear: candidates start only where a run of digits or of address
 characters starts, so long runs are not scanned again from every position.
 
 Defined results: a null or empty text has no spans; spans count code points, end exclusive, and are ordered by start
@@ -38,6 +39,11 @@ IP = re.compile(r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}")
 CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
+#: Characters of an account by country; of other countries the longest that passes is taken.
+ACCOUNT = {
+    "AD": 24, "AE": 23, "AT": 20, "BE": 16, "BG": 22, "CH": 21, "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "EE": 20, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27, "HR": 21, "HU": 28,
+    "IE": 22, "IS": 26, "IT": 27, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "MC": 27, "MT": 31, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "RO": 24, "SA": 24, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "TR": 26,
+}
 DIGIT = re.compile(r"[0-9]")
 CONTEXTS = {k: re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(v, key=len, reverse=True))) + r")(?!\w)", re.I) for k, v in CONTEXT.items()}
 
@@ -80,10 +86,20 @@ def number_spans(text: str):
         for m in PHONE.finditer(text):
             if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
                 yield "phone", m.start(), m.end()
-    for m in IBAN.finditer(text):
-        account = m[0].replace(" ", "")
-        if 15 <= len(account) <= 34 and mod97(account):
-            yield "iban", m.start(), m.end()
+    at = 0
+    while m := IBAN.search(text, at):
+        end = account_end(m[0])
+        # the next account may start at any later word of the run
+        at = m.start() + (end or 1)
+        if end:
+            yield "iban", m.start(), at
+
+
+def account_end(run: str) -> int:
+    """The end of the account with which a run of words starts: at a word's end; 0 if there is none."""
+    ends = [i for i in range(len(run), 14, -1) if i == len(run) or run[i] == " "]
+    held = [(i, n) for i in ends if 15 <= (n := i - run.count(" ", 0, i)) <= 34 and mod97(run[:i].replace(" ", ""))]
+    return next((i for i, n in held if n == ACCOUNT.get(run[:2])), held[0][0] if held else 0)
 
 
 def find_spans(text: str) -> list[tuple[str, int, int, float]]:

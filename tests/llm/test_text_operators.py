@@ -105,6 +105,18 @@ def test_personal_data_validators():
     assert pii.find_spans("1" * 300_000 + "." + "a" * 300_000 + "@") == []  # linear on long runs
 
 
+def test_accounts_before_upper_case_words():
+    one, two = "DE89370400440532013000", "GB82 WEST 1234 5698 7654 32"
+    for text, want in (
+        (f"{one} BIC", [one]), (f"{one} EUR 250", [one]), ("DE89 3704 0044 0532 0130 00 BIC COBADEFF", ["DE89 3704 0044 0532 0130 00"]), (f"{one} {two} EUR", [one, two]),
+        (f"AB12 {one} PAID", [one]), (f"{two} {one}", [two, one]), ("NO9386011117947 THE REST OF A LINE IN UPPER CASE", ["NO9386011117947"]), ("DE88370400440532013000 BIC", []),
+        ("DE89370400440532013000X", []), ("X" + one, []),
+    ):
+        assert [text[a:b] for k, a, b, _ in pii.find_spans(text) if k == "iban"] == want, text
+    for word in (f"{chr(65 + a)}{chr(65 + b)}" for a in range(26) for b in range(26)):  # also where the longer run passes by chance
+        assert [text[a:b] for text in [f"{one} {word}"] for k, a, b, _ in pii.find_spans(text) if k == "iban"] == [one]
+
+
 def test_licences(odd, small, empty):
     random.seed(6)
     index = licences.default_index()
