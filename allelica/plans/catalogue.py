@@ -185,8 +185,13 @@ s AS (SELECT 0 AS side, ord, "ID1" AS iid, "ID2" || ':' || k || ':' || inf AS pa
 wide AS (SELECT iid AS "IID", {', '.join(f"string_agg(payload, ';' ORDER BY side, ord) FILTER (WHERE inf IN ({v})) AS {c}" for c, v in (('"RELATED_DUP"', "'Dup/MZ'"), ('"RELATED_1ST"', "'PO', 'FS'"), ('"RELATED_2ND"', "'2nd'"), ('"RELATED_3RD"', "'3rd'")))} FROM s GROUP BY iid)"""
 
 
-def seg(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = calls(spark, sf_dir).filter("sample_id < variant_id AND variant_id < 100 AND dosage IS NOT NULL")
+WHOLE_SEGS = SEGS.replace(" AND variant_id < 100", "")
+
+
+def seg(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
+    """Edges between the first samples and variants as in ``SEGS``, or between all."""
+    c = calls(spark, sf_dir).filter("sample_id < variant_id AND dosage IS NOT NULL")
+    c = c if whole else c.filter("variant_id < 100")
     c = c.withColumn("ord", F.struct("sample_id", "variant_id"))
     inf = F.when(F.col("dosage") == 0, "PO").when(F.col("dosage") == 1, "FS").otherwise("3rd")
     return c.select(F.col("sample_id").alias("ID1"), F.col("variant_id").alias("ID2"), ((F.col("dosage") + 1).cast("double") / 4).alias("IBD1Seg"), ((F.col("sample_id") % 5).cast("double") / 8).alias("IBD2Seg"), inf.alias("InfType"), "ord")
@@ -197,6 +202,11 @@ def relatedness_pivot(spark, sf_dir):
     return reports.relatedness_wide(seg(spark, sf_dir), validate=False)
 
 
+@query(f"WITH {CALLS}, {WHOLE_SEGS}, {SIDES} SELECT * FROM wide")
+def relatedness_pivot_whole(spark, sf_dir):
+    return reports.relatedness_wide(seg(spark, sf_dir, whole=True), validate=False)
+
+
 @query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, round_even(l_discount::DOUBLE / 4 + l_tax::DOUBLE / 2, 4) AS kinship FROM lineitem),
 u AS (SELECT *, CAST(CAST(kinship AS DECIMAL(18, 4)) AS VARCHAR) AS d FROM t) SELECT l_orderkey, l_linenumber, l_partkey, kinship, {TEXT} AS kinship_text FROM u""")
 def kinship_coefficient(spark, sf_dir):
@@ -204,6 +214,16 @@ def kinship_coefficient(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", k.alias("kinship"), float_text(k).alias("kinship_text"))
 
 
+def sample_report(spark: SparkSession, sf_dir: str, whole: bool) -> DataFrame:
+    c = calls(spark, sf_dir)
+    sm = six(stats.missingness(c, "sample_id"), "f_miss").select(F.col("sample_id").alias("IID"), F.col("missing_ct").alias("MISSING_CT"), F.col("f_miss").alias("F"))
+    het = six(stats.inbreeding(c), "f").filter("f IS NOT NULL").select(F.col("sample_id").alias("IID"), F.col("o_hom").alias("O_HOM"), F.col("f").alias("F"))
+    sex = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("IID"), (F.col("s_nationkey") % 2 + 1).alias("PEDSEX"), F.round("s_acctbal", 6).alias("F"))
+    tax = read(spark, sf_dir, "lineitem")
+    baf = (tax if whole else tax.filter("l_suppkey % 2 = 0")).groupBy(F.col("l_suppkey").alias("IID")).agg(F.round(F.avg("l_tax"), 6).alias("F"))
+    return reports.sample_qc(sm, het, sex, reports.relatedness_wide(seg(spark, sf_dir, whole), validate=False), baf)
+
+
 @query(f"""WITH {CALLS}, {SEGS}, {SIDES}, {AF}, {HET.format('calls')},
 sm AS (SELECT sample_id AS "IID", count(*) - count(dosage) AS "MISSING_CT", round((count(*) - count(dosage))::DOUBLE / count(*), 6) AS "F" FROM calls GROUP BY sample_id),
 h AS (SELECT sample_id AS "IID", o_hom AS "O_HOM", round((o_hom - e_hom) / (n_nm - e_hom), 6) AS "F_het" FROM het WHERE abs(n_nm - e_hom) > 1e-9),
@@ -211,12 +231,17 @@ x AS (SELECT s_suppkey AS "IID", s_nationkey % 2 + 1 AS "PEDSEX", round(s_acctba
 b AS (SELECT l_suppkey AS "IID", round(avg(l_tax), 6) AS "F_baf" FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY l_suppkey)
 SELECT * FROM sm JOIN h USING ("IID") JOIN x USING ("IID") LEFT JOIN wide USING ("IID") LEFT JOIN b USING ("IID")""")
 def sample_qc_report(spark, sf_dir):
-    c = calls(spark, sf_dir)
-    sm = six(stats.missingness(c, "sample_id"), "f_miss").select(F.col("sample_id").alias("IID"), F.col("missing_ct").alias("MISSING_CT"), F.col("f_miss").alias("F"))
-    het = six(stats.inbreeding(c), "f").filter("f IS NOT NULL").select(F.col("sample_id").alias("IID"), F.col("o_hom").alias("O_HOM"), F.col("f").alias("F"))
-    sex = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("IID"), (F.col("s_nationkey") % 2 + 1).alias("PEDSEX"), F.round("s_acctbal", 6).alias("F"))
-    baf = read(spark, sf_dir, "lineitem").filter("l_suppkey % 2 = 0").groupBy(F.col("l_suppkey").alias("IID")).agg(F.round(F.avg("l_tax"), 6).alias("F"))
-    return reports.sample_qc(sm, het, sex, reports.relatedness_wide(seg(spark, sf_dir), validate=False), baf)
+    return sample_report(spark, sf_dir, False)
+
+
+@query(f"""WITH {CALLS}, {WHOLE_SEGS}, {SIDES}, {AF}, {HET.format('calls')},
+sm AS (SELECT sample_id AS "IID", count(*) - count(dosage) AS "MISSING_CT", round((count(*) - count(dosage))::DOUBLE / count(*), 6) AS "F" FROM calls GROUP BY sample_id),
+h AS (SELECT sample_id AS "IID", o_hom AS "O_HOM", round((o_hom - e_hom) / (n_nm - e_hom), 6) AS "F_het" FROM het WHERE abs(n_nm - e_hom) > 1e-9),
+x AS (SELECT s_suppkey AS "IID", s_nationkey % 2 + 1 AS "PEDSEX", round(s_acctbal, 6) AS "F_sex" FROM supplier),
+b AS (SELECT l_suppkey AS "IID", round(avg(l_tax), 6) AS "F_baf" FROM lineitem GROUP BY l_suppkey)
+SELECT * FROM sm JOIN h USING ("IID") JOIN x USING ("IID") LEFT JOIN wide USING ("IID") LEFT JOIN b USING ("IID")""")
+def sample_qc_report_whole(spark, sf_dir):
+    return sample_report(spark, sf_dir, True)
 
 
 @query(f"WITH {ANALYSES} SELECT cohort_id, type, analysis_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id, type ORDER BY coalesce(ts, '') DESC, analysis_id) AS rn FROM analyses) WHERE rn = 1")
