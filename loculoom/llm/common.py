@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share; a temporary one only where the session names none (tests)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="allelica-")
+        base = tempfile.mkdtemp(prefix="loculoom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 

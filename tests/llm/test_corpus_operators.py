@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from allelica.llm import decontaminate, exact_dedup, line_dedup, mixing, near_dedup
+from loculoom.llm import decontaminate, exact_dedup, line_dedup, mixing, near_dedup
 
 
 def same(df, docs, sql):

@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from allelica.llm import language_id, lattice_lm, licences, pii, token_count
+from loculoom.llm import language_id, lattice_lm, licences, pii, token_count
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
