@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from allelica.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup
-from allelica.llm.common import cut, table
+from loculoom.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup
+from loculoom.llm.common import cut, table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Command line: variant and sample reports, listing of aggregates, merge plans and manifests.
 
-``python -m allelica.plans.cli COMMAND ...`` returns 0, or 1 with a message if an input cannot be read or breaks a rule.
+``python -m loculoom.plans.cli COMMAND ...`` returns 0, or 1 with a message if an input cannot be read or breaks a rule.
 """
 
 from __future__ import annotations
@@ -74,7 +74,7 @@ def manifest(spark: SparkSession, a: argparse.Namespace) -> None:
 
 
 def parser() -> argparse.ArgumentParser:
-    p = argparse.ArgumentParser(prog="allelica", description=__doc__.splitlines()[0])
+    p = argparse.ArgumentParser(prog="loculoom", description=__doc__.splitlines()[0])
     commands = p.add_subparsers(dest="command", required=True)
     c = commands.add_parser("variant-qc")
     for name in ("egt-info-tsv", "merged-vmiss", "hwe-pass-snplist", "output-audit-tsv", "output-inclusion-list", "output-summary-tsv"):
@@ -108,7 +108,7 @@ def parser() -> argparse.ArgumentParser:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
     args = parser().parse_args(argv)
     try:
-        args.run(spark or SparkSession.builder.appName("allelica").getOrCreate(), args)
+        args.run(spark or SparkSession.builder.appName("loculoom").getOrCreate(), args)
     except (ValueError, PySparkException) as e:
         print(f"{args.command}: {str(e).splitlines()[0]}", file=sys.stderr)
         return 1

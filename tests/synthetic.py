@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from allelica.sources import binary
+from loculoom.sources import binary
 
 SEED, CONTAMINATION, OUTLIERS = 1337, 0.05, 0.02
 SD_HOM, SD_HET = 0.03, 0.025

@@ -2,9 +2,9 @@
 
 import numpy as np
 
-from allelica.operators import stats
-from allelica.sources import binary, readers, writers
-from allelica.streaming import rolling
+from loculoom.operators import stats
+from loculoom.sources import binary, readers, writers
+from loculoom.streaming import rolling
 
 
 def test_bed(spark, tmp_path):

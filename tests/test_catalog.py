@@ -4,9 +4,9 @@ import json
 
 import pytest
 
-from allelica.operators import catalog
-from allelica.plans import workflow
-from allelica.sources import readers, writers
+from loculoom.operators import catalog
+from loculoom.plans import workflow
+from loculoom.sources import readers, writers
 
 BED = "array_cohort_bed"
 

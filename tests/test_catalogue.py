@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from allelica.plans import catalogue
+from loculoom.plans import catalogue
 
 from .conftest import DATA
 

@@ -2,8 +2,8 @@
 
 import pytest
 
-from allelica.operators import reports
-from allelica.sources import readers, writers
+from loculoom.operators import reports
+from loculoom.sources import readers, writers
 
 SEG = "ID1 string, ID2 string, IBD1Seg double, IBD2Seg double, PropIBD double, InfType string"
 

@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from allelica.functions import float_text, hwe_exact
-from allelica.operators import ibd, samples, stats, variants
+from loculoom.functions import float_text, hwe_exact
+from loculoom.operators import ibd, samples, stats, variants
 
 
 def brute_hwe(a, h, b, midp):

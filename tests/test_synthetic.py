@@ -3,9 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
-from allelica.operators import ibd, stats
-from allelica.plans import stages
-from allelica.sources import binary, readers
+from loculoom.operators import ibd, stats
+from loculoom.plans import stages
+from loculoom.sources import binary, readers
 
 from . import synthetic
 

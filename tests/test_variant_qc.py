@@ -5,8 +5,8 @@ from pathlib import Path
 
 import pytest
 
-from allelica.operators import reports
-from allelica.sources import readers, writers
+from loculoom.operators import reports
+from loculoom.sources import readers, writers
 
 ROWS = [
     ("chr1", 100, "A", "G", "rs1", "0.95", "0.80", 0.0), ("chr1", 200, "A", "T", "rs2", "0.90", "0.70", 0.01), ("chr1", 300, "C", "G", "rs3", "0.85", "0.60", 0.01),

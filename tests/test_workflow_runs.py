@@ -6,9 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from allelica.operators import stats
-from allelica.plans import cli, cohort, workflow
-from allelica.sources import binary
+from loculoom.operators import stats
+from loculoom.plans import cli, cohort, workflow
+from loculoom.sources import binary
 
 MANIFEST = ("file_name,sample_sheet_id,sample_id,md5sum,bbv_barcode,sentrix_barcode_a,sentrix_position_a,sample_plate,sample_well,sample_plate_position,"
             "cpg_sample_id_internal,cpg_gcp_filepath,cpg_sequencing_group_id,cpg_cohort_id")
