@@ -21,21 +21,56 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none (tests)."""
+    """The folder that all executors share; a temporary one only where a local session names none (tests, benchmarks)."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = tempfile.mkdtemp(prefix="loculoom-")
         spark.conf.set("spark.checkpoint.dir", base)
     return base
 
 
+#: Intermediate tables of this process, for ``remove_cuts``.
+CUTS: list[str] = []
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: each row is computed once, and lost executors lose nothing."""
     path = f"{shared_dir(df.sparkSession)}/cut-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    CUTS.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def remove_cuts(spark: SparkSession) -> int:
+    """Delete the intermediate tables that ``cut`` wrote, once the results that read them are written; returns their number."""
+    n = len(CUTS)
+    while CUTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(CUTS.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
+
+
+def fresh(docs: DataFrame, name: str) -> str:
+    """``name``, with underscores if ``docs`` has a column of that name."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(docs: DataFrame, name: str) -> DataFrame:
+    """Add a unique number to every row, whatever its doc_id.
+
+    The number follows from a row's place in its file, so it is the same in every scan of a table and after a lost task.  A frame
+    that is not read from files is written first; one that was shuffled since it was read must be ``cut`` by the caller.
+    """
+    if not docs.inputFiles():
+        docs = cut(docs)
+    return docs.withColumn(name, F.monotonically_increasing_id())
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -45,10 +80,11 @@ SLICE_ROWS, SLICE_CHARS = 2_000, 4_000_000
 
 
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]]:
-    """(ids, texts) of (id, text) batches, cut small; a null text is empty."""
+    """(ids, texts) of (id, text) batches, cut small; a null text is empty.  Of several columns before the text an id is a tuple."""
     for batch in batches:
         ids, texts, size = [], [], 0
-        for i, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+        keys = [c.to_pylist() for c in batch.columns[:-1]]
+        for i, t in zip(keys[0] if len(keys) == 1 else zip(*keys), batch.columns[-1]):
             t = t.as_py() or ""
             ids.append(i)
             texts.append(t)
@@ -60,8 +96,8 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list, list[str]]
             yield ids, texts
 
 
-def map_texts(docs: DataFrame, each: Callable[[list, list[str]], dict[str, list]], schema: str, *columns: str) -> DataFrame:
-    """Apply ``each(ids, texts)``, which returns columns of lists, to slices of whole texts."""
+def map_texts(docs: DataFrame, each: Callable[[list, list[str]], dict[str, list]], schema: str, *more: str) -> DataFrame:
+    """Apply ``each(ids, texts)``, which returns columns of lists, to slices of whole texts; with ``more`` columns an id is a tuple."""
     out = pa_schema(schema, docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,7 +106,7 @@ def map_texts(docs: DataFrame, each: Callable[[list, list[str]], dict[str, list]
             if len(got[out.names[0]]):
                 yield pa.RecordBatch.from_arrays([pa.array(got[f.name], type=f.type) for f in out], schema=out)
 
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", *more, "text").mapInArrow(run, schema)
 
 
 def pa_schema(schema: str, docs: DataFrame) -> pa.Schema:

@@ -1,11 +1,18 @@
-"""Benchmark decontamination: a BM25 inverted index of test items, asked with every training passage.
-
-The index holds, per term, postings (item, impact) in item order, cut into blocks with the largest impact of each.
-Passages are overlapping windows of a document that together cover it, each at least one item long on either side of
-any place.  As in WAND, lists are split by what they can add: the terms of more than ``ESSENTIAL`` items cannot lift an
-item over its threshold without rarer ones, so only the rare terms' lists propose (passage, item) candidates, kept if
-their score plus the block maxima of the passage's common terms reaches the threshold.  These are scored in full, and
-every item above its threshold is verified on the document's words: the shingles of the question part and of the
+"""Benchmark decontamination: a BM25 inverted index of test items with block-max WAND, asked with every training passage.
+
+Every posting (term, item) holds the item's BM25 impact as a share of that item's own threshold, so that one threshold, 1, holds
+for all items.  Per term the index has the largest share, and per block of ``BLOCK`` items the block's largest.  Passages are
+overlapping windows of a document that together cover it, each at least one item long on either side of any place.  As in WAND,
+the terms of a passage are taken in a fixed order until their largest shares add up to 1 (the pivot): the terms before it cannot
+lift any item over its threshold alone, so their lists are never walked.  The lists from the pivot on name the blocks that may
+hold an item; a block is skipped unless the maxima of the passage's terms in this very block add up to 1, and an item in it unless
+its own shares and the bound of the terms before the pivot do.  What is left is scored in full; nothing else can be above its
+threshold.  Passages are asked many at a time, as arrays.
+
+Short items have large shares of few words, which would loosen the bounds of all others; so items are indexed by length class,
+each with maxima of its own.
+
+Every item above its threshold is verified on the document's words: the shingles of the question part and of the
 answer part must both overlap, or those of the whole item.  One edited word takes up to five shingles, so a text of
 fewer than ``SHORT`` words may also be found by alignment: in one stretch of the passages that proposed the item, with
 an edit distance in words of at most a fifth of its own.
@@ -30,11 +37,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import pa_schema, slices
+from .common import cut, pa_schema, slices
 
 K1, B = 1.2, 0.75
 PIECE, SHINGLE, OVERLAP, SHARE = 64, 5, 0.8, 0.6
-BLOCK, ESSENTIAL = 64, 8
+#: Items of a block, and window-block bounds that are held at once.
+BLOCK, HELD = 16, 4_000_000
 #: From this many words on, one edited word leaves at least OVERLAP of the shingles.
 SHORT = 29
 #: Characters of items that one index (one pass over the documents) holds.
@@ -86,12 +94,119 @@ def aligned(part: list[bytes], text: list[bytes]) -> float:
     return 1.0 - least / m
 
 
+def runs(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of every run, one run after the other."""
+    return np.repeat(start - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(int(length.sum()))
+
+
+class LengthClass:
+    """Postings of the pieces of one length class: shares of the threshold, with maxima per term and per block."""
+
+    def __init__(self, pieces: np.ndarray, term: np.ndarray, piece: np.ndarray, share: np.ndarray, terms: int):
+        """``pieces`` are the numbers of the class's pieces; posting i says that ``term[i]`` stands in ``pieces[piece[i]]``."""
+        order = np.lexsort((piece, term))
+        term, piece, share = term[order], piece[order], share[order]
+        self.pieces, self.n, self.blocks = pieces, len(pieces), len(pieces) // BLOCK + 1
+        self.piece, self.share, self.key = piece, share, term * len(pieces) + piece
+        self.most = np.zeros(terms)
+        np.maximum.at(self.most, term, share)
+        df = np.bincount(term, minlength=terms)
+        # frequent terms of small shares come first: as many postings as possible lie before the pivot
+        self.by_rank = np.argsort(self.most / np.maximum(df, 1), kind="stable")
+        self.rank = np.empty(terms, np.int64)
+        self.rank[self.by_rank] = np.arange(terms)
+        # the block entries of a term are neighbours, and so are the postings of an entry
+        where = term * self.blocks + piece // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], where[1:] != where[:-1]])) if len(where) else np.zeros(0, np.int64)
+        self.entry, self.begin = where[first], np.append(first, len(where))
+        self.bound = np.maximum.reduceat(share, first) if len(first) else np.zeros(0)
+        self.starts = np.searchsorted(self.entry, np.arange(terms + 1) * self.blocks)
+        self.has = self.starts[1:] > self.starts[:-1]
+
+    @staticmethod
+    def at(keys: np.ndarray, wanted: np.ndarray, values: np.ndarray) -> np.ndarray:
+        """The value of each wanted key, 0 where there is none."""
+        k = np.searchsorted(keys, wanted)
+        k[k == len(keys)] = 0
+        return np.where(keys[k] == wanted, values[k], 0.0) if len(keys) else np.zeros(len(wanted))
+
+    def ask(self, window: np.ndarray, term: np.ndarray, counts: dict[str, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(window, piece, share) of all pieces that reach their threshold; the pairs (window, term) are distinct and sorted by window."""
+        here = self.has[term]
+        terms = len(self.most)
+        key = np.sort(window[here] * terms + self.rank[term[here]])
+        window, term = key // terms, self.by_rank[key % terms]
+        first = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]])) if len(key) else np.zeros(0, np.int64)
+        names, sizes = window[first], np.diff(np.append(first, len(key)))
+        out = []
+        step = max(1, HELD // self.blocks)
+        for a in range(0, len(names), step):
+            size = sizes[a : a + step]
+            out.append(self.ask_some(names[a : a + step], size, term[first[a] : first[a] + int(size.sum())], counts))
+        if not out:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def ask_some(self, names: np.ndarray, sizes: np.ndarray, term: np.ndarray, counts: dict[str, int]):
+        """``ask`` for windows whose terms, ``sizes`` of them each, come in the order of their ranks."""
+        w, most = np.repeat(np.arange(len(names)), sizes), self.most[term]
+        total = np.cumsum(most)
+        ahead = np.concatenate([[0.0], total])[np.cumsum(sizes) - sizes]
+        essential = total - np.repeat(ahead, sizes) >= 1 - 1e-9
+        # what the terms before the pivot can add at most, per window
+        rest = np.bincount(w[~essential], weights=most[~essential], minlength=len(names))
+        ew, et = w[essential], term[essential]
+        size = self.starts[et + 1] - self.starts[et]
+        entries = runs(self.starts[et], size)
+        at = np.repeat(ew, size) * self.blocks + self.entry[entries] % self.blocks
+        bound = np.bincount(at, weights=self.bound[entries], minlength=len(names) * self.blocks)
+        live = np.flatnonzero(bound + np.repeat(rest, self.blocks) >= 1 - 1e-9)
+        live = live[bound[live] > 0]
+        # the terms before the pivot by their maxima in this very block, from the pivot down, as long as the block may hold an item
+        low_w, low_t = w[~essential], term[~essential]
+        begin, end = (np.searchsorted(low_w, live // self.blocks, side) for side in ("left", "right"))
+        low, known = rest[live // self.blocks], np.zeros(len(live))
+        open_ = np.flatnonzero(end > begin)
+        while len(open_):
+            end[open_] -= 1
+            t, b = low_t[end[open_]], live[open_] % self.blocks
+            known[open_] += self.at(self.entry, t * self.blocks + b, self.bound)
+            low[open_] -= self.most[t]
+            may = bound[live[open_]] + known[open_] + low[open_] >= 1 - 1e-9
+            known[open_[~may]] = -np.inf
+            open_ = open_[may & (end[open_] > begin[open_])]
+        kept = bound[live] + known >= 1 - 1e-9
+        live, low = live[kept], known[kept]
+        counts["blocks"] += len(names) * self.blocks
+        counts["walked"] += len(live)
+        # the postings of the terms from the pivot on, in the blocks that are left
+        k = np.searchsorted(live, at)
+        k[k == len(live)] = 0
+        hit = live[k] == at if len(live) else np.zeros(len(at), bool)
+        entries, k = entries[hit], k[hit]
+        size = self.begin[entries + 1] - self.begin[entries]
+        postings = runs(self.begin[entries], size)
+        pair, place = np.unique(np.repeat(live[k] // self.blocks, size) * self.n + self.piece[postings], return_inverse=True)
+        share = np.bincount(place, weights=self.share[postings], minlength=len(pair))
+        block = np.searchsorted(live, pair // self.n * self.blocks + pair % self.n // BLOCK)
+        kept = share + low[block] >= 1 - 1e-9 if len(pair) else np.zeros(0, bool)
+        pair, share = pair[kept], share[kept]
+        # what is left in full
+        begin, end = (np.searchsorted(low_w, pair // self.n, side) for side in ("left", "right"))
+        lows = runs(begin, end - begin)
+        owner = np.repeat(np.arange(len(pair)), end - begin)
+        share = share + np.bincount(owner, weights=self.at(self.key, low_t[lows] * self.n + pair[owner] % self.n, self.share), minlength=len(pair))
+        kept = share >= 1 - 1e-9
+        return names[pair[kept] // self.n], self.pieces[pair[kept] % self.n], share[kept]
+
+
 class BenchmarkIndex:
-    """Inverted index of (item_id, text) items with block maxima."""
+    """Inverted index of (item_id, text) items with block maxima, by length class."""
 
     def __init__(self, items: list[tuple[int, str]], share: float = SHARE):
         self.items = [(i, *question_answer(t)) for i, t in items]
         self.terms: dict[bytes, int] = {}
+        self.counts = {"blocks": 0, "walked": 0}
         pieces, self.of = [], []
         for k, (_, t) in enumerate(items):
             tokens = words(t)
@@ -102,76 +217,41 @@ class BenchmarkIndex:
                 pieces.append(np.unique([self.terms.setdefault(w, len(self.terms)) for w in piece], return_counts=True) + (len(piece),))
                 self.of.append(k)
         n, m = len(pieces), len(self.terms)
-        df = np.zeros(m, np.int64)
-        for t, _, _ in pieces:
-            df[t] += 1
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        mean = sum(p[2] for p in pieces) / n if n else 1.0
+        sizes, lengths = np.array([len(p[0]) for p in pieces], np.int64), np.array([p[2] for p in pieces], np.int64)
         term = np.concatenate([p[0] for p in pieces]) if n else np.zeros(0, np.int64)
-        piece = np.repeat(np.arange(n), [len(p[0]) for p in pieces])
         tf = np.concatenate([p[1] for p in pieces]) if n else np.zeros(0)
-        norm = np.repeat([K1 * (1 - B + B * p[2] / mean) for p in pieces], [len(p[0]) for p in pieces])
+        piece = np.repeat(np.arange(n), sizes)
+        df = np.bincount(term, minlength=m)
+        idf = np.log1p((n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * lengths[piece] / lengths.mean()) if n else tf
         impact = idf[term] * tf * (K1 + 1) / (tf + norm)
-        order = np.lexsort((piece, term))
-        self.piece, self.impact = piece[order], impact[order]
-        self.start = np.concatenate([[0], np.cumsum(df)])
         self.own = np.bincount(piece, weights=impact, minlength=n)
         self.threshold = share * self.own
-        self.rare = df <= ESSENTIAL
-        common = ~self.rare[term]
-        # what the common terms can add to each piece, at most
-        self.common = np.bincount(piece[common], weights=impact[common], minlength=n)
-        # terms are rare only in part for pieces whose rare terms cannot reach the threshold: for these all lists propose
-        self.weak = np.flatnonzero(self.threshold - self.common <= 0)
-        self.propose = self.rare.copy()
-        if len(self.weak):
-            self.propose[np.unique(term[np.isin(piece, self.weak)])] = True
-            self.common = np.bincount(piece[~self.propose[term]], weights=impact[~self.propose[term]], minlength=n)
-        self.blocks = {}
-        for t in np.flatnonzero(~self.propose):
-            own = slice(self.start[t], self.start[t + 1])
-            ids = self.piece[own] // BLOCK
-            maxima = np.zeros(n // BLOCK + 1)
-            np.maximum.at(maxima, ids, self.impact[own])
-            self.blocks[int(t)] = maxima
+        self.classes = []
+        level = np.ceil(np.log2(np.maximum(lengths, 1))).astype(np.int64)
+        for c in np.unique(level).tolist():
+            mine = np.flatnonzero(level == c)
+            at = np.isin(piece, mine)
+            self.classes.append(LengthClass(mine, term[at], np.searchsorted(mine, piece[at]), impact[at] / self.threshold[piece[at]], m))
         self.parts = [(words(t), *parts) for (_, t), (_, *parts) in zip(items, self.items)]
         self.shingles = [[[b" %s " % b" ".join(x) for x in shingles(part)] for part in parts] for parts in self.parts]
 
     def passages(self, ids: np.ndarray, doc: np.ndarray, at: np.ndarray) -> dict[tuple[int, int], tuple[float, list[int]]]:
         """Best (document, piece) scores above the thresholds, and all windows above.  ids: terms found; doc, at: where (document, word)."""
-        n = len(self.own)
         best: dict[tuple[int, int], tuple[float, list[int]]] = {}
-        if not n or not len(ids):
+        if not len(self.own) or not len(ids):
             return best
         # windows of 2 * PIECE words every PIECE words: each place is in window at // PIECE + 1 and the one before
         stride = int(at.max()) // PIECE + 2
-        rare = self.propose[ids]
-        window = doc[rare] * stride + at[rare] // PIECE + 1
-        seen = np.sort(np.concatenate([window, window - 1]) * len(self.terms) + np.tile(ids[rare], 2))
-        seen = seen[np.concatenate([[True], seen[1:] != seen[:-1]])] if len(seen) else seen
+        window = doc * stride + at // PIECE + 1
+        seen = np.sort(np.concatenate([window, window - 1]) * len(self.terms) + np.tile(ids, 2))
+        seen = seen[np.concatenate([[True], seen[1:] != seen[:-1]])]
         w, t = seen // len(self.terms), seen % len(self.terms)
-        length = self.start[t + 1] - self.start[t]
-        lists = np.repeat(self.start[t] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(int(length.sum()))
-        pair, place = np.unique(np.repeat(w, length) * n + self.piece[lists], return_inverse=True)
-        partial = np.bincount(place, weights=self.impact[lists], minlength=len(pair))
-        piece = pair % n
-        keep = partial + self.common[piece] >= self.threshold[piece] - 1e-9
-        for p, s in zip(pair[keep].tolist(), partial[keep].tolist()):
-            win, k = divmod(p, n)
-            d, j = divmod(win, stride)
-            a, b = np.searchsorted(doc, [d, d + 1])
-            a, b = a + np.searchsorted(at[a:b], [(j - 1) * PIECE, (j + 1) * PIECE])
-            rest = [x for x in set(ids[a:b].tolist()) if not self.propose[x]]
-            if s + sum(self.blocks[x][k // BLOCK] for x in rest) < self.threshold[k] - 1e-9:
-                continue
-            for x in rest:
-                i = self.start[x] + np.searchsorted(self.piece[self.start[x] : self.start[x + 1]], k)
-                if i < self.start[x + 1] and self.piece[i] == k:
-                    s += float(self.impact[i])
-            key = (d, k)
-            if s >= self.threshold[k] - 1e-9:
-                top, windows = best.get(key, (-1.0, []))
-                best[key] = (max(s, top), [*windows, j])
+        for group in self.classes:
+            for win, k, share in zip(*(x.tolist() for x in group.ask(w, t, self.counts))):
+                d, j = divmod(win, stride)
+                top, windows = best.get((d, k), (-1.0, []))
+                best[d, k] = (max(share * float(self.threshold[k]), top), [*windows, j])
         return best
 
     def search(self, texts: list[str]) -> list[tuple[int, int, float, float, float, float]]:
@@ -235,24 +315,45 @@ def chunks(items: Iterator, limit: int) -> Iterator[list[tuple[int, str]]]:
         yield got
 
 
+def parts(benchmark: DataFrame, limit: int) -> Iterator[tuple[list[tuple[int, str]], bool]]:
+    """The benchmark in parts of at most ``limit`` characters (or one item), and whether a part is the last; one part is held at a time."""
+    items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text").toLocalIterator()
+    before = None
+    for part in chunks(items, limit):
+        if before is not None:
+            yield before, False
+        before = part
+    if before is not None:
+        yield before, True
+
+
+class Asked:
+    """The index of a broadcast part, built once a worker."""
+
+    def __init__(self, docs: DataFrame, items: list[tuple[int, str]]):
+        self.spread, self.held = docs.sparkSession.sparkContext.broadcast(items), []
+
+    def __getstate__(self) -> dict:
+        return {"spread": self.spread, "held": []}
+
+    def search(self, texts: list[str]) -> list[tuple]:
+        if not self.held:
+            self.held.append(BenchmarkIndex(self.spread.value))
+        return self.held[0].search(texts)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = INDEX_CHARS) -> DataFrame:
     """The (document, item) pairs of ``docs(doc_id, text)`` and ``benchmark(item_id, text)`` that are confirmed.
 
     An index holds at most ``limit`` characters of items (or one item); a larger benchmark takes several indexes, each asked with all
-    documents.
+    documents: one after the other, so that the driver and the tasks never hold more than one.
     """
-    spark = docs.sparkSession
     shape = pa_schema(RESULT, docs)
 
-    def ask(items: list[tuple[int, str]]) -> DataFrame:
-        spread = spark.sparkContext.broadcast(items)
-        held: dict[int, BenchmarkIndex] = {}
-
+    def ask(asked: Asked) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for ids, texts in slices(batches):
-                if 0 not in held:
-                    held[0] = BenchmarkIndex(spread.value)
-                hits = held[0].search(texts)
+                hits = asked.search(texts)
                 if hits:
                     columns = list(zip(*hits))
                     columns[0] = [ids[k] for k in columns[0]]
@@ -260,11 +361,40 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = INDEX_CHARS
 
         return docs.select("doc_id", "text").mapInArrow(run, RESULT)
 
-    found = None
-    items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text").toLocalIterator()
-    for part in chunks(items, limit):
-        found = ask(part) if found is None else found.unionByName(ask(part))
-    return spark.createDataFrame([], RESULT) if found is None else found
+    found = docs.sparkSession.createDataFrame([], RESULT)
+    for k, (part, last) in enumerate(parts(benchmark, limit)):
+        asked = Asked(docs, part)
+        if last and not k:
+            return ask(asked)
+        found = found.unionByName(cut(ask(asked)))
+        asked.spread.destroy()
+    return found
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = INDEX_CHARS) -> DataFrame:
+    """The rows of ``docs`` that hold no item, with all their columns; each row is judged where it lies, so none is moved."""
+    at = docs.columns.index("text")
+
+    def drop(asked: Asked):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                done = 0
+                for ids, texts in slices(iter([pa.RecordBatch.from_arrays([pa.array(range(b.num_rows)), b.column(at)], names=["row", "text"])])):
+                    gone = {hit[0] for hit in asked.search(texts)}
+                    part = b.slice(done, len(ids))
+                    done += len(ids)
+                    yield part.filter(pa.array([k not in gone for k in range(len(ids))], pa.bool_())) if gone else part
+
+        return run
+
+    for part, last in parts(benchmark, limit):
+        asked = Asked(docs, part)
+        left = docs.mapInArrow(drop(asked), docs.schema)
+        if last:
+            return left
+        docs = cut(left)
+        asked.spread.destroy()
+    return docs
 
 
 def contaminated_documents(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

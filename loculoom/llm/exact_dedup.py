@@ -2,14 +2,15 @@
 
 Each input partition first merges its own copies in a compressed radix trie over whole byte strings, so a text of
 which there are millions of copies leaves a partition once.  The distinct texts are then partitioned by length and
-content hash, and each partition inserts them into its trie; a terminal node holds the identifier that stays and the
-number of rows.  When a trie outgrows its memory, its largest subtree is spilled: its terminals leave as partial
+content hash, and each partition inserts them into its trie; a terminal node holds the identifier that stays (with the
+number of its row) and the number of rows.  When a trie outgrows its memory, its largest subtree is spilled: its terminals leave as partial
 owners, which a small aggregation by content address merges.  Documents find their owner by that address in a join
 of narrow rows that may be split where one address is hot.
 
-Defined results: texts are equal when identical after lower-casing A-Z; a null text counts as empty; rows with equal
-text and equal doc_id tie and are all kept (``group_size`` counts rows); a null doc_id is never preferred; an empty
-table gives an empty result; further columns of the input are ignored.
+Defined results: texts are equal when identical after lower-casing A-Z; a null text counts as empty; of equal texts
+exactly one row stays, that with the largest doc_id; rows that are equal in both tie and any one of them stays
+(``group_size`` counts rows); a null doc_id is never preferred, but stays where no other row has the text; an empty
+table gives an empty result; further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,16 +23,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_texts, partitions, slices
+from .common import cut, fresh, map_texts, numbered, partitions, slices
 
 #: Bytes of edge labels that one trie may hold.
 TRIE_BYTES = 96 << 20
 
 
 def merged(a: tuple, b: tuple) -> tuple:
-    """Owners (largest id or None, rows) of the same text."""
-    ids = [x for x in (a[0], b[0]) if x is not None]
-    return max(ids) if ids else None, a[1] + b[1]
+    """Owners (id or None, its row, rows) of the same text: the largest id stays, of equal ids the last row."""
+    x, y = ((o[0] is not None, o[0] or 0, o[1]) for o in (a, b))
+    return (*(a if x > y else b)[:2], a[2] + b[2])
 
 
 class Node:
@@ -87,15 +88,18 @@ class PatriciaTrie:
             stack.extend(node.edges.values())
         return total
 
-    def spill(self) -> Iterator[tuple[bytes, tuple]]:
-        """Take the largest subtree below the first fork out of the trie and yield its terminals."""
+    def spill(self, limit: int) -> Iterator[tuple[bytes, tuple]]:
+        """Take the largest subtrees below the first fork out of the trie, until half of ``limit`` is free, and yield their terminals.
+
+        Each spill weighs the trie once and frees half of it, so weighing costs a fixed share of inserting."""
         parent, prefix = self.root, b""
         while len(parent.edges) == 1 and (only := next(iter(parent.edges.values()))).edges and only.owner is None:
             parent, prefix = only, prefix + only.label
-        first, child = max(parent.edges.items(), key=lambda x: self.weight(x[1]))
-        del parent.edges[first]
-        self.bytes -= self.weight(child)
-        yield from self.terminals(child, prefix)
+        for weight, first in sorted(((self.weight(x), k) for k, x in parent.edges.items()), reverse=True):
+            if self.bytes <= limit // 2:
+                return
+            self.bytes -= weight
+            yield from self.terminals(parent.edges.pop(first), prefix)
 
 
 def owners(texts: Iterator[tuple[bytes, tuple]], limit: int) -> Iterator[tuple[bytes, tuple]]:
@@ -104,7 +108,7 @@ def owners(texts: Iterator[tuple[bytes, tuple]], limit: int) -> Iterator[tuple[b
     for key, owner in texts:
         trie.insert(key, owner)
         while trie.bytes > limit and trie.root.edges:
-            yield from trie.spill()
+            yield from trie.spill(limit)
     yield from trie.terminals()
 
 
@@ -121,54 +125,66 @@ def packed(rows: Iterator[tuple], schema: pa.Schema, size: int = 1 << 22) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*got), schema)], schema=schema)
 
 
-LOCAL = pa.schema([("n_bytes", pa.int64()), ("head", pa.int64()), ("doc_id", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
-OWNED = pa.schema([("keep_id", pa.int64()), ("group_size", pa.int64()), ("text_sha256", pa.binary())])
+LOCAL = pa.schema([("n_bytes", pa.int64()), ("head", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
+OWNED = pa.schema([("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64()), ("text_sha256", pa.binary())])
 
 
 def local_owners(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((t.encode("utf-8").lower(), (i, 1)) for ids, texts in slices(batches) for i, t in zip(ids, texts))
-        yield from packed(((len(k), int.from_bytes(hashlib.sha256(k).digest()[:8], "big", signed=True), o[0], o[1], k) for k, o in owners(rows, limit)), LOCAL)
+        rows = ((t.encode("utf-8").lower(), (*i, 1)) for ids, texts in slices(batches) for i, t in zip(ids, texts))
+        yield from packed(((len(k), int.from_bytes(hashlib.sha256(k).digest()[:8], "big", signed=True), *o, k) for k, o in owners(rows, limit)), LOCAL)
 
     return run
 
 
 def partition_owners(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((k, (i, n)) for b in batches for i, n, k in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), (x.as_py() for x in b.column(2))))
+        rows = ((k, o) for b in batches for *o, k in zip(*(b.column(c).to_pylist() for c in range(3)), (x.as_py() for x in b.column(3))))
         yield from packed(((*o, hashlib.sha256(k).digest()) for k, o in owners(rows, limit)), OWNED)
 
     return run
 
 
 def text_owners(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
-    """text_sha256 (binary), keep_id and group_size of each distinct text."""
-    local = docs.select("doc_id", "text").mapInArrow(local_owners(limit), "n_bytes long, head long, doc_id long, n long, text binary")
-    dealt = local.repartition(partitions(docs.sparkSession), "n_bytes", "head").select("doc_id", "n", "text")
-    owned = dealt.mapInArrow(partition_owners(limit), "keep_id long, group_size long, text_sha256 binary")
-    return owned.groupBy("text_sha256").agg(F.max("keep_id").alias("keep_id"), F.sum("group_size").alias("group_size"))
+    """text_sha256 (binary), keep_id, keep_row and group_size of each distinct text of ``docs(doc_id, row, text)``."""
+    local = docs.select("doc_id", "row", "text").mapInArrow(local_owners(limit), "n_bytes long, head long, doc_id long, row long, n long, text binary")
+    dealt = local.repartition(partitions(docs.sparkSession), "n_bytes", "head").select("doc_id", "row", "n", "text")
+    owned = dealt.mapInArrow(partition_owners(limit), "keep_id long, keep_row long, group_size long, text_sha256 binary")
+    # a null id is less than any
+    best = F.max(F.struct(F.col("keep_id").isNotNull().alias("known"), "keep_id", "keep_row"))
+    merged_owners = owned.groupBy("text_sha256").agg(best.alias("best"), F.sum("group_size").alias("group_size"))
+    return merged_owners.select("text_sha256", "best.keep_id", "best.keep_row", "group_size")
 
 
 def addresses(docs: DataFrame) -> DataFrame:
-    """doc_id and text_sha256 (binary) of every row."""
+    """doc_id, row and text_sha256 (binary) of every row."""
 
     def each(ids: list, texts: list[str]) -> dict[str, list]:
-        return {"doc_id": ids, "text_sha256": [hashlib.sha256(t.encode("utf-8").lower()).digest() for t in texts]}
+        return {"doc_id": [i[0] for i in ids], "row": [i[1] for i in ids], "text_sha256": [hashlib.sha256(t.encode("utf-8").lower()).digest() for t in texts]}
 
-    return map_texts(docs, each, "doc_id long, text_sha256 binary")
+    return map_texts(docs, each, "doc_id long, row long, text_sha256 binary", "row")
 
 
 def exact_duplicates(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, keep_id, group_size, kept, text_sha256."""
+    docs = numbered(docs.select("doc_id", "text"), "row")
     # the written owners leave a plain exchange on both sides, so a hot address can be split
     return addresses(docs).join(cut(text_owners(docs, limit)), "text_sha256").select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("text_sha256")).alias("text_sha256")
+        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("text_sha256")).alias("text_sha256")
     )
 
 
+def without_copies(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
+    """The rows of ``docs`` that stay, with all their columns; rows meet their decision by number, so none is lost or multiplied."""
+    row = fresh(docs, "row")
+    docs_ = numbered(docs, row)
+    stay = text_owners(docs_.select("doc_id", F.col(row).alias("row"), "text"), limit).select(F.col("keep_row").alias(row))
+    return docs_.join(stay, row, "left_semi").select(docs.columns)
+
+
 SQL = """
 WITH d AS (SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256 FROM documents)
 SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id IS NOT DISTINCT FROM max(doc_id) OVER g AS kept, text_sha256
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256)
 """

@@ -2,13 +2,15 @@
 
 The n-grams (1 to 3 characters of the lower-cased text, white space as one mark) of a whole text are hashed to
 ``BUCKETS`` features.  Document frequencies are counted over all learning documents; the weights are fitted by
-follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a bounded sample: at most about
-``SAMPLE_PER_LANG`` learning documents of each of the ``LANGS`` most frequent languages, chosen by a hash of doc_id.
-A part of the sample is not fitted; it sets the temperature that calibrates the probabilities.
+follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a sample of rows whose number is bounded: about
+``SAMPLE_PER_LANG`` learning documents of each language, chosen by a hash of doc_id and text, ``SAMPLE_ROWS`` in all (of
+many languages each has a smaller share, but not less than ``LEAST_PER_LANG`` documents).  Every language is learned, and a sampled document
+with all its n-grams.  A part of the sample is not fitted; it sets the temperature that calibrates the probabilities.
+The weights take BUCKETS numbers a language.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or if nothing could be learned; otherwise the
 language with the highest probability, ties to the first by code point.  Repeated rows give repeated results; an empty
-table gives an empty result; further columns of the input are ignored.
+table gives an empty result; further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -25,9 +27,7 @@ from pyspark.sql import functions as F
 from .common import crc_mod, map_texts
 
 BUCKETS, GRAMS = 1 << 14, 3
-SAMPLE_PER_LANG, LANGS, EPOCHS = 600, 100, 3
-#: Terms of a learning document that are kept for the fit: the largest, so the sample's size is bounded.
-SAMPLE_TERMS = 4096
+SAMPLE_PER_LANG, LEAST_PER_LANG, SAMPLE_ROWS, EPOCHS = 600, 20, 24_000, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
 #: A letter is a code point of the category L; numbers such as fractions and circled digits are none.
 LETTER = regex.compile(r"\p{L}")
@@ -140,27 +140,25 @@ def train(learn: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     for r in learn.select("text").mapInArrow(frequencies, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         df[r.bucket] = r.n
     idf = np.log((1 + df[BUCKETS]) / (1 + df[:BUCKETS])) + 1.0
-    langs = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGS).collect()}
+    langs = {r.lang: r.n for r in learn.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     names = sorted(langs)
     if not names:
         return Model([], idf)
-    # a share of each language by hash: the expected number is per_lang or all, and limit() bounds what comes in any case
-    share = F.create_map(*[x for k, n in langs.items() for x in (F.lit(k), F.lit(min(1.0, per_lang / n)))])
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = learn.filter(F.col("lang").isin(names) & (draw < F.element_at(share, F.col("lang")))).select("doc_id", "text", "lang")
+    # the rows of a language with the smallest hashes: the expected number is its quota or all; limit() bounds what comes in any case
+    quota = max(LEAST_PER_LANG, min(per_lang, SAMPLE_ROWS // len(names)))
+    shares = learn.sparkSession.createDataFrame([(k, min(1.0, quota / n)) for k, n in langs.items()], "lang string, share double")
+    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = learn.withColumn("draw", draw).join(F.broadcast(shares), "lang").filter(F.col("draw") < F.col("share")).select("doc_id", "lang", "text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for i, t, lang in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+            for i, lang, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
                 at, n = features(t.as_py())
-                if len(at) > SAMPLE_TERMS:
-                    most = np.sort(np.argsort(-n, kind="stable")[:SAMPLE_TERMS])
-                    at, n = at[most], n[most]
-                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([i], pa.int64()), "lang": [lang], "at": pa.array([at], pa.list_(pa.int64())), "n": pa.array([n], pa.list_(pa.int64()))})
+                yield pa.RecordBatch.from_pydict({"doc_id": pa.array([i], pa.int64()), "lang": [lang], "at": [at.astype(np.uint16).tobytes()], "n": [n.astype(np.uint32).tobytes()]})
 
-    got = sample.mapInArrow(collect, "doc_id long, lang string, at array<long>, n array<long>").limit(2 * per_lang * len(names)).toLocalIterator()
+    got = sample.mapInArrow(collect, "doc_id long, lang string, at binary, n binary").limit(2 * quota * len(names)).toLocalIterator()
     number = {k: i for i, k in enumerate(names)}
-    rows = sorted(((r.doc_id or 0, number[r.lang], np.array(r.at, np.int32), np.array(r.n, np.int32)) for r in got), key=lambda r: (r[0], r[1]))
+    rows = sorted(((r.doc_id or 0, number[r.lang], np.frombuffer(r.at, np.uint16), np.frombuffer(r.n, np.uint32)) for r in got), key=lambda r: (r[0], r[1], r[3].tobytes()))
     rows = [(at, n, y) for _, y, at, n in rows]
     model = Model(names, idf)
     fitted, kept = [r for k, r in enumerate(rows) if k % 5], [r for k, r in enumerate(rows) if k % 5 == 0]
@@ -190,12 +188,17 @@ def languages(docs: DataFrame, fold: int = 4, held: int = 2) -> DataFrame:
 
 
 def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, with all their columns, whose language the model tells; no row is moved."""
+    """The rows of ``docs``, with all their columns, that are in some language: those with a letter.  No row is moved.
+
+    With a model the test is that it predicts a language; where none could be learned, rows with a letter stay all the same."""
     spread = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    def told(text: str) -> bool:
+        return spread.value.predict(text)[0] != "und" if spread.value.langs else has_letter(text)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array([spread.value.predict(t.as_py() or "")[0] != "und" for t in b.column(at)], pa.bool_()))
+            yield b.filter(pa.array([told(t.as_py() or "") for t in b.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

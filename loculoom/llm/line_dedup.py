@@ -1,21 +1,22 @@
 """Repeated lines by a sharded minimal perfect hash.
 
 The distinct 128-bit hashes of long lines are counted over all documents; those found often enough are dealt to
-shards, and each shard stores them as a minimal perfect hash (levels of bit arrays with ranks) that indexes arrays of
-fingerprints, counts and owners.  Documents probe the arrays instead of joining lines: where all shards together are
+shards, and each shard stores them as a minimal perfect hash (levels of packed bits with sampled ranks, about half a byte a
+line) that indexes arrays of 48-bit fingerprints, counts and owners.  A line that is not frequent is taken for one with
+probability 2^-48.  Documents probe the arrays instead of joining lines: where all shards together are
 within ``broadcast_bytes`` (their size is measured first) every task holds them; beyond that the line hashes of the
 documents are routed to the shards, salted so that a line that is everywhere spreads over tasks, and only the hits
 come back.
 
 Defined results: null or empty text is one empty line; keys are stripped of space and U+0009 to U+000D and A-Z is
 lower-cased; a line repeated within a document counts its document once, and all its copies go or stay together;
-a repeated row counts as a further document; an empty table gives an empty result; a null doc_id never owns a line;
-further columns of the input are ignored.
+rows with one doc_id are one document, whatever their texts, and each is answered; a null doc_id counts for no document,
+never owns a line and loses its frequent ones; an empty table gives an empty result; further columns of the input are
+ignored, whatever their names.
 """
 
 from __future__ import annotations
 
-import hashlib
 import math
 import pickle
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, map_texts, partitions, slices
+from .common import SPACES, cut, map_texts, numbered, slices
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS, BROADCAST_BYTES, ROUTED_ROWS = 200_000, 64 << 20, 500_000
@@ -41,18 +42,33 @@ def mix(x: np.ndarray, seed: int) -> np.ndarray:
         return x ^ (x >> np.uint64(32))
 
 
+class RankedBits:
+    """A bit array, packed, with the number of set bits before any place: per 512 bits in full, per 64 bits within these."""
+
+    def __init__(self, bits: np.ndarray):
+        self.words = np.packbits(np.pad(bits, (0, -len(bits) % 512)), bitorder="little").view(np.uint64)
+        ones = np.bitwise_count(self.words).astype(np.int64).reshape(-1, 8)
+        self.before = np.concatenate([[0], np.cumsum(ones.sum(1))[:-1]]).astype(np.int64)
+        self.within = (np.cumsum(ones, 1) - ones).astype(np.uint16).reshape(-1)
+
+    def look(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether the bit is set at each place, and how many are set before it."""
+        word, shift = self.words[at >> 6], (at & 63).astype(np.uint64)
+        below = np.bitwise_count(word & ((np.uint64(1) << shift) - np.uint64(1)))
+        return (word >> shift & np.uint64(1)).astype(bool), self.before[at >> 9] + self.within[at >> 6] + below
+
+
 class PerfectHash:
     """A minimal perfect hash of distinct 64-bit keys: at each level the keys that land alone are placed."""
 
     def __init__(self, keys: np.ndarray, gamma: float = 1.5):
-        self.levels: list[tuple[np.ndarray, np.ndarray]] = []
+        self.levels: list[tuple[int, int, RankedBits]] = []
         base, rest = 0, keys.astype(np.uint64)
         while len(rest):
             size = max(64, int(gamma * len(rest)))
             at = (mix(rest, len(self.levels)) % np.uint64(size)).astype(np.int64)
             alone = np.bincount(at, minlength=size) == 1
-            ranks = (base + np.cumsum(alone) - 1).astype(np.int32)
-            self.levels.append((alone, ranks))
+            self.levels.append((size, base, RankedBits(alone)))
             base += int(alone.sum())
             rest = rest[~alone[at]]
         self.size = base
@@ -61,10 +77,9 @@ class PerfectHash:
         """Index of each key, or -1 where no level places it; a key that was not built in may get any index."""
         out = np.full(len(keys), -1, np.int64)
         left = np.arange(len(keys))
-        for level, (alone, ranks) in enumerate(self.levels):
-            at = (mix(keys[left], level) % np.uint64(len(alone))).astype(np.int64)
-            hit = alone[at]
-            out[left[hit]] = ranks[at[hit]]
+        for level, (size, base, bits) in enumerate(self.levels):
+            hit, rank = bits.look((mix(keys[left], level) % np.uint64(size)).astype(np.int64))
+            out[left[hit]] = base + rank[hit]
             left = left[~hit]
         return out
 
@@ -79,15 +94,17 @@ class Shard:
         self.twins = {(int(hi[i]), int(lo[i])): (int(count[i]), int(owner[i])) for i in rest}
         self.hash = PerfectHash(hi[first].view(np.uint64))
         at = self.hash.index(hi[first].view(np.uint64))
-        self.fingerprint, self.count, self.owner = (np.empty(len(first), t) for t in (np.int64, np.int32, np.int64))
-        self.fingerprint[at], self.count[at], self.owner[at] = lo[first], np.minimum(count[first], 2**31 - 1), owner[first]
+        self.low, self.high, self.count, self.owner = (np.empty(len(first), t) for t in (np.uint32, np.uint16, np.uint32, np.int64))
+        self.low[at], self.high[at] = fingerprint(lo[first])
+        self.count[at], self.owner[at] = np.minimum(count[first], 2**32 - 1), owner[first]
 
     def probe(self, hi: np.ndarray, lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(frequent or not, owner) of each line hash."""
         if not len(self.owner):
             return np.zeros(len(hi), bool), np.zeros(len(hi), np.int64)
         at = self.hash.index(hi.view(np.uint64))
-        found = (at >= 0) & (self.fingerprint[at] == lo)
+        low, high = fingerprint(lo)
+        found = (at >= 0) & (self.low[at] == low) & (self.high[at] == high)
         owner = self.owner[at]
         if self.twins:
             for i, key in enumerate(zip(hi.tolist(), lo.tolist())):
@@ -96,6 +113,12 @@ class Shard:
         return found, owner
 
 
+def fingerprint(lo: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The lower 48 bits of the second half of line hashes."""
+    bits = lo.view(np.uint64)
+    return bits.astype(np.uint32), (bits >> np.uint64(32)).astype(np.uint16)
+
+
 def line_hash(line: str, min_chars: int) -> tuple[int, int] | None:
     key = line.strip(SPACES)
     if len(key) < min_chars:
@@ -105,18 +128,17 @@ def line_hash(line: str, min_chars: int) -> tuple[int, int] | None:
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
-    """doc_id, hi, lo of the distinct long lines of each row."""
+    """row, doc_id, hi, lo of the distinct long lines of each row."""
 
     def each(ids: list, texts: list[str]) -> dict[str, list]:
-        out: list = [[], [], []]
-        for i, t in zip(ids, texts):
+        out: list = [[], [], [], []]
+        for (i, row), t in zip(ids, texts):
             keys = {h for x in t.split("\n") if len(x) >= min_chars and (h := line_hash(x, min_chars))}
-            out[0] += [i] * len(keys)
-            out[1] += [k[0] for k in keys]
-            out[2] += [k[1] for k in keys]
-        return dict(zip(("doc_id", "hi", "lo"), out))
+            for column, values in zip(out, ([row] * len(keys), [i] * len(keys), [k[0] for k in keys], [k[1] for k in keys])):
+                column += values
+        return dict(zip(("row", "doc_id", "hi", "lo"), out))
 
-    return map_texts(docs, each, "doc_id long, hi long, lo long")
+    return map_texts(docs, each, "row long, doc_id long, hi long, lo long", "row")
 
 
 def build_shards(frequent: DataFrame, n: int) -> DataFrame:
@@ -129,12 +151,10 @@ def build_shards(frequent: DataFrame, n: int) -> DataFrame:
     return frequent.withColumn("shard", F.pmod("hi", F.lit(n)).cast("int")).groupBy("shard").applyInArrow(build, "shard int, blob binary")
 
 
-def drop_lines(doc_id, text: str, min_chars: int, gone) -> tuple[int, int, str]:
+def drop_lines(text: str, min_chars: int, gone: set) -> tuple[int, int, str]:
     """n_lines, n_dropped, and the text of the lines that stay."""
     lines = text.split("\n")
-    hashes = [line_hash(x, min_chars) if len(x) >= min_chars else None for x in lines]
-    lost = gone(doc_id, {h for h in hashes if h})
-    kept = [x for x, h in zip(lines, hashes) if h not in lost] if lost else lines
+    kept = [x for x in lines if not (len(x) >= min_chars and line_hash(x, min_chars) in gone)] if gone else lines
     return len(lines), len(lines) - len(kept), "\n".join(kept)
 
 
@@ -173,10 +193,9 @@ def probed(docs: DataFrame, blobs: list[bytes], min_chars: int) -> DataFrame:
 
 
 def routed(docs: DataFrame, lines: DataFrame, shards: DataFrame, n: int, min_chars: int) -> DataFrame:
-    """Line hashes go to the shards; the hits come back to their documents, which are joined once."""
-    spark = docs.sparkSession
+    """The hashes ``lines(row, doc_id, hi, lo)`` go to the shards; the hits come back to their rows, which are joined once."""
     salts = max(1, math.ceil(lines.count() / (ROUTED_ROWS * n)))
-    asked = lines.withColumn("shard", F.pmod("hi", F.lit(n)).cast("int")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "lo"), F.lit(salts)).cast("int"))
+    asked = lines.withColumn("shard", F.pmod("hi", F.lit(n)).cast("int")).withColumn("salt", F.pmod(F.xxhash64("row", "lo"), F.lit(salts)).cast("int"))
     held = shards.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
     def probe(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -186,28 +205,26 @@ def routed(docs: DataFrame, lines: DataFrame, shards: DataFrame, n: int, min_cha
             left = left.filter(pa.array([bool(f) and i != o for f, i, o in zip(found, ids, owner.tolist())], pa.bool_()))
         else:
             left = left.slice(0, 0)
-        return left.select(["doc_id", "hi", "lo"])
+        return left.select(["row", "hi", "lo"])
 
-    hits = asked.groupBy("shard", "salt").cogroup(held.groupBy("shard", "salt")).applyInArrow(probe, "doc_id long, hi long, lo long")
-    gone = hits.groupBy(F.col("doc_id").alias("at")).agg(F.collect_set(F.struct("hi", "lo")).alias("gone"))
-    both = docs.select("doc_id", "text").join(gone, F.col("doc_id").eqNullSafe(F.col("at")), "left").select("doc_id", "text", "gone")
+    hits = asked.groupBy("shard", "salt").cogroup(held.groupBy("shard", "salt")).applyInArrow(probe, "row long, hi long, lo long")
+    gone = hits.groupBy("row").agg(F.collect_set(F.struct("hi", "lo")).alias("gone"))
+    both = docs.join(gone, "row", "left").select("doc_id", "gone", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            lost = [{(x["hi"], x["lo"]) for x in g or ()} for g in b.column(2).to_pylist()]
-            at = 0
-            for ids, texts in slices(iter([b])):
-                done = [drop_lines(i, t, min_chars, lambda _, h, g=g: h & g) for i, t, g in zip(ids, texts, lost[at : at + len(ids)])]
-                at += len(ids)
-                yield pa.RecordBatch.from_pydict(result(ids, done), schema=pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("text", pa.string())]))
+        for ids, texts in slices(batches):
+            done = [drop_lines(t, min_chars, {(x["hi"], x["lo"]) for x in gone or ()}) for (_, gone), t in zip(ids, texts)]
+            yield pa.RecordBatch.from_pydict(result([i for i, _ in ids], done), schema=pa.schema([("doc_id", pa.int64()), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("text", pa.string())]))
 
     return both.mapInArrow(run, OUT)
 
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (the lines that stay) of every row of ``docs(doc_id, text)``."""
-    lines = line_hashes(docs, min_chars)
-    frequent = cut(lines.groupBy("hi", "lo").agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("owner")).filter(F.col("n_docs") >= min_docs).withColumn("owner", F.coalesce("owner", F.lit(-(2**63)))))
+    docs = numbered(docs.select("doc_id", "text"), "row")
+    # narrow rows, written: the texts are cut into lines once for counting, however the probe goes
+    lines = cut(line_hashes(docs, min_chars))
+    frequent = cut(lines.groupBy("hi", "lo").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("owner")).filter(F.col("n_docs") >= min_docs))
     n = max(1, math.ceil(frequent.count() / SHARD_KEYS))
     shards = cut(build_shards(frequent, n))
     size = shards.agg(F.coalesce(F.sum(F.length("blob")), F.lit(0)).alias("b")).collect()[0].b

@@ -15,9 +15,12 @@ the classes' representatives are clustered again until one block holds them, and
 still spans classes are checked against those of the other classes, in blocks; so candidates are never capped and no
 link between candidates is lost.  Only sets with candidates are ever shuffled.
 
-Defined results: null or empty texts have no shingle and are never linked; copies (also repeated rows) share a class;
-the smallest doc_id names its class and stays; rows with a null doc_id are left out; an empty table gives an empty
-result; further columns of the input are ignored.
+Rows are numbered, and sets are told apart by the number of their first row, never by doc_id.
+
+Defined results: null or empty texts have no shingle, are never linked and each stays; copies (also repeated rows) share
+a class; the smallest doc_id names its class (null if the class has none) and exactly one row of a class stays, one with
+that doc_id (of several the first in the files); different texts with one doc_id are separate documents; an empty table
+gives an empty result; further columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -30,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, map_texts, slices
+from .common import cut, fresh, map_texts, numbered, slices
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -97,16 +100,17 @@ def band_hashes(sig: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE) -> DataFrame:
-    """doc_id, the address (hi, lo) and size of its shingle set, and its bands: those of weight 1, then the weighted ones that differ.
+    """doc_id and row, the address (hi, lo) and size of the shingle set, and its bands: those of weight 1, then the weighted ones that differ.
 
-    Documents without words are left out."""
+    A document without words has a null address and no bands."""
 
     def each(ids: list, texts: list[str]) -> dict[str, list]:
-        sets = [np.unique(h, return_counts=True) for h in (shingle_hashes(t, n) for t in texts)]
-        keep = [k for k, s in enumerate(sets) if len(s[0])]
-        sets = [sets[k] for k in keep]
-        if not sets:
-            return {c: [] for c in ("doc_id", "hi", "lo", "size", "bands")}
+        every = [np.unique(h, return_counts=True) for h in (shingle_hashes(t, n) for t in texts)]
+        keep = [k for k, s in enumerate(every) if len(s[0])]
+        out = {"doc_id": [i[0] for i in ids], "row": [i[1] for i in ids], **{c: [None] * len(ids) for c in ("hi", "lo", "size", "bands")}}
+        if not keep:
+            return out
+        sets = [every[k] for k in keep]
         size = np.array([len(s[0]) for s in sets])
         doc, shingle, count = np.repeat(np.arange(len(sets)), size), np.concatenate([s[0] for s in sets]), np.concatenate([s[1] for s in sets])
         own = list(band_hashes(prob_minhash(doc, shingle, np.ones(len(doc)), len(sets), bands * rows), bands))
@@ -117,10 +121,17 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = S
             sig = prob_minhash(number[doc[at]], shingle[at], 1.0 + np.log(count[at]), int(uneven.sum()), bands * rows)
             for k, h in zip(np.flatnonzero(uneven).tolist(), band_hashes(sig, bands)):
                 own[k] = np.concatenate([own[k], h[h != own[k]]])
-        address = np.frombuffer(b"".join(xxhash.xxh3_128_digest(s[0].tobytes()) for s in sets), np.int64).reshape(-1, 2)
-        return {"doc_id": [ids[k] for k in keep], "hi": address[:, 0], "lo": address[:, 1], "size": size, "bands": own}
+        address = np.array([set_address(s[0]) for s in sets])
+        for j, k in enumerate(keep):
+            out["hi"][k], out["lo"][k], out["size"][k], out["bands"][k] = address[j, 0], address[j, 1], size[j], own[j]
+        return out
+
+    return map_texts(docs, each, "doc_id long, row long, hi long, lo long, size long, bands array<long>", "row")
 
-    return map_texts(docs.filter(F.col("doc_id").isNotNull()), each, "doc_id long, hi long, lo long, size long, bands array<long>")
+
+def set_address(shingles: np.ndarray) -> np.ndarray:
+    """The 128-bit hash of a sorted shingle set, as two integers."""
+    return np.frombuffer(xxhash.xxh3_128_digest(shingles.tobytes()), np.int64)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -180,19 +191,23 @@ def verified(tasks: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return tasks.join(sets, "rep").select("task", "label", "shingles").groupBy("task").applyInArrow(check, "label long, cls long")
 
 
-def deal(members: DataFrame, band: int, block_sets: int, block_shingles: int) -> DataFrame:
-    """Add task and blocks to ``members(comp, size, bands, ...)``: a component, or blocks of it that share a band where they can."""
-    total = members.groupBy(F.col("comp").alias("c")).agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("size") / block_shingles)).alias("blocks"))
-    key = F.element_at("bands", band % BANDS + 1)
-    hot = members.groupBy(F.col("comp").alias("c2"), key.alias("k")).agg(F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("size") / block_shingles)).alias("salts")).filter("salts > 1")
-    both = members.join(total, F.col("comp") == F.col("c")).join(hot, (F.col("comp") == F.col("c2")) & (key == F.col("k")), "left")
-    salt = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("rep", F.lit(band)), F.col("salts"))).otherwise(F.lit(-1))
-    block = F.when(F.col("blocks") == 1, F.lit(0)).otherwise(F.when(salt >= 0, F.xxhash64(key, salt)).otherwise(F.pmod(F.xxhash64(key, F.lit(band)), F.col("blocks"))))
-    return both.withColumn("task", F.concat_ws(":", F.col("comp").cast("string"), block.cast("string"))).drop("c", "c2", "k", "salts")
+def deal(members: DataFrame, turn: int, bands: int, block_sets: int, block_shingles: int) -> DataFrame:
+    """Add task and blocks to ``members(comp, rep, size, bands, ...)``: a component, or blocks of it that share a band where they can.
+
+    The right sides are written, so that both joins are plain exchanges and a large component or bucket can be split."""
+    parts = F.greatest(F.ceil(F.count("*") / block_sets), F.ceil(F.sum("size") / block_shingles))
+    # the first bands are those of weight 1, which every set has
+    members = members.withColumn("key", F.element_at("bands", turn % bands + 1))
+    total = cut(members.groupBy("comp").agg(parts.alias("blocks")))
+    hot = cut(members.groupBy("comp", "key").agg(parts.alias("salts")).filter("salts > 1"))
+    both = members.join(total, "comp").join(hot, ["comp", "key"], "left")
+    salt = F.when(F.col("salts").isNotNull(), F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("salts"))).otherwise(F.lit(-1))
+    block = F.when(F.col("blocks") == 1, F.lit(0)).otherwise(F.when(salt >= 0, F.xxhash64("key", salt)).otherwise(F.pmod(F.xxhash64("key", F.lit(turn)), F.col("blocks"))))
+    return both.withColumn("task", F.concat_ws(":", F.col("comp").cast("string"), block.cast("string"))).drop("key", "salts")
 
 
 def shingle_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
-    """rep and its sorted shingle set, for the documents named in ``reps(rep)``."""
+    """rep and its sorted shingle set, for the rows of ``docs(row, text)`` that are named in ``reps(rep)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in slices(batches):
@@ -200,38 +215,52 @@ def shingle_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
                 sets = [np.unique(shingle_hashes(t, n)).view(np.int64) for t in texts[k : k + 200]]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[k : k + 200], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "shingles"])
 
-    return docs.select("doc_id", "text").join(reps.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi").dropDuplicates(["doc_id"]).mapInArrow(run, "rep long, shingles array<long>")
+    return docs.join(reps.select(F.col("rep").alias("row")), "row", "left_semi").select("row", "text").mapInArrow(run, "rep long, shingles array<long>")
 
 
-def near_duplicates(
+def classified(
     docs: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES
 ) -> DataFrame:
-    """One row per row of ``docs(doc_id, text)`` with an id: doc_id, class_id and kept (the class's smallest doc_id stays)."""
-    docs = docs.select("doc_id", "text")
+    """row, doc_id, class_id and kept of every row of ``docs(row, doc_id, text)``, whose ``row`` is unique."""
     signed = cut(signatures(docs, bands, rows, n))
-    distinct = cut(signed.groupBy("hi", "lo").agg(F.min("doc_id").alias("rep"), F.first("size").alias("size"), F.first("bands").alias("bands")))
-    # of repeated doc_ids with different texts the first set stands for the document
-    member = distinct.groupBy("rep").agg(F.max("size").alias("size"), F.max("bands").alias("bands"))
-    bucket = member.select("rep", F.explode("bands").alias("h"))
+    worded = signed.filter("hi IS NOT NULL")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
+    distinct = cut(worded.groupBy("hi", "lo").agg(F.min("row").alias("rep"), first.alias("first"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    bucket = distinct.select("rep", F.explode("bands").alias("h"))
     heads = bucket.groupBy(F.col("h").alias("h2")).agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     edges = bucket.join(heads, F.col("h") == F.col("h2")).filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
     found = components(edges).withColumnRenamed("node", "rep").withColumnRenamed("root", "comp")
-    found = cut(found.join(member, "rep"))
+    found = cut(found.join(distinct.select("rep", "size", "bands"), "rep"))
     sets = cut(shingle_sets(docs, found, n))
-    dealt = cut(deal(found, 0, block_sets, block_shingles).withColumn("label", F.col("rep")))
+    dealt = cut(deal(found, 0, bands, block_sets, block_shingles).withColumn("label", F.col("rep")))
     classes = cut(dealt.select("rep", "comp", "blocks", "bands", "size").join(verified(dealt, sets, threshold).withColumnRenamed("label", "rep"), "rep"))
     large = classes.filter("blocks > 1")
     if not large.isEmpty():
-        classes = cut(classes.filter("blocks = 1").select("rep", "cls").unionByName(merged(large, sets, threshold, block_sets, block_shingles)))
+        classes = cut(classes.filter("blocks = 1").select("rep", "cls").unionByName(merged(large, sets, threshold, bands, block_sets, block_shingles)))
+    # a class is named by its smallest doc_id; written, so that a hot class can be split in the join
+    of = cut(distinct.select("hi", "lo", "rep", "first").join(classes.select("rep", "cls"), "rep", "left").withColumn("cls", F.coalesce("cls", "rep")))
+    stays = cut(of.groupBy("cls").agg(F.min("first").alias("stay")).select("cls", F.col("stay.doc_id").alias("class_id"), F.col("stay.row").alias("keep")))
     # one row a set gets its class; the copies meet it once, in a join of two plain exchanges that can be split where a set is hot
-    classed = cut(distinct.select("hi", "lo", "rep").join(classes.select("rep", "cls"), "rep", "left").select("hi", "lo", F.coalesce("cls", "rep").alias("class_id")))
-    named = signed.select("doc_id", "hi", "lo").join(classed, ["hi", "lo"]).select("doc_id", "class_id")
-    empty = docs.filter(F.col("doc_id").isNotNull() & (F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")) == ""))
-    everyone = named.unionByName(empty.select("doc_id", F.col("doc_id").alias("class_id")))
-    return everyone.withColumn("kept", F.col("doc_id") == F.col("class_id"))
+    named = cut(of.select("hi", "lo", "cls").join(stays, "cls").drop("cls"))
+    out = worded.select("row", "doc_id", "hi", "lo").join(named, ["hi", "lo"]).select("row", "doc_id", "class_id", (F.col("row") == F.col("keep")).alias("kept"))
+    empty = signed.filter("hi IS NULL").select("row", "doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
+    return out.unionByName(empty)
+
+
+def near_duplicates(docs: DataFrame, **how) -> DataFrame:
+    """One row per row of ``docs(doc_id, text)``: doc_id, class_id and kept; ``how`` as in ``classified``."""
+    return classified(numbered(docs.select("doc_id", "text"), "row"), **how).drop("row")
+
+
+def without_near_copies(docs: DataFrame, **how) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each class, with all their columns."""
+    row = fresh(docs, "row")
+    docs_ = numbered(docs, row)
+    stay = classified(docs_.select("doc_id", F.col(row).alias("row"), "text"), **how).filter("kept").select(F.col("row").alias(row))
+    return docs_.join(stay, row, "left_semi").select(docs.columns)
 
 
-def merged(large: DataFrame, sets: DataFrame, threshold: float, block_sets: int, block_shingles: int) -> DataFrame:
+def merged(large: DataFrame, sets: DataFrame, threshold: float, bands: int, block_sets: int, block_shingles: int) -> DataFrame:
     """Classes (rep, cls) of the components that needed several blocks."""
     # representatives of the blocks' classes, block by block again, while that joins any
     now, turn = large.select("rep", "comp", "bands", "size", "cls"), 0
@@ -239,7 +268,7 @@ def merged(large: DataFrame, sets: DataFrame, threshold: float, block_sets: int,
     while True:
         turn += 1
         heads = now.filter("rep = cls").select("rep", "comp", "bands", "size").withColumn("label", F.col("rep"))
-        dealt = cut(deal(heads, turn, block_sets, block_shingles))
+        dealt = cut(deal(heads, turn, bands, block_sets, block_shingles))
         single = dealt.filter("blocks > 1").isEmpty()
         step = verified(dealt, sets, threshold).select(F.col("label").alias("cls"), F.col("cls").alias("up"))
         now = cut(now.join(step, "cls").select("rep", "comp", "bands", "size", F.col("up").alias("cls")))
