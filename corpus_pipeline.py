@@ -1,42 +1,41 @@
 """A corpus pipeline of five stages.  Each takes (spark, docs, sf_dir), works on all rows that its predecessor kept, and
-returns them with the columns of ``documents``; the last adds ``size`` and ``taken`` (words that the mix takes)."""
+returns them with the columns of ``documents``; the last adds ``size`` and ``taken`` (words that the mix takes).
+
+Rows are decided one by one, by their number in the stage's table and never by doc_id: rows whose doc_id is null or repeats are
+neither lost nor multiplied, and further columns pass through, whatever their names (own columns ``size`` and ``taken`` are
+replaced).  Null and empty texts have no letter and go in the first stage; an empty table gives an empty result."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from loculoom.llm import decontaminate, exact_dedup, language_id, mixing, near_dedup
 from loculoom.llm.common import cut, table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter, or if nothing could be learned, are ``und`` and go."""
+    """Language ID: documents without a letter are in no language (``und``) and go; all others stay, also where nothing could be learned."""
     return language_id.identified(docs, language_id.train(language_id.learning_documents(docs)))
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Exact dedup: of equal texts the largest doc_id stays, once."""
-    kept = exact_dedup.exact_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns)
+    """Exact dedup: of equal texts one row stays, that with the largest doc_id."""
+    return exact_dedup.without_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """MinHash near-dedup: one document of each class stays."""
-    kept = near_dedup.near_duplicates(docs).filter("kept").select("doc_id")
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    """MinHash near-dedup: one document of each class stays, that with the smallest doc_id."""
+    return near_dedup.without_near_copies(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination: documents that hold a test item go."""
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
-    return docs.join(found, "doc_id", "left_anti").select(docs.columns)
+    return decontaminate.without_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mixing sources to target weights: documents of which the mix takes words, with how many."""
-    taken = mixing.mixed(docs).filter("taken > 0").select("doc_id", "size", "taken")
-    return docs.join(taken, "doc_id").select(*docs.columns, "size", "taken")
+    return mixing.mix_rows(docs)
 
 
 STAGES = [
