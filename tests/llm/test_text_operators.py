@@ -33,10 +33,45 @@ def test_token_counts(odd, small, empty):
 def test_token_chunks_compose():
     c, library = token_count.compiled(WORDS), Tokenizer.from_file(WORDS)
     random.seed(5)
-    for _ in range(150):
-        t = "".join(random.choice(["the", "ing", "'s", " ", "\n", "é", "1", "!", "Q", "ſ", "語", "<|endoftext|>"]) for _ in range(random.randint(0, 60)))
+    pieces = ["the", "ing", "'s", "'", "'r", "'ll", "l", "re", " ", "\n", "é", "1", "!", "---", "Q", "ſ", "語", "½", "<|endoftext|>"]
+    for _ in range(300):
+        t = "".join(random.choice(pieces) for _ in range(random.randint(0, 60)))
         want = len(library.encode(t, add_special_tokens=False).ids)
-        assert c.count(t) == want and c.count(t, 5) == want and c.count(t, 1) == want
+        assert c.count(t) == want and all(c.count_in_chunks(t, k) == want for k in (1, 2, 5, 17)), t
+
+
+def test_maps_of_one_long_run(monkeypatch):
+    c, library = token_count.compiled(WORDS), Tokenizer.from_file(WORDS)
+    random.seed(8)
+    monkeypatch.setattr(token_count, "STATES", 3_000)
+    for t in ("".join(random.choice("abcdefghijklmnop") for _ in range(12_000)), "-" * 900 + "=!" * 700, "a" * 5_000, "'" * 900 + "s" * 10):
+        want = len(library.encode(t, add_special_tokens=False).ids)
+        assert c.count(t) == want and c.count_in_chunks(t, 500) == want
+    assert len(c.words.keys) <= 3_000 + token_count.STRIDE + 1
+    # states inside a run meet: the map of a chunk leads from all its entries to few states
+    m = c.state_map("ab" * 40, "cdefgh" * 200, False)
+    assert len(m.to) > 1 and len({s for s, _ in m.to.values()}) == 1
+
+
+def test_scanner_on_all_code_points():
+    c, library = token_count.compiled(WORDS), Tokenizer.from_file(WORDS)
+    for a in range(0, 0x110000, 0x800):
+        if a == 0xD800:
+            continue
+        t = c.normalised(" ".join(f"a{chr(k)}!{chr(k)}{chr(k)}" for k in range(a, a + 0x800)))
+        assert t == library.normalizer.normalize_str(t)
+        want = [t[x:y] for _, (x, y) in library.pre_tokenizer.pre_tokenize_str(t)]
+        got = [t[m.start() : m.end()] for m in c.scan_marks(t.translate(c.kinds))] if c.beyond(t) else c.scan_latin(t)
+        assert got == want
+
+
+def test_long_texts_are_dealt_in_chunks(spark):
+    library = Tokenizer.from_file(WORDS)
+    random.seed(9)
+    texts = ["".join(random.choice(["word", " ", "x", "'s", "1", "<|endoftext|>", "é"]) for _ in range(n)) for n in (0, 40, 700, 2_000)] + ["qwertz" * 300, "qwertz" * 300, None]
+    docs = spark.createDataFrame([(k // 2 if k else None, t, 1, 2) for k, t in enumerate(texts)], "doc_id long, text string, row long, part long").repartition(3)
+    want = Counter((k // 2 if k else None, len((t or "").encode()), n := len(library.encode(t or "", add_special_tokens=False).ids), n > 50) for k, t in enumerate(texts))
+    assert Counter(map(tuple, token_count.token_counts(docs, WORDS, limit=50, long=300, chunk=64).collect())) == want
 
 
 def brute_score(lattice, word):
