@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 from .common import crc_mod, cut, pa_schema, slices
 
 HEAD, HEAD_CHARS = 200_000, 64
-#: Distinct words that a task counts before it passes the counts on.
-LOCAL_WORDS = 400_000
+#: Distinct words that a task counts before it passes the counts on, and their bytes together.
+LOCAL_WORDS, LOCAL_BYTES = 400_000, 64 << 20
 START = "▁"
 #: Words of at most this length are scored together.  The piece table's hash.
 TOGETHER, SLOTS, SHIFT, FACTOR, SPREAD = 64, 1 << 20, 44, 0x5851F42D4C957F2D, 0x9E3779B97F4A7C15
@@ -166,6 +166,7 @@ def count_words(docs: DataFrame, train) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
         others: set = set()
+        held = 0
 
         def out() -> pa.RecordBatch:
             keys = [*seen, *(others - seen.keys())]
@@ -176,9 +177,13 @@ def count_words(docs: DataFrame, train) -> DataFrame:
 
         for b in batches:
             for t, learns in zip(b.column(0), b.column(1).to_pylist()):
-                (seen if learns else others).update(words(t.as_py() or ""))
-                if len(seen) + len(others) > LOCAL_WORDS:
+                tokens = words(t.as_py() or "")
+                (seen if learns else others).update(tokens)
+                # at most what the text adds: short words repeat, long ones hardly do
+                held += sum(len(w) for w in tokens if len(w) > TOGETHER)
+                if len(seen) + len(others) > LOCAL_WORDS or held > LOCAL_BYTES:
                     yield out()
+                    held = 0
         yield out()
 
     counted = docs.select("text", train.alias("train")).mapInArrow(run, "word string, c long")
