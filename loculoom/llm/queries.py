@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from . import decontaminate, exact_dedup, language_id, lattice_lm, licences, line_dedup, mixing, near_dedup, pii, token_count
 from .common import table
@@ -49,10 +50,62 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(mixing.mixed(table(spark, sf_dir, "documents")))
 
 
+def personal_data_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op6 SQL expresses: the numbers of base spans."""
+    return op6_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+
+
+def licence_places_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op7 SQL expresses: the places of phrases."""
+    return op7_licences(spark, sf_dir).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels")
+
+
+def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op4 SQL expresses: the base score, to four places."""
+    return op4_lm_scores(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
+
+
+LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+PERSONAL_DATA_SQL = r"""
+WITH m AS (SELECT doc_id,
+    len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')) AS n_email,
+    list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda x: len(list_filter(string_split(x, '.'), lambda p: coalesce(TRY_CAST(p AS UBIGINT) > 255, true))) = 0) AS ips,
+    list_transform(regexp_extract_all(coalesce(text, ''), '[0-9]([\x20-]?[0-9])+'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS cards,
+    list_filter(regexp_extract_all(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) BETWEEN 9 AND 15) AS phones FROM documents)
+SELECT doc_id, n_email, len(ips) AS n_ip,
+       len(list_filter(cards, lambda x: length(x) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(x) + 1), lambda i:
+           CASE WHEN (length(x) - i) % 2 = 0 THEN CAST(x[i] AS INT) WHEN CAST(x[i] AS INT) > 4 THEN 2 * CAST(x[i] AS INT) - 9 ELSE 2 * CAST(x[i] AS INT) END)) % 10 = 0)) AS n_card,
+       len(phones) AS n_phone
+FROM m
+"""
+LICENCE_PLACES_SQL = rf"""
+WITH w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+p AS (SELECT doc_id, len(w) AS n_words, list_filter(range(0, len(w)), lambda i: w[i + 1] = 'mit' AND w[i + 2] = 'license') AS mit,
+             list_filter(range(0, len(w)), lambda i: w[i + 1] = 'apache' AND w[i + 2] = 'license') AS apache,
+             list_filter(range(0, len(w)), lambda i: w[i + 1] = 'general' AND w[i + 2] = 'public' AND w[i + 3] = 'license') AS gpl FROM w)
+SELECT doc_id, n_words, len(mit) + len(apache) + len(gpl) AS n_base, list_min(mit || apache || gpl) AS first_word, list_max(mit || apache || gpl) AS last_word,
+       concat_ws(',', CASE WHEN len(apache) > 0 THEN 'apache' END, CASE WHEN len(gpl) > 0 THEN 'gpl' END, CASE WHEN len(mit) > 0 THEN 'mit' END) AS base_labels
+FROM p
+"""
+#: The checksum of the id is worked out with its usual table of 256 entries.
+LM_BASE_SQL = rf"""
+WITH RECURSIVE bits(i, c, k) AS (SELECT range, range, 0 FROM range(0, 256) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+sums(doc_id, s, p, c) AS (
+    SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM documents
+    UNION ALL SELECT doc_id, s, p + 1, xor(sums.c // 256, bits.c) FROM sums JOIN bits ON k = 8 AND i = xor(sums.c % 256, ascii(substr(s, p + 1, 1))) WHERE p < length(s)),
+folds AS (SELECT doc_id, xor(c, 4294967295) % 7 = 2 AS held_out FROM sums WHERE p = length(s)),
+w AS (SELECT doc_id, unnest(list_append(regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+'), '')) AS word FROM documents),
+c AS (SELECT word, count(*) AS c FROM w JOIN folds USING (doc_id) WHERE NOT held_out GROUP BY word),
+t AS (SELECT CAST(sum(c) AS BIGINT) AS n, count(*) AS v FROM c)
+SELECT doc_id, any_value(held_out) AS held_out, count(*) AS n_tokens, count(*) FILTER (WHERE c > 0) AS n_known, any_value(n) AS train_tokens,
+       round(sum(log10((coalesce(c, 0) + 1) / CAST(n + v + 1 AS DOUBLE))), 4) AS base_score
+FROM w JOIN folds USING (doc_id) LEFT JOIN c USING (word), t GROUP BY doc_id
+"""
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_decontamination, op6_personal_data, op7_licences, op8_near_dedup, op9_languages, op10_mixing,
+        personal_data_base, licence_places_base, lm_base_scores,
     )
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL}
+ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL, "personal_data_base": PERSONAL_DATA_SQL, "licence_places_base": LICENCE_PLACES_SQL, "lm_base_scores": LM_BASE_SQL}

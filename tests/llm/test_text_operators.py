@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from loculoom.llm import language_id, lattice_lm, licences, pii, token_count
+from loculoom.llm import language_id, lattice_lm, licences, pii, queries, token_count
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -277,3 +277,14 @@ def test_features_of_long_texts():
     finally:
         language_id.PIECE = whole
     assert (want[0] == got[0]).all() and (want[1] == got[1]).all()
+
+
+@pytest.mark.parametrize("name", ["personal_data_base", "licence_places_base", "lm_base_scores"])
+def test_base_columns_in_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
+    assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
