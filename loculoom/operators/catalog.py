@@ -34,7 +34,8 @@ def list_aggregates(analyses: DataFrame, members: DataFrame, kind: str) -> DataF
     """Newest first: each cohort's latest aggregate, its size, and whether the analysis is shared by several cohorts (legacy)."""
     of = analyses.filter(F.col("type") == kind)
     shared = of.groupBy("analysis_id").agg((F.count_distinct("cohort_id") > 1).alias("legacy"))
-    sizes = members.groupBy("cohort_id").agg(F.count("*").alias("size"))
+    name = F.first("cohort_name", ignorenulls=True) if "cohort_name" in members.columns else F.lit(None).cast("string")
+    sizes = members.groupBy("cohort_id").agg(F.count("*").alias("size"), name.alias("cohort_name"))
     out = latest_by_id(of, "cohort_id").join(shared, "analysis_id", "left").join(sizes, "cohort_id", "left")
     return out.orderBy(F.coalesce("ts", F.lit("")).desc(), F.coalesce(F.col("cohort_id").cast("string"), F.lit("")).desc())
 
@@ -129,10 +130,15 @@ def merge_plan(members: DataFrame, analyses: DataFrame, super_ids: DataFrame, pr
 
 
 def format_merge_plan(plan: dict, previous: str | None) -> str:
-    new = sum(p["new_count"] for p in plan["plates"])
-    head = f"Rolling merge on top of {previous}" if previous else "Bootstrap merge (no previous aggregate)"
-    lines = [head, f"  cohort size: {plan['size']}", f"  new: {new}", f"  carried forward: {plan['size'] - new}", f"  withdrawn: {len(plan['samples_to_remove'])}", f"  plates pulled: {len(plan['plates'])}"]
-    return "\n".join(lines + [f"    {p['cohort_id']}: {p['new_count']} new" for p in sorted(plan["plates"], key=lambda p: p["cohort_id"])])
+    """The plan as text: sizes, withdrawn ids, plates by id.  The wording of its lines is an interchange format."""
+    new, gone, plates = sum(p["new_count"] for p in plan["plates"]), plan["samples_to_remove"], plan["plates"]
+    what = f"previous aggregate cohort {previous}" if previous else "bootstrap \u2014 no previous aggregate"
+    rows = [
+        ("super cohort:", f"{plan['size']} SGs"), ("carried forward:", f"{plan['size'] - new} SGs (from previous aggregate)"), ("withdrawn:", f"{len(gone)} SGs" + (f" {gone}" if gone else "")),
+        ("new:", f"{new} SGs from {len(plates)} plate cohort(s):"),
+    ]
+    text = [f"Rolling merge plan ({what}):", *(f"  {k:<23}{v}" for k, v in rows), *(f"       {p['cohort_id']}:  {p['new_count']} new SGs" for p in sorted(plates, key=lambda p: p["cohort_id"]))]
+    return "\n".join([*text, f"  {'expected merged total:':<23}{plan['size']} SGs"])
 
 
 def latest_manifest(manifests: DataFrame, token: str, match: str = "exact") -> DataFrame:
@@ -142,11 +148,30 @@ def latest_manifest(manifests: DataFrame, token: str, match: str = "exact") -> D
     return manifests.filter(hit).orderBy(F.coalesce(F.col("id").try_cast("long"), F.lit(0)).desc()).limit(1)
 
 
+def manifest_path(manifests: DataFrame, cohort_id: str, match: str = "substring") -> str:
+    """The path of a cohort's latest manifest; none, or one without a path, is an error."""
+    got = latest_manifest(manifests, cohort_id, match).collect()
+    if not got:
+        names = [r.basename for r in manifests.select("basename").orderBy("basename").limit(20).collect()]
+        raise ValueError(f"No manifest found for cohort {cohort_id}; there are: {', '.join(map(str, names))}")
+    if not got[0].path:
+        raise ValueError(f"manifest {got[0].id} of cohort {cohort_id} has no path")
+    return got[0].path
+
+
 def gtc_mapping(manifest: DataFrame, members: DataFrame) -> DataFrame:
     """sg_id, gtc and old_name of a cohort's samples that the manifest lists in full."""
     return manifest.join(members.select("sg_id"), "sg_id", "left_semi")
 
 
+def gtc_path(manifest: DataFrame, sg_id: str) -> str:
+    """The GTC file of one sample by ``manifest(sg_id, gtc)``; a sample that is not listed is an error."""
+    got = manifest.filter(F.col("sg_id") == sg_id).select("gtc").limit(1).collect()
+    if not got:
+        raise ValueError(f"{sg_id} is not in the manifest of {manifest.count()} entries")
+    return got[0].gtc
+
+
 def manifest_rows(samples: DataFrame, cohort_id: str, folder: str) -> DataFrame:
     """The 14-column manifest of samples(sg_id, sample_id, external_id, type, meta map, plate), by plate, barcode and position."""
     bad = samples.filter((F.col("type") != "genotypingarray") | F.try_element_at("meta", F.lit("barcode")).isNull() | F.try_element_at("meta", F.lit("position")).isNull())
@@ -178,9 +203,19 @@ def check_files(wanted: DataFrame, listed: DataFrame) -> None:
         raise ValueError(f"missing: {none}; empty: {empty}")
 
 
+#: The headers of the listing and the columns under them.
+LISTING = {"COHORT_ID": "cohort_id", "COHORT_NAME": "cohort_name", "N_SGS": "size", "CREATED": "ts", "ANALYSIS_ID": "analysis_id", "OUTPUT": "path"}
+
+
+def format_listing(rows: list[dict]) -> str:
+    """The listing of aggregates; a cohort without a name goes by its id, and legacy aggregates are marked behind the name."""
+    named = [r | {"cohort_name": (r.get("cohort_name") or r["cohort_id"] or "-") + (" [legacy]" if r.get("legacy") else ""), "size": r.get("size") or 0} for r in rows]
+    return format_table([{h: r.get(c) or (0 if c == "size" else None) for h, c in LISTING.items()} for r in named], list(LISTING))
+
+
 def format_table(rows: list[dict], columns: list[str]) -> str:
-    """Left-justified columns two spaces apart, '-' for null; legacy rows are marked."""
+    """Left-justified columns two spaces apart, '-' for null."""
     text = [[("-" if r.get(c) is None else str(r[c])) for c in columns] for r in rows]
     width = [max([len(c), *(len(t[i]) for t in text)]) for i, c in enumerate(columns)]
-    line = lambda cells: "  ".join(x.ljust(w) for x, w in zip(cells, width)).rstrip()
-    return "\n".join([line(columns), *(line(t) + ("  [legacy]" if r.get("legacy") else "") for t, r in zip(text, rows))])
+    line = lambda cells: "  ".join(x.ljust(w) for x, w in zip(cells, width))
+    return "\n".join([line(columns), *map(line, text)])

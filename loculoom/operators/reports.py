@@ -7,10 +7,11 @@ from pyspark.sql import functions as F
 
 from ..functions import float_text, ordered_concat, passes, require
 
-SUMMARY = ("total", "first_fail_gentrain", "first_fail_cluster_sep", "first_fail_fmiss", "first_fail_hwe", "fail_gentrain", "fail_cluster_sep", "fail_fmiss", "fail_hwe", "excluded", "retained")
+#: The metrics of the summary, in order.
+SUMMARY = ("total_variants", "first_fail_gentrain", "first_fail_cluster_sep", "first_fail_fmiss", "first_fail_hwe", "fail_gentrain", "fail_cluster_sep", "fail_fmiss", "fail_hwe", "total_excluded", "total_retained")
 #: Relationship classes by column of the sample report.
-DEGREES = {"Dup/MZ": "RELATED_DUP", "PO": "RELATED_1ST", "FS": "RELATED_1ST", "2nd": "RELATED_2ND", "3rd": "RELATED_3RD"}
-DEGREE_COLUMNS = ["RELATED_DUP", "RELATED_1ST", "RELATED_2ND", "RELATED_3RD"]
+DEGREES = {"Dup/MZ": "RELATED_MZ", "PO": "RELATED_1ST", "FS": "RELATED_1ST", "2nd": "RELATED_2ND", "3rd": "RELATED_3RD"}
+DEGREE_COLUMNS = ["RELATED_MZ", "RELATED_1ST", "RELATED_2ND", "RELATED_3RD"]
 SEG_COLUMNS = ("ID1", "ID2", "IBD1Seg", "IBD2Seg", "InfType")
 
 
@@ -32,7 +33,7 @@ def summary_row(flagged: DataFrame) -> DataFrame:
         firsts.append(F.count_if(before & ~ok).alias(f"first_fail_{t}"))
         fails.append(F.count_if(~ok).alias(f"fail_{t}"))
         before = before & ok
-    return flagged.agg(F.count("*").alias("total"), *firsts, *fails, F.count_if(~F.col("pass")).alias("excluded"), F.count_if("pass").alias("retained"))
+    return flagged.agg(F.count("*").alias("total_variants"), *firsts, *fails, F.count_if(~F.col("pass")).alias("total_excluded"), F.count_if("pass").alias("total_retained"))
 
 
 def summary(flagged: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def summary(flagged: DataFrame) -> DataFrame:
 
 
 def variant_qc(egt: DataFrame, vmiss: DataFrame, hwe_ids: DataFrame, **thresholds: float) -> DataFrame:
-    """Flags of every array variant; duplicate ids are kept, and a variant without missingness fails."""
+    """Flags of every array variant; duplicate ids are kept, and a variant without missingness fails.  Further columns of ``egt`` (its order) stay."""
     return flag_variants(egt.join(vmiss.select("ID", "F_MISS"), "ID", "left"), hwe_ids, **thresholds)
 
 
@@ -67,6 +68,19 @@ def relatedness_wide(seg: DataFrame, validate: bool = True) -> DataFrame:
     return joined.groupBy("IID").pivot("degree", DEGREE_COLUMNS).agg(F.first("payload"))
 
 
+#: Columns of the external tools by those of this package.
+TOOL_COLUMNS = {
+    "missing_ct": "MISSING_CT", "obs_ct": "OBS_CT", "f_miss": "F_MISS", "o_hom": "O_HOM", "e_hom": "E_HOM", "n_nm": "N_NM", "f": "F", "pedsex": "PEDSEX", "snpsex": "SNPSEX",
+    "status": "STATUS", "xf": "F", "ycount": "YCOUNT", "yrate": "YRATE",
+}
+
+
+def tool_names(table: DataFrame) -> DataFrame:
+    """A table of the raw QC with the tools' column names, keyed by FID (0: none) and IID."""
+    out = table.withColumnRenamed("sample_id", "IID").withColumnsRenamed({k: v for k, v in TOOL_COLUMNS.items() if k in table.columns})
+    return out.select(F.lit("0").alias("FID"), "IID", *[c for c in out.columns if c != "IID"])
+
+
 def join_suffixed(left: DataFrame, right: DataFrame, on: list[str], suffix: str, how: str = "inner") -> DataFrame:
     """Equi-join in which only the right side's colliding columns get the suffix."""
     for c in right.columns:
@@ -83,4 +97,5 @@ def sample_qc(smiss: DataFrame, het: DataFrame, sexcheck: DataFrame, related: Da
         out = out.join(related, "IID", "left")
     if baf is not None and "IID" in baf.columns:
         out = join_suffixed(out, baf, ["IID"], "_baf", "left")
-    return out
+    # joins put their keys first
+    return out.select(*smiss.columns, *[c for c in out.columns if c not in smiss.columns])

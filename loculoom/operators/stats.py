@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import hwe_exact, passes
+from .hwe_x import hwe_x
 
 
 def missingness(calls: DataFrame, by: str) -> DataFrame:
@@ -14,6 +15,31 @@ def missingness(calls: DataFrame, by: str) -> DataFrame:
     return out.withColumn("f_miss", F.col("missing_ct").cast("double") / F.col("obs_ct"))
 
 
+def cohort_missingness(calls: DataFrame, by: str) -> DataFrame:
+    """``missingness`` over every variant of every sample: what the calls do not list (a variant that a plate lacks) is a no-call.
+
+    Rows of calls are unique by variant and sample, so counts against the cohort's size do, and no grid is built.
+    """
+    other = "variant_id" if by == "sample_id" else "sample_id"
+    size = calls.agg(F.count_distinct(other).alias("n")).scalar()
+    out = calls.groupBy(by).agg(F.count("dosage").alias("called")).withColumn("obs_ct", size)
+    out = out.select(by, (F.col("obs_ct") - F.col("called")).alias("missing_ct"), "obs_ct")
+    return out.withColumn("f_miss", F.col("missing_ct").cast("double") / F.col("obs_ct"))
+
+
+def with_ploidy(calls: DataFrame, people: DataFrame) -> DataFrame:
+    """Calls(chrom, ...) with ploidy by ``people(sample_id, sex)``: 1 on chrX of males, chrY of males and chrM, 0 on chrY of females, else 2.
+
+    Haploid dosages are counted in alleles (0 or 1); a heterozygous haploid call and a call without ploidy are no-calls.
+    """
+    sex = people.select("sample_id", F.col("sex").cast("int").alias("sex_"))
+    male, chrom = F.coalesce(F.col("sex_") == 1, F.lit(False)), F.regexp_replace("chrom", "^chr", "")
+    haploid = (chrom.isin("X", "23") & male) | (chrom.isin("Y", "24") & ~F.coalesce(F.col("sex_") == 2, F.lit(False))) | chrom.isin("M", "MT", "26")
+    out = calls.join(sex, "sample_id", "left").withColumn("ploidy", F.when(haploid, 1).when(chrom.isin("Y", "24"), 0).otherwise(2))
+    dosage = F.when(F.col("ploidy") == 2, F.col("dosage")).when((F.col("ploidy") == 1) & (F.col("dosage") != 1), (F.col("dosage") / 2).cast("int"))
+    return out.withColumn("dosage", dosage).drop("sex_")
+
+
 def allele_frequency(calls: DataFrame, ploidy: Column | None = None) -> DataFrame:
     """alt_freq and obs_ct (alleles) per variant; ploidy is 2 unless given per call (dosage then counts 0..ploidy)."""
     alleles = F.when(F.col("dosage").isNotNull(), F.lit(2) if ploidy is None else ploidy)
@@ -60,7 +86,24 @@ def hardy_weinberg(calls: DataFrame, midp: bool = True) -> DataFrame:
     return genotype_counts(calls).withColumn("p_hwe", hwe_exact(F.col("hom_ref"), F.col("het"), F.col("hom_alt"), midp))
 
 
-def hwe_pass(tested: DataFrame, p: float = 1e-6, k: float = 0.0, keep_few_het: bool = True) -> DataFrame:
+def hardy_weinberg_x(calls: DataFrame, people: DataFrame, midp: bool = True) -> DataFrame:
+    """Female genotype counts, male allele counts and the exact test for chromosome X per variant; samples of unknown sex do not count.
+
+    The test takes females and males together: how many ALT alleles the males hold and how many females are heterozygous, given
+    all ALT alleles.  It runs once per distinct set of counts, in Arrow batches.
+    """
+    sex = people.select("sample_id", F.col("sex").cast("int").alias("sex"))
+    known = calls.select("variant_id", "sample_id", "dosage").join(sex, "sample_id", "left")
+    female = [F.count_if((F.col("sex") == 2) & (F.col("dosage") == k)).alias(c) for k, c in enumerate(("hom_ref", "het", "hom_alt"))]
+    # a heterozygous male call is none
+    male = [F.count_if((F.col("sex") == 1) & (F.col("dosage") == k)).alias(c) for k, c in ((0, "male_ref"), (2, "male_alt"))]
+    counts = known.groupBy("variant_id").agg(*female, *male)
+    keys = ["hom_ref", "het", "hom_alt", "male_ref", "male_alt"]
+    tested = hwe_x(counts.select(*keys).distinct(), midp)
+    return counts.join(tested, keys).select("variant_id", *keys, "p_hwe")
+
+
+def hwe_pass(tested: DataFrame, p: float = 1e-5, k: float = 0.001, keep_few_het: bool = True) -> DataFrame:
     """Variants to keep: p-value of at least p * 10^(-n * k), or (keep_few_het) no more heterozygotes than expected."""
     n = F.col("hom_ref") + F.col("het") + F.col("hom_alt")
     alt = (2 * F.col("hom_alt") + F.col("het")).cast("double")

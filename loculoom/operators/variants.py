@@ -42,6 +42,14 @@ def exclude_duplicates(df: DataFrame, *keys: str) -> DataFrame:
     return df.withColumn("copies_", F.count("*").over(Window.partitionBy(*keys))).filter("copies_ = 1").drop("copies_")
 
 
+def without_repeated_ids(calls: DataFrame) -> DataFrame:
+    """Drop all calls of a variant id that stands for several records: a sample with two calls, or (``bpm_index``) two array positions."""
+    per = calls.groupBy("variant_id", "sample_id").agg(F.count("*").alias("n"), *([F.min("bpm_index").alias("a"), F.max("bpm_index").alias("b")] if "bpm_index" in calls.columns else []))
+    records = F.lit(True) if "bpm_index" not in calls.columns else F.min("a").eqNullSafe(F.max("b"))
+    once = per.groupBy("variant_id").agg(((F.max("n") == 1) & records).alias("once")).filter("once").select("variant_id")
+    return calls.join(once, "variant_id", "left_semi").select(calls.columns)
+
+
 def split_par(df: DataFrame) -> DataFrame:
     """chrX positions of the pseudo-autosomal regions become PAR1 and PAR2."""
     x = F.col("chrom").isin("chrX", "X", "23")

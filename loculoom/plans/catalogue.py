@@ -76,7 +76,59 @@ def sample_missingness(spark, sf_dir):
 @query(f"""WITH {CALLS}, grid AS (SELECT v.variant_id, s.sample_id FROM (SELECT DISTINCT variant_id FROM calls) v CROSS JOIN (SELECT DISTINCT sample_id FROM calls) s)
 SELECT g.variant_id, {MISS} FROM grid g LEFT JOIN calls c ON g.variant_id = c.variant_id AND g.sample_id = c.sample_id GROUP BY g.variant_id""")
 def variant_missingness_grid(spark, sf_dir):
-    return six(stats.missingness(samples.complete_grid(calls(spark, sf_dir)), "variant_id"), "f_miss")
+    return six(stats.cohort_missingness(calls(spark, sf_dir), "variant_id"), "f_miss")
+
+
+#: Suppliers of even nations are a plate that holds every variant, those of odd nations one that lacks each third.
+UNLIKE = "unlike AS (SELECT c.* FROM calls c JOIN supplier ON sample_id = s_suppkey WHERE s_nationkey % 2 = 0 OR variant_id % 3 <> 0)"
+
+
+def unlike_plates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample_id"), "s_nationkey")
+    c = calls(spark, sf_dir).join(nation, "sample_id")
+    plate = [c.filter("s_nationkey % 2 = 0"), c.filter("s_nationkey % 2 = 1 AND variant_id % 3 <> 0")]
+    return samples.merge_plates([p.drop("s_nationkey") for p in plate])
+
+
+@query(f"""WITH {CALLS}, {UNLIKE}, grid AS (SELECT v.variant_id, s.sample_id FROM (SELECT DISTINCT variant_id FROM unlike) v CROSS JOIN (SELECT DISTINCT sample_id FROM unlike) s)
+SELECT g.variant_id, {MISS} FROM grid g LEFT JOIN unlike c ON g.variant_id = c.variant_id AND g.sample_id = c.sample_id GROUP BY g.variant_id""")
+def plate_merge_missingness(spark, sf_dir):
+    return six(stats.cohort_missingness(unlike_plates(spark, sf_dir), "variant_id"), "f_miss")
+
+
+@query(f"""WITH {CALLS}, {UNLIKE}, grid AS (SELECT v.variant_id, s.sample_id FROM (SELECT DISTINCT variant_id FROM unlike) v CROSS JOIN (SELECT DISTINCT sample_id FROM unlike) s)
+SELECT g.sample_id, {MISS} FROM grid g LEFT JOIN unlike c ON g.variant_id = c.variant_id AND g.sample_id = c.sample_id GROUP BY g.sample_id""")
+def plate_merge_sample_missingness(spark, sf_dir):
+    return six(stats.cohort_missingness(unlike_plates(spark, sf_dir), "sample_id"), "f_miss")
+
+
+def people(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers with a sex by nation: unknown, male or female."""
+    return read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample_id"), (F.col("s_nationkey") % 3).cast("int").alias("sex"))
+
+
+@query(f"""WITH {CALLS}, p AS (SELECT variant_id, dosage, CASE WHEN variant_id % 4 = 0 AND s_nationkey % 3 = 1 THEN 1 WHEN variant_id % 4 = 1 AND s_nationkey % 3 <> 2 THEN 1 WHEN variant_id % 4 = 1 THEN 0 ELSE 2 END AS ploidy
+FROM calls JOIN supplier ON sample_id = s_suppkey),
+d AS (SELECT variant_id, CASE WHEN ploidy = 2 THEN dosage WHEN ploidy = 1 AND dosage <> 1 THEN dosage // 2 END AS a, ploidy FROM p)
+SELECT variant_id, CAST(coalesce(sum(CASE WHEN a IS NOT NULL THEN ploidy END), 0) AS BIGINT) AS obs_ct, round(sum(a)::DOUBLE / nullif(sum(CASE WHEN a IS NOT NULL THEN ploidy END), 0), 6) AS alt_freq FROM d GROUP BY variant_id""")
+def allele_freq_by_ploidy(spark, sf_dir):
+    chrom = F.when(F.col("variant_id") % 4 == 0, "chrX").when(F.col("variant_id") % 4 == 1, "chrY").otherwise("chr1")
+    c = stats.with_ploidy(calls(spark, sf_dir).withColumn("chrom", chrom), people(spark, sf_dir))
+    return six(stats.allele_frequency(c, F.col("ploidy")), "alt_freq").withColumn("obs_ct", F.col("obs_ct").cast("long"))
+
+
+@query(f"""WITH {CALLS}, g AS (SELECT variant_id, count(*) FILTER (WHERE s_nationkey % 3 = 2 AND dosage = 0) AS hom_ref, count(*) FILTER (WHERE s_nationkey % 3 = 2 AND dosage = 1) AS het,
+count(*) FILTER (WHERE s_nationkey % 3 = 2 AND dosage = 2) AS hom_alt, count(*) FILTER (WHERE s_nationkey % 3 = 1 AND dosage = 0) AS male_ref, count(*) FILTER (WHERE s_nationkey % 3 = 1 AND dosage = 2) AS male_alt
+FROM calls JOIN supplier ON sample_id = s_suppkey GROUP BY variant_id),
+u AS (SELECT DISTINCT hom_ref, het, hom_alt, male_ref, male_alt, hom_ref + het + hom_alt AS f, male_ref + male_alt AS n, 2 * hom_alt + het + male_alt AS alt FROM g),
+m AS (SELECT *, unnest(range(greatest(0, alt - 2 * f), least(n, alt) + 1)) AS m FROM u WHERE f + n > 0),
+k AS (SELECT *, unnest(range((alt - m) % 2, least(alt - m, 2 * f - alt + m) + 1, 2)) AS k FROM m),
+w AS (SELECT *, k * ln(2.0::DOUBLE) - lgamma(m + 1) - lgamma(n - m + 1) - lgamma(k + 1) - lgamma((alt - m - k) // 2 + 1) - lgamma(f - k - (alt - m - k) // 2 + 1)
+   - (het * ln(2.0::DOUBLE) - lgamma(male_alt + 1) - lgamma(male_ref + 1) - lgamma(het + 1) - lgamma(hom_alt + 1) - lgamma(hom_ref + 1)) AS d FROM k),
+p AS (SELECT hom_ref, het, hom_alt, male_ref, male_alt, (sum(CASE WHEN d < -1e-8 THEN exp(d) WHEN d <= 1e-8 THEN 0.5::DOUBLE ELSE 0 END)) / sum(exp(d)) AS p_hwe FROM w GROUP BY ALL)
+SELECT variant_id, hom_ref, het, hom_alt, male_ref, male_alt, round(p_hwe, 6) AS p_hwe FROM g LEFT JOIN p USING (hom_ref, het, hom_alt, male_ref, male_alt)""")
+def hwe_chrx(spark, sf_dir):
+    return six(stats.hardy_weinberg_x(calls(spark, sf_dir), people(spark, sf_dir)), "p_hwe")
 
 
 AF = "af AS (SELECT variant_id, CAST(2 * count(dosage) AS BIGINT) AS obs_ct, sum(dosage)::DOUBLE / nullif(2 * count(dosage), 0) AS alt_freq FROM calls GROUP BY variant_id)"
@@ -128,7 +180,7 @@ STRICT = f"passed AS (SELECT variant_id FROM hwe WHERE coalesce(p_hwe >= {HWE_P}
 
 @query(f"WITH {HWE}, {PASSED} SELECT variant_id FROM passed")
 def hwe_pass_list(spark, sf_dir):
-    return stats.hwe_pass(stats.hardy_weinberg(calls(spark, sf_dir)), HWE_P)
+    return stats.hwe_pass(stats.hardy_weinberg(calls(spark, sf_dir)), HWE_P, 0.0)
 
 
 @query("""SELECT l_suppkey AS sample_id, round(regr_slope(CASE WHEN d = 0 THEN l_discount ELSE 1 - l_discount END, CASE WHEN d = 0 THEN l_tax ELSE 1 - l_tax END), 6) AS contamination,
@@ -147,7 +199,7 @@ def egt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = calls(spark, sf_dir)
     vmiss = stats.missingness(c, "variant_id").select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"))
-    passed = stats.hwe_pass(stats.hardy_weinberg(c), HWE_P, keep_few_het=False).select(F.col("variant_id").alias("ID"))
+    passed = stats.hwe_pass(stats.hardy_weinberg(c), HWE_P, 0.0, keep_few_het=False).select(F.col("variant_id").alias("ID"))
     return reports.variant_qc(egt(spark, sf_dir), vmiss, passed, gentrain_min=GENTRAIN_MIN, cluster_sep_min=CLUSTER_SEP_MIN, fmiss_max=FMISS_MAX)
 
 
@@ -163,10 +215,10 @@ def snp_qc_flags(spark, sf_dir):
     return six(flagged(spark, sf_dir), "F_MISS")
 
 
-@query(f"""WITH {FLAGGED}, c AS (SELECT count(*) AS total, count(*) FILTER (WHERE NOT pass_gentrain) AS fail_gentrain, count(*) FILTER (WHERE NOT pass_cluster_sep) AS fail_cluster_sep,
+@query(f"""WITH {FLAGGED}, c AS (SELECT count(*) AS total_variants, count(*) FILTER (WHERE NOT pass_gentrain) AS fail_gentrain, count(*) FILTER (WHERE NOT pass_cluster_sep) AS fail_cluster_sep,
 count(*) FILTER (WHERE NOT pass_fmiss) AS fail_fmiss, count(*) FILTER (WHERE NOT pass_hwe) AS fail_hwe, count(*) FILTER (WHERE NOT pass_gentrain) AS first_fail_gentrain,
 count(*) FILTER (WHERE pass_gentrain AND NOT pass_cluster_sep) AS first_fail_cluster_sep, count(*) FILTER (WHERE pass_gentrain AND pass_cluster_sep AND NOT pass_fmiss) AS first_fail_fmiss,
-count(*) FILTER (WHERE pass_gentrain AND pass_cluster_sep AND pass_fmiss AND NOT pass_hwe) AS first_fail_hwe, count(*) FILTER (WHERE NOT "pass") AS excluded, count(*) FILTER (WHERE "pass") AS retained FROM flags)
+count(*) FILTER (WHERE pass_gentrain AND pass_cluster_sep AND pass_fmiss AND NOT pass_hwe) AS first_fail_hwe, count(*) FILTER (WHERE NOT "pass") AS total_excluded, count(*) FILTER (WHERE "pass") AS total_retained FROM flags)
 SELECT metric, value FROM (UNPIVOT c ON {', '.join(reports.SUMMARY)} INTO NAME metric VALUE value)""")
 def snp_qc_summary(spark, sf_dir):
     return reports.summary(flagged(spark, sf_dir))
@@ -178,21 +230,16 @@ def snp_qc_inclusion(spark, sf_dir):
 
 
 SEGS = """seg AS (SELECT sample_id AS "ID1", variant_id AS "ID2", (dosage + 1)::DOUBLE / 4 AS ibd1, (sample_id % 5)::DOUBLE / 8 AS ibd2, CASE dosage WHEN 0 THEN 'PO' WHEN 1 THEN 'FS' ELSE '3rd' END AS inf,
-row_number() OVER (ORDER BY sample_id, variant_id) AS ord FROM calls WHERE sample_id < variant_id AND variant_id < 100 AND dosage IS NOT NULL)"""
+row_number() OVER (ORDER BY sample_id, variant_id) AS ord FROM calls WHERE sample_id < variant_id AND dosage IS NOT NULL)"""
 TEXT = "(CASE WHEN d LIKE '%.%' THEN regexp_replace(regexp_replace(d, '0+$', ''), '\\.$', '.0') ELSE d || '.0' END)"
 SIDES = f"""t AS (SELECT *, CAST(CAST(round_even(ibd1 / 4 + ibd2 / 2, 4) AS DECIMAL(18, 4)) AS VARCHAR) AS d FROM seg), u AS (SELECT *, {TEXT} AS k FROM t),
 s AS (SELECT 0 AS side, ord, "ID1" AS iid, "ID2" || ':' || k || ':' || inf AS payload, inf FROM u UNION ALL SELECT 1, ord, "ID2", "ID1" || ':' || k || ':' || inf, inf FROM u),
-wide AS (SELECT iid AS "IID", {', '.join(f"string_agg(payload, ';' ORDER BY side, ord) FILTER (WHERE inf IN ({v})) AS {c}" for c, v in (('"RELATED_DUP"', "'Dup/MZ'"), ('"RELATED_1ST"', "'PO', 'FS'"), ('"RELATED_2ND"', "'2nd'"), ('"RELATED_3RD"', "'3rd'")))} FROM s GROUP BY iid)"""
-
+wide AS (SELECT iid AS "IID", {', '.join(f"string_agg(payload, ';' ORDER BY side, ord) FILTER (WHERE inf IN ({v})) AS {c}" for c, v in (('"RELATED_MZ"', "'Dup/MZ'"), ('"RELATED_1ST"', "'PO', 'FS'"), ('"RELATED_2ND"', "'2nd'"), ('"RELATED_3RD"', "'3rd'")))} FROM s GROUP BY iid)"""
 
-WHOLE_SEGS = SEGS.replace(" AND variant_id < 100", "")
 
-
-def seg(spark: SparkSession, sf_dir: str, whole: bool = False) -> DataFrame:
-    """Edges between the first samples and variants as in ``SEGS``, or between all."""
-    c = calls(spark, sf_dir).filter("sample_id < variant_id AND dosage IS NOT NULL")
-    c = c if whole else c.filter("variant_id < 100")
-    c = c.withColumn("ord", F.struct("sample_id", "variant_id"))
+def seg(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Edges between samples and variants as in ``SEGS``."""
+    c = calls(spark, sf_dir).filter("sample_id < variant_id AND dosage IS NOT NULL").withColumn("ord", F.struct("sample_id", "variant_id"))
     inf = F.when(F.col("dosage") == 0, "PO").when(F.col("dosage") == 1, "FS").otherwise("3rd")
     return c.select(F.col("sample_id").alias("ID1"), F.col("variant_id").alias("ID2"), ((F.col("dosage") + 1).cast("double") / 4).alias("IBD1Seg"), ((F.col("sample_id") % 5).cast("double") / 8).alias("IBD2Seg"), inf.alias("InfType"), "ord")
 
@@ -202,11 +249,6 @@ def relatedness_pivot(spark, sf_dir):
     return reports.relatedness_wide(seg(spark, sf_dir), validate=False)
 
 
-@query(f"WITH {CALLS}, {WHOLE_SEGS}, {SIDES} SELECT * FROM wide")
-def relatedness_pivot_whole(spark, sf_dir):
-    return reports.relatedness_wide(seg(spark, sf_dir, whole=True), validate=False)
-
-
 @query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, round_even(l_discount::DOUBLE / 4 + l_tax::DOUBLE / 2, 4) AS kinship FROM lineitem),
 u AS (SELECT *, CAST(CAST(kinship AS DECIMAL(18, 4)) AS VARCHAR) AS d FROM t) SELECT l_orderkey, l_linenumber, l_partkey, kinship, {TEXT} AS kinship_text FROM u""")
 def kinship_coefficient(spark, sf_dir):
@@ -214,34 +256,19 @@ def kinship_coefficient(spark, sf_dir):
     return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", k.alias("kinship"), float_text(k).alias("kinship_text"))
 
 
-def sample_report(spark: SparkSession, sf_dir: str, whole: bool) -> DataFrame:
-    c = calls(spark, sf_dir)
-    sm = six(stats.missingness(c, "sample_id"), "f_miss").select(F.col("sample_id").alias("IID"), F.col("missing_ct").alias("MISSING_CT"), F.col("f_miss").alias("F"))
-    het = six(stats.inbreeding(c), "f").filter("f IS NOT NULL").select(F.col("sample_id").alias("IID"), F.col("o_hom").alias("O_HOM"), F.col("f").alias("F"))
-    sex = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("IID"), (F.col("s_nationkey") % 2 + 1).alias("PEDSEX"), F.round("s_acctbal", 6).alias("F"))
-    tax = read(spark, sf_dir, "lineitem")
-    baf = (tax if whole else tax.filter("l_suppkey % 2 = 0")).groupBy(F.col("l_suppkey").alias("IID")).agg(F.round(F.avg("l_tax"), 6).alias("F"))
-    return reports.sample_qc(sm, het, sex, reports.relatedness_wide(seg(spark, sf_dir, whole), validate=False), baf)
-
-
 @query(f"""WITH {CALLS}, {SEGS}, {SIDES}, {AF}, {HET.format('calls')},
 sm AS (SELECT sample_id AS "IID", count(*) - count(dosage) AS "MISSING_CT", round((count(*) - count(dosage))::DOUBLE / count(*), 6) AS "F" FROM calls GROUP BY sample_id),
 h AS (SELECT sample_id AS "IID", o_hom AS "O_HOM", round((o_hom - e_hom) / (n_nm - e_hom), 6) AS "F_het" FROM het WHERE abs(n_nm - e_hom) > 1e-9),
 x AS (SELECT s_suppkey AS "IID", s_nationkey % 2 + 1 AS "PEDSEX", round(s_acctbal, 6) AS "F_sex" FROM supplier),
-b AS (SELECT l_suppkey AS "IID", round(avg(l_tax), 6) AS "F_baf" FROM lineitem WHERE l_suppkey % 2 = 0 GROUP BY l_suppkey)
-SELECT * FROM sm JOIN h USING ("IID") JOIN x USING ("IID") LEFT JOIN wide USING ("IID") LEFT JOIN b USING ("IID")""")
-def sample_qc_report(spark, sf_dir):
-    return sample_report(spark, sf_dir, False)
-
-
-@query(f"""WITH {CALLS}, {WHOLE_SEGS}, {SIDES}, {AF}, {HET.format('calls')},
-sm AS (SELECT sample_id AS "IID", count(*) - count(dosage) AS "MISSING_CT", round((count(*) - count(dosage))::DOUBLE / count(*), 6) AS "F" FROM calls GROUP BY sample_id),
-h AS (SELECT sample_id AS "IID", o_hom AS "O_HOM", round((o_hom - e_hom) / (n_nm - e_hom), 6) AS "F_het" FROM het WHERE abs(n_nm - e_hom) > 1e-9),
-x AS (SELECT s_suppkey AS "IID", s_nationkey % 2 + 1 AS "PEDSEX", round(s_acctbal, 6) AS "F_sex" FROM supplier),
 b AS (SELECT l_suppkey AS "IID", round(avg(l_tax), 6) AS "F_baf" FROM lineitem GROUP BY l_suppkey)
 SELECT * FROM sm JOIN h USING ("IID") JOIN x USING ("IID") LEFT JOIN wide USING ("IID") LEFT JOIN b USING ("IID")""")
-def sample_qc_report_whole(spark, sf_dir):
-    return sample_report(spark, sf_dir, True)
+def sample_qc_report(spark, sf_dir):
+    c = calls(spark, sf_dir)
+    sm = six(stats.missingness(c, "sample_id"), "f_miss").select(F.col("sample_id").alias("IID"), F.col("missing_ct").alias("MISSING_CT"), F.col("f_miss").alias("F"))
+    het = six(stats.inbreeding(c), "f").filter("f IS NOT NULL").select(F.col("sample_id").alias("IID"), F.col("o_hom").alias("O_HOM"), F.col("f").alias("F"))
+    sex = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("IID"), (F.col("s_nationkey") % 2 + 1).alias("PEDSEX"), F.round("s_acctbal", 6).alias("F"))
+    baf = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("IID")).agg(F.round(F.avg("l_tax"), 6).alias("F"))
+    return reports.sample_qc(sm, het, sex, reports.relatedness_wide(seg(spark, sf_dir), validate=False), baf)
 
 
 @query(f"WITH {ANALYSES} SELECT cohort_id, type, analysis_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id, type ORDER BY coalesce(ts, '') DESC, analysis_id) AS rn FROM analyses) WHERE rn = 1")
@@ -249,23 +276,19 @@ def latest_analysis(spark, sf_dir):
     return catalog.latest(analyses(spark, sf_dir)).select("cohort_id", "type", "analysis_id", "ts")
 
 
-@query("""WITH a AS (SELECT user_id AS cohort_id, event_id % 1000 AS analysis_id, strftime(ts, '%Y-%m-%d') AS ts FROM events WHERE event_type = (SELECT min(event_type) FROM events)),
+@query("""WITH a AS (SELECT user_id AS cohort_id, event_id % 1000 AS analysis_id, strftime(ts, '%Y-%m-%d') AS ts FROM events),
 l AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id ORDER BY ts DESC, analysis_id DESC) AS rn FROM a) WHERE rn = 1),
 g AS (SELECT analysis_id, count(DISTINCT cohort_id) > 1 AS legacy FROM a GROUP BY analysis_id), m AS (SELECT s_nationkey AS cohort_id, count(*) AS size FROM supplier GROUP BY s_nationkey)
 SELECT l.cohort_id, l.analysis_id, l.ts, legacy, size FROM l LEFT JOIN g USING (analysis_id) LEFT JOIN m ON l.cohort_id = m.cohort_id""")
 def latest_aggregate_id_tiebreak(spark, sf_dir):
-    e = read(spark, sf_dir, "events")
-    first = e.agg(F.min("event_type").alias("kind"))
-    a = e.join(F.broadcast(first), e.event_type == first.kind).select(F.col("user_id").alias("cohort_id"), F.lit("k").alias("type"), (F.col("event_id") % 1000).alias("analysis_id"), F.date_format("ts", "yyyy-MM-dd").alias("ts"))
+    a = read(spark, sf_dir, "events").select(F.col("user_id").alias("cohort_id"), F.lit("k").alias("type"), (F.col("event_id") % 1000).alias("analysis_id"), F.date_format("ts", "yyyy-MM-dd").alias("ts"))
     return catalog.list_aggregates(a, plates(spark, sf_dir), "k").select("cohort_id", "analysis_id", "ts", "legacy", "size")
 
 
-@query(f"""WITH {ANALYSES}, l AS (SELECT cohort_id, path FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id ORDER BY ts DESC, analysis_id) AS rn FROM analyses WHERE type = (SELECT min(event_type) FROM events)) WHERE rn = 1)
+@query(f"""WITH {ANALYSES}, l AS (SELECT cohort_id, path FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id ORDER BY ts DESC, analysis_id) AS rn FROM analyses) WHERE rn = 1)
 SELECT s_suppkey AS sg_id, s_nationkey AS cohort_id, path FROM supplier JOIN l ON s_nationkey = l.cohort_id""")
 def sg_plate_inversion(spark, sf_dir):
-    a = analyses(spark, sf_dir)
-    kind = a.agg(F.min("type").alias("k"))
-    a = a.join(F.broadcast(kind), a.type == kind.k).withColumn("type", F.lit("k")).drop("k")
+    a = analyses(spark, sf_dir).withColumn("type", F.lit("k"))
     return catalog.invert(plates(spark, sf_dir), a, "k", check=False)
 
 

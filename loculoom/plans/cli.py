@@ -44,7 +44,7 @@ def sample_qc(spark: SparkSession, a: argparse.Namespace) -> None:
 def aggregates(spark: SparkSession, a: argparse.Namespace) -> None:
     members, analyses = readers.registry(spark, a.registry)
     rows = [r.asDict() for r in catalog.list_aggregates(analyses, members, a.analysis_type).collect()]
-    print(catalog.format_table(rows, ["cohort_id", "analysis_id", "ts", "size", "path"]) if rows else f"no {a.analysis_type}")
+    print(catalog.format_listing(rows) if rows else f"no {a.analysis_type}")
 
 
 def merge_plan(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -71,6 +71,8 @@ def manifest(spark: SparkSession, a: argparse.Namespace) -> None:
         print(out.getvalue(), end="")
     else:
         writers.manifest(rows, a.output, a.force)
+        if a.registry:
+            writers.register(spark, a.cohort, "manifest", a.output, a.registry)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -99,6 +101,7 @@ def parser() -> argparse.ArgumentParser:
     c = commands.add_parser("manifest")
     for name in ("samples", "cohort", "gtc-prefix", "output"):
         c.add_argument(f"--{name}", required=True)
+    c.add_argument("--registry")
     c.add_argument("--dry-run", action="store_true")
     c.add_argument("--force", action="store_true")
     c.set_defaults(run=manifest)

@@ -19,13 +19,15 @@ from .workflow import NEEDS, PHASE1, PHASE2, REGISTERS, Runner, Stage, Threshold
 @dataclass(frozen=True)
 class PlateInputs:
     """A plate: GTC files, Parquet of their sites(bpm_index, chrom, pos, ref, alt), the manifest that names the samples,
-    and if there are any Parquet of sexes(sample_id, sex) and a VCF of reference frequencies."""
+    and if there are any Parquet of sexes(sample_id, sex), a VCF of reference frequencies and Parquet of the reference
+    sequence(chrom, pos, base)."""
 
     gtc: str
     sites: str
     manifest: str
     sexes: str | None = None
     frequencies: str | None = None
+    reference: str | None = None
 
 
 @dataclass(frozen=True)
@@ -53,10 +55,11 @@ def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: s
 
     def decode(context: dict) -> None:
         names = readers.manifest_reheader(readers.manifest_csv(spark, given.manifest))
-        heavy, _ = stages.plate_calls(binary.read_gtc(spark, given.gtc), spark.read.parquet(given.sites), names)
+        bases = spark.read.parquet(given.reference) if given.reference else None
+        heavy, _ = stages.plate_calls(binary.read_gtc(spark, given.gtc), spark.read.parquet(given.sites), names, bases)
         writers.calls(heavy, f"{at['GtcToBcfs']}/heavy", "overwrite")
         # the light calls are columns of the heavy ones: the files are decoded once
-        light = spark.read.parquet(f"{at['GtcToBcfs']}/heavy").select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq")
+        light = spark.read.parquet(f"{at['GtcToBcfs']}/heavy").select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq", "bpm_index")
         writers.calls(light, f"{at['GtcToBcfs']}/light", "overwrite")
 
     def contamination(context: dict) -> None:
@@ -108,13 +111,13 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
         pairs.withColumnsRenamed({"s1": "ID1", "s2": "ID2"}).write.mode("overwrite").parquet(f"{at['KingIbdseg']}/seg")
 
     def variant_report(context: dict) -> None:
-        flagged = stages.snp_qc(merged("calls", "ExportCohortDatasets"), readers.egt_info(spark, given.egt), given.thresholds)
+        flagged = stages.snp_qc(merged("calls", "ExportCohortDatasets"), merged("samples", "ExportCohortDatasets"), readers.egt_info(spark, given.egt), given.thresholds)
         flagged.write.mode("overwrite").parquet(f"{at['SnpQcReport']}/flags")
         flagged = read(f"{at['SnpQcReport']}/flags")
         writers.variant_qc(flagged, *[f"{at['SnpQcReport']}/{x}" for x in ("audit", "inclusion", "summary")], mode="overwrite")
 
     def sample_report(context: dict) -> None:
-        smiss, het, sexcheck = (read(f"{at['Plink2Qc']}/{n}").withColumnRenamed("sample_id", "IID") for n in ("smiss", "het", "sexcheck"))
+        smiss, het, sexcheck = (reports.tool_names(read(f"{at['Plink2Qc']}/{n}")) for n in ("smiss", "het", "sexcheck"))
         seg = read(f"{at['KingIbdseg']}/seg").withColumn("ord", F.concat_ws(":", "ID1", "ID2"))
         baf = None
         for p in given.baf:
@@ -142,7 +145,6 @@ def run(spark: SparkSession, given: PlateInputs | MergeInputs, cohort: str, only
 
     def register(kind: str, path: str) -> None:
         if registry:
-            row = spark.createDataFrame([(cohort, kind, path)], "cohort_id string, type string, path string")
-            writers.register(row.withColumn("status", F.lit("COMPLETED")).withColumn("ts", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss")), registry)
+            writers.register(spark, cohort, kind, path, registry)
 
     return Runner(found, done=spark_done(spark), register=register).run({}, only, dry_run)

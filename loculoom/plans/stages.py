@@ -9,11 +9,17 @@ from ..operators import ibd, reports, samples, stats, variants
 from .workflow import Thresholds
 
 
-def plate_calls(intensity: DataFrame, sites: DataFrame, names: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(heavy, light) calls of a plate: intensities meet their sites(bpm_index, chrom, pos, ref, alt) and samples get their ids."""
+def plate_calls(intensity: DataFrame, sites: DataFrame, names: DataFrame, bases: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(heavy, light) calls of a plate: intensities meet their sites(bpm_index, chrom, pos, ref, alt) and samples get their ids.
+
+    A site with several ALT alleles becomes one per allele; with the reference sequence ``bases(chrom, pos, base)`` sites with
+    another REF go.
+    """
+    sites = variants.split_multiallelic(sites).drop("allele")
+    sites = sites if bases is None else variants.matching_reference(sites, bases)
     heavy = intensity.join(sites, "bpm_index").withColumn("variant_id", F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt"))
     heavy = samples.rename(heavy.withColumn("gq", F.round(F.col("score") * 100).cast("int")), names)
-    return heavy, heavy.select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq")
+    return heavy, heavy.select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq", "bpm_index")
 
 
 def contamination(heavy: DataFrame, af: DataFrame | None = None) -> DataFrame:
@@ -29,14 +35,16 @@ def contamination(heavy: DataFrame, af: DataFrame | None = None) -> DataFrame:
 def plate_fileset(light: DataFrame) -> DataFrame:
     """Biallelic calls, PAR split, canonical ids, repeated ids dropped in all copies, chr-prefixed contigs."""
     out = variants.canonical_ids(variants.split_par(variants.biallelic(light)))
-    return variants.exclude_duplicates(out.withColumn("chrom", variants.chr_prefixed(F.col("chrom"))), "variant_id", "sample_id")
+    return variants.without_repeated_ids(out.withColumn("chrom", variants.chr_prefixed(F.col("chrom"))))
 
 
 def raw_qc(calls: DataFrame, people: DataFrame, min_samples: int = 50) -> dict[str, DataFrame]:
     autosomes = calls.filter(F.col("chrom").rlike("^chr([1-9]|1[0-9]|2[0-2])$"))
+    by_ploidy = stats.with_ploidy(calls, people)
     return {
-        "smiss": stats.missingness(calls, "sample_id"), "afreq": stats.allele_frequency(calls), "het": stats.inbreeding(autosomes, min_samples), "sexcheck": stats.sex_check(calls, people),
-    }
+        "smiss": stats.cohort_missingness(calls, "sample_id"), "afreq": stats.allele_frequency(by_ploidy, F.col("ploidy")), "het": stats.inbreeding(autosomes, min_samples),
+        "sexcheck": stats.sex_check(calls, people),
+    }
 
 
 def relatedness(calls: DataFrame, genome_length: int, min_snps: int = 64, min_bp: int = 2_500_000) -> DataFrame:
@@ -44,8 +52,17 @@ def relatedness(calls: DataFrame, genome_length: int, min_snps: int = 64, min_bp
     return ibd.relatives(ibd.sharing(ibd.segments(auto, min_snps, min_bp), ibd.segments(auto, min_snps, min_bp, state=2), genome_length))
 
 
-def snp_qc(calls: DataFrame, egt: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+def hwe_passed(calls: DataFrame, people: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """Variants that pass the exact test: chromosome X by sex, haploid contigs (Y, M) untested, all others as diploid."""
+    bare = F.regexp_replace("chrom", "^chr", "")
+    on_x, haploid = bare.isin("X", "23"), bare.isin("Y", "24", "M", "MT", "26")
+    diploid = stats.hwe_pass(stats.hardy_weinberg(calls.filter(~on_x & ~haploid), t.midp), t.hwe_p, t.hwe_k, t.keep_few_het)
+    x = stats.hwe_pass(stats.hardy_weinberg_x(calls.filter(on_x), people, t.midp), t.hwe_p, t.hwe_k, t.keep_few_het)
+    return diploid.unionByName(x).unionByName(calls.filter(haploid).select("variant_id").distinct())
+
+
+def snp_qc(calls: DataFrame, people: DataFrame, egt: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Missingness and the exact test both see the full variant set; the filters meet only in the flags."""
-    vmiss = stats.missingness(calls, "variant_id").select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"))
-    passed = stats.hwe_pass(stats.hardy_weinberg(calls, t.midp), t.hwe_p, t.hwe_k, t.keep_few_het).select(F.col("variant_id").alias("ID"))
+    vmiss = stats.cohort_missingness(calls, "variant_id").select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"))
+    passed = hwe_passed(calls, people, t).select(F.col("variant_id").alias("ID"))
     return reports.variant_qc(egt, vmiss, passed, gentrain_min=t.gentrain_min, cluster_sep_min=t.cluster_sep_min, fmiss_max=t.fmiss_max)

@@ -8,10 +8,10 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from graphlib import TopologicalSorter
 
+#: Stage names by phase, analysis types, what each stage registers, and what it needs within a run.
 PHASE1 = ("GtcToBcfs", "BafRegress", "CohortBcfToPlink")
 PHASE2 = ("MergeCohortPlink", "ExportCohortDatasets", "Plink2Qc", "KingIbdseg", "SnpQcReport", "QcReport")
 ANALYSIS_TYPES = ("array_bafregress", "array_cohort_bed", "array_aggregate_pgen", "array_qc_raw", "array_relatedness_ibdseg", "array_snp_qc", "array_qc_report", "manifest")
-#: What each stage registers, and what it needs within a run.
 REGISTERS = {
     "BafRegress": "array_bafregress", "CohortBcfToPlink": "array_cohort_bed", "ExportCohortDatasets": "array_aggregate_pgen", "Plink2Qc": "array_qc_raw",
     "KingIbdseg": "array_relatedness_ibdseg", "SnpQcReport": "array_snp_qc", "QcReport": "array_qc_report",
@@ -29,8 +29,8 @@ class Thresholds:
     gentrain_min: float = 0.7
     cluster_sep_min: float = 0.4
     fmiss_max: float = 0.02
-    hwe_p: float = 1e-6
-    hwe_k: float = 0.0
+    hwe_p: float = 1e-5
+    hwe_k: float = 0.001
     midp: bool = True
     keep_few_het: bool = True
 

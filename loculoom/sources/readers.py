@@ -24,11 +24,13 @@ def strings(columns) -> str:
 
 
 def egt_info(spark: SparkSession, path: str) -> DataFrame:
-    """Header-less 7-column TSV of variants and cluster scores; ids become CHROM:POS:REF:ALT."""
+    """Header-less 7-column TSV of variants and cluster scores; ids become CHROM:POS:REF:ALT, ``ord`` rises in the file's order."""
     raw = spark.read.schema(strings(EGT_COLUMNS)).csv(path, sep="\t", quote="", nullValue=".")
-    low = raw.select(*[F.col(c).alias(n) for c, n in zip(EGT_COLUMNS, ("chrom", "pos", "ref", "alt", "id", "gentrain", "cluster"))])
+    # files are read in splits by their path and place, and numbers rise within a split
+    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    low = raw.select(*[F.col(c).alias(n) for c, n in zip(EGT_COLUMNS, ("chrom", "pos", "ref", "alt", "id", "gentrain", "cluster"))], place.alias("ord"))
     low = canonical_ids(low, "id")
-    return low.select("chrom", F.col("pos").try_cast("long"), "ref", "alt", "id", number(F.col("gentrain")), number(F.col("cluster"))).toDF(*EGT_COLUMNS)
+    return low.select("chrom", F.col("pos").try_cast("long"), "ref", "alt", "id", number(F.col("gentrain")), number(F.col("cluster")), "ord").toDF(*EGT_COLUMNS, "ord")
 
 
 def vmiss(spark: SparkSession, path: str) -> DataFrame:
@@ -177,11 +179,15 @@ def bpm_chroms(spark: SparkSession, path: str, limit: int | None = None) -> Data
 
 
 def registry(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """(member, analysis) from JSON lines of cohorts: id, name, sequencingGroups [{id}], analyses [{id, type, timestampCompleted, outputs}]."""
+    """(member, analysis) from JSON lines of cohorts: id, name, sequencingGroups [{id}], analyses [{id, type, timestampCompleted, outputs}].
+
+    A cohort may have several lines, as when analyses were registered later; members carry the cohort's name.
+    """
     schema = "id string, name string, sequencingGroups array<struct<id:string>>, analyses array<struct<id:long,type:string,timestampCompleted:string,outputs:variant>>"
     cohort = spark.read.schema(schema).json(path).withColumn("c", F.monotonically_increasing_id())
-    member = cohort.select(F.col("id").alias("cohort_id"), F.explode("sequencingGroups").alias("g"), "c").select("cohort_id", F.col("g.id").alias("sg_id"), F.col("c").alias("ordinal"))
-    a = cohort.select(F.col("id").alias("cohort_id"), F.posexplode("analyses").alias("ordinal", "a"))
+    member = cohort.select(F.col("id").alias("cohort_id"), F.col("name").alias("cohort_name"), F.explode("sequencingGroups").alias("g"), "c")
+    member = member.select("cohort_id", "cohort_name", F.col("g.id").alias("sg_id"), F.col("c").alias("ordinal"))
+    a = cohort.select(F.col("id").alias("cohort_id"), "c", F.posexplode("analyses").alias("place", "a")).withColumn("ordinal", F.struct("c", "place"))
     return member, a.select("cohort_id", F.col("a.type").alias("type"), F.col("a.timestampCompleted").alias("ts"), output_path(F.to_json("a.outputs")).alias("path"), "ordinal", F.col("a.id").alias("analysis_id"))
 
 

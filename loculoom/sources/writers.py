@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import reports
@@ -13,14 +15,19 @@ SEG_HEADER = "FID1 string, ID1 string, FID2 string, ID2 string, IBD1Seg double,
 SEG_X_HEADER = "FID1 string, ID1 string, FID2 string, ID2 string, Sex1 int, Sex2 int, MaxIBD1 double, MaxIBD2 double, IBD1Seg double, IBD2Seg double, PropIBD double"
 
 
+def ordered(flagged: DataFrame) -> DataFrame:
+    """In the order of the input (``ord``), where it is known."""
+    return flagged.orderBy("ord") if "ord" in flagged.columns else flagged
+
+
 def audit(flagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """All variants with their flags (True, False) as compressed TSV."""
     flags = {c: F.initcap(F.col(c).cast("string")) for c in AUDIT if c.startswith("pass")}
-    flagged.withColumns(flags).select(AUDIT).coalesce(1).write.mode(mode).option("compression", "gzip").csv(path, sep="\t", header=True)
+    ordered(flagged).withColumns(flags).select(AUDIT).coalesce(1).write.mode(mode).option("compression", "gzip").csv(path, sep="\t", header=True)
 
 
 def inclusion(flagged: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    flagged.filter("pass").select("ID").coalesce(1).write.mode(mode).text(path)
+    ordered(flagged.filter("pass")).select("ID").coalesce(1).write.mode(mode).text(path)
 
 
 def variant_qc(flagged: DataFrame, audit_path: str, inclusion_path: str, summary_path: str, mode: str = "errorifexists") -> None:
@@ -89,9 +96,17 @@ def bim(variants: DataFrame, path: str) -> None:
     rows.select(F.concat_ws("\t", "chrom", "variant_id", F.lit("0"), F.col("pos").cast("string"), "alt", "ref")).write.text(path)
 
 
-def register(analysis: DataFrame, path: str) -> None:
-    """Append completed analyses to the registry after their outputs are committed."""
-    analysis.write.mode("append").json(path)
+def register(spark: SparkSession, cohort: str, kind: str, output: str, path: str) -> int:
+    """Append a completed analysis to the registry, as a line that ``readers.registry`` reads with those of the cohort; returns its id.
+
+    Call it after the output is committed.  Ids are times in microseconds, so later analyses have larger ones.
+    """
+    now = datetime.now(UTC)
+    made = int(now.timestamp() * 1_000_000)
+    analysis = "id long, type string, status string, timestampCompleted string, outputs struct<path:string,basename:string>"
+    row = [(cohort, [], [(made, kind, "COMPLETED", now.strftime("%Y-%m-%dT%H:%M:%S"), (output, output.rstrip("/").rsplit("/", 1)[-1]))])]
+    spark.createDataFrame(row, f"id string, sequencingGroups array<struct<id:string>>, analyses array<struct<{analysis.replace(' ', ':').replace(',:', ',')}>>").write.mode("append").json(path)
+    return made
 
 
 def contig_cache(chroms: DataFrame, path: str) -> None:

@@ -46,7 +46,7 @@ def test_rolling_plan(spark):
     assert plan["samples_to_remove"] == ["3"] and plan["size"] == 5 and plan["previous"]["psam"] == "agg.psam"
     assert [(p["cohort_id"], p["new_count"]) for p in plan["plates"]] == [("COH5", 2), ("COH6", 1)]
     text = catalog.format_merge_plan(plan, "AGG")
-    assert "carried forward: 2" in text and text.index("COH5") < text.index("COH6")
+    assert "  carried forward:       2 SGs (from previous aggregate)" in text.splitlines() and "  withdrawn:             1 SGs ['3']" in text.splitlines() and text.index("COH5") < text.index("COH6")
     boot = catalog.merge_plan(m, a, spark.createDataFrame([("4",)], "sg_id string"))
     assert boot["previous"] is None and boot["samples_to_remove"] == [] and len(boot["plates"]) == 1
     for prev, ids, match in (("NONE", "1", "not found"), ("COH5", "1", "no aggregate"), ("AGG", "9", "plate fileset")):
@@ -78,7 +78,7 @@ def test_registry_and_manifest(spark, tmp_path):
     assert catalog.latest_manifest(named, "COH001", "substring").collect()[0].id == "30"
     with pytest.raises(ValueError, match="missing"):
         catalog.check_files(spark.createDataFrame([("a",), ("b",)], "path string"), spark.createDataFrame([("a", 0)], "path string, length long"))
-    assert catalog.format_table([{"a": 1, "b": None, "legacy": True}], ["a", "b"]).splitlines()[1] == "1  -  [legacy]"
+    assert catalog.format_table([{"a": 1, "b": None}], ["a", "b"]).splitlines()[1] == "1  -"
 
 
 def test_small_readers(spark, tmp_path):
@@ -108,3 +108,25 @@ def test_phases(tmp_path):
     (tmp_path / "c.toml").write_text('[workflow]\nonly_stages = ["GtcToBcfs"]\ninput_cohorts = ["x"]\n')
     assert workflow.main([str(tmp_path / "c.toml"), "--dry-run"]) == 0
     assert workflow.output_prefix("r/", "w", "S", "1") == "r/w/S/1" and workflow.project_name("p", True) == "p-test" == workflow.project_name("p-test", True)
+
+
+def test_manifest_lookup_raises(spark):
+    named = spark.createDataFrame([("9", "genotyping_array_COH001.csv", None), ("3", "genotyping_array_COH002.csv", "x/2.csv")], "id string, basename string, path string")
+    assert catalog.manifest_path(named, "COH002") == "x/2.csv"
+    with pytest.raises(ValueError, match="No manifest found for cohort COH7; there are: genotyping_array_COH001"):
+        catalog.manifest_path(named, "COH7")
+    with pytest.raises(ValueError, match="has no path"):
+        catalog.manifest_path(named, "COH001")
+    manifest = spark.createDataFrame([("s1", "a.gtc")], "sg_id string, gtc string")
+    assert catalog.gtc_path(manifest, "s1") == "a.gtc"
+    with pytest.raises(ValueError, match="s2 is not in the manifest of 1 entries"):
+        catalog.gtc_path(manifest, "s2")
+
+
+def test_listing(spark):
+    rows = [{"cohort_id": "C1", "cohort_name": None, "size": 3, "ts": None, "analysis_id": 7, "path": "p", "legacy": True}, {"cohort_id": "C2", "cohort_name": "two", "size": None, "ts": "t", "analysis_id": 8, "path": None, "legacy": False}]
+    assert catalog.format_listing(rows).splitlines() == [
+        "COHORT_ID  COHORT_NAME  N_SGS  CREATED  ANALYSIS_ID  OUTPUT",
+        "C1         C1 [legacy]  3      -        7            p     ",
+        "C2         two          0      t        8            -     ",
+    ]

@@ -38,10 +38,10 @@ def test_whole_tables(spark):
         sums[s, p] = sums.get((s, p), 0) + n
     edges = [(s, p) for (s, p), n in sums.items() if s < p and n % 4 != 3]
     assert any(p >= 100 for _, p in edges)
-    got = {r.IID: r for r in catalogue.QUERIES["relatedness_pivot_whole"](spark, DATA).collect()}
+    got = {r.IID: r for r in catalogue.QUERIES["relatedness_pivot"](spark, DATA).collect()}
     assert set(got) == {x for e in edges for x in e}
-    columns = ("RELATED_DUP", "RELATED_1ST", "RELATED_2ND", "RELATED_3RD")
+    columns = ("RELATED_MZ", "RELATED_1ST", "RELATED_2ND", "RELATED_3RD")
     pairs = {tuple(sorted((i, int(t.split(":")[0])))) for i, r in got.items() for c in columns if r[c] for t in r[c].split(";")}
     assert pairs == set(edges)
-    report = catalogue.QUERIES["sample_qc_report_whole"](spark, DATA).collect()
+    report = catalogue.QUERIES["sample_qc_report"](spark, DATA).collect()
     assert {r["IID"] for r in report if r["F_baf"] is not None} == {r["IID"] for r in report} and any(r["IID"] % 2 for r in report)

@@ -36,14 +36,14 @@ def test_summary_and_sinks(inputs, tmp_path):
     flagged = reports.variant_qc(*inputs)
     got = {r.metric: r.value for r in reports.summary(flagged).collect()}
     assert got == {
-        "total": 8, "fail_gentrain": 2, "fail_cluster_sep": 2, "fail_fmiss": 1, "fail_hwe": 1, "first_fail_gentrain": 2, "first_fail_cluster_sep": 1, "first_fail_fmiss": 1,
-        "first_fail_hwe": 1, "excluded": 5, "retained": 3,
+        "total_variants": 8, "fail_gentrain": 2, "fail_cluster_sep": 2, "fail_fmiss": 1, "fail_hwe": 1, "first_fail_gentrain": 2, "first_fail_cluster_sep": 1, "first_fail_fmiss": 1,
+        "first_fail_hwe": 1, "total_excluded": 5, "total_retained": 3,
     }
     writers.variant_qc(flagged, *(str(tmp_path / x) for x in ("audit", "incl", "sum")))
     lines = gzip.open(next((tmp_path / "audit").glob("*.gz")), "rt").read().splitlines()
     assert lines[0].split("\t") == writers.AUDIT and len(lines) == 9 and "True" in lines[1]
     assert len("".join(p.read_text() for p in (tmp_path / "incl").glob("part*")).split()) == 3
-    assert "".join(p.read_text() for p in (tmp_path / "sum").glob("part*")).splitlines()[1] == "total\t8"
+    assert "".join(p.read_text() for p in (tmp_path / "sum").glob("part*")).splitlines()[1] == "total_variants\t8"
 
 
 def test_null_and_nan_never_pass(spark):

@@ -6,9 +6,9 @@ import random
 import numpy as np
 import pytest
 
-from loculoom.operators import stats
+from loculoom.operators import catalog, stats
 from loculoom.plans import cli, cohort, workflow
-from loculoom.sources import binary
+from loculoom.sources import binary, readers
 
 MANIFEST = ("file_name,sample_sheet_id,sample_id,md5sum,bbv_barcode,sentrix_barcode_a,sentrix_position_a,sample_plate,sample_well,sample_plate_position,"
             "cpg_sample_id_internal,cpg_gcp_filepath,cpg_sequencing_group_id,cpg_cohort_id")
@@ -44,6 +44,19 @@ def test_sample_command(spark, tmp_path, capsys):
     assert "absent" in capsys.readouterr().err
 
 
+#: The merge plan of the test below.
+PLAN = [
+    "Rolling merge plan (previous aggregate cohort OLD):",
+    "  super cohort:          3 SGs",
+    "  carried forward:       1 SGs (from previous aggregate)",
+    "  withdrawn:             1 SGs ['z']",
+    "  new:                   2 SGs from 2 plate cohort(s):",
+    "       P1:  1 new SGs",
+    "       P2:  1 new SGs",
+    "  expected merged total: 3 SGs",
+]
+
+
 def test_catalogue_commands(spark, tmp_path, capsys):
     of = lambda i, kind, ts, path: {"id": i, "type": kind, "timestampCompleted": ts, "outputs": {"path": path}}
     cohorts = [
@@ -54,10 +67,11 @@ def test_catalogue_commands(spark, tmp_path, capsys):
     ]
     (tmp_path / "r.json").write_text("\n".join(map(json.dumps, cohorts)))
     where = ["--registry", str(tmp_path / "r.json")]
-    assert cli.main(["aggregates", *where], spark) == 0 and "OLD" in capsys.readouterr().out
+    assert cli.main(["aggregates", *where], spark) == 0
+    assert [x.split() for x in capsys.readouterr().out.splitlines()] == [["COHORT_ID", "COHORT_NAME", "N_SGS", "CREATED", "ANALYSIS_ID", "OUTPUT"], ["OLD", "old", "2", "2024-03", "3", "x/old.pgen"]]
     assert cli.main(["merge-plan", *where, "--cohort", "NEW", "--previous", "OLD"], spark) == 0
     out = capsys.readouterr().out
-    assert "on top of OLD" in out and "new: 2" in out and "withdrawn: 1" in out and "P2: 1 new" in out
+    assert out.splitlines() == PLAN
     for bad in (["--cohort", "none"], ["--cohort", "NEW", "--previous", "none"], ["--cohort", "NEW", "--previous", "P1"]):
         assert cli.main(["merge-plan", *where, *bad], spark) == 1
 
@@ -113,8 +127,14 @@ def test_stages_end_to_end(spark, tmp_path):
     assert stats.missingness(spark.read.parquet(path("out/w/ExportCohortDatasets/C/calls")), "variant_id").count() == len(loci)
     report = spark.read.csv(path("out/w/QcReport/C/report"), header=True)
     by = {r.IID: r for r in report.collect()}
-    assert set(by) == set(wanted) and by["SG0"].RELATED_DUP.startswith("SG1:") and by["SG0"].RELATED_DUP.endswith("Dup/MZ") and "contamination" in report.columns
+    assert set(by) == set(wanted) and by["SG0"].RELATED_MZ.startswith("SG1:") and by["SG0"].RELATED_MZ.endswith("Dup/MZ") and "contamination" in report.columns
+    assert report.columns[:6] == ["FID", "IID", "MISSING_CT", "OBS_CT", "F_MISS", "O_HOM"] and {"PEDSEX", "SNPSEX", "STATUS", "F_sex"} < set(report.columns)
     summary = dict(x.split("\t") for x in part(tmp_path / "out/w/SnpQcReport/C/summary").splitlines())
-    assert summary["total"] == str(len(loci)) and int(summary["excluded"]) + int(summary["retained"]) == len(loci)
-    kinds = sorted(r.type for r in spark.read.json(path("registry")).collect())
+    audit = spark.read.csv(path("out/w/SnpQcReport/C/audit"), sep="\t", header=True).select("ID").collect()
+    assert [r.ID for r in audit] == [f"{c}:{p}:A:G" for c, p in loci]
+    assert summary["total_variants"] == str(len(loci)) and int(summary["total_excluded"]) + int(summary["total_retained"]) == len(loci)
+    analyses = readers.registry(spark, path("registry"))[1]
+    assert analyses.filter("path IS NULL OR ts IS NULL OR analysis_id IS NULL").isEmpty()
+    assert catalog.latest(analyses.filter("type = 'array_aggregate_pgen'")).collect()[0].cohort_id == "C"
+    kinds = sorted(r.type for r in analyses.collect())
     assert kinds.count("array_cohort_bed") == 2 and "array_qc_report" in kinds and "manifest" not in kinds
