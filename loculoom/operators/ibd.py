@@ -1,48 +1,159 @@
-"""Sharing between samples: identity-by-state counts, segments without opposite homozygotes, relationship classes."""
+"""Sharing between samples: identity-by-state counts, segments without opposite homozygotes, relationship classes.
+
+All pairs of samples meet, but not call by call: samples are dealt to blocks, the calls of a block on a chromosome are packed to two
+bits each, and every pair of blocks is compared once, as matrices.  Only counts and segments leave a comparison; no row is made for
+a pair and a variant.  A comparison holds two blocks of one chromosome.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 #: Lower bounds of PropIBD and of IBD2 share per class, after the published defaults of the segment method; configurable.
 DUPLICATE_IBD2, FIRST, SECOND, THIRD, FULL_SIB_IBD2 = 0.7, 0.35355, 0.17678, 0.08839, 0.08
+#: Samples of a block (as dealt by hash, so about), variants that are counted together, and what a missing call is packed as.
+BLOCK_SAMPLES, PART_VARIANTS, MISSING = 64, 20_000, 3
+
+
+def pack(samples: np.ndarray, sites: np.ndarray, dosage: np.ndarray, n_samples: int) -> tuple[bytes, int]:
+    """Calls (sample number, site number, dosage) as a matrix of two bits a call, and the number of bytes a sample."""
+    width = (int(sites.max()) // 4 + 1) * 4 if len(sites) else 4
+    m = np.full((n_samples, width), MISSING, np.uint8)
+    m[samples, sites] = dosage
+    m = m.reshape(n_samples, width // 4, 4)
+    return (m[:, :, 0] | m[:, :, 1] << 2 | m[:, :, 2] << 4 | m[:, :, 3] << 6).tobytes(), width // 4
+
+
+def unpack(data: bytes, n_samples: int, width: int) -> np.ndarray:
+    """The matrix again, to at least ``width`` bytes a sample."""
+    m = np.frombuffer(data, np.uint8).reshape(n_samples, -1)
+    out = np.full((n_samples, max(width, m.shape[1]), 4), MISSING, np.int8)
+    for k in range(4):
+        out[:, : m.shape[1], k] = m >> (2 * k) & 3
+    return out.reshape(n_samples, -1)
+
+
+def packed_blocks(calls: DataFrame) -> DataFrame:
+    """chrom, block, blocks, samples, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos); sites are numbered by position."""
+    called = calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", "dosage", "chrom", "pos")
+    order = Window.partitionBy("chrom").orderBy("pos", "variant_id")
+    sites = called.groupBy("chrom", "variant_id").agg(F.min("pos").alias("pos")).withColumn("site", F.row_number().over(order) - 1)
+    blocks = F.greatest(F.ceil(called.agg((F.count_distinct("sample_id") / BLOCK_SAMPLES).alias("n")).scalar()), F.lit(1)).cast("long")
+    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).withColumn("blocks", blocks)
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("sample_id"), F.col("blocks"))).select("chrom", "block", "blocks", "sample_id", "site", "pos", F.col("dosage").cast("int").alias("dosage"))
+    kind, chrom = (calls.schema[c].dataType.simpleString() for c in ("sample_id", "chrom"))
+
+    def run(t: pa.Table) -> pa.Table:
+        names, number = np.unique(np.array(t.column("sample_id").to_pylist()), return_inverse=True)
+        site = t.column("site").to_numpy()
+        data, width = pack(number, site, t.column("dosage").to_numpy(), len(names))
+        pos = np.zeros(width * 4, np.int64)
+        pos[site] = t.column("pos").to_numpy()
+        one = t.slice(0, 1).select(["chrom", "block", "blocks"])
+        return one.append_column("samples", pa.array([names.tolist()], pa.list_(t.schema.field("sample_id").type))).append_column("pos", pa.array([pos.tobytes()], pa.binary())).append_column("data", pa.array([data], pa.binary()))
+
+    return rows.withColumn("pos", F.col("pos").cast("long")).groupBy("chrom", "block").applyInArrow(run, f"chrom {chrom}, block long, blocks long, samples array<{kind}>, pos binary, data binary")
+
+
+def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str) -> DataFrame:
+    """s1, s2, chrom and ``fields`` of every pair of samples s1 < s2.
+
+    ``compare(one, others, pos)`` takes the calls of one sample and of several (-1: no call), and yields (number of the other, values...).
+    """
+    blocks = packed_blocks(calls)
+    left = blocks.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1)))
+    other = blocks.select(F.col("chrom").alias("chrom_"), F.col("block").alias("j_"), F.col("samples").alias("samples_"), F.col("data").alias("data_"))
+    right = other.withColumn("i_", F.explode(F.sequence(F.lit(0).cast("long"), "j_")))
+    kind, chrom = (calls.schema[c].dataType.simpleString() for c in ("sample_id", "chrom"))
+    schema = f"s1 {kind}, s2 {kind}, chrom {chrom}, {fields}"
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        out: list[tuple] = []
+        if a.num_rows and b.num_rows:
+            on, mine, theirs, one, two = (t.column(c)[0].as_py() for t, c in ((a, "chrom"), (a, "samples"), (b, "samples_"), (a, "data"), (b, "data_")))
+            width = max(len(one) // len(mine), len(two) // len(theirs))
+            one, two = unpack(one, len(mine), width), unpack(two, len(theirs), width)
+            pos = np.zeros(width * 4, np.int64)
+            known = np.frombuffer(a.column("pos")[0].as_py(), np.int64)
+            pos[: len(known)] = known
+            same = a.column("i")[0].as_py() == a.column("j")[0].as_py()
+            for k, name in enumerate(mine):
+                first = k + 1 if same else 0
+                if first < len(theirs):
+                    out += [(min(name, theirs[first + o]), max(name, theirs[first + o]), on, *values) for o, *values in compare(one[k], two[first:], pos)]
+        columns = list(zip(*out)) or [()] * len(shape)
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
+
+    shape = to_arrow_schema(StructType.fromDDL(schema))
+    return left.groupBy("chrom", "i", "j").cogroup(right.groupBy("chrom_", "i_", "j_")).applyInArrow(run, schema)
 
 
-def pair_calls(calls: DataFrame, *more: str) -> DataFrame:
-    """(s1, s2, d1, d2, variant_id, ...) of every pair s1 < s2 called at a variant: pairs meet on the variant only."""
-    called = calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", "dosage", *more)
-    a = called.select("variant_id", *more, F.col("sample_id").alias("s1"), F.col("dosage").alias("d1"))
-    b = called.select("variant_id", F.col("sample_id").alias("s2"), F.col("dosage").alias("d2"))
-    return a.join(b, "variant_id").filter("s1 < s2")
+def ibs_counts(calls: DataFrame) -> DataFrame:
+    """ibs0, ibs1 and ibs2 of every pair of samples that are both called at some variant; variants are counted in parts."""
+    parts = F.greatest(F.ceil(calls.agg((F.count_distinct("variant_id") / PART_VARIANTS).alias("n")).scalar()), F.lit(1)).cast("long")
+    dealt = calls.select("variant_id", "sample_id", "dosage", F.pmod(F.xxhash64("variant_id"), parts).alias("chrom"), F.lit(0).cast("long").alias("pos"))
+
+    def compare(one: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
+        # agreements by dosage, as products of 0/1 matrices
+        mine = [(one == d).astype(np.float32) for d in range(3)]
+        theirs = [(others == d).astype(np.float32) for d in range(3)]
+        both = np.array([[t @ m for t in theirs] for m in mine])
+        same, opposite = both[0, 0] + both[1, 1] + both[2, 2], both[0, 2] + both[2, 0]
+        every = both.sum((0, 1))
+        for k in np.flatnonzero(every).tolist():
+            yield k, int(opposite[k]), int(every[k] - same[k] - opposite[k]), int(same[k])
+
+    counts = compared(dealt, compare, "ibs0 long, ibs1 long, ibs2 long")
+    return counts.groupBy("s1", "s2").agg(*[F.sum(f"ibs{k}").alias(f"ibs{k}") for k in range(3)])
+
+
+def runs(breaks: np.ndarray, called: np.ndarray, pos: np.ndarray, min_snps: int, min_bp: int) -> Iterator[tuple[int, int, int, int]]:
+    """(row, start, end, sites) of the stretches of called sites between breaks, row by row."""
+    row, site = np.nonzero(called & ~breaks)
+    if not len(row):
+        return
+    island = np.cumsum(breaks, axis=1, dtype=np.int32)[row, site]
+    first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (island[1:] != island[:-1])]))
+    last = np.append(first[1:], len(row)) - 1
+    n, start, end = last - first + 1, pos[site[first]], pos[site[last]]
+    for k in np.flatnonzero((n >= min_snps) & (end - start >= min_bp)).tolist():
+        yield int(row[first[k]]), int(start[k]), int(end[k]), int(n[k])
+
+
+def all_segments(calls: DataFrame, min_snps: dict[int, int], min_bp: int = 0) -> DataFrame:
+    """Runs per pair, chromosome and state (the keys of ``min_snps``), both in one comparison.
+
+    IBD1 runs (state 1) break at opposite homozygotes; IBD2 runs (state 2) break wherever the dosages differ.
+    """
 
+    def compare(one: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
+        called = (one != MISSING) & (others != MISSING)
+        d = np.abs(others - one)
+        for state, least in min_snps.items():
+            for k, start, end, n in runs(called & (d == 2 if state == 1 else d != 0), called, pos, least, min_bp):
+                yield k, state, start, end, n
 
-def ibs_counts(calls: DataFrame) -> DataFrame:
-    """ibs0, ibs1 and ibs2 of every pair of samples."""
-    d = F.abs(F.col("d1") - F.col("d2"))
-    return pair_calls(calls).groupBy("s1", "s2").agg(*[F.count_if(d == 2 - k).alias(f"ibs{k}") for k in range(3)])
+    return compared(calls, compare, "state int, start_pos long, end_pos long, n_snps long")
 
 
 def segments(calls: DataFrame, min_snps: int = 8, min_bp: int = 0, state: int = 1) -> DataFrame:
-    """Runs per pair and chromosome of calls(variant_id, sample_id, dosage, chrom, pos) without a break.
+    """Runs per pair and chromosome of calls(variant_id, sample_id, dosage, chrom, pos) without a break of the state."""
+    return all_segments(calls, {state: min_snps}, min_bp).drop("state")
 
-    IBD1 runs break at opposite homozygotes; IBD2 runs (state 2) break wherever the dosages differ.
-    """
-    pairs = pair_calls(calls, "chrom", "pos")
-    breaks = F.abs(F.col("d1") - F.col("d2")) == 2 if state == 1 else F.col("d1") != F.col("d2")
-    w = Window.partitionBy("s1", "s2", "chrom").orderBy("pos", "variant_id").rowsBetween(Window.unboundedPreceding, 0)
-    runs = pairs.withColumn("break_", breaks.cast("int")).withColumn("island", F.sum("break_").over(w))
-    out = runs.filter("break_ = 0").groupBy("s1", "s2", "chrom", "island").agg(F.min("pos").alias("start_pos"), F.max("pos").alias("end_pos"), F.count("*").alias("n_snps"))
-    return out.filter((F.col("n_snps") >= min_snps) & (F.col("end_pos") - F.col("start_pos") >= min_bp)).drop("island")
-
-
-def sharing(ibd1: DataFrame, ibd2: DataFrame, genome_length: int) -> DataFrame:
-    """IBD1Seg, IBD2Seg, PropIBD and the largest segments per pair; IBD2 runs lie within IBD1 runs and are taken off them."""
-    length = F.sum(F.col("end_pos") - F.col("start_pos") + 1)
-    longest = F.max(F.col("end_pos") - F.col("start_pos") + 1)
-    one = ibd1.groupBy("s1", "s2").agg(length.alias("l1"), longest.alias("MaxIBD1"))
-    two = ibd2.groupBy("s1", "s2").agg(length.alias("l2"), longest.alias("MaxIBD2"))
-    both = one.join(two, ["s1", "s2"], "full_outer").na.fill(0)
+
+def sharing(found: DataFrame, genome_length: int) -> DataFrame:
+    """IBD1Seg, IBD2Seg, PropIBD and the largest segments per pair of ``all_segments``; IBD2 runs lie within IBD1 runs and are taken off them."""
+    length = F.col("end_pos") - F.col("start_pos") + 1
+    of = lambda state: F.when(F.col("state") == state, length)
+    sums = [F.coalesce(agg(of(k)), F.lit(0)).alias(f"{name}{k}") for name, agg in (("l", F.sum), ("MaxIBD", F.max)) for k in (1, 2)]
+    both = found.groupBy("s1", "s2").agg(*sums)
     g = F.lit(float(genome_length))
     both = both.withColumn("IBD2Seg", F.col("l2") / g).withColumn("IBD1Seg", F.greatest(F.lit(0.0), F.col("l1") / g - F.col("IBD2Seg")))
     return both.withColumn("PropIBD", F.col("IBD1Seg") / 2 + F.col("IBD2Seg")).select("s1", "s2", "IBD1Seg", "IBD2Seg", "PropIBD", "MaxIBD1", "MaxIBD2")
@@ -51,7 +162,7 @@ def sharing(ibd1: DataFrame, ibd2: DataFrame, genome_length: int) -> DataFrame:
 def sharing_x(calls: DataFrame, people: DataFrame, length: int, min_snps: int = 8, min_bp: int = 0) -> DataFrame:
     """Sharing on chromosome X (without its pseudo-autosomal regions), with the sexes of ``people(sample_id, sex)``; 0 where unknown."""
     x = calls.filter(F.col("chrom").rlike("^(chr)?(X|23)$"))
-    found = sharing(segments(x, min_snps, min_bp), segments(x, min_snps, min_bp, state=2), length)
+    found = sharing(all_segments(x, {1: min_snps, 2: min_snps}, min_bp), length)
     for k in "12":
         sex = people.select(F.col("sample_id").alias(f"s{k}"), F.col("sex").cast("int").alias(f"Sex{k}"))
         found = found.join(sex, f"s{k}", "left")

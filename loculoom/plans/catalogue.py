@@ -401,7 +401,7 @@ SELECT s1, s2, round(ibd1, 6) AS "IBD1Seg", round(ibd2, 6) AS "IBD2Seg", round(i
 CASE WHEN ibd2 > 0.7 THEN 'Dup/MZ' WHEN ibd1 / 2 + ibd2 >= 0.35355 AND ibd2 >= 0.08 THEN 'FS' WHEN ibd1 / 2 + ibd2 >= 0.35355 THEN 'PO' WHEN ibd1 / 2 + ibd2 >= 0.17678 THEN '2nd' WHEN ibd1 / 2 + ibd2 >= 0.08839 THEN '3rd' END AS inf FROM d""")
 def ibd_sharing(spark, sf_dir):
     c = placed(spark, sf_dir)
-    out = ibd.sharing(ibd.segments(c, 8), ibd.segments(c, 4, state=2), 10_000)
+    out = ibd.sharing(ibd.all_segments(c, {1: 8, 2: 4}), 10_000)
     out = out.withColumn("inf", ibd.relationship(F.col("PropIBD"), F.col("IBD1Seg"), F.col("IBD2Seg")))
     return six(out, "IBD1Seg", "IBD2Seg", "PropIBD")
 

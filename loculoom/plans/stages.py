@@ -49,7 +49,7 @@ def raw_qc(calls: DataFrame, people: DataFrame, min_samples: int = 50) -> dict[s
 
 def relatedness(calls: DataFrame, genome_length: int, min_snps: int = 64, min_bp: int = 2_500_000) -> DataFrame:
     auto = calls.filter(F.col("chrom").rlike("^(chr)?([1-9]|1[0-9]|2[0-2])$"))
-    return ibd.relatives(ibd.sharing(ibd.segments(auto, min_snps, min_bp), ibd.segments(auto, min_snps, min_bp, state=2), genome_length))
+    return ibd.relatives(ibd.sharing(ibd.all_segments(auto, {1: min_snps, 2: min_snps}, min_bp), genome_length))
 
 
 def hwe_passed(calls: DataFrame, people: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:

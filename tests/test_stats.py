@@ -88,8 +88,7 @@ def test_segments(spark):
     rows = [(f"v{i:02}", s, d, 1, i) for i in range(12) for s, d in (("a", 0), ("b", 2 if i == 5 else 0))]
     c = spark.createDataFrame(rows, "variant_id string, sample_id string, dosage int, chrom int, pos int")
     assert sorted((r.start_pos, r.end_pos, r.n_snps) for r in ibd.segments(c, 5).collect()) == [(0, 4, 5), (6, 11, 6)]
-    one, two = ibd.segments(c, 5), ibd.segments(c, 5, state=2)
-    r = ibd.relatives(ibd.sharing(one, two, 12)).collect()
+    r = ibd.relatives(ibd.sharing(ibd.all_segments(c, {1: 5, 2: 5}), 12)).collect()
     assert len(r) == 1 and r[0].InfType == "Dup/MZ" and r[0].PropIBD == pytest.approx(11 / 12)
 
 
@@ -156,3 +155,43 @@ def test_sweep_of_a_production_cohort(spark):
     assert len(got) == len(rows) and all(0 <= r.p_hwe <= 1 for r in got)
     assert all(r.p_hwe == 0.5 for r in got if not r.het + r.hom_alt + r.male_alt)
     assert all(r.p_hwe < 1e-9 for r in got if r.het == 1760)
+
+
+def test_packed_calls():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    m = rng.integers(0, 4, (5, 21))
+    at = np.argwhere(m != 3)
+    data, width = ibd.pack(at[:, 0], at[:, 1], m[at[:, 0], at[:, 1]], 5)
+    got = ibd.unpack(data, 5, width + 2)
+    assert (got[:, :21] == m).all() and (got[:, 21:] == 3).all()
+
+
+def test_comparison_in_blocks(spark, monkeypatch):
+    """Several blocks of samples against all pairs by hand; no row for a pair and a variant is made."""
+    monkeypatch.setattr(ibd, "BLOCK_SAMPLES", 3)
+    monkeypatch.setattr(ibd, "PART_VARIANTS", 7)
+    random.seed(21)
+    calls = {(v, s): random.choice([0, 1, 2, 2, 2, None]) for v in range(30) for s in "abcdefghij" if random.random() < 0.9}
+    df = spark.createDataFrame([(f"v{v:02}", s, d, "chr1" if v < 20 else "chr2", 10 * v) for (v, s), d in calls.items()], "variant_id string, sample_id string, dosage int, chrom string, pos long")
+    counts, found = {}, set()
+    for s in "abcdefghij":
+        for t in "abcdefghij":
+            if s < t:
+                both = [(v, calls[v, s], calls[v, t]) for v in range(30) if calls.get((v, s)) is not None and calls.get((v, t)) is not None]
+                d = [abs(x - y) for _, x, y in both]
+                if both:
+                    counts[s, t] = (d.count(2), d.count(1), d.count(0))
+                for state in (1, 2):
+                    for chrom, of in (("chr1", range(20)), ("chr2", range(20, 30))):
+                        run = []
+                        for v, x, y in [*(b for b in both if b[0] in of), (None, 0, 2)]:
+                            if abs(x - y) == 2 or (state == 2 and x != y):
+                                if len(run) >= 3:
+                                    found.add((s, t, chrom, state, 10 * run[0], 10 * run[-1], len(run)))
+                                run = []
+                            else:
+                                run.append(v)
+    assert {(r.s1, r.s2): (r.ibs0, r.ibs1, r.ibs2) for r in ibd.ibs_counts(df).collect()} == counts
+    assert {tuple(r) for r in ibd.all_segments(df, {1: 3, 2: 3}).select("s1", "s2", "chrom", "state", "start_pos", "end_pos", "n_snps").collect()} == found
