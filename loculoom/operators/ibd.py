@@ -18,8 +18,8 @@ from pyspark.sql.types import StructType
 
 #: Lower bounds of PropIBD and of IBD2 share per class, after the published defaults of the segment method; configurable.
 DUPLICATE_IBD2, FIRST, SECOND, THIRD, FULL_SIB_IBD2 = 0.7, 0.35355, 0.17678, 0.08839, 0.08
-#: Samples of a block (as dealt by hash, so about), variants that are counted together, and what a missing call is packed as.
-BLOCK_SAMPLES, PART_VARIANTS, MISSING = 64, 20_000, 3
+#: Samples of a block (as dealt by hash, so about), variants that are counted together, calls looked at at once, and what a missing call is packed as.
+BLOCK_SAMPLES, PART_VARIANTS, HELD, MISSING = 256, 8_000, 4_000_000, 3
 
 
 def pack(samples: np.ndarray, sites: np.ndarray, dosage: np.ndarray, n_samples: int) -> tuple[bytes, int]:
@@ -63,36 +63,41 @@ def packed_blocks(calls: DataFrame) -> DataFrame:
 
 
 def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str) -> DataFrame:
-    """s1, s2, chrom and ``fields`` of every pair of samples s1 < s2.
+    """s1, s2, chrom and ``fields`` of pairs of samples s1 < s2.
 
-    ``compare(one, others, pos)`` takes the calls of one sample and of several (-1: no call), and yields (number of the other, values...).
+    ``compare(ones, others, pos)`` takes the calls of two blocks, samples by sites, and yields arrays: numbers of the one sample,
+    of the other, and values.  Within a block each pair comes both ways and is kept once.
     """
     blocks = packed_blocks(calls)
-    left = blocks.withColumn("i", F.col("block")).withColumn("j", F.explode(F.sequence("block", F.col("blocks") - 1)))
-    other = blocks.select(F.col("chrom").alias("chrom_"), F.col("block").alias("j_"), F.col("samples").alias("samples_"), F.col("data").alias("data_"))
-    right = other.withColumn("i_", F.explode(F.sequence(F.lit(0).cast("long"), "j_")))
+    # a block goes once to every pair of blocks that it is in
+    k = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
+    dealt = blocks.select("*", k.alias("k")).select("*", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")).drop("k")
     kind, chrom = (calls.schema[c].dataType.simpleString() for c in ("sample_id", "chrom"))
     schema = f"s1 {kind}, s2 {kind}, chrom {chrom}, {fields}"
+    shape = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(a: pa.Table, b: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        if a.num_rows and b.num_rows:
-            on, mine, theirs, one, two = (t.column(c)[0].as_py() for t, c in ((a, "chrom"), (a, "samples"), (b, "samples_"), (a, "data"), (b, "data_")))
-            width = max(len(one) // len(mine), len(two) // len(theirs))
-            one, two = unpack(one, len(mine), width), unpack(two, len(theirs), width)
-            pos = np.zeros(width * 4, np.int64)
-            known = np.frombuffer(a.column("pos")[0].as_py(), np.int64)
-            pos[: len(known)] = known
-            same = a.column("i")[0].as_py() == a.column("j")[0].as_py()
-            for k, name in enumerate(mine):
-                first = k + 1 if same else 0
-                if first < len(theirs):
-                    out += [(min(name, theirs[first + o]), max(name, theirs[first + o]), on, *values) for o, *values in compare(one[k], two[first:], pos)]
-        columns = list(zip(*out)) or [()] * len(shape)
+    def run(t: pa.Table) -> pa.Table:
+        same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
+        if not same and t.num_rows < 2:  # the other block has no call here
+            return shape.empty_table()
+        names, data = ([x.as_py() for x in t.column(c)] for c in ("samples", "data"))
+        mine, theirs = np.array(names[0]), np.array(names[-1])
+        width = max(len(d) // len(n) for d, n in zip(data, names))
+        one, two = unpack(data[0], len(mine), width), unpack(data[-1], len(theirs), width)
+        pos = np.zeros(width * 4, np.int64)
+        for p in t.column("pos"):
+            known = np.frombuffer(p.as_py(), np.int64)
+            pos[: len(known)] = np.maximum(pos[: len(known)], known)
+        got = [np.concatenate(c) for c in zip(*compare(one, two, pos))]
+        if not got:
+            return shape.empty_table()
+        keep = got[0] < got[1] if same else np.ones(len(got[0]), bool)
+        k, o, *values = (c[keep] for c in got)
+        x, y = mine[k], theirs[o]
+        columns = [np.where(x < y, x, y), np.where(x < y, y, x), np.full(len(x), t.column("chrom")[0].as_py()), *values]
         return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
 
-    shape = to_arrow_schema(StructType.fromDDL(schema))
-    return left.groupBy("chrom", "i", "j").cogroup(right.groupBy("chrom_", "i_", "j_")).applyInArrow(run, schema)
+    return dealt.groupBy("chrom", "i", "j").applyInArrow(run, schema)
 
 
 def ibs_counts(calls: DataFrame) -> DataFrame:
@@ -100,31 +105,35 @@ def ibs_counts(calls: DataFrame) -> DataFrame:
     parts = F.greatest(F.ceil(calls.agg((F.count_distinct("variant_id") / PART_VARIANTS).alias("n")).scalar()), F.lit(1)).cast("long")
     dealt = calls.select("variant_id", "sample_id", "dosage", F.pmod(F.xxhash64("variant_id"), parts).alias("chrom"), F.lit(0).cast("long").alias("pos"))
 
-    def compare(one: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
-        # agreements by dosage, as products of 0/1 matrices
-        mine = [(one == d).astype(np.float32) for d in range(3)]
-        theirs = [(others == d).astype(np.float32) for d in range(3)]
-        both = np.array([[t @ m for t in theirs] for m in mine])
-        same, opposite = both[0, 0] + both[1, 1] + both[2, 2], both[0, 2] + both[2, 0]
-        every = both.sum((0, 1))
-        for k in np.flatnonzero(every).tolist():
-            yield k, int(opposite[k]), int(every[k] - same[k] - opposite[k]), int(same[k])
+    def compare(ones: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
+        # counts as products of 0/1 matrices: calls of both, equal dosages, opposite homozygotes
+        (a, b) = ([(m == d).astype(np.float32) for d in range(3)] for m in (ones, others))
+        every = sum(a) @ sum(b).T
+        same = sum(x @ y.T for x, y in zip(a, b))
+        opposite = a[0] @ b[2].T + a[2] @ b[0].T
+        k, o = np.nonzero(every)
+        every, same, opposite = (m[k, o].astype(np.int64) for m in (every, same, opposite))
+        yield k, o, opposite, every - same - opposite, same
 
     counts = compared(dealt, compare, "ibs0 long, ibs1 long, ibs2 long")
     return counts.groupBy("s1", "s2").agg(*[F.sum(f"ibs{k}").alias(f"ibs{k}") for k in range(3)])
 
 
-def runs(breaks: np.ndarray, called: np.ndarray, pos: np.ndarray, min_snps: int, min_bp: int) -> Iterator[tuple[int, int, int, int]]:
+def runs(breaks: np.ndarray, called: np.ndarray, pos: np.ndarray, min_snps: int, min_bp: int) -> tuple[np.ndarray, ...]:
     """(row, start, end, sites) of the stretches of called sites between breaks, row by row."""
-    row, site = np.nonzero(called & ~breaks)
+    row, site = np.nonzero(called)
+    broken = breaks[row, site]
+    # a stretch ends at a break and at a row's end
+    island = np.cumsum(broken)
+    open_ = ~broken
+    row, site, island = row[open_], site[open_], island[open_]
     if not len(row):
-        return
-    island = np.cumsum(breaks, axis=1, dtype=np.int32)[row, site]
+        return row, row, row, row
     first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (island[1:] != island[:-1])]))
     last = np.append(first[1:], len(row)) - 1
     n, start, end = last - first + 1, pos[site[first]], pos[site[last]]
-    for k in np.flatnonzero((n >= min_snps) & (end - start >= min_bp)).tolist():
-        yield int(row[first[k]]), int(start[k]), int(end[k]), int(n[k])
+    keep = (n >= min_snps) & (end - start >= min_bp)
+    return row[first[keep]], start[keep], end[keep], n[keep]
 
 
 def all_segments(calls: DataFrame, min_snps: dict[int, int], min_bp: int = 0) -> DataFrame:
@@ -133,12 +142,17 @@ def all_segments(calls: DataFrame, min_snps: dict[int, int], min_bp: int = 0) ->
     IBD1 runs (state 1) break at opposite homozygotes; IBD2 runs (state 2) break wherever the dosages differ.
     """
 
-    def compare(one: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
-        called = (one != MISSING) & (others != MISSING)
-        d = np.abs(others - one)
-        for state, least in min_snps.items():
-            for k, start, end, n in runs(called & (d == 2 if state == 1 else d != 0), called, pos, least, min_bp):
-                yield k, state, start, end, n
+    def compare(ones: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
+        for k, one in enumerate(ones):
+            # only sites that this sample is called at
+            site = np.flatnonzero(one != MISSING)
+            step = max(1, HELD // max(1, len(site)))
+            for a in range(0, len(others), step):
+                theirs = others[a : a + step, site]
+                called, d = theirs != MISSING, np.abs(theirs - one[site])
+                for state, least in min_snps.items():
+                    row, *values = runs(d == 2 if state == 1 else d != 0, called, pos[site], least, min_bp)
+                    yield np.full(len(row), k), row + a, np.full(len(row), state), *values
 
     return compared(calls, compare, "state int, start_pos long, end_pos long, n_snps long")
 
