@@ -150,8 +150,16 @@ class WordTransducer:
         return self.finish(state, c) if add is None else add
 
     def count(self, word: str) -> int:
-        state, c, total = self.run(0, word[0], word[1:])
-        return total + self.end(state, c)
+        if len(word) > STRIDE:
+            state, c, total = self.run(0, word[0], word[1:])
+            return total + self.end(state, c)
+        if len(self.keys) > STATES:
+            self.reset()
+        state, total, moves = 0, 0, self.next
+        for c in word[:-1]:
+            state, add = moves[state].get(c) or self.step(state, c)
+            total += add
+        return total + self.end(state, word[-1])
 
 
 #: States of the scanner: between words; a run of letters or marks with its word state's key and the byte that waits; behind an apostrophe.
