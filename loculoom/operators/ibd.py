@@ -173,10 +173,19 @@ def sharing(found: DataFrame, genome_length: int) -> DataFrame:
     return both.withColumn("PropIBD", F.col("IBD1Seg") / 2 + F.col("IBD2Seg")).select("s1", "s2", "IBD1Seg", "IBD2Seg", "PropIBD", "MaxIBD1", "MaxIBD2")
 
 
+def segments_x(calls: DataFrame, min_snps: int = 8, min_bp: int = 0) -> DataFrame:
+    """``all_segments`` of chromosome X without its pseudo-autosomal regions."""
+    return all_segments(calls.filter(F.col("chrom").rlike("^(chr)?(X|23)$")), {1: min_snps, 2: min_snps}, min_bp)
+
+
 def sharing_x(calls: DataFrame, people: DataFrame, length: int, min_snps: int = 8, min_bp: int = 0) -> DataFrame:
-    """Sharing on chromosome X (without its pseudo-autosomal regions), with the sexes of ``people(sample_id, sex)``; 0 where unknown."""
-    x = calls.filter(F.col("chrom").rlike("^(chr)?(X|23)$"))
-    found = sharing(all_segments(x, {1: min_snps, 2: min_snps}, min_bp), length)
+    """Sharing on chromosome X, with the sexes of ``people(sample_id, sex)``; 0 where unknown."""
+    return sharing_with_sex(segments_x(calls, min_snps, min_bp), people, length)
+
+
+def sharing_with_sex(found: DataFrame, people: DataFrame, length: int) -> DataFrame:
+    """``sharing`` of segments, with the sexes of both samples."""
+    found = sharing(found, length)
     for k in "12":
         sex = people.select(F.col("sample_id").alias(f"s{k}"), F.col("sex").cast("int").alias(f"Sex{k}"))
         found = found.join(sex, f"s{k}", "left")

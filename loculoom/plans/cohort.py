@@ -50,13 +50,14 @@ class MergeInputs:
 
 
 def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: str) -> dict[str, Stage]:
-    """Phase 1.  Outputs: <GtcToBcfs>/heavy and light, <BafRegress>/baf, <CohortBcfToPlink>/samples and calls."""
+    """Phase 1.  Outputs: <GtcToBcfs>/heavy, light and metadata, <BafRegress>/baf, <CohortBcfToPlink>/samples, calls and plink.bed, .bim and .fam."""
     at = {n: output_prefix(root, workflow, n) for n in PHASE1}
 
     def decode(context: dict) -> None:
         names = readers.manifest_reheader(readers.manifest_csv(spark, given.manifest))
         bases = spark.read.parquet(given.reference) if given.reference else None
         heavy, _ = stages.plate_calls(binary.read_gtc(spark, given.gtc), spark.read.parquet(given.sites), names, bases)
+        writers.gtc_metadata(binary.read_gtc_metadata(spark, given.gtc), f"{at['GtcToBcfs']}/metadata", "overwrite")
         writers.calls(heavy, f"{at['GtcToBcfs']}/heavy", "overwrite")
         # the light calls are columns of the heavy ones: the files are decoded once
         light = spark.read.parquet(f"{at['GtcToBcfs']}/heavy").select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq", "bpm_index")
@@ -71,15 +72,18 @@ def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: s
         people = light.select("sample_id").distinct()
         sexes = spark.read.parquet(given.sexes) if given.sexes else spark.createDataFrame([], "sample_id string, sex int")
         samples.update_sex(people, sexes).write.mode("overwrite").parquet(f"{at['CohortBcfToPlink']}/samples")
-        writers.calls(stages.plate_fileset(light), f"{at['CohortBcfToPlink']}/calls", "overwrite")
+        clean = stages.plate_fileset(light)
+        binary.write_fileset(clean, spark.read.parquet(f"{at['CohortBcfToPlink']}/samples"), f"{at['CohortBcfToPlink']}/plink")
+        writers.calls(clean, f"{at['CohortBcfToPlink']}/calls", "overwrite")
 
     return named({"GtcToBcfs": (decode, f"{at['GtcToBcfs']}/light"), "BafRegress": (contamination, f"{at['BafRegress']}/baf"), "CohortBcfToPlink": (fileset, f"{at['CohortBcfToPlink']}/calls")})
 
 
 def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: str, version: str, temporary: str | None = None) -> dict[str, Stage]:
-    """Phase 2.  A fileset (of a plate, or the aggregate) is a folder with samples and calls; the merge is a temporary output."""
+    """Phase 2.  A fileset (of a plate, or the aggregate) is a folder with samples and calls; the merge and the export's VCF are temporary outputs."""
     at = {n: output_prefix(root, workflow, n, version) for n in PHASE2}
     at["MergeCohortPlink"] = output_prefix(temporary or root, workflow, "MergeCohortPlink", version)
+    vcf = f"{output_prefix(temporary or root, workflow, 'ExportCohortDatasets', version)}/vcf"
     read = spark.read.parquet
 
     def merge(context: dict) -> None:
@@ -97,6 +101,7 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
 
     def export(context: dict) -> None:
         merged("samples").write.mode("overwrite").parquet(f"{at['ExportCohortDatasets']}/samples")
+        binary.write_vcf(merged("calls"), merged("samples"), vcf, "overwrite")
         writers.calls(merged("calls"), f"{at['ExportCohortDatasets']}/calls", "overwrite")
 
     def raw_qc(context: dict) -> None:
@@ -105,10 +110,15 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
             tables[name].write.mode("overwrite").parquet(f"{at['Plink2Qc']}/{name}")
 
     def related(context: dict) -> None:
-        on_x = ibd.sharing_x(merged("calls"), merged("samples"), given.x_length, given.min_snps, given.min_bp)
-        on_x.write.mode("overwrite").parquet(f"{at['KingIbdseg']}/seg_x")
-        pairs = stages.relatedness(merged("calls"), given.genome_length, given.min_snps, given.min_bp)
-        pairs.withColumnsRenamed({"s1": "ID1", "s2": "ID2"}).write.mode("overwrite").parquet(f"{at['KingIbdseg']}/seg")
+        # the segments are compared once; both summaries are read off the written ones
+        to, calls = at["KingIbdseg"], stages.recoded(merged("calls"))
+        ibd.segments_x(calls, given.min_snps, given.min_bp).write.mode("overwrite").parquet(f"{to}/segments_x")
+        ibd.sharing_with_sex(read(f"{to}/segments_x"), merged("samples"), given.x_length).write.mode("overwrite").parquet(f"{to}/seg_x")
+        writers.segments(read(f"{to}/seg_x"), f"{to}/seg_x_tsv", writers.SEG_X_HEADER, "overwrite")
+        stages.autosomal_segments(calls, given.min_snps, given.min_bp).write.mode("overwrite").parquet(f"{to}/segments")
+        pairs = ibd.relatives(ibd.sharing(read(f"{to}/segments"), given.genome_length)).withColumnsRenamed({"s1": "ID1", "s2": "ID2"})
+        writers.segments(pairs, f"{to}/seg_tsv", mode="overwrite")
+        pairs.write.mode("overwrite").parquet(f"{to}/seg")
 
     def variant_report(context: dict) -> None:
         flagged = stages.snp_qc(merged("calls", "ExportCohortDatasets"), merged("samples", "ExportCohortDatasets"), readers.egt_info(spark, given.egt), given.thresholds)

@@ -47,9 +47,18 @@ def raw_qc(calls: DataFrame, people: DataFrame, min_samples: int = 50) -> dict[s
     }
 
 
-def relatedness(calls: DataFrame, genome_length: int, min_snps: int = 64, min_bp: int = 2_500_000) -> DataFrame:
+def recoded(calls: DataFrame) -> DataFrame:
+    """Contigs as the numbers that relatedness goes by: 1 to 22, X 23, Y 24, XY 25, MT 26."""
+    return calls.withColumn("chrom", variants.numeric_contig(F.col("chrom")))
+
+
+def autosomal_segments(calls: DataFrame, min_snps: int = 64, min_bp: int = 2_500_000) -> DataFrame:
     auto = calls.filter(F.col("chrom").rlike("^(chr)?([1-9]|1[0-9]|2[0-2])$"))
-    return ibd.relatives(ibd.sharing(ibd.all_segments(auto, {1: min_snps, 2: min_snps}, min_bp), genome_length))
+    return ibd.all_segments(auto, {1: min_snps, 2: min_snps}, min_bp)
+
+
+def relatedness(calls: DataFrame, genome_length: int, min_snps: int = 64, min_bp: int = 2_500_000) -> DataFrame:
+    return ibd.relatives(ibd.sharing(autosomal_segments(calls, min_snps, min_bp), genome_length))
 
 
 def hwe_passed(calls: DataFrame, people: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:

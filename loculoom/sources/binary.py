@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators import variants
+
 BED_MAGIC = b"\x6c\x1b\x01"
 #: Two-bit codes, lowest bits first: two A1 alleles, missing, one, none.
 DOSAGE_OF_CODE = np.array([2, -1, 1, 0], np.int8)
@@ -74,10 +77,98 @@ def bed_records(packed_calls: DataFrame) -> DataFrame:
 
 def write_bed(records: DataFrame, bim_order: DataFrame, path: str) -> None:
     """One BED file in the order of ``bim_order(variant_id, ord)``: rows are streamed to the driver, one partition at a time."""
-    with open(path, "wb") as f:
-        f.write(BED_MAGIC)
-        for r in records.join(bim_order, "variant_id").orderBy("ord").select("bed").toLocalIterator():
-            f.write(r.bed)
+    rows = records.join(bim_order, "variant_id").orderBy("ord").select("bed")
+    stream(records.sparkSession, path, chain([BED_MAGIC], (r.bed for r in rows.toLocalIterator())))
+
+
+def stream(spark: SparkSession, path: str, parts: Iterable[bytes]) -> None:
+    """One file of these parts, in whichever store ``path`` names; at most a megabyte or one part is held."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
+    held = bytearray()
+    try:
+        for part in parts:
+            held += part
+            if len(held) >= 1 << 20:
+                out.write(bytes(held))
+                held.clear()
+        out.write(bytes(held))
+    finally:
+        out.close()
+
+
+def sites_in_order(calls: DataFrame) -> DataFrame:
+    """variant_id, chrom, pos, ref, alt and ord, the place by contig and position.  One task ranks the sites (an array has few million)."""
+    sites = calls.groupBy("variant_id").agg(F.min(F.struct("chrom", "pos", "ref", "alt")).alias("s")).select("variant_id", "s.*")
+    contig = F.asc_nulls_last(variants.numeric_contig(F.col("chrom")).try_cast("int"))
+    return sites.withColumn("ord", F.row_number().over(Window.orderBy(contig, "chrom", "pos", "variant_id")) - 1)
+
+
+def samples_in_order(people: DataFrame) -> DataFrame:
+    """``people`` once each, with i, the place by sample_id."""
+    return people.dropDuplicates(["sample_id"]).withColumn("i", F.row_number().over(Window.orderBy("sample_id")) - 1)
+
+
+def rows_of_sites(calls: DataFrame, people: DataFrame, sites: DataFrame) -> DataFrame:
+    """``sites`` with their calls as got(i, d), by the places of ``people``; a sample without a call there is a no-call."""
+    called = calls.filter("dosage IS NOT NULL").join(people.select("sample_id", "i"), "sample_id")
+    lists = called.groupBy("variant_id").agg(F.collect_list(F.struct("i", F.col("dosage").cast("tinyint").alias("d"))).alias("got"))
+    return sites.join(lists, "variant_id", "left")
+
+
+def dosage_matrix(got: pa.Array, n: int) -> np.ndarray:
+    """sites x samples dosages of ``rows_of_sites``, -1 where missing."""
+    out = np.full((len(got), n), -1, np.int8)
+    size = got.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat = got.flatten()
+    out[np.repeat(np.arange(len(got)), size), flat.field("i").to_numpy()] = flat.field("d").to_numpy()
+    return out
+
+
+def write_fileset(calls: DataFrame, people: DataFrame, prefix: str) -> None:
+    """A PLINK 1 fileset, <prefix>.bed, .bim and .fam, of long calls and ``people(sample_id, sex)``.
+
+    ALT is A1.  Lines of the three files are streamed through the driver; executors pack the genotypes.
+    """
+    spark = calls.sparkSession
+    people, sites = samples_in_order(people), sites_in_order(calls)
+    n = people.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        code = np.array([3, 2, 0, 1], np.uint8)  # of dosages 0, 1, 2 and -1
+        for b in batches:
+            for k in range(0, b.num_rows, 1000):
+                part = b.slice(k, 1000)
+                c = np.pad(code[dosage_matrix(part.column(1), n)], ((0, 0), (0, -n % 4))).reshape(part.num_rows, -1, 4)
+                packed = (c << np.array([0, 2, 4, 6], np.uint8)).sum(2, dtype=np.uint8)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in packed], pa.binary())], names=["ord", "bed"])
+
+    rows = rows_of_sites(calls, people, sites).select("ord", "got").mapInArrow(run, "ord int, bed binary").orderBy("ord")
+    stream(spark, f"{prefix}.bed", chain([BED_MAGIC], (r.bed for r in rows.toLocalIterator())))
+    stream(spark, f"{prefix}.bim", (f"{r.chrom}\t{r.variant_id}\t0\t{r.pos}\t{r.alt}\t{r.ref}\n".encode() for r in sites.orderBy("ord").toLocalIterator()))
+    stream(spark, f"{prefix}.fam", (f"0\t{r.sample_id}\t0\t0\t{r.sex or 0}\t-9\n".encode() for r in people.orderBy("i").toLocalIterator()))
+
+
+def write_vcf(calls: DataFrame, people: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Text VCF of long calls, REF first, GT alone: a folder of gzip parts that make one VCF when read in the order of their names."""
+    people, sites = samples_in_order(people), sites_in_order(calls)
+    n = people.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        text = np.array(["0/0", "0/1", "1/1", "./."])
+        for b in batches:
+            for k in range(0, b.num_rows, 1000):
+                part = b.slice(k, 1000)
+                cells = text[dosage_matrix(part.column(2), n)]
+                lines = ["\t".join([head, *row]) for head, row in zip(part.column(1).to_pylist(), cells.tolist())]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lines, pa.string())], names=["ord", "value"])
+
+    fixed = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "variant_id", "ref", "alt", F.lit("."), F.lit("."), F.lit("."), F.lit("GT"))
+    body = rows_of_sites(calls, people, sites).select("ord", fixed.alias("head"), "got").mapInArrow(run, "ord int, value string")
+    names = F.transform(F.array_sort(F.collect_list(F.struct("i", "sample_id"))), lambda s: s["sample_id"])
+    start = "##fileformat=VCFv4.3\n##FORMAT=<ID=GT,Number=1,Type=String,Description=\"Genotype\">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
+    header = people.agg(F.lit(-1).alias("ord"), F.concat_ws("\t", F.lit(start), names).alias("value"))
+    header.unionByName(body).orderBy("ord").select("value").write.mode(mode).option("compression", "gzip").text(path)
 
 
 # GTC: "gtc", version 5, then a table of (tag, offset); single values keep the value itself in place of the offset.
@@ -105,17 +196,52 @@ def write_gtc(path: str, name: str, arrays: dict[str, np.ndarray]) -> None:
         f.write(b"gtc" + bytes([5]) + struct.pack("<i", len(blocks) + 1) + table + body)
 
 
-def decode_gtc(data: bytes) -> tuple[str, dict[str, np.ndarray]]:
-    if data[:3] != b"gtc":
-        raise ValueError("not a GTC file")
-    toc = dict(struct.unpack_from("<Hi", data, 8 + 6 * i) for i in range(struct.unpack_from("<i", data, 4)[0]))
-    at, shift, n = toc[GTC_TAGS["sample_name"]], 0, 0
+def text_at(data: bytes, at: int) -> str:
+    """A text behind its length, seven bits a byte."""
+    shift, n = 0, 0
     while True:
         n |= (data[at] & 127) << shift
         shift, at = shift + 7, at + 1
         if data[at - 1] < 128:
-            break
-    name, arrays = data[at : at + n].decode(), {}
+            return data[at : at + n].decode()
+
+
+#: Tags of the format: texts, the sex (one character) and 32-bit floats that describe a sample.
+GTC_TEXTS = {"sample_name": 10, "sample_plate": 11, "sample_well": 12, "cluster_file": 100, "snp_manifest": 101, "imaging_date": 200, "autocall_date": 201, "autocall_version": 300}
+GTC_SEX, GTC_FLOATS = 1007, {"call_rate": 1006, "logr_dev": 1008, "p10_gc": 1009}
+METADATA = "file string, n_loci int, " + ", ".join(f"{k} string" for k in GTC_TEXTS) + ", sex string, " + ", ".join(f"{k} float" for k in GTC_FLOATS)
+
+
+def describe_gtc(data: bytes) -> dict:
+    """What a GTC file tells of its sample (None where it does not); a missing call rate is counted from the genotypes."""
+    if data[:3] != b"gtc":
+        raise ValueError("not a GTC file")
+    toc = dict(struct.unpack_from("<Hi", data, 8 + 6 * i) for i in range(struct.unpack_from("<i", data, 4)[0]))
+    out = {"n_loci": toc.get(GTC_TAGS["n"])} | {k: text_at(data, toc[t]) if t in toc else None for k, t in GTC_TEXTS.items()}
+    out["sex"] = chr(data[toc[GTC_SEX]]) if GTC_SEX in toc else None
+    out |= {k: struct.unpack_from("<f", data, toc[t])[0] if t in toc else None for k, t in GTC_FLOATS.items()}
+    if out["call_rate"] is None and len(g := decode_gtc(data)[1].get("genotypes", ())):
+        out["call_rate"] = float((g != 0).mean())
+    return out
+
+
+def read_gtc_metadata(spark: SparkSession, path: str) -> DataFrame:
+    """One row a GTC file, of the columns ``METADATA``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = [{"file": p.rsplit("/", 1)[-1]} | describe_gtc(c.as_py()) for p, c in zip(b.column(0).to_pylist(), b.column(1))]
+            yield pa.RecordBatch.from_pylist(rows, schema=shape)
+
+    shape = pa.schema([(k, {"string": pa.string(), "int": pa.int32(), "float": pa.float32()}[t]) for k, t in (f.split() for f in METADATA.split(", "))])
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, METADATA)
+
+
+def decode_gtc(data: bytes) -> tuple[str, dict[str, np.ndarray]]:
+    if data[:3] != b"gtc":
+        raise ValueError("not a GTC file")
+    toc = dict(struct.unpack_from("<Hi", data, 8 + 6 * i) for i in range(struct.unpack_from("<i", data, 4)[0]))
+    name, arrays = text_at(data, toc[GTC_TAGS["sample_name"]]), {}
     for k, t in ARRAY_TYPES.items():
         if GTC_TAGS[k] in toc:
             o = toc[GTC_TAGS[k]]

@@ -63,10 +63,16 @@ def dual(df: DataFrame, durable: str, temporary: str) -> None:
         df.unpersist()
 
 
-def segments(df: DataFrame | None, path: str, spark, header: str = SEG_HEADER) -> None:
-    """Relatives as TSV; without any, a file with the header alone."""
-    df = spark.createDataFrame([], header) if df is None else df
-    df.coalesce(1).write.csv(path, sep="\t", header=True)
+def segments(pairs: DataFrame, path: str, header: str = SEG_HEADER, mode: str = "errorifexists") -> None:
+    """Relatives as TSV with the columns of ``header``, families 0; without any pair, a file with the header alone."""
+    names = [f.split()[0] for f in header.split(", ")]
+    rows = pairs.select([F.lit("0").alias(c) if c.startswith("FID") else F.col(c) for c in names])
+    rows.orderBy("ID1", "ID2").coalesce(1).write.mode(mode).csv(path, sep="\t", header=True)
+
+
+def gtc_metadata(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The table of samples that leaves beside the calls, one TSV."""
+    rows.orderBy("file").coalesce(1).write.mode(mode).csv(path, sep="\t", header=True, emptyValue="")
 
 
 def id_pairs(samples: DataFrame, path: str, *columns: str) -> None:

@@ -33,3 +33,22 @@ def test_rolling_equals_rebuild(spark, tmp_path):
     want = rolling.variant_totals(spark.createDataFrame(rows, rolling.CALLS))
     assert sorted(map(tuple, rolling.current(spark, totals).collect())) == sorted(map(tuple, want.collect()))
     assert stats.missingness(spark.createDataFrame(rows, rolling.CALLS), "variant_id").count() == 5
+
+
+def test_fileset_and_vcf_of_unlike_plates(spark, tmp_path):
+    # v2 is not on s1's plate and nobody is called at v1; contigs sort by number, five samples need two bytes a site
+    rows = [("v0", "chr2", 5, "s0", 2), ("v0", "chr2", 5, "s1", 1), ("v0", "chr2", 5, "s4", 0), ("v1", "chr10", 1, "s0", None), ("v2", "chr1", 9, "s3", 1)]
+    calls = spark.createDataFrame([(v, c, p, "A", "G", s, d) for v, c, p, s, d in rows], "variant_id string, chrom string, pos long, ref string, alt string, sample_id string, dosage int")
+    people = spark.createDataFrame([(f"s{i}", None if i == 2 else 1) for i in range(5)] + [("s0", 1)], "sample_id string, sex int")
+    binary.write_fileset(calls, people, str(tmp_path / "f"))
+    bim = readers.bim(spark, str(tmp_path / "f.bim"))
+    assert [r.variant_id for r in bim.orderBy("ord").collect()] == ["v2", "v0", "v1"]
+    assert [x.split("\t")[4] for x in (tmp_path / "f.fam").read_text().splitlines()] == ["1", "1", "0", "1", "1"]
+    want = {(f"v{v}", f"s{s}"): None for v in range(3) for s in range(5)} | {(v, s): d for v, _, _, s, d in rows}
+    bed = binary.bed_calls(binary.read_bed(spark, str(tmp_path / "f.bed"), 5), bim, [f"s{i}" for i in range(5)])
+    assert {(r.variant_id, r.sample_id): r.dosage for r in bed.collect()} == want
+    binary.write_vcf(calls, people, str(tmp_path / "vcf"))
+    assert {(r.variant_id, r.sample_id): r.dosage for r in readers.vcf_calls(spark, str(tmp_path / "vcf")).collect()} == want
+    none = spark.createDataFrame([], "ID1 string, ID2 string, IBD1Seg double, IBD2Seg double, PropIBD double, InfType string")
+    writers.segments(none, str(tmp_path / "seg"))
+    assert "".join(p.read_text() for p in (tmp_path / "seg").glob("part*")) == "FID1\tID1\tFID2\tID2\tIBD1Seg\tIBD2Seg\tPropIBD\tInfType\n"

@@ -129,6 +129,20 @@ def test_stages_end_to_end(spark, tmp_path):
     by = {r.IID: r for r in report.collect()}
     assert set(by) == set(wanted) and by["SG0"].RELATED_MZ.startswith("SG1:") and by["SG0"].RELATED_MZ.endswith("Dup/MZ") and "contamination" in report.columns
     assert report.columns[:6] == ["FID", "IID", "MISSING_CT", "OBS_CT", "F_MISS", "O_HOM"] and {"PEDSEX", "SNPSEX", "STATUS", "F_sex"} < set(report.columns)
+    calls = {(r.variant_id, r.sample_id): r.dosage for r in spark.read.parquet(path("out/w/ExportCohortDatasets/C/calls")).collect()}
+    text = readers.vcf_calls(spark, path("out/w/ExportCohortDatasets/C/vcf")).collect()
+    assert len(text) == len(loci) * len(wanted) and all(calls[r.variant_id, r.sample_id] == r.dosage for r in text)
+    of = path("out/p1/CohortBcfToPlink")
+    fam = [x.split("\t") for x in (tmp_path / "out/p1/CohortBcfToPlink/plink.fam").read_text().splitlines()]
+    assert [(x[1], x[4]) for x in fam] == [(n, str(1 + i % 2)) for i, n in enumerate(names[:4])]
+    back = binary.bed_calls(binary.read_bed(spark, of + "/plink.bed", 4), readers.bim(spark, of + "/plink.bim"), [x[1] for x in fam]).collect()
+    plate = {(r.variant_id, r.sample_id): r.dosage for r in spark.read.parquet(of + "/calls").collect()}
+    assert {(r.variant_id, r.sample_id): r.dosage for r in back} == plate
+    about = spark.read.csv(path("out/p1/GtcToBcfs/metadata"), sep="\t", header=True).orderBy("file").collect()
+    assert [(r.sample_name, int(r.n_loci)) for r in about] == [(f"9_{n}", len(loci)) for n in names[:4]] and abs(float(about[0].call_rate) - (plates["SG0"] != 0).mean()) < 1e-6
+    found = part(tmp_path / "out/w/KingIbdseg/C/seg_tsv").splitlines()
+    assert found[0] == "FID1\tID1\tFID2\tID2\tIBD1Seg\tIBD2Seg\tPropIBD\tInfType" and any(x.startswith("0\tSG0\t0\tSG1\t") for x in found[1:])
+    assert part(tmp_path / "out/w/KingIbdseg/C/seg_x_tsv").startswith("FID1\tID1\tFID2\tID2\tSex1\tSex2\tMaxIBD1") and not spark.read.parquet(path("out/w/KingIbdseg/C/segments")).isEmpty()
     summary = dict(x.split("\t") for x in part(tmp_path / "out/w/SnpQcReport/C/summary").splitlines())
     audit = spark.read.csv(path("out/w/SnpQcReport/C/audit"), sep="\t", header=True).select("ID").collect()
     assert [r.ID for r in audit] == [f"{c}:{p}:A:G" for c, p in loci]
