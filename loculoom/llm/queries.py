@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, exact_dedup, language_id, lattice_lm, licences, line_dedup, mixing, near_dedup, pii, token_count
+from . import clustering, decontaminate, exact_dedup, language_id, lattice_lm, licences, line_dedup, mixing, near_dedup, pii, token_count
 from .common import table
 
 
@@ -50,6 +50,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_digest(mixing.mixed(table(spark, sf_dir, "documents")))
 
 
+def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster_digest(*clustering.clustered(table(spark, sf_dir, "embeddings")))
+
+
 def personal_data_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What of op6 SQL expresses: the numbers of base spans."""
     return op6_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
@@ -104,8 +108,8 @@ FROM w JOIN folds USING (doc_id) LEFT JOIN c USING (word), t GROUP BY doc_id
 QUERIES = {
     f.__name__: f
     for f in (
-        op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_decontamination, op6_personal_data, op7_licences, op8_near_dedup, op9_languages, op10_mixing,
+        op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_decontamination, op6_personal_data, op7_licences, op8_near_dedup, op9_languages, op10_mixing, op11_clusters,
         personal_data_base, licence_places_base, lm_base_scores,
     )
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL, "personal_data_base": PERSONAL_DATA_SQL, "licence_places_base": LICENCE_PLACES_SQL, "lm_base_scores": LM_BASE_SQL}
+ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL, "op11_clusters": clustering.SQL, "personal_data_base": PERSONAL_DATA_SQL, "licence_places_base": LICENCE_PLACES_SQL, "lm_base_scores": LM_BASE_SQL}
