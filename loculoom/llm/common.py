@@ -7,6 +7,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -61,16 +63,53 @@ def fresh(docs: DataFrame, name: str) -> str:
 
 
 def numbered(docs: DataFrame, name: str) -> DataFrame:
-    """Add a unique number to every row, whatever its doc_id.
-
-    The number follows from a row's place in its file, so it is the same in every scan of a table and after a lost task.  A frame
-    that is not read from files is written first; one that was shuffled since it was read must be ``cut`` by the caller.
-    """
+    """Add a number that is unique within one scan, whatever the doc_id.  Another scan may be split otherwise and number
+    otherwise: what two scans must agree on takes ``keyed``.  A frame that is not read from files is written first."""
     if not docs.inputFiles():
         docs = cut(docs)
     return docs.withColumn(name, F.monotonically_increasing_id())
 
 
+def one_scan(docs: DataFrame) -> bool:
+    """Whether the plan only reads, selects and filters, so that each row is one row of one file, and no file is read twice."""
+    plan = docs._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while True:
+        kind = plan.getClass().getSimpleName()
+        if kind == "LogicalRelation":
+            break
+        if kind not in ("Project", "Filter", "SubqueryAlias", "View"):
+            return False
+        plan = plan.children().apply(0)
+    try:
+        roots = plan.relation().location().rootPaths()
+    except Py4JError:
+        return False
+    paths = sorted(f"{roots.apply(i).toString().rstrip('/')}/" for i in range(roots.size()))
+    return not any(b.startswith(a) for a, b in zip(paths, paths[1:]))
+
+
+def keyed(docs: DataFrame, file: str = "file", at: str = "at") -> DataFrame:
+    """Add two longs that name every row, whatever its doc_id: a hash of its file's path, and its place in that file.
+
+    They belong to the stored row, so every scan gives the same ones, however the table is split and whichever executors are lost
+    between the scans.  A frame that does more than read Parquet files, select and filter is written first (so is one that reads a file twice).
+    The path counts with 87 bits of hash, 23 of them above the place in the file, which is below 2^40."""
+    if one_scan(docs):
+        try:
+            return with_key(docs, file, at)
+        except AnalysisException:  # another format than Parquet has no place in the file
+            pass
+    return with_key(cut(docs), file, at)
+
+
+def with_key(docs: DataFrame, file: str, at: str) -> DataFrame:
+    meta = docs.metadataColumn("_metadata")
+    more = F.pmod(F.xxhash64(F.lit("more"), meta["file_path"]), F.lit(1 << 23))
+    return docs.withColumns({file: F.xxhash64(meta["file_path"]), at: meta["row_index"] + more * F.lit(1 << 40)})
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

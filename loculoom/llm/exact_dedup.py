@@ -3,7 +3,7 @@
 Each input partition first merges its own copies in a compressed radix trie over whole byte strings, so a text of
 which there are millions of copies leaves a partition once.  The distinct texts are then partitioned by length and
 content hash, and each partition inserts them into its trie; a terminal node holds the identifier that stays (with the
-number of its row) and the number of rows.  When a trie outgrows its memory, its largest subtree is spilled: its terminals leave as partial
+key of its row) and the number of rows.  When a trie outgrows its memory, its largest subtree is spilled: its terminals leave as partial
 owners, which a small aggregation by content address merges.  Documents find their owner by that address in a join
 of narrow rows that may be split where one address is hot.
 
@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, map_texts, numbered, partitions, slices
+from .common import cut, fresh, keyed, map_texts, partitions, slices
 
 #: Bytes of edge labels that one trie may hold.
 TRIE_BYTES = 96 << 20
@@ -125,61 +125,64 @@ def packed(rows: Iterator[tuple], schema: pa.Schema, size: int = 1 << 22) -> Ite
         yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*got), schema)], schema=schema)
 
 
-LOCAL = pa.schema([("n_bytes", pa.int64()), ("head", pa.int64()), ("doc_id", pa.int64()), ("row", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
-OWNED = pa.schema([("keep_id", pa.int64()), ("keep_row", pa.int64()), ("group_size", pa.int64()), ("text_sha256", pa.binary())])
+LOCAL = pa.schema([("n_bytes", pa.int64()), ("head", pa.int64()), ("doc_id", pa.int64()), ("file", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("text", pa.binary())])
+OWNED = pa.schema([("keep_id", pa.int64()), ("keep_file", pa.int64()), ("keep_at", pa.int64()), ("group_size", pa.int64()), ("text_sha256", pa.binary())])
 
 
 def local_owners(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((t.encode("utf-8").lower(), (*i, 1)) for ids, texts in slices(batches) for i, t in zip(ids, texts))
-        yield from packed(((len(k), int.from_bytes(hashlib.sha256(k).digest()[:8], "big", signed=True), *o, k) for k, o in owners(rows, limit)), LOCAL)
+        rows = ((t.encode("utf-8").lower(), (i, (file, at), 1)) for ids, texts in slices(batches) for (i, file, at), t in zip(ids, texts))
+        yield from packed(((len(k), int.from_bytes(hashlib.sha256(k).digest()[:8], "big", signed=True), i, *row, n, k) for k, (i, row, n) in owners(rows, limit)), LOCAL)
 
     return run
 
 
 def partition_owners(limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = ((k, o) for b in batches for *o, k in zip(*(b.column(c).to_pylist() for c in range(3)), (x.as_py() for x in b.column(3))))
-        yield from packed(((*o, hashlib.sha256(k).digest()) for k, o in owners(rows, limit)), OWNED)
+        rows = ((k, (i, (file, at), n)) for b in batches for i, file, at, n, k in zip(*(b.column(c).to_pylist() for c in range(4)), (x.as_py() for x in b.column(4))))
+        yield from packed(((i, *row, n, hashlib.sha256(k).digest()) for k, (i, row, n) in owners(rows, limit)), OWNED)
 
     return run
 
 
 def text_owners(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
-    """text_sha256 (binary), keep_id, keep_row and group_size of each distinct text of ``docs(doc_id, row, text)``."""
-    local = docs.select("doc_id", "row", "text").mapInArrow(local_owners(limit), "n_bytes long, head long, doc_id long, row long, n long, text binary")
-    dealt = local.repartition(partitions(docs.sparkSession), "n_bytes", "head").select("doc_id", "row", "n", "text")
-    owned = dealt.mapInArrow(partition_owners(limit), "keep_id long, keep_row long, group_size long, text_sha256 binary")
+    """text_sha256 (binary), keep_id, keep_file, keep_at and group_size of each distinct text of ``docs(doc_id, file, at, text)``."""
+    local = docs.select("doc_id", "file", "at", "text").mapInArrow(local_owners(limit), "n_bytes long, head long, doc_id long, file long, at long, n long, text binary")
+    dealt = local.repartition(partitions(docs.sparkSession), "n_bytes", "head").select("doc_id", "file", "at", "n", "text")
+    owned = dealt.mapInArrow(partition_owners(limit), "keep_id long, keep_file long, keep_at long, group_size long, text_sha256 binary")
     # a null id is less than any
-    best = F.max(F.struct(F.col("keep_id").isNotNull().alias("known"), "keep_id", "keep_row"))
+    best = F.max(F.struct(F.col("keep_id").isNotNull().alias("known"), "keep_id", "keep_file", "keep_at"))
     merged_owners = owned.groupBy("text_sha256").agg(best.alias("best"), F.sum("group_size").alias("group_size"))
-    return merged_owners.select("text_sha256", "best.keep_id", "best.keep_row", "group_size")
+    return merged_owners.select("text_sha256", "best.keep_id", "best.keep_file", "best.keep_at", "group_size")
 
 
 def addresses(docs: DataFrame) -> DataFrame:
-    """doc_id, row and text_sha256 (binary) of every row."""
+    """doc_id, file, at and text_sha256 (binary) of every row."""
 
     def each(ids: list, texts: list[str]) -> dict[str, list]:
-        return {"doc_id": [i[0] for i in ids], "row": [i[1] for i in ids], "text_sha256": [hashlib.sha256(t.encode("utf-8").lower()).digest() for t in texts]}
+        sha = [hashlib.sha256(t.encode("utf-8").lower()).digest() for t in texts]
+        return {"doc_id": [i[0] for i in ids], "file": [i[1] for i in ids], "at": [i[2] for i in ids], "text_sha256": sha}
 
-    return map_texts(docs, each, "doc_id long, row long, text_sha256 binary", "row")
+    return map_texts(docs, each, "doc_id long, file long, at long, text_sha256 binary", "file", "at")
 
 
 def exact_duplicates(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, keep_id, group_size, kept, text_sha256."""
-    docs = numbered(docs.select("doc_id", "text"), "row")
+    docs = keyed(docs.select("doc_id", "text"))
+    stays = (F.col("file") == F.col("keep_file")) & (F.col("at") == F.col("keep_at"))
     # the written owners leave a plain exchange on both sides, so a hot address can be split
     return addresses(docs).join(cut(text_owners(docs, limit)), "text_sha256").select(
-        "doc_id", "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"), F.lower(F.hex("text_sha256")).alias("text_sha256")
+        "doc_id", "keep_id", "group_size", stays.alias("kept"), F.lower(F.hex("text_sha256")).alias("text_sha256")
     )
 
 
 def without_copies(docs: DataFrame, limit: int = TRIE_BYTES) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; rows meet their decision by number, so none is lost or multiplied."""
-    row = fresh(docs, "row")
-    docs_ = numbered(docs, row)
-    stay = text_owners(docs_.select("doc_id", F.col(row).alias("row"), "text"), limit).select(F.col("keep_row").alias(row))
-    return docs_.join(stay, row, "left_semi").select(docs.columns)
+    """The rows of ``docs`` that stay, with all their columns; rows meet their decision by key, so none is lost or multiplied."""
+    file, at = fresh(docs, "file"), fresh(docs, "at")
+    docs_ = keyed(docs, file, at)
+    owned = text_owners(docs_.select("doc_id", F.col(file).alias("file"), F.col(at).alias("at"), "text"), limit)
+    stay = owned.select(F.col("keep_file").alias(file), F.col("keep_at").alias(at))
+    return docs_.join(stay, [file, at], "left_semi").select(docs.columns)
 
 
 SQL = """

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACES, cut, map_texts, numbered, slices
+from .common import SPACES, cut, keyed, map_texts, slices
 
 MIN_CHARS, MIN_DOCS = 40, 5
 SHARD_KEYS, BROADCAST_BYTES, ROUTED_ROWS = 200_000, 64 << 20, 500_000
@@ -128,17 +128,17 @@ def line_hash(line: str, min_chars: int) -> tuple[int, int] | None:
 
 
 def line_hashes(docs: DataFrame, min_chars: int) -> DataFrame:
-    """row, doc_id, hi, lo of the distinct long lines of each row."""
+    """file, at, doc_id, hi, lo of the distinct long lines of each row."""
 
     def each(ids: list, texts: list[str]) -> dict[str, list]:
-        out: list = [[], [], [], []]
-        for (i, row), t in zip(ids, texts):
+        out: list = [[], [], [], [], []]
+        for (i, file, at), t in zip(ids, texts):
             keys = {h for x in t.split("\n") if len(x) >= min_chars and (h := line_hash(x, min_chars))}
-            for column, values in zip(out, ([row] * len(keys), [i] * len(keys), [k[0] for k in keys], [k[1] for k in keys])):
+            for column, values in zip(out, ([file] * len(keys), [at] * len(keys), [i] * len(keys), [k[0] for k in keys], [k[1] for k in keys])):
                 column += values
-        return dict(zip(("row", "doc_id", "hi", "lo"), out))
+        return dict(zip(("file", "at", "doc_id", "hi", "lo"), out))
 
-    return map_texts(docs, each, "row long, doc_id long, hi long, lo long", "row")
+    return map_texts(docs, each, "file long, at long, doc_id long, hi long, lo long", "file", "at")
 
 
 def build_shards(frequent: DataFrame, n: int) -> DataFrame:
@@ -193,9 +193,9 @@ def probed(docs: DataFrame, blobs: list[bytes], min_chars: int) -> DataFrame:
 
 
 def routed(docs: DataFrame, lines: DataFrame, shards: DataFrame, n: int, min_chars: int) -> DataFrame:
-    """The hashes ``lines(row, doc_id, hi, lo)`` go to the shards; the hits come back to their rows, which are joined once."""
+    """The hashes ``lines(file, at, doc_id, hi, lo)`` go to the shards; the hits come back to their rows, which are joined once."""
     salts = max(1, math.ceil(lines.count() / (ROUTED_ROWS * n)))
-    asked = lines.withColumn("shard", F.pmod("hi", F.lit(n)).cast("int")).withColumn("salt", F.pmod(F.xxhash64("row", "lo"), F.lit(salts)).cast("int"))
+    asked = lines.withColumn("shard", F.pmod("hi", F.lit(n)).cast("int")).withColumn("salt", F.pmod(F.xxhash64("file", "at", "lo"), F.lit(salts)).cast("int"))
     held = shards.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
 
     def probe(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -205,11 +205,11 @@ def routed(docs: DataFrame, lines: DataFrame, shards: DataFrame, n: int, min_cha
             left = left.filter(pa.array([bool(f) and i != o for f, i, o in zip(found, ids, owner.tolist())], pa.bool_()))
         else:
             left = left.slice(0, 0)
-        return left.select(["row", "hi", "lo"])
+        return left.select(["file", "at", "hi", "lo"])
 
-    hits = asked.groupBy("shard", "salt").cogroup(held.groupBy("shard", "salt")).applyInArrow(probe, "row long, hi long, lo long")
-    gone = hits.groupBy("row").agg(F.collect_set(F.struct("hi", "lo")).alias("gone"))
-    both = docs.join(gone, "row", "left").select("doc_id", "gone", "text")
+    hits = asked.groupBy("shard", "salt").cogroup(held.groupBy("shard", "salt")).applyInArrow(probe, "file long, at long, hi long, lo long")
+    gone = hits.groupBy("file", "at").agg(F.collect_set(F.struct("hi", "lo")).alias("gone"))
+    both = docs.join(gone, ["file", "at"], "left").select("doc_id", "gone", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in slices(batches):
@@ -221,7 +221,7 @@ def routed(docs: DataFrame, lines: DataFrame, shards: DataFrame, n: int, min_cha
 
 def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (the lines that stay) of every row of ``docs(doc_id, text)``."""
-    docs = numbered(docs.select("doc_id", "text"), "row")
+    docs = keyed(docs.select("doc_id", "text"))
     # narrow rows, written: the texts are cut into lines once for counting, however the probe goes
     lines = cut(line_hashes(docs, min_chars))
     frequent = cut(lines.groupBy("hi", "lo").agg(F.count_distinct("doc_id").alias("n_docs"), F.max("doc_id").alias("owner")).filter(F.col("n_docs") >= min_docs))

@@ -9,7 +9,10 @@ Targets: sources in code-point order, null last, weigh 3, 1, 2, repeating, and s
 above 2 times its source's size, and the excess goes to the others by weight.  Sorted by the weight at which a source
 is full, the full ones are a prefix, so one running sum finds them all.
 
-Defined results: a null text has size 0; null is a source of its own; rows are numbered, so rows whose doc_id repeats or
+A row whose doc_id is null has a hash of its own key, and the rows of a doc_id that fills a bucket alone are cut into parts by theirs, so
+neither lands in one task.
+
+Defined results: a null text has size 0; null is a source of its own; rows have a key of their own, so rows whose doc_id repeats or
 is null are mixed one by one; equal keys are ordered by size, rows that are equal in both are taken in any order with the
 same sums; if all sizes are 0, targets and takes are 0; an empty table gives an empty result; further columns of the
 input are ignored, whatever their names (``mix_rows`` returns them, but for own columns ``size`` and ``taken``, which the
@@ -21,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, numbered
+from .common import cut, fresh, keyed
 
 WEIGHTS, SHARE, MOST = (3.0, 1.0, 2.0), 1.5, 2.0
 #: Rows of a source to a bucket, and most buckets of a source (the key's leading hex digits bound it).
@@ -55,41 +58,56 @@ def targets(sources: DataFrame, weights=WEIGHTS, share: float = SHARE, most: flo
 
 def mixed(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, share: float = SHARE, most: float = MOST, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """doc_id, source, size, source_size, target and taken of every row of ``docs(doc_id, text, source)``."""
-    return mixed_rows(docs.select(F.lit(0).alias("row"), "doc_id", "source", "text"), seed, weights, share, most, bucket_rows).drop("row")
+    return mixed_rows(keyed(docs.select("doc_id", "source", "text")), seed, weights, share, most, bucket_rows).drop("file", "at")
+
+
+def places(dealt: DataFrame, bucket_rows: int) -> DataFrame:
+    """Add zone and part to the rows of the buckets: 0, but where one key alone would fill a bucket its rows are a zone of their own, cut into parts by row."""
+    full = dealt.groupBy("rank", "bucket").agg(F.count("*").alias("n")).filter(F.col("n") > 4 * bucket_rows).drop("n")
+    heavy = dealt.join(full, ["rank", "bucket"], "left_semi").groupBy("rank", "bucket", "key").agg(F.count("*").alias("n")).filter(F.col("n") > bucket_rows)
+    parts = F.ceil(F.col("n") / F.lit(float(bucket_rows))).cast("long")
+    heavy = cut(heavy.groupBy("rank", "bucket").agg(F.collect_list(F.struct("key", parts.alias("parts"))).alias("heavy")))
+    own = F.filter("heavy", lambda x: x["key"] == F.col("key"))
+    at = F.pmod(F.xxhash64("file", "at"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    zone = F.size(F.filter("heavy", lambda x: x["key"] < F.col("key"))) * 2 + F.size(own)
+    return dealt.join(heavy, ["rank", "bucket"], "left").select(
+        *dealt.columns, F.when(F.col("heavy").isNull(), 0).otherwise(zone).alias("zone"), F.coalesce(F.floor(at * F.get(own, F.lit(0))["parts"]), F.lit(0)).alias("part")
+    )
 
 
 def mixed_rows(docs: DataFrame, seed: str = "mix", weights=WEIGHTS, share: float = SHARE, most: float = MOST, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """``mixed``, with the number ``row`` of each row of ``docs(row, doc_id, source, text)``."""
-    sized = cut(docs.select("row", "doc_id", "source", word_count(F.col("text")).alias("size")))
-    key = F.md5(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(f":{seed}")).cast("binary"))
+    """``mixed``, with the key (file, at) of each row of ``docs(file, at, doc_id, source, text)``."""
+    sized = cut(docs.select("file", "at", "doc_id", "source", word_count(F.col("text")).alias("size")))
+    name = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.col("file").cast("string"), F.lit(":"), F.col("at").cast("string")))
+    key = F.md5(F.concat(name, F.lit(f":{seed}")).cast("binary"))
     per = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
     goal = targets(per.select("source", "source_size"), weights, share, most).withColumnRenamed("source", "of")
     goal = goal.join(per.select(F.col("source").alias("of2"), "rows"), F.col("of").eqNullSafe(F.col("of2"))).drop("of2")
     goal = cut(goal.withColumn("buckets", F.ceil(F.col("rows") / F.lit(float(bucket_rows)))))
-    part = F.conv(F.substring("key", 1, KEY_DIGITS), 16, 10).cast("double") / F.lit(float(16**KEY_DIGITS))
-    dealt = sized.withColumn("key", key).join(goal, F.col("source").eqNullSafe(F.col("of"))).withColumn("bucket", F.floor(part * F.col("buckets")))
-    dealt = dealt.select("row", "doc_id", "source", "size", "source_size", "target", "rank", "bucket", "key")
-    totals = dealt.groupBy("rank", "bucket").agg(F.sum("size").alias("words"))
-    before = totals.select(
-        F.col("rank").alias("r"), F.col("bucket").alias("b"),
-        F.coalesce(F.sum("words").over(Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
-    )
-    inside = Window.partitionBy("rank", "bucket").orderBy("key", "size", "doc_id", "row").rowsBetween(Window.unboundedPreceding, -1)
+    share_of = F.conv(F.substring("key", 1, KEY_DIGITS), 16, 10).cast("double") / F.lit(float(16**KEY_DIGITS))
+    dealt = sized.withColumn("key", key).join(goal, F.col("source").eqNullSafe(F.col("of"))).withColumn("bucket", F.floor(share_of * F.col("buckets")))
+    dealt = places(dealt.select("file", "at", "doc_id", "source", "size", "source_size", "target", "rank", "bucket", "key"), bucket_rows)
+    place = ("rank", "bucket", "zone", "part")
+    totals = dealt.groupBy(*place).agg(F.sum("size").alias("words"))
+    below = Window.partitionBy("rank").orderBy("bucket", "zone", "part").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(*(F.col(c).alias(f"{c}_") for c in place), F.coalesce(F.sum("words").over(below), F.lit(0)).alias("before"))
+    inside = Window.partitionBy(*place).orderBy("key", "size", "doc_id", "file", "at").rowsBetween(Window.unboundedPreceding, -1)
     run = dealt.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    run = run.join(before, (F.col("rank") == F.col("r")) & (F.col("bucket") == F.col("b")))
+    run = run.join(before, [F.col(c) == F.col(f"{c}_") for c in place])
     whole = F.floor(F.col("target"))
     epochs = F.coalesce(F.floor(whole / F.nullif(F.col("source_size"), F.lit(0))), F.lit(0))
     rest = whole - epochs * F.col("source_size") - F.col("before") - F.col("inside")
     taken = epochs * F.col("size") + F.greatest(F.lit(0), F.least(F.col("size"), rest))
-    return run.select("row", "doc_id", "source", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
+    return run.select("file", "at", "doc_id", "source", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
 
 
 def mix_rows(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` of which the mix takes words, with all their columns, ``size`` and ``taken``; ``how`` as in ``mixed``."""
-    row = fresh(docs, "row")
-    docs = numbered(docs.drop("size", "taken"), row)
-    taken = mixed_rows(docs.select(F.col(row).alias("row"), "doc_id", "source", "text"), **how).filter("taken > 0")
-    return docs.join(taken.select(F.col("row").alias(row), "size", "taken"), row).drop(row)
+    docs = docs.drop("size", "taken")
+    file, at = fresh(docs, "file"), fresh(docs, "at")
+    docs_ = keyed(docs, file, at)
+    taken = mixed_rows(docs_.select(F.col(file).alias("file"), F.col(at).alias("at"), "doc_id", "source", "text"), **how).filter("taken > 0")
+    return docs_.join(taken.select(F.col("file").alias(file), F.col("at").alias(at), "size", "taken"), [file, at]).drop(file, at)
 
 
 def mix_digest(done: DataFrame) -> DataFrame:

@@ -15,7 +15,8 @@ the classes' representatives are clustered again until one block holds them, and
 still spans classes are checked against those of the other classes, in blocks; so candidates are never capped and no
 link between candidates is lost.  Only sets with candidates are ever shuffled.
 
-Rows are numbered, and sets are told apart by the number of their first row, never by doc_id.
+Rows are known by the key of their place in the files; the table of signatures numbers them when it is written, and sets are told
+apart by the number of their first row, never by doc_id.  The bands of a set are those of that row.
 
 Defined results: null or empty texts have no shingle, are never linked and each stays; copies (also repeated rows) share
 a class; the smallest doc_id names its class (null if the class has none) and exactly one row of a class stays, one with
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, map_texts, numbered, slices
+from .common import cut, fresh, keyed, map_texts, slices
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 16, 4
@@ -100,14 +101,14 @@ def band_hashes(sig: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = SHINGLE) -> DataFrame:
-    """doc_id and row, the address (hi, lo) and size of the shingle set, and its bands: those of weight 1, then the weighted ones that differ.
+    """doc_id, file and at, the address (hi, lo) and size of the shingle set, and its bands: those of weight 1, then the weighted ones that differ.
 
     A document without words has a null address and no bands."""
 
     def each(ids: list, texts: list[str]) -> dict[str, list]:
         every = [np.unique(h, return_counts=True) for h in (shingle_hashes(t, n) for t in texts)]
         keep = [k for k, s in enumerate(every) if len(s[0])]
-        out = {"doc_id": [i[0] for i in ids], "row": [i[1] for i in ids], **{c: [None] * len(ids) for c in ("hi", "lo", "size", "bands")}}
+        out = {"doc_id": [i[0] for i in ids], "file": [i[1] for i in ids], "at": [i[2] for i in ids], **{c: [None] * len(ids) for c in ("hi", "lo", "size", "bands")}}
         if not keep:
             return out
         sets = [every[k] for k in keep]
@@ -126,7 +127,7 @@ def signatures(docs: DataFrame, bands: int = BANDS, rows: int = ROWS, n: int = S
             out["hi"][k], out["lo"][k], out["size"][k], out["bands"][k] = address[j, 0], address[j, 1], size[j], own[j]
         return out
 
-    return map_texts(docs, each, "doc_id long, row long, hi long, lo long, size long, bands array<long>", "row")
+    return map_texts(docs, each, "doc_id long, file long, at long, hi long, lo long, size long, bands array<long>", "file", "at")
 
 
 def set_address(shingles: np.ndarray) -> np.ndarray:
@@ -207,7 +208,7 @@ def deal(members: DataFrame, turn: int, bands: int, block_sets: int, block_shing
 
 
 def shingle_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
-    """rep and its sorted shingle set, for the rows of ``docs(row, text)`` that are named in ``reps(rep)``."""
+    """rep and its sorted shingle set, for the rows of ``docs(file, at, text)`` that are named in ``reps(rep, file, at)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for ids, texts in slices(batches):
@@ -215,24 +216,27 @@ def shingle_sets(docs: DataFrame, reps: DataFrame, n: int) -> DataFrame:
                 sets = [np.unique(shingle_hashes(t, n)).view(np.int64) for t in texts[k : k + 200]]
                 yield pa.RecordBatch.from_arrays([pa.array(ids[k : k + 200], pa.int64()), pa.array(sets, pa.list_(pa.int64()))], names=["rep", "shingles"])
 
-    return docs.join(reps.select(F.col("rep").alias("row")), "row", "left_semi").select("row", "text").mapInArrow(run, "rep long, shingles array<long>")
+    return docs.join(reps.select("rep", "file", "at"), ["file", "at"]).select("rep", "text").mapInArrow(run, "rep long, shingles array<long>")
 
 
 def classified(
     docs: DataFrame, threshold: float = THRESHOLD, n: int = SHINGLE, bands: int = BANDS, rows: int = ROWS, block_sets: int = BLOCK_SETS, block_shingles: int = BLOCK_SHINGLES
 ) -> DataFrame:
-    """row, doc_id, class_id and kept of every row of ``docs(row, doc_id, text)``, whose ``row`` is unique."""
-    signed = cut(signatures(docs, bands, rows, n))
+    """file, at, doc_id, class_id and kept of every row of ``docs(file, at, doc_id, text)``."""
+    # the number is written with the row, so it is the same for all that follows
+    signed = cut(signatures(docs, bands, rows, n).withColumn("row", F.monotonically_increasing_id()))
     worded = signed.filter("hi IS NOT NULL")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "row"))
-    distinct = cut(worded.groupBy("hi", "lo").agg(F.min("row").alias("rep"), first.alias("first"), F.first("size").alias("size"), F.first("bands").alias("bands")))
+    own = F.min(F.struct("row", "file", "at", "size", "bands"))
+    distinct = worded.groupBy("hi", "lo").agg(own.alias("own"), first.alias("first"))
+    distinct = cut(distinct.select("hi", "lo", F.col("own.row").alias("rep"), "own.file", "own.at", "own.size", "own.bands", "first"))
     bucket = distinct.select("rep", F.explode("bands").alias("h"))
     heads = bucket.groupBy(F.col("h").alias("h2")).agg(F.min("rep").alias("head"), F.count("*").alias("n")).filter("n > 1").drop("n")
     edges = bucket.join(heads, F.col("h") == F.col("h2")).filter("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b"))
     found = components(edges).withColumnRenamed("node", "rep").withColumnRenamed("root", "comp")
-    found = cut(found.join(distinct.select("rep", "size", "bands"), "rep"))
+    found = cut(found.join(distinct.select("rep", "file", "at", "size", "bands"), "rep"))
     sets = cut(shingle_sets(docs, found, n))
-    dealt = cut(deal(found, 0, bands, block_sets, block_shingles).withColumn("label", F.col("rep")))
+    dealt = cut(deal(found.drop("file", "at"), 0, bands, block_sets, block_shingles).withColumn("label", F.col("rep")))
     classes = cut(dealt.select("rep", "comp", "blocks", "bands", "size").join(verified(dealt, sets, threshold).withColumnRenamed("label", "rep"), "rep"))
     large = classes.filter("blocks > 1")
     if not large.isEmpty():
@@ -242,22 +246,23 @@ def classified(
     stays = cut(of.groupBy("cls").agg(F.min("first").alias("stay")).select("cls", F.col("stay.doc_id").alias("class_id"), F.col("stay.row").alias("keep")))
     # one row a set gets its class; the copies meet it once, in a join of two plain exchanges that can be split where a set is hot
     named = cut(of.select("hi", "lo", "cls").join(stays, "cls").drop("cls"))
-    out = worded.select("row", "doc_id", "hi", "lo").join(named, ["hi", "lo"]).select("row", "doc_id", "class_id", (F.col("row") == F.col("keep")).alias("kept"))
-    empty = signed.filter("hi IS NULL").select("row", "doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
+    out = worded.select("file", "at", "row", "doc_id", "hi", "lo").join(named, ["hi", "lo"]).select("file", "at", "doc_id", "class_id", (F.col("row") == F.col("keep")).alias("kept"))
+    empty = signed.filter("hi IS NULL").select("file", "at", "doc_id", F.col("doc_id").alias("class_id"), F.lit(True).alias("kept"))
     return out.unionByName(empty)
 
 
 def near_duplicates(docs: DataFrame, **how) -> DataFrame:
     """One row per row of ``docs(doc_id, text)``: doc_id, class_id and kept; ``how`` as in ``classified``."""
-    return classified(numbered(docs.select("doc_id", "text"), "row"), **how).drop("row")
+    return classified(keyed(docs.select("doc_id", "text")), **how).drop("file", "at")
 
 
 def without_near_copies(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that stay, one of each class, with all their columns."""
-    row = fresh(docs, "row")
-    docs_ = numbered(docs, row)
-    stay = classified(docs_.select("doc_id", F.col(row).alias("row"), "text"), **how).filter("kept").select(F.col("row").alias(row))
-    return docs_.join(stay, row, "left_semi").select(docs.columns)
+    file, at = fresh(docs, "file"), fresh(docs, "at")
+    docs_ = keyed(docs, file, at)
+    done = classified(docs_.select("doc_id", F.col(file).alias("file"), F.col(at).alias("at"), "text"), **how)
+    stay = done.filter("kept").select(F.col("file").alias(file), F.col("at").alias(at))
+    return docs_.join(stay, [file, at], "left_semi").select(docs.columns)
 
 
 def merged(large: DataFrame, sets: DataFrame, threshold: float, bands: int, block_sets: int, block_shingles: int) -> DataFrame:
