@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import clustering, conversations, decontaminate, exact_dedup, language_id, lattice_lm, licences, line_dedup, mixing, near_dedup, pii, token_count
+from . import clustering, conversations, decontaminate, exact_dedup, language_id, lattice_lm, licences, line_dedup, mixing, near_dedup, pii, substring_dedup, token_count
 from .common import table
 
 
@@ -54,6 +54,10 @@ def op11_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clustering.cluster_digest(*clustering.clustered(table(spark, sf_dir, "embeddings")))
 
 
+def op12_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeat_digest(substring_dedup.without_repeats(table(spark, sf_dir, "documents")))
+
+
 def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair_digest(conversations.damaged(table(spark, sf_dir, "conversations")))
 
@@ -113,8 +117,8 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_decontamination, op6_personal_data, op7_licences, op8_near_dedup, op9_languages, op10_mixing, op11_clusters,
-        op13_conversations,
+        op12_passages, op13_conversations,
         personal_data_base, licence_places_base, lm_base_scores,
     )
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL, "op11_clusters": clustering.SQL, "op13_conversations": conversations.SQL, "personal_data_base": PERSONAL_DATA_SQL, "licence_places_base": LICENCE_PLACES_SQL, "lm_base_scores": LM_BASE_SQL}
+ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL, "op11_clusters": clustering.SQL, "op12_passages": substring_dedup.SQL, "op13_conversations": conversations.SQL, "personal_data_base": PERSONAL_DATA_SQL, "licence_places_base": LICENCE_PLACES_SQL, "lm_base_scores": LM_BASE_SQL}
