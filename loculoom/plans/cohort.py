@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import ibd, reports, samples
-from ..sources import binary, readers, writers
+from ..sources import binary, files, readers, writers
 from . import stages
 from .workflow import NEEDS, PHASE1, PHASE2, REGISTERS, Runner, Stage, Thresholds, output_prefix, spark_done, validate_selection
 
@@ -50,7 +50,8 @@ class MergeInputs:
 
 
 def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: str) -> dict[str, Stage]:
-    """Phase 1.  Outputs: <GtcToBcfs>/heavy, light and metadata, <BafRegress>/baf, <CohortBcfToPlink>/samples, calls and plink.bed, .bim and .fam."""
+    """Phase 1.  Outputs: <GtcToBcfs>/heavy, light and metadata, <BafRegress>/baf, <CohortBcfToPlink>/samples, calls,
+    genotypes (a row a variant) and plink.bed, .bim and .fam."""
     at = {n: output_prefix(root, workflow, n) for n in PHASE1}
 
     def decode(context: dict) -> None:
@@ -73,17 +74,18 @@ def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: s
         sexes = spark.read.parquet(given.sexes) if given.sexes else spark.createDataFrame([], "sample_id string, sex int")
         samples.update_sex(people, sexes).write.mode("overwrite").parquet(f"{at['CohortBcfToPlink']}/samples")
         clean = stages.plate_fileset(light)
-        binary.write_fileset(clean, spark.read.parquet(f"{at['CohortBcfToPlink']}/samples"), f"{at['CohortBcfToPlink']}/plink")
+        people = files.samples_in_order(spark.read.parquet(f"{at['CohortBcfToPlink']}/samples"))
+        files.write_plink1(packed(clean, people, f"{at['CohortBcfToPlink']}/genotypes"), people, f"{at['CohortBcfToPlink']}/plink", "overwrite")
         writers.calls(clean, f"{at['CohortBcfToPlink']}/calls", "overwrite")
 
     return named({"GtcToBcfs": (decode, f"{at['GtcToBcfs']}/light"), "BafRegress": (contamination, f"{at['BafRegress']}/baf"), "CohortBcfToPlink": (fileset, f"{at['CohortBcfToPlink']}/calls")})
 
 
 def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: str, version: str, temporary: str | None = None) -> dict[str, Stage]:
-    """Phase 2.  A fileset (of a plate, or the aggregate) is a folder with samples and calls; the merge and the export's VCF are temporary outputs."""
+    """Phase 2.  A fileset (of a plate, or the aggregate) is a folder with samples and calls; the merge and the export's BCF are temporary outputs."""
     at = {n: output_prefix(root, workflow, n, version) for n in PHASE2}
     at["MergeCohortPlink"] = output_prefix(temporary or root, workflow, "MergeCohortPlink", version)
-    vcf = f"{output_prefix(temporary or root, workflow, 'ExportCohortDatasets', version)}/vcf"
+    bcf = f"{output_prefix(temporary or root, workflow, 'ExportCohortDatasets', version)}/cohort.bcf"
     read = spark.read.parquet
 
     def merge(context: dict) -> None:
@@ -100,8 +102,12 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
         return read(f"{at[name]}/{kind}")
 
     def export(context: dict) -> None:
-        merged("samples").write.mode("overwrite").parquet(f"{at['ExportCohortDatasets']}/samples")
-        binary.write_vcf(merged("calls"), merged("samples"), vcf, "overwrite")
+        to = at["ExportCohortDatasets"]
+        merged("samples").write.mode("overwrite").parquet(f"{to}/samples")
+        people = files.samples_in_order(merged("samples"))
+        # PGEN stays, BCF is for the tools of the run; REF comes first in both, and both are written in one pass
+        files.write_files(packed(merged("calls"), people, f"{to}/genotypes"), people, {"pgen": f"{to}/cohort.pgen", "pvar": f"{to}/cohort.pvar", "bcf": bcf}, "overwrite")
+        files.write_psam(people, f"{to}/cohort.psam")
         writers.calls(merged("calls"), f"{at['ExportCohortDatasets']}/calls", "overwrite")
 
     def raw_qc(context: dict) -> None:
@@ -141,6 +147,12 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
     })
 
 
+def packed(calls: DataFrame, people: DataFrame, path: str) -> DataFrame:
+    """``genotype_rows``, written: computed once, whichever files are made of them."""
+    files.genotype_rows(calls, people).write.mode("overwrite").parquet(path)
+    return calls.sparkSession.read.parquet(path)
+
+
 def named(found: dict) -> dict[str, Stage]:
     return {n: Stage(n, run, output, NEEDS[n], REGISTERS.get(n)) for n, (run, output) in found.items()}
 

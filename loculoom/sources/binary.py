@@ -1,177 +1,15 @@
-"""Binary interchange: PLINK 1 BED and array intensity files (GTC), decoded by executors in Arrow batches."""
+"""Array intensity files (GTC), decoded by executors in Arrow batches."""
 
 from __future__ import annotations
 
 import struct
-from collections.abc import Iterable, Iterator
-from itertools import chain
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import variants
-
-BED_MAGIC = b"\x6c\x1b\x01"
-#: Two-bit codes, lowest bits first: two A1 alleles, missing, one, none.
-DOSAGE_OF_CODE = np.array([2, -1, 1, 0], np.int8)
-CODE_OF_DOSAGE = {2: 0, None: 1, 1: 2, 0: 3}
-
-
-def pack_row(dosages: list[int | None]) -> bytes:
-    codes = [CODE_OF_DOSAGE[d] for d in dosages] + [0] * (-len(dosages) % 4)
-    return bytes(codes[i] | codes[i + 1] << 2 | codes[i + 2] << 4 | codes[i + 3] << 6 for i in range(0, len(codes), 4))
-
-
-def unpack_rows(data: bytes, samples: int) -> np.ndarray:
-    """variants x samples dosages of A1, -1 where missing."""
-    width = (samples + 3) // 4
-    raw = np.frombuffer(data, np.uint8).reshape(-1, width)
-    codes = (raw[:, :, None] >> np.array([0, 2, 4, 6], np.uint8)) & 3
-    return DOSAGE_OF_CODE[codes.reshape(len(raw), width * 4)[:, :samples]]
-
-
-def read_bed(spark: SparkSession, path: str, samples: int) -> DataFrame:
-    """ord (place of the variant) and gt (array of dosages, null where missing); bed files are read whole, one a task."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for content in b.column("content"):
-                data = content.as_py()
-                if data[:3] != BED_MAGIC:
-                    raise ValueError("not a variant-major BED file")
-                width = (samples + 3) // 4
-                for k in range(3, len(data), width * 1000):
-                    d = unpack_rows(data[k : k + width * 1000], samples)
-                    first = (k - 3) // width
-                    flat = pa.array(d.reshape(-1), pa.int8(), mask=d.reshape(-1) < 0)
-                    gt = pa.ListArray.from_arrays(np.arange(0, d.size + 1, samples, dtype=np.int32), flat)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + len(d)), pa.int64()), gt], names=["ord", "gt"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(run, "ord long, gt array<tinyint>")
-
-
-def bed_calls(bed: DataFrame, bim: DataFrame, sample_ids: list[str]) -> DataFrame:
-    """Long calls of a fileset."""
-    ids = F.array(*[F.lit(s) for s in sample_ids])
-    long = bed.join(bim, "ord").select("variant_id", F.posexplode("gt").alias("i", "dosage"))
-    return long.select("variant_id", F.get(ids, F.col("i")).alias("sample_id"), F.col("dosage").cast("int"))
-
-
-def packed(calls: DataFrame) -> DataFrame:
-    """variant_id and gt: dosages in sample order, the layout in which per-variant statistics need no shuffle."""
-    rows = F.array_sort(F.collect_list(F.struct("sample_id", "dosage")))
-    return calls.groupBy("variant_id").agg(F.transform(rows, lambda x: x["dosage"]).alias("gt"))
-
-
-def bed_records(packed_calls: DataFrame) -> DataFrame:
-    """variant_id and its BED bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([pack_row(g) for g in b.column(1).to_pylist()], pa.binary())], names=["variant_id", "bed"])
-
-    return packed_calls.select("variant_id", "gt").mapInArrow(run, "variant_id string, bed binary")
-
-
-def write_bed(records: DataFrame, bim_order: DataFrame, path: str) -> None:
-    """One BED file in the order of ``bim_order(variant_id, ord)``: rows are streamed to the driver, one partition at a time."""
-    rows = records.join(bim_order, "variant_id").orderBy("ord").select("bed")
-    stream(records.sparkSession, path, chain([BED_MAGIC], (r.bed for r in rows.toLocalIterator())))
-
-
-def stream(spark: SparkSession, path: str, parts: Iterable[bytes]) -> None:
-    """One file of these parts, in whichever store ``path`` names; at most a megabyte or one part is held."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    out = p.getFileSystem(spark._jsc.hadoopConfiguration()).create(p, True)
-    held = bytearray()
-    try:
-        for part in parts:
-            held += part
-            if len(held) >= 1 << 20:
-                out.write(bytes(held))
-                held.clear()
-        out.write(bytes(held))
-    finally:
-        out.close()
-
-
-def sites_in_order(calls: DataFrame) -> DataFrame:
-    """variant_id, chrom, pos, ref, alt and ord, the place by contig and position.  One task ranks the sites (an array has few million)."""
-    sites = calls.groupBy("variant_id").agg(F.min(F.struct("chrom", "pos", "ref", "alt")).alias("s")).select("variant_id", "s.*")
-    contig = F.asc_nulls_last(variants.numeric_contig(F.col("chrom")).try_cast("int"))
-    return sites.withColumn("ord", F.row_number().over(Window.orderBy(contig, "chrom", "pos", "variant_id")) - 1)
-
-
-def samples_in_order(people: DataFrame) -> DataFrame:
-    """``people`` once each, with i, the place by sample_id."""
-    return people.dropDuplicates(["sample_id"]).withColumn("i", F.row_number().over(Window.orderBy("sample_id")) - 1)
-
-
-def rows_of_sites(calls: DataFrame, people: DataFrame, sites: DataFrame) -> DataFrame:
-    """``sites`` with their calls as got(i, d), by the places of ``people``; a sample without a call there is a no-call."""
-    called = calls.filter("dosage IS NOT NULL").join(people.select("sample_id", "i"), "sample_id")
-    lists = called.groupBy("variant_id").agg(F.collect_list(F.struct("i", F.col("dosage").cast("tinyint").alias("d"))).alias("got"))
-    return sites.join(lists, "variant_id", "left")
-
-
-def dosage_matrix(got: pa.Array, n: int) -> np.ndarray:
-    """sites x samples dosages of ``rows_of_sites``, -1 where missing."""
-    out = np.full((len(got), n), -1, np.int8)
-    size = got.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    flat = got.flatten()
-    out[np.repeat(np.arange(len(got)), size), flat.field("i").to_numpy()] = flat.field("d").to_numpy()
-    return out
-
-
-def write_fileset(calls: DataFrame, people: DataFrame, prefix: str) -> None:
-    """A PLINK 1 fileset, <prefix>.bed, .bim and .fam, of long calls and ``people(sample_id, sex)``.
-
-    ALT is A1.  Lines of the three files are streamed through the driver; executors pack the genotypes.
-    """
-    spark = calls.sparkSession
-    people, sites = samples_in_order(people), sites_in_order(calls)
-    n = people.count()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        code = np.array([3, 2, 0, 1], np.uint8)  # of dosages 0, 1, 2 and -1
-        for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                part = b.slice(k, 1000)
-                c = np.pad(code[dosage_matrix(part.column(1), n)], ((0, 0), (0, -n % 4))).reshape(part.num_rows, -1, 4)
-                packed = (c << np.array([0, 2, 4, 6], np.uint8)).sum(2, dtype=np.uint8)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([r.tobytes() for r in packed], pa.binary())], names=["ord", "bed"])
-
-    rows = rows_of_sites(calls, people, sites).select("ord", "got").mapInArrow(run, "ord int, bed binary").orderBy("ord")
-    stream(spark, f"{prefix}.bed", chain([BED_MAGIC], (r.bed for r in rows.toLocalIterator())))
-    stream(spark, f"{prefix}.bim", (f"{r.chrom}\t{r.variant_id}\t0\t{r.pos}\t{r.alt}\t{r.ref}\n".encode() for r in sites.orderBy("ord").toLocalIterator()))
-    stream(spark, f"{prefix}.fam", (f"0\t{r.sample_id}\t0\t0\t{r.sex or 0}\t-9\n".encode() for r in people.orderBy("i").toLocalIterator()))
-
-
-def write_vcf(calls: DataFrame, people: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Text VCF of long calls, REF first, GT alone: a folder of gzip parts that make one VCF when read in the order of their names."""
-    people, sites = samples_in_order(people), sites_in_order(calls)
-    n = people.count()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = np.array(["0/0", "0/1", "1/1", "./."])
-        for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                part = b.slice(k, 1000)
-                cells = text[dosage_matrix(part.column(2), n)]
-                lines = ["\t".join([head, *row]) for head, row in zip(part.column(1).to_pylist(), cells.tolist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(lines, pa.string())], names=["ord", "value"])
-
-    fixed = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), "variant_id", "ref", "alt", F.lit("."), F.lit("."), F.lit("."), F.lit("GT"))
-    body = rows_of_sites(calls, people, sites).select("ord", fixed.alias("head"), "got").mapInArrow(run, "ord int, value string")
-    names = F.transform(F.array_sort(F.collect_list(F.struct("i", "sample_id"))), lambda s: s["sample_id"])
-    start = "##fileformat=VCFv4.3\n##FORMAT=<ID=GT,Number=1,Type=String,Description=\"Genotype\">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT"
-    header = people.agg(F.lit(-1).alias("ord"), F.concat_ws("\t", F.lit(start), names).alias("value"))
-    header.unionByName(body).orderBy("ord").select("value").write.mode(mode).option("compression", "gzip").text(path)
-
-
-# GTC: "gtc", version 5, then a table of (tag, offset); single values keep the value itself in place of the offset.
+#: Fixed values of the format: "gtc", version 5, then a table of (tag, offset); single values keep the value itself in place of the offset.
 GTC_TAGS = {"n": 1, "sample_name": 10, "genotypes": 1002, "base_calls": 1003, "scores": 1004, "x": 1000, "y": 1001, "baf": 1012, "lrr": 1013}
 ARRAY_TYPES = {"genotypes": "u1", "scores": "<f4", "x": "<u2", "y": "<u2", "baf": "<f4", "lrr": "<f4"}
 

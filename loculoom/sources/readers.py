@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import number
 from ..operators.catalog import output_path
 from ..operators.variants import canonical_ids
+from .storage import numbered_lines
 
 EGT_COLUMNS = ("CHROM", "POS", "REF", "ALT", "ID", "GenTrain_Score", "Cluster_Sep")
 MANIFEST_COLUMNS = (
@@ -88,12 +89,10 @@ def manifest_reheader(manifest: DataFrame) -> DataFrame:
 
 def psam(spark: SparkSession, path: str) -> DataFrame:
     """iid in file order: by the '#' header, else column 2 of six-column files, else column 1."""
-    whole = spark.read.text(path, wholetext=True)
-    lines = whole.select(F.posexplode(F.split("value", r"\r?\n")).alias("ord", "line")).filter("length(trim(line)) > 0")
-    header = lines.filter("line LIKE '#%'").orderBy("ord").head()
-    cells = lines.filter("line NOT LIKE '#%'").withColumn("c", F.split("line", "\t"))
+    header = spark.read.text(path).filter("value LIKE '#%'").head()
+    cells = numbered_lines(spark, path, "#").withColumn("c", F.split("value", "\t"))
     if header:
-        names = [c.lstrip("#") for c in header.line.split("\t")]
+        names = [c.lstrip("#") for c in header.value.split("\t")]
         at = F.lit(names.index("IID") if "IID" in names else 0)
     else:
         at = F.when(F.size("c") == 6, 1).otherwise(0)
@@ -101,22 +100,23 @@ def psam(spark: SparkSession, path: str) -> DataFrame:
 
 
 def fam(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path).select(F.split(F.trim("value"), r"\s+").alias("c"))
-    return raw.select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(("fid", "iid", "pat", "mat", "sex", "pheno"))])
+    """Samples of a PLINK 1 fileset; ``i`` is the sample's place."""
+    raw = numbered_lines(spark, path).select(F.col("ord").cast("int").alias("i"), F.split(F.trim("value"), r"\s+").alias("c"))
+    return raw.select("i", *[F.get("c", F.lit(k)).alias(n) for k, n in enumerate(("fid", "iid", "pat", "mat", "sex", "pheno"))])
 
 
 def bim(spark: SparkSession, path: str) -> DataFrame:
     """Variants of a PLINK 1 fileset: A1 is ALT, A2 is REF; ``ord`` is the variant's place."""
-    whole = spark.read.text(path, wholetext=True)
-    cells = whole.select(F.posexplode(F.split(F.rtrim("value"), r"\r?\n")).alias("ord", "line")).filter("length(line) > 0").select("ord", F.split("line", r"\s+").alias("c"))
+    cells = numbered_lines(spark, path).select("ord", F.split(F.trim("value"), r"\s+").alias("c"))
     g = lambda i: F.get("c", F.lit(i))
     return cells.select("ord", g(0).alias("chrom"), g(1).alias("variant_id"), g(3).try_cast("long").alias("pos"), g(5).alias("ref"), g(4).alias("alt"))
 
 
 def pvar(spark: SparkSession, path: str) -> DataFrame:
-    raw = spark.read.text(path).filter("value NOT LIKE '#%'").select(F.split("value", "\t").alias("c"))
+    """Variants of a PLINK 2 fileset; ``ord`` is the variant's place."""
+    raw = numbered_lines(spark, path, "#").select("ord", F.split("value", "\t").alias("c"))
     g = lambda i: F.get("c", F.lit(i))
-    return raw.select(g(0).alias("chrom"), g(1).try_cast("long").alias("pos"), g(2).alias("variant_id"), g(3).alias("ref"), g(4).alias("alt"))
+    return raw.select("ord", g(0).alias("chrom"), g(1).try_cast("long").alias("pos"), g(2).alias("variant_id"), g(3).alias("ref"), g(4).alias("alt"))
 
 
 def vcf_sites(spark: SparkSession, path: str, *info: str) -> DataFrame:
