@@ -2,22 +2,55 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import ibd, reports, samples, stats, variants
+from ..sources import fasta
 from .workflow import Thresholds
 
 
-def plate_calls(intensity: DataFrame, sites: DataFrame, names: DataFrame, bases: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(heavy, light) calls of a plate: intensities meet their sites(bpm_index, chrom, pos, ref, alt) and samples get their ids.
+#: The strand's other side.
+OTHER = ("ACGT", "TGCA")
 
-    A site with several ALT alleles becomes one per allele; with the reference sequence ``bases(chrom, pos, base)`` sites with
-    another REF go.
+
+def oriented(sites: DataFrame) -> DataFrame:
+    """One row per ALT of array sites(bpm_index, chrom, pos, ref, alt[, allele_a, allele_b]) with the number of its copies in the A and in the B allele.
+
+    The alleles of a site are those of its manifest; where they are not named, A is REF and B the one ALT.  Alleles that the
+    site has only on the other strand are turned round.  ``a_copies`` is null where they are not told or are none of
+    the site's: its calls are no-calls."""
+    alts, one = F.split("alt", ","), F.size(F.split("alt", ",")) == 1
+    given = lambda c: F.col(c) if c in sites.columns else F.lit(None).cast("string")
+    a, b = F.coalesce(given("allele_a"), F.when(one, F.col("ref"))), F.coalesce(given("allele_b"), F.when(one, F.col("alt")))
+    known = F.concat(F.array("ref"), alts)
+    here = lambda x, y: F.array_contains(known, x) & F.array_contains(known, y)
+    turned = [F.reverse(F.translate(x, *OTHER)) for x in (a, b)]
+    pick = lambda x, y: F.when(here(a, b), x).when(here(*turned), y)
+    named = sites.withColumns({"a_": pick(a, turned[0]), "b_": pick(b, turned[1])})
+    split = variants.split_multiallelic(named).drop("allele")
+    return split.withColumns({"a_copies": (F.col("a_") == F.col("alt")).cast("int"), "b_copies": (F.col("b_") == F.col("alt")).cast("int")}).drop("a_", "b_", "allele_a", "allele_b")
+
+
+def allele_count() -> Column:
+    """The dosage of a row's ALT by the genotype (1 AA, 2 AB, 3 BB, 0 no-call) and its copies in A and B."""
+    a, b = F.col("a_copies"), F.col("b_copies")
+    return F.when(F.col("gt") == 1, 2 * a).when(F.col("gt") == 2, a + b).when(F.col("gt") == 3, 2 * b).cast("tinyint")
+
+
+def plate_calls(intensity: DataFrame, sites: DataFrame, names: DataFrame, bases: DataFrame | str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(heavy, light) calls of a plate: intensities meet their sites(bpm_index, chrom, pos, ref, alt[, allele_a, allele_b]) and samples get their ids.
+
+    A site with several ALT alleles becomes one per allele, with the dosage of that allele.  With the reference sequence, a FASTA
+    file with its index or ``bases(chrom, pos, base)``, sites with another REF go; by the file, indels also take their normal form.
     """
-    sites = variants.split_multiallelic(sites).drop("allele")
-    sites = sites if bases is None else variants.matching_reference(sites, bases)
-    heavy = intensity.join(sites, "bpm_index").withColumn("variant_id", F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt"))
+    sites = oriented(sites)
+    if isinstance(bases, str):
+        sites = fasta.normalised(sites, bases)
+    elif bases is not None:
+        sites = variants.matching_reference(sites, bases)
+    heavy = intensity.join(sites, "bpm_index").withColumn("dosage", allele_count()).drop("a_copies", "b_copies")
+    heavy = heavy.withColumn("variant_id", F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt"))
     heavy = samples.rename(heavy.withColumn("gq", F.round(F.col("score") * 100).cast("int")), names)
     return heavy, heavy.select("chrom", "pos", "ref", "alt", "variant_id", "sample_id", "dosage", "gq", "bpm_index")
 
