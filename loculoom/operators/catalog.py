@@ -160,8 +160,8 @@ def manifest_path(manifests: DataFrame, cohort_id: str, match: str = "substring"
 
 
 def gtc_mapping(manifest: DataFrame, members: DataFrame) -> DataFrame:
-    """sg_id, gtc and old_name of a cohort's samples that the manifest lists in full."""
-    return manifest.join(members.select("sg_id"), "sg_id", "left_semi")
+    """sg_id, gtc and old_name of a cohort's samples by the manifest; samples that it does not list in full are raised together."""
+    return requested(manifest, members, "complete manifest row")
 
 
 def gtc_path(manifest: DataFrame, sg_id: str) -> str:

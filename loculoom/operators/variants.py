@@ -70,16 +70,6 @@ def numeric_contig(chrom: Column) -> Column:
     return F.coalesce(F.try_element_at(codes, bare), F.when(bare.rlike("^([1-9]|1[0-9]|2[0-6])$"), bare), chrom)
 
 
-def coordinate_sorted(df: DataFrame) -> DataFrame:
-    """Range-partitioned and sorted by contig and position."""
-    return df.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos", "ref", "alt")
-
-
-def light(calls: DataFrame) -> DataFrame:
-    """Only genotype and quality."""
-    return calls.select("variant_id", "sample_id", "dosage", "gq")
-
-
 def with_frequency(calls: DataFrame, af: DataFrame) -> DataFrame:
     """Annotate by site with ``af(chrom, pos, ref, alt, af)``; the optimizer broadcasts it where its size allows."""
     return calls.join(af.select("chrom", "pos", "ref", "alt", "af"), ["chrom", "pos", "ref", "alt"], "left")

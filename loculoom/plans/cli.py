@@ -1,4 +1,4 @@
-"""Command line: variant and sample reports, listing of aggregates, merge plans and manifests.
+"""Command line: runs of the stages by a configuration file, variant and sample reports, listing of aggregates, merge plans and manifests.
 
 ``python -m loculoom.plans.cli COMMAND ...`` returns 0, or 1 with a message if an input cannot be read or breaks a rule.
 """
@@ -14,8 +14,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import catalog, reports
+from ..operators import catalog, reports, stats
 from ..sources import readers, writers
+from . import cohort
+from .workflow import load_config
 
 
 def variant_qc(spark: SparkSession, a: argparse.Namespace) -> None:
@@ -75,9 +77,42 @@ def manifest(spark: SparkSession, a: argparse.Namespace) -> None:
             writers.register(spark, a.cohort, "manifest", a.output, a.registry)
 
 
+def run(spark: SparkSession, a: argparse.Namespace) -> None:
+    for name, log in cohort.run_configured(spark, load_config(a.config), a.dry_run).items():
+        print("\n".join(f"{name}: {line}" for line in log))
+
+
+def contigs(spark: SparkSession, a: argparse.Namespace) -> None:
+    """The contigs of an array manifest's dump, one a line; the written list is read again and compared."""
+    loci = readers.bpm_loci(spark, a.manifest_dump)
+    writers.contig_cache(loci, a.output)
+    back = readers.bpm_chroms(spark, a.output)
+    if not loci.select("bpm_index", "chrom").exceptAll(back).isEmpty():
+        raise ValueError(f"{a.output} is not what was written")
+
+
+def frequencies(spark: SparkSession, a: argparse.Namespace) -> None:
+    """Reference frequencies of ALT from the calls of a cohort (Parquet), as a sites-only VCF."""
+    calls = spark.read.parquet(a.calls)
+    sites = calls.groupBy("variant_id").agg(F.min(F.struct("chrom", "pos", "ref", "alt")).alias("s")).select("variant_id", "s.*")
+    writers.frequency_vcf(stats.allele_frequency(calls).join(sites, "variant_id").withColumnRenamed("alt_freq", "af"), a.output)
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="loculoom", description=__doc__.splitlines()[0])
     commands = p.add_subparsers(dest="command", required=True)
+    c = commands.add_parser("run")
+    c.add_argument("config")
+    c.add_argument("--dry-run", action="store_true")
+    c.set_defaults(run=run)
+    c = commands.add_parser("contigs")
+    c.add_argument("--manifest-dump", required=True)
+    c.add_argument("--output", required=True)
+    c.set_defaults(run=contigs)
+    c = commands.add_parser("frequencies")
+    c.add_argument("--calls", required=True)
+    c.add_argument("--output", required=True)
+    c.set_defaults(run=frequencies)
     c = commands.add_parser("variant-qc")
     for name in ("egt-info-tsv", "merged-vmiss", "hwe-pass-snplist", "output-audit-tsv", "output-inclusion-list", "output-summary-tsv"):
         c.add_argument(f"--{name}", required=True)
@@ -112,7 +147,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     args = parser().parse_args(argv)
     try:
         args.run(spark or SparkSession.builder.appName("loculoom").getOrCreate(), args)
-    except (ValueError, PySparkException) as e:
+    except (ValueError, OSError, PySparkException) as e:
         print(f"{args.command}: {str(e).splitlines()[0]}", file=sys.stderr)
         return 1
     return 0

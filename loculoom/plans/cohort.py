@@ -13,14 +13,16 @@ from pyspark.sql import functions as F
 from ..operators import ibd, reports, samples
 from ..sources import binary, files, readers, writers
 from . import stages
-from .workflow import NEEDS, PHASE1, PHASE2, REGISTERS, Runner, Stage, Thresholds, output_prefix, spark_done, validate_selection
+from .workflow import (
+    NEEDS, PHASE1, PHASE2, REGISTERS, SECTION, Runner, Stage, Thresholds, output_prefix, reference_path, setting, spark_done, thresholds, validate_selection,
+)
 
 
 @dataclass(frozen=True)
 class PlateInputs:
-    """A plate: GTC files, Parquet of their sites(bpm_index, chrom, pos, ref, alt), the manifest that names the samples,
-    and if there are any Parquet of sexes(sample_id, sex), a VCF of reference frequencies and Parquet of the reference
-    sequence(chrom, pos, base)."""
+    """A plate: GTC files, Parquet of their sites(bpm_index, chrom, pos, ref, alt[, allele_a, allele_b]), the manifest that names the
+    samples, and if there are any Parquet of sexes(sample_id, sex) or a registry that tells them, a VCF of reference frequencies, and
+    the reference sequence: a FASTA file with its index (.fa, .fasta) or Parquet of (chrom, pos, base)."""
 
     gtc: str
     sites: str
@@ -28,6 +30,7 @@ class PlateInputs:
     sexes: str | None = None
     frequencies: str | None = None
     reference: str | None = None
+    registry: str | None = None
 
 
 @dataclass(frozen=True)
@@ -56,7 +59,10 @@ def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: s
 
     def decode(context: dict) -> None:
         names = readers.manifest_reheader(readers.manifest_csv(spark, given.manifest))
-        bases = spark.read.parquet(given.reference) if given.reference else None
+        writers.reheader(names, f"{at['GtcToBcfs']}/reheader", "overwrite")
+        bases = given.reference
+        if bases and not bases.endswith((".fa", ".fasta")):
+            bases = spark.read.parquet(bases)
         heavy, _ = stages.plate_calls(binary.read_gtc(spark, given.gtc), spark.read.parquet(given.sites), names, bases)
         writers.gtc_metadata(binary.read_gtc_metadata(spark, given.gtc), f"{at['GtcToBcfs']}/metadata", "overwrite")
         writers.calls(heavy, f"{at['GtcToBcfs']}/heavy", "overwrite")
@@ -71,7 +77,10 @@ def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: s
     def fileset(context: dict) -> None:
         light = spark.read.parquet(f"{at['GtcToBcfs']}/light")
         people = light.select("sample_id").distinct()
-        sexes = spark.read.parquet(given.sexes) if given.sexes else spark.createDataFrame([], "sample_id string, sex int")
+        sexes = spark.createDataFrame([], "sample_id string, sex int")
+        if given.sexes or given.registry:
+            sexes = spark.read.parquet(given.sexes) if given.sexes else readers.registry_sexes(spark, given.registry)
+        writers.id_pairs(sexes.join(people, "sample_id", "left_semi"), f"{at['CohortBcfToPlink']}/sexes", "sex", mode="overwrite")
         samples.update_sex(people, sexes).write.mode("overwrite").parquet(f"{at['CohortBcfToPlink']}/samples")
         clean = stages.plate_fileset(light)
         people = files.samples_in_order(spark.read.parquet(f"{at['CohortBcfToPlink']}/samples"))
@@ -90,6 +99,9 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
 
     def merge(context: dict) -> None:
         wanted, gone = read(given.wanted), read(given.withdrawn) if given.withdrawn else None
+        writers.id_pairs(wanted, f"{at['MergeCohortPlink']}/keep", mode="overwrite")
+        if gone is not None:
+            writers.id_pairs(gone, f"{at['MergeCohortPlink']}/remove", mode="overwrite")
         previous = read(f"{given.previous}/calls") if given.previous else None
         calls = samples.rolling_merge(previous, gone, [read(f"{p}/calls") for p in given.plates], wanted)
         people = None
@@ -127,7 +139,7 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
         pairs.write.mode("overwrite").parquet(f"{to}/seg")
 
     def variant_report(context: dict) -> None:
-        flagged = stages.snp_qc(merged("calls", "ExportCohortDatasets"), merged("samples", "ExportCohortDatasets"), readers.egt_info(spark, given.egt), given.thresholds)
+        flagged = stages.snp_qc(merged("calls", "ExportCohortDatasets"), merged("samples", "ExportCohortDatasets"), readers.cluster_scores(spark, given.egt), given.thresholds)
         flagged.write.mode("overwrite").parquet(f"{at['SnpQcReport']}/flags")
         flagged = read(f"{at['SnpQcReport']}/flags")
         writers.variant_qc(flagged, *[f"{at['SnpQcReport']}/{x}" for x in ("audit", "inclusion", "summary")], mode="overwrite")
@@ -169,4 +181,54 @@ def run(spark: SparkSession, given: PlateInputs | MergeInputs, cohort: str, only
         if registry:
             writers.register(spark, cohort, kind, path, registry)
 
-    return Runner(found, done=spark_done(spark), register=register).run({}, only, dry_run)
+    def registered(path: str) -> bool:
+        return not registry or writers.registered(spark, registry, path)
+
+    return Runner(found, done=spark_done(spark), register=register, registered=registered).run({}, only, dry_run)
+
+
+#: Keys of the [inputs] table that are not lists, by phase; those of phase 2 that are.
+PLATE_KEYS, MERGE_KEYS, MERGE_LISTS = ("gtc", "sites", "manifest", "sexes", "frequencies", "reference", "registry"), ("wanted", "egt", "previous", "withdrawn"), ("plates", "baf")
+MERGE_NUMBERS = ("genome_length", "x_length", "min_samples", "min_snps", "min_bp")
+
+
+def configured(config: dict, cohort: str, phase: int) -> PlateInputs | MergeInputs:
+    """The inputs of a cohort by a configuration: [inputs] for every cohort, [inputs.<cohort>] before it; ``{cohort}`` in a path is its id.
+
+    References are given by key ([popgen_genotyping.references] for plates, egt_info_reference_key for a merge); thresholds come from
+    [popgen_genotyping.snp_qc_report.thresholds]."""
+    table = setting(config, "inputs", default={})
+    own = {k: v for k, v in table.items() if not isinstance(v, dict)} | table.get(cohort, {})
+    allowed = PLATE_KEYS if phase == 1 else (*MERGE_KEYS, *MERGE_LISTS, *MERGE_NUMBERS)
+    if unknown := sorted(set(own) - set(allowed)):
+        raise ValueError(f"unknown inputs: {', '.join(unknown)}")
+    filled = lambda v: v.replace("{cohort}", cohort) if isinstance(v, str) else tuple(map(filled, v)) if isinstance(v, list) else v
+    own = {k: filled(v) for k, v in own.items()}
+    if phase == 1:
+        for key, name in (("fasta_ref_path", "reference"), ("af_ref_path", "frequencies")):
+            if found := setting(config, SECTION, "references", key):
+                own.setdefault(name, reference_path(config, found))
+        own = own | {k: reference_path(config, own[k]) for k in ("reference", "frequencies") if own.get(k)}
+        needed, make = ("gtc", "sites", "manifest"), PlateInputs
+    else:
+        own.setdefault("egt", setting(config, SECTION, "snp_qc_report", "egt_info_reference_key"))
+        own = own | {"thresholds": thresholds(config)} | ({"egt": reference_path(config, own["egt"])} if own["egt"] else {})
+        needed, make = ("plates", "wanted", "egt"), MergeInputs
+    if missing := [k for k in needed if not own.get(k)]:
+        raise ValueError(f"missing inputs: {', '.join(missing)}")
+    return make(**own)
+
+
+def run_configured(spark: SparkSession, config: dict, dry_run: bool = False) -> dict[str, list[str]]:
+    """Run the stages that a configuration selects, cohort by cohort; the log of each."""
+    only, cohorts = setting(config, "workflow", "only_stages", default=[]), setting(config, "workflow", "input_cohorts", default=[])
+    phase = validate_selection(only, cohorts)
+    if not cohorts:
+        raise ValueError("input_cohorts is not set")
+    root, name = setting(config, "workflow", "output_root"), setting(config, "workflow", "name", default="genotyping")
+    if not root:
+        raise ValueError("output_root is not set")
+    registry, temporary = setting(config, "workflow", "registry"), setting(config, "workflow", "temporary_root")
+    given = {c: configured(config, c, phase) for c in cohorts}  # all are read before the first runs
+    where = {c: f"{name}/{c}" if phase == 1 else name for c in cohorts}
+    return {c: run(spark, given[c], c, only, root, where[c], registry, dry_run, temporary) for c in cohorts}

@@ -1,8 +1,7 @@
-"""Stage graph: selection rules, skip of finished outputs, ordered runs, registration; and the command line."""
+"""Stage graph: selection rules, configuration, skip of finished outputs, ordered runs, registration."""
 
 from __future__ import annotations
 
-import argparse
 import tomllib
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -40,6 +39,34 @@ def load_config(path: str) -> dict:
         return tomllib.load(f)
 
 
+#: Sections and keys of a run's configuration file.
+SECTION = "popgen_genotyping"
+THRESHOLD_KEYS = {
+    "gentrain_min": "gentrain_min", "cluster_sep_min": "cluster_sep_min", "fmiss_max": "fmiss_max", "hwe_p": "hwe_p", "hwe_k": "hwe_k", "hwe_midp": "midp", "hwe_keep_fewhet": "keep_few_het",
+}
+
+
+def thresholds(config: dict) -> Thresholds:
+    """The variant filters of a configuration; a key that is not known is an error, so that a misspelt one is not passed over."""
+    given = setting(config, SECTION, "snp_qc_report", "thresholds", default={})
+    if unknown := sorted(set(given) - set(THRESHOLD_KEYS)):
+        raise ValueError(f"unknown thresholds: {', '.join(unknown)}")
+    wrong = [k for k, v in given.items() if isinstance(v, bool) != isinstance(getattr(Thresholds(), THRESHOLD_KEYS[k]), bool) or not isinstance(v, (int, float))]
+    if wrong:
+        raise ValueError(f"thresholds of the wrong type: {', '.join(sorted(wrong))}")
+    return Thresholds(**{THRESHOLD_KEYS[k]: v for k, v in given.items()})
+
+
+def reference_path(config: dict, key: str) -> str:
+    """The path of a reference by its key, ``folder/name``, in the table [references] (or the key itself, if it is a path)."""
+    if key.startswith("/") or "://" in key:
+        return key
+    found = setting(config, "references", *key.split("/"))
+    if not isinstance(found, str):
+        raise ValueError(f"no reference {key}")
+    return found
+
+
 def setting(config: dict, *keys: str, default=None):
     for k in keys:
         if not isinstance(config, dict) or k not in config:
@@ -87,6 +114,7 @@ class Runner:
     stages: dict[str, Stage]
     done: Callable[[str], bool]
     register: Callable[[str, str], None] = lambda kind, path: None
+    registered: Callable[[str], bool] = lambda path: True
     log: list[str] = field(default_factory=list)
 
     def order(self, only: list[str] | None = None) -> list[str]:
@@ -94,20 +122,23 @@ class Runner:
         return [n for n in names if only is None or n in only]
 
     def run(self, context: dict, only: list[str] | None = None, dry_run: bool = False) -> list[str]:
-        """Run what is not done, in order; an analysis is registered only after its output is there."""
+        """Run what is not done, in order; an analysis is registered only after its output is there.
+
+        A run may end between the two, so a finished output that is not registered yet is registered when it is reused."""
+        if unknown := sorted({s.registers for s in self.stages.values() if s.registers} - set(ANALYSIS_TYPES)):
+            raise ValueError(f"unknown analysis types: {', '.join(unknown)}")
         for name in self.order(only):
             stage = self.stages[name]
-            if self.done(stage.output):
-                self.log.append(f"{name}: reused")
-            elif dry_run:
-                self.log.append(f"{name}: would run")
-            else:
+            there = self.done(stage.output)
+            if dry_run:
+                self.log.append(f"{name}: {'reused' if there else 'would run'}")
+                continue
+            if not there:
                 stage.run(context)
-                self.log.append(f"{name}: done")
-                if stage.registers:
-                    if stage.registers not in ANALYSIS_TYPES:
-                        raise ValueError(f"unknown analysis type {stage.registers}")
-                    self.register(stage.registers, stage.output)
+            late = there and stage.registers is not None and not self.registered(stage.output)
+            if stage.registers and (late or not there):
+                self.register(stage.registers, stage.output)
+            self.log.append(f"{name}: {'reused, registered now' if late else 'reused' if there else 'done'}")
         return self.log
 
 
@@ -119,20 +150,3 @@ def spark_done(spark) -> Callable[[str], bool]:
         return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
     return done
-
-
-def main(argv: list[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(description="Check a stage selection and print the order of its stages.")
-    parser.add_argument("config")
-    parser.add_argument("--dry-run", action="store_true")
-    args = parser.parse_args(argv)
-    config = load_config(args.config)
-    only, cohorts = setting(config, "workflow", "only_stages", default=[]), setting(config, "workflow", "input_cohorts", default=[])
-    phase = validate_selection(only, cohorts)
-    runner = Runner({n: Stage(n, lambda c: None, n, NEEDS[n], REGISTERS.get(n)) for n in only}, done=lambda p: False)
-    print(f"phase {phase}: " + " -> ".join(runner.order(only)))
-    return 0
-
-
-if __name__ == "__main__":
-    raise SystemExit(main())

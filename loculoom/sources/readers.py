@@ -13,6 +13,7 @@ from ..operators.catalog import output_path
 from ..operators.variants import canonical_ids
 from .storage import numbered_lines
 
+#: Columns of the cluster scores and of a manifest.
 EGT_COLUMNS = ("CHROM", "POS", "REF", "ALT", "ID", "GenTrain_Score", "Cluster_Sep")
 MANIFEST_COLUMNS = (
     "file_name", "sample_sheet_id", "sample_id", "md5sum", "bbv_barcode", "sentrix_barcode_a", "sentrix_position_a", "sample_plate", "sample_well", "sample_plate_position",
@@ -148,8 +149,8 @@ def af_reference(spark: SparkSession, path: str) -> DataFrame:
 
 
 def egt_from_vcf(spark: SparkSession, path: str) -> DataFrame:
-    """The 7 EGT columns from a VCF whose INFO has the cluster scores."""
-    v = vcf_sites(spark, path, "GenTrain_Score", "Cluster_Sep")
+    """The 7 EGT columns from a VCF whose INFO has the cluster scores, with canonical ids."""
+    v = canonical_ids(vcf_sites(spark, path, "GenTrain_Score", "Cluster_Sep"))
     return v.select("chrom", "pos", "ref", "alt", "variant_id", number(F.col("GenTrain_Score")), number(F.col("Cluster_Sep"))).toDF(*EGT_COLUMNS)
 
 
@@ -203,3 +204,17 @@ def reported_sex(groups: DataFrame) -> DataFrame:
     """sg_id and sex of nested sequencing groups(sg_id, sample struct) wherever the whole path is there."""
     sex = F.col("sample.participant.reportedSex")
     return groups.filter(sex.isNotNull() & (F.length(sex) > 0)).select("sg_id", sex.alias("sex"))
+
+
+def registry_sexes(spark: SparkSession, path: str) -> DataFrame:
+    """sample_id and sex (1 male, 2 female) of the registry's samples, of each the first that is told; other values are unknown."""
+    schema = "id string, sequencingGroups array<struct<id:string,sample:struct<participant:struct<reportedSex:string>>>>"
+    groups = spark.read.schema(schema).json(path).select(F.explode("sequencingGroups").alias("g")).select(F.col("g.id").alias("sg_id"), F.col("g.sample").alias("sample"))
+    code = F.when(F.lower("sex").isin("1", "m", "male"), 1).when(F.lower("sex").isin("2", "f", "female"), 2)
+    told = reported_sex(groups).select(F.col("sg_id").alias("sample_id"), code.alias("sex")).filter("sex IS NOT NULL")
+    return told.groupBy("sample_id").agg(F.min("sex").alias("sex"))
+
+
+def cluster_scores(spark: SparkSession, path: str) -> DataFrame:
+    """The array's cluster scores from the 7-column TSV, or from a VCF whose INFO has them (``ord`` is then unknown)."""
+    return egt_from_vcf(spark, path) if path.removesuffix(".gz").endswith(".vcf") else egt_info(spark, path)

@@ -7,7 +7,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import reports
+from ..operators import reports, variants
 from .readers import MANIFEST_COLUMNS
 
 AUDIT = ["CHROM", "POS", "REF", "ALT", "ID", "GenTrain_Score", "Cluster_Sep", "F_MISS", "pass_gentrain", "pass_cluster_sep", "pass_fmiss", "pass_hwe", "pass"]
@@ -53,16 +53,6 @@ def calls(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     df.repartitionByRange("chrom", "pos").sortWithinPartitions("chrom", "pos").write.mode(mode).partitionBy("chrom").parquet(path)
 
 
-def dual(df: DataFrame, durable: str, temporary: str) -> None:
-    """One computed frame, two outputs."""
-    df = df.persist()
-    try:
-        df.write.parquet(durable)
-        df.write.parquet(temporary)
-    finally:
-        df.unpersist()
-
-
 def segments(pairs: DataFrame, path: str, header: str = SEG_HEADER, mode: str = "errorifexists") -> None:
     """Relatives as TSV with the columns of ``header``, families 0; without any pair, a file with the header alone."""
     names = [f.split()[0] for f in header.split(", ")]
@@ -75,14 +65,26 @@ def gtc_metadata(rows: DataFrame, path: str, mode: str = "errorifexists") -> Non
     rows.orderBy("file").coalesce(1).write.mode(mode).csv(path, sep="\t", header=True, emptyValue="")
 
 
-def id_pairs(samples: DataFrame, path: str, *columns: str) -> None:
+def id_pairs(samples: DataFrame, path: str, *columns: str, mode: str = "errorifexists") -> None:
     """Lines '0<tab>sample[<tab>column...]' (keep, remove and sex lists), sorted and distinct."""
     rows = samples.select("sample_id", *columns).distinct().orderBy("sample_id")
-    rows.coalesce(1).select(F.concat_ws("\t", F.lit("0"), "sample_id", *columns)).write.text(path)
+    rows.coalesce(1).select(F.concat_ws("\t", F.lit("0"), "sample_id", *columns)).write.mode(mode).text(path)
+
+
+def reheader(names: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """Lines 'old new' that give samples their ids, by the new ones."""
+    names.orderBy("sg_id").coalesce(1).select(F.concat_ws(" ", "old_name", "sg_id")).write.mode(mode).text(path)
 
 
-def reheader(names: DataFrame, path: str) -> None:
-    names.coalesce(1).select(F.concat_ws(" ", "old_name", "sg_id")).write.text(path)
+def frequency_vcf(sites: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A sites-only VCF of ``sites(chrom, pos, ref, alt, af)`` with AF, as ``readers.af_reference`` takes it: gzip parts in the order of positions."""
+    head = '##fileformat=VCFv4.2\n##INFO=<ID=AF,Number=A,Type=Float,Description="Alternate allele frequency">\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO'
+    info = F.concat(F.lit("AF="), F.coalesce(F.col("af").cast("string"), F.lit(".")))
+    contig = variants.numeric_contig(F.col("chrom")).try_cast("int")
+    line = F.concat_ws("\t", "chrom", F.col("pos").cast("string"), F.concat_ws(":", "chrom", F.col("pos").cast("string"), "ref", "alt"), "ref", "alt", F.lit("."), F.lit("."), info)
+    body = sites.select(F.lit(1).alias("k"), F.coalesce(contig, F.lit(1_000)).alias("c"), "chrom", "pos", line.alias("value"))
+    first = sites.sparkSession.createDataFrame([(0, 0, "", 0, head)], "k int, c int, chrom string, pos long, value string")
+    first.unionByName(body.withColumn("pos", F.col("pos").cast("long"))).orderBy("k", "c", "chrom", "pos", "value").select("value").write.mode(mode).option("compression", "gzip").text(path)
 
 
 def manifest(rows: DataFrame, path: str, force: bool = False) -> None:
@@ -90,18 +92,6 @@ def manifest(rows: DataFrame, path: str, force: bool = False) -> None:
     rows.select(*MANIFEST_COLUMNS).coalesce(1).write.mode("overwrite" if force else "errorifexists").csv(path, header=True, emptyValue="")
 
 
-def fam(samples: DataFrame, path: str) -> None:
-    """FID 0, IID, no parents, sex, no phenotype."""
-    rows = samples.select(F.concat_ws("\t", F.lit("0"), "sample_id", F.lit("0"), F.lit("0"), F.coalesce(F.col("sex"), F.lit(0)).cast("string"), F.lit("-9")).alias("value"), "sample_id")
-    rows.orderBy("sample_id").coalesce(1).select("value").write.text(path)
-
-
-def bim(variants: DataFrame, path: str) -> None:
-    """Variants in order: contig, id, 0, position, ALT (A1), REF (A2)."""
-    rows = variants.orderBy("ord").coalesce(1)
-    rows.select(F.concat_ws("\t", "chrom", "variant_id", F.lit("0"), F.col("pos").cast("string"), "alt", "ref")).write.text(path)
-
-
 def register(spark: SparkSession, cohort: str, kind: str, output: str, path: str) -> int:
     """Append a completed analysis to the registry, as a line that ``readers.registry`` reads with those of the cohort; returns its id.
 
@@ -115,5 +105,14 @@ def register(spark: SparkSession, cohort: str, kind: str, output: str, path: str
     return made
 
 
+def registered(spark: SparkSession, registry: str, path: str) -> bool:
+    """Whether an analysis with this output is in the registry; a registry that is not there yet holds none."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(registry)
+    if not p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p):
+        return False
+    lines = spark.read.schema("analyses array<struct<outputs:variant>>").json(registry).select(F.explode("analyses.outputs").alias("o"))
+    return not lines.filter(F.coalesce(F.try_variant_get("o", "$.path", "string"), F.try_variant_get("o", "$", "string")) == path).isEmpty()
+
+
 def contig_cache(chroms: DataFrame, path: str) -> None:
     chroms.orderBy("bpm_index").coalesce(1).select("chrom").write.option("compression", "gzip").text(path)

@@ -95,7 +95,7 @@ def test_small_readers(spark, tmp_path):
     assert {r.sample_id: (r.dosage, r.gq) for r in readers.vcf_calls(spark, str(tmp_path / "v.vcf")).collect()} == {"S1": (1, 30), "S2": (None, None)}
 
 
-def test_phases(tmp_path):
+def test_phases():
     assert workflow.validate_selection(["BafRegress"], ["a", "b"]) == 1 and workflow.validate_selection(["QcReport"], ["a"]) == 2
     for only, cohorts, match in ((None, ["a"], "not set"), (["bafregress"], ["a"], "unknown"), (["BafRegress", "QcReport"], ["a"], "both"), (["QcReport"], [], "exactly one"), (["QcReport"], ["a", "b"], "exactly one")):
         with pytest.raises(ValueError, match=match):
@@ -105,8 +105,6 @@ def test_phases(tmp_path):
     r = workflow.Runner(stages, done=lambda p: p == "MergeCohortPlink", register=lambda k, p: made.append(k))
     r.run({})
     assert "MergeCohortPlink" not in ran and ran.index("QcReport") > ran.index("KingIbdseg") and "array_qc_report" in made
-    (tmp_path / "c.toml").write_text('[workflow]\nonly_stages = ["GtcToBcfs"]\ninput_cohorts = ["x"]\n')
-    assert workflow.main([str(tmp_path / "c.toml"), "--dry-run"]) == 0
     assert workflow.output_prefix("r/", "w", "S", "1") == "r/w/S/1" and workflow.project_name("p", True) == "p-test" == workflow.project_name("p-test", True)
 
 
