@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 COPY = 8 << 20
 
@@ -214,6 +214,33 @@ class Several(DataSourceArrowWriter):
             f.abort([])
 
 
+class TextWriter(SingleFile):
+    """Lines of rows(ord, value) behind a head."""
+
+    def head(self, parts: list[Part]) -> Iterable[bytes]:
+        return (self.options.get("head", "").encode(),)
+
+    def encode(self, batch: pa.RecordBatch) -> bytes:
+        return "".join(f"{v}\n" for v in batch.column(batch.schema.get_field_index("value")).to_pylist()).encode()
+
+
+class TextSink(DataSource):
+    """A sink of one text file.  Options: path, head."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "one_text_file"
+
+    def writer(self, schema, overwrite: bool) -> TextWriter:
+        return TextWriter(self.options, overwrite)
+
+
+def write_lines(lines: DataFrame, path: str, head: str = "") -> None:
+    """One text file of ``lines(ord, value)``, written by all tasks."""
+    lines.sparkSession.dataSource.register(TextSink)
+    in_ranges(lines).write.format("one_text_file").option("head", head).mode("append").save(path)
+
+
 def in_ranges(df: DataFrame) -> DataFrame:
     """Rows dealt to tasks by ranges of ``ord``, in order."""
     return df.repartitionByRange("ord").sortWithinPartitions("ord")

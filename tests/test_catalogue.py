@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from loculoom.plans import catalogue
+from loculoom.plans import catalogue, interchange
 
 from .conftest import DATA
 
@@ -18,13 +18,16 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", list(catalogue.QUERIES))
+QUERIES, SQL = catalogue.QUERIES | interchange.QUERIES, catalogue.ORACLE_SQL | interchange.ORACLE_SQL
+
+
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, duck, name):
-    df = catalogue.QUERIES[name](spark, DATA)
+    df = QUERIES[name](spark, DATA)
     columns = sorted(df.columns)
     got = sorted(map(tuple, df.select([f"`{c}`" for c in columns]).collect()), key=repr)
     quoted = ", ".join('"' + c + '"' for c in columns)
-    want = sorted(map(tuple, duck.execute(f"SELECT {quoted} FROM ({catalogue.ORACLE_SQL[name]})").fetchall()), key=repr)
+    want = sorted(map(tuple, duck.execute(f"SELECT {quoted} FROM ({SQL[name]})").fetchall()), key=repr)
     assert got == want
 
 
