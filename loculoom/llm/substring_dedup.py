@@ -25,16 +25,17 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import cut, keyed, slices
-from .near_dedup import MEMO, mix
+from .near_dedup import mix
 
 WINDOW, ANCHOR = 20, 5
 #: Anchors of a block (a copied passage of that length stays in one stretch), and words of a shard.
@@ -42,11 +43,48 @@ BLOCK_ANCHORS, SHARD_WORDS = 64, 60_000
 #: A shard of more than so many times its words is salted.
 SALTED = 3
 BROADCAST_BYTES = 32 << 20
+#: Characters whose words are worked on at once; bytes from which on a word is hashed by itself.
+CHARS, LONG_WORD = 1 << 20, 64
 EMPTY = np.zeros(0, np.int64)
-
-
-def word_hashes(tokens: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(MEMO.__getitem__, tokens), np.uint64, len(tokens))
+SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
+BYTES = mix(np.arange(256, dtype=np.uint64), 3)
+#: Low bits of a phrase's hash that its place takes.
+PLACE = np.uint64((1 << 20) - 1)
+
+
+class Words:
+    """The words of some texts one after the other: hash, first byte and end of each in ``data``, and how many each text has."""
+
+    def __init__(self, texts: list[bytes]):
+        self.data = b" " + b" ".join(texts) + b" "
+        raw = np.frombuffer(self.data, np.uint8)
+        gap = SPACE[raw]
+        edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+        self.begin, self.end = edge[0::2], edge[1::2]
+        size = self.end - self.begin
+        # byte by byte over all words that are that long; the few long ones whole
+        self.hash, order = np.zeros(len(size), np.uint64), np.argsort(-size, kind="stable")
+        upto, active = -size[order], len(size)
+        for k in range(min(int(size.max(initial=0)), LONG_WORD)):
+            active = int(np.searchsorted(upto, -k, "left"))
+            at = order[:active]
+            self.hash[at] = self.hash[at] * np.uint64(0x9FB21C651E98DF25) + BYTES[raw[self.begin[at] + k]]
+        self.hash = mix(self.hash + size.astype(np.uint64), 7)
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            self.hash[i] = xxhash.xxh3_64_intdigest(self.data[self.begin[i] : self.end[i]])
+        stops = np.cumsum([len(t) + 1 for t in texts])
+        self.counts = np.diff(np.searchsorted(self.begin, stops + 1), prepend=0) if texts else EMPTY
+
+    def windows(self, window: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of every window that lies in one text, the place of its first word among all, and its text."""
+        return inner_windows(self.counts, window)
+
+
+def inner_windows(counts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    n = np.maximum(counts - window + 1, 0)
+    of = np.repeat(np.arange(len(n)), n)
+    starts = np.cumsum(counts) - counts
+    return starts[of] + np.arange(len(of)) - (np.cumsum(n) - n)[of], of
 
 
 def rolled(words: np.ndarray, n: int, factor: int) -> np.ndarray:
@@ -60,32 +98,50 @@ def rolled(words: np.ndarray, n: int, factor: int) -> np.ndarray:
 
 
 def anchors(words: np.ndarray, window: int, anchor: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of the phrases at all places, and the place of the anchor of every window."""
-    phrases = rolled(words, anchor, 0x9FB21C651E98DF25)
+    """Hashes of the phrases at all places, and the place of the anchor of every window: the phrase of the least hash, of equal ones the first.
+
+    Minima over a width follow from those over half of it; the place rides in the low bits of the hash."""
+    phrases = rolled(words, anchor, 0xC2B2AE3D27D4EB4F)
     if len(words) < window:
         return phrases, EMPTY
-    least = sliding_window_view(phrases, window - anchor + 1).argmin(1)
-    return phrases, least + np.arange(len(least))
+    place = np.arange(len(phrases), dtype=np.uint64)
+    least, width, whole = phrases & ~PLACE | place & PLACE, 1, window - anchor + 1
+    while 2 * width <= whole:
+        least, width = np.minimum(least[:-width], least[width:]), 2 * width
+    if width < whole:
+        least = np.minimum(least[: len(least) - (whole - width)], least[whole - width :])
+    place = place[: len(least)]
+    return phrases, (place + (least - place & PLACE)).astype(np.int64)
 
 
 def window_hashes(words: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
     return rolled(words, window, 0xC2B2AE3D27D4EB4F).view(np.int64), rolled(words, window, 0x9E3779B185EBCA87).view(np.int64)
 
 
+def some(ids: list, texts: list[str]) -> Iterator[tuple[list, list[bytes]]]:
+    """The texts in UTF-8, about ``CHARS`` at a time."""
+    begin, size = 0, 0
+    for k, t in enumerate(texts):
+        size += len(t)
+        if size >= CHARS or k + 1 == len(texts):
+            yield ids[begin : k + 1], [x.encode() for x in texts[begin : k + 1]]
+            begin, size = k + 1, 0
+
+
 def spots(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """file, at, place and phrase of the anchors of ``docs(file, at, text)``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in slices(batches):
-            places, phrases = [], []
-            for t in texts:
-                hashes, of = anchors(word_hashes(t.encode().split()), window, anchor)
-                at = np.unique(of)
-                places.append(at)
-                phrases.append(hashes[at].view(np.int64))
-            size = [len(p) for p in places]
-            keys = [np.repeat(np.array([i[k] for i in ids], np.int64), size) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*keys, np.concatenate(places), np.concatenate(phrases))], names=["file", "at", "place", "phrase"])
+        for got in slices(batches):
+            for ids, texts in some(*got):
+                words = Words(texts)
+                hashes, of = anchors(words.hash, window, anchor)
+                first, text = words.windows(window)
+                at, k = np.unique(of[first], return_index=True)
+                text = text[k]
+                keys = [np.array([i[c] for i in ids], np.int64)[text] for c in (0, 1)]
+                place = at - (np.cumsum(words.counts) - words.counts)[text]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (*keys, place, hashes[at].view(np.int64))], names=["file", "at", "place", "phrase"])
 
     return docs.select("file", "at", "text").mapInArrow(run, "file long, at long, place long, phrase long")
 
@@ -102,47 +158,47 @@ STRETCH = "block long, unknown boolean, doc_id long, file long, at long, start l
 def stretches(docs: DataFrame, again: DataFrame, window: int, anchor: int, broadcast_bytes: int) -> DataFrame:
     """The stretches of windows whose anchors recur, one for each run of one block: its document, first word, number of words and text."""
 
-    def emit(rows: list[tuple], tokens: list[bytes], key: tuple, block: np.ndarray) -> int:
-        """``block`` of every window, -1 where its anchor does not recur."""
-        edge = np.flatnonzero(np.concatenate([[True], block[1:] != block[:-1]])) if len(block) else EMPTY
-        size = 0
-        for a, b in zip(edge.tolist(), [*edge[1:].tolist(), len(block)]):
-            if block[a] >= 0:
-                text = b" ".join(tokens[a : b + window - 1]).decode()
-                rows.append((int(block[a]), key[0] is None, *key, a, b - a + window - 1, text))
-                size += len(text)
-        return size
-
     def run(batches: Iterator[pa.RecordBatch], blocks) -> Iterator[pa.RecordBatch]:
-        rows, size = [], 0
-        for ids, texts in slices(batches):
-            for key, t in zip(ids, texts):
-                tokens = t.encode().split()
-                phrases, of = anchors(word_hashes(tokens), window, anchor)
-                size += emit(rows, tokens, key[:3], blocks(key, phrases, of))
-                if size > 4_000_000 or len(rows) > 10_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t_.type) for c, t_ in zip(zip(*rows), STRETCH_ARROW)], schema=STRETCH_ARROW)
-                    rows, size = [], 0
-        if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t_.type) for c, t_ in zip(zip(*rows), STRETCH_ARROW)], schema=STRETCH_ARROW)
+        """``blocks(ids, words, phrases, of)``: the block of every window in the texts, by its anchor's place; -1 where that does not recur."""
+        for got in slices(batches):
+            for ids, texts in some(*got):
+                words = Words(texts)
+                phrases, of = anchors(words.hash, window, anchor)
+                first, text = words.windows(window)
+                block = blocks(ids, words, phrases, of[first])
+                # windows that follow each other in a text and a block
+                edge = np.flatnonzero(np.concatenate([[True], (block[1:] != block[:-1]) | (text[1:] != text[:-1])])) if len(block) else EMPTY
+                n = np.diff(np.append(edge, len(block)))
+                edge, n = edge[block[edge] >= 0], n[block[edge] >= 0]
+                if not len(edge):
+                    continue
+                begin = first[edge]
+                cuts = zip(words.begin[begin].tolist(), words.end[begin + n + window - 2].tolist())
+                keys = [[ids[k][c] for k in text[edge].tolist()] for c in range(3)]
+                start = begin - (np.cumsum(words.counts) - words.counts)[text[edge]]
+                columns = [block[edge], [i is None for i in keys[0]], *keys, start, n + window - 1, [words.data[a:b].decode() for a, b in cuts]]
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, STRETCH_ARROW)], schema=STRETCH_ARROW)
 
     if again.count() * 16 <= broadcast_bytes:
         known = again.orderBy("phrase").toArrow()
         spread = docs.sparkSession.sparkContext.broadcast((known.column("phrase").to_numpy(), known.column("block").to_numpy()))
 
-        def looked_up(key: tuple, phrases: np.ndarray, of: np.ndarray) -> np.ndarray:
+        def looked_up(ids: list, words: Words, phrases: np.ndarray, of: np.ndarray) -> np.ndarray:
             phrase, block = spread.value
             if not len(phrase) or not len(of):
                 return np.full(len(of), -1)
-            mine = phrases[of].view(np.int64)
+            # windows that follow each other mostly have one anchor
+            each, back = np.unique(of, return_inverse=True)
+            mine = phrases[each].view(np.int64)
             k = np.minimum(np.searchsorted(phrase, mine), len(phrase) - 1)
-            return np.where(phrase[k] == mine, block[k], -1)
+            return np.where(phrase[k] == mine, block[k], -1)[back]
 
         return docs.select("doc_id", "file", "at", "text").mapInArrow(lambda b: run(b, looked_up), STRETCH)
 
-    def told(key: tuple, phrases: np.ndarray, of: np.ndarray) -> np.ndarray:
-        at = np.full(len(phrases), -1)
-        at[[m["place"] for m in key[3]]] = [m["block"] for m in key[3]]
+    def told(ids: list, words: Words, phrases: np.ndarray, of: np.ndarray) -> np.ndarray:
+        at, starts = np.full(len(phrases) + 1, -1), np.cumsum(words.counts) - words.counts
+        for start, (*_, marks) in zip(starts.tolist(), ids):
+            at[[start + m["place"] for m in marks]] = [m["block"] for m in marks]
         return at[of]
 
     marks = spots(docs, window, anchor).join(again, "phrase").groupBy("file", "at").agg(F.collect_list(F.struct("place", "block")).alias("marks"))
@@ -155,20 +211,22 @@ ORDER = ("unknown", "doc_id", "file", "at", "start")
 
 
 class Part:
-    """The stretches of a shard, or of a salted part of one, as arrays."""
+    """The stretches of a shard, or of a salted part of one, as arrays, in the order of their documents: of two windows the first is the earlier one."""
 
     def __init__(self, rows: pa.Table, window: int):
-        self.window, numbers = window, {}
-        self.words, hashes = [], []
-        for t in rows.column("text"):
-            tokens = t.as_py().encode().split()
-            self.words.append(tuple(numbers.setdefault(w, len(numbers)) for w in tokens))
-            hashes.append(window_hashes(word_hashes(tokens), window))
-        size = [len(h[0]) for h in hashes]
-        self.hi, self.lo = (np.concatenate([h[k] for h in hashes]) if hashes else EMPTY for k in (0, 1))
-        self.of, self.place = np.repeat(np.arange(len(size)), size), np.concatenate([np.arange(s) for s in size]) if size else EMPTY
-        key = [rows.column(c).fill_null(0).to_numpy() if c == "doc_id" else rows.column(c).to_numpy() for c in ORDER]
-        self.key = [k.astype(np.int64) for k in key]
+        self.window = window
+        self.key = [rows.column(c).fill_null(0).to_numpy() if c == "doc_id" else rows.column(c).to_numpy() for c in ORDER]
+        by = np.lexsort(self.key[::-1])
+        self.key, numbers = [k[by].astype(np.int64) for k in self.key], {}
+        texts = [rows.column("text")[k].as_py().encode().split() for k in by.tolist()]
+        counts = np.array([len(t) for t in texts], np.int64)
+        ids = np.fromiter((numbers.setdefault(w, len(numbers)) for t in texts for w in t), np.int64, int(counts.sum()))
+        flat, ends = ids.tolist(), np.cumsum(counts).tolist()
+        self.words = [tuple(flat[a:b]) for a, b in zip([0, *ends], ends)]
+        words = Words([b" ".join(numbers)]).hash[ids] if numbers else np.zeros(0, np.uint64)
+        first, self.of = inner_windows(counts, window)
+        self.hi, self.lo = (h[first] for h in window_hashes(words, window))
+        self.place = first - (np.cumsum(counts) - counts)[self.of]
 
     def order(self, of: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
         """The order columns of windows: unknown, doc_id, file, at, start."""
@@ -176,32 +234,31 @@ class Part:
 
     def firsts(self) -> tuple[np.ndarray, np.ndarray]:
         """The first window of each distinct one, and how often it occurs."""
-        by = np.lexsort((*self.order(self.of, self.place)[::-1], self.lo, self.hi))
+        by = np.lexsort((self.lo, self.hi))
         hi, lo = self.hi[by], self.lo[by]
         first = np.flatnonzero(np.concatenate([[True], (hi[1:] != hi[:-1]) | (lo[1:] != lo[:-1])])) if len(by) else EMPTY
         return by[first], np.diff(np.append(first, len(by)))
 
     def occurrences(self, windows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(pattern, stretch, place) of every occurrence of the given windows in the stretches, by their automaton."""
+        """(pattern, stretch, place) of every occurrence of the given windows in the stretches, in their order, by their automaton."""
         machine = ahocorasick.Automaton(ahocorasick.STORE_INTS, ahocorasick.KEY_SEQUENCE)
         for k, (of, place) in enumerate(zip(self.of[windows].tolist(), self.place[windows].tolist())):
             machine.add_word(self.words[of][place : place + self.window], k)
         if not len(machine):
             return EMPTY, EMPTY, EMPTY
         machine.make_automaton()
-        found = [(k, i, end) for i, words in enumerate(self.words) for end, k in machine.iter(words)]
-        pattern, of, end = np.array(found, np.int64).reshape(-1, 3).T
-        return pattern, of, end - self.window + 1
+        found = [np.fromiter(chain.from_iterable(machine.iter(words)), np.int64) for words in self.words]
+        end, pattern = np.concatenate(found).reshape(-1, 2).T
+        return pattern, np.repeat(np.arange(len(found)), [len(x) // 2 for x in found]), end - self.window + 1
 
     def covers(self, of: np.ndarray, place: np.ndarray) -> pa.Table:
-        """(file, at, a, b): the runs of words that the windows cover."""
-        out: list[tuple] = []
-        for i in np.unique(of).tolist():
-            begin = np.sort(place[of == i])
-            new = np.concatenate([[True], begin[1:] > begin[:-1] + self.window])
-            last = np.append(np.flatnonzero(new)[1:] - 1, len(begin) - 1)
-            out += [(int(self.key[2][i]), int(self.key[3][i]), int(self.key[4][i]) + a, int(self.key[4][i]) + b + self.window) for a, b in zip(begin[new].tolist(), begin[last].tolist())]
-        return pa.table([pa.array(c, pa.int64()) for c in (zip(*out) if out else [[]] * 4)], names=["file", "at", "a", "b"])
+        """(file, at, a, b): the runs of words that the windows cover, which come in order."""
+        new = np.concatenate([[True], (of[1:] != of[:-1]) | (place[1:] > place[:-1] + self.window)]) if len(of) else np.zeros(0, bool)
+        first = np.flatnonzero(new)
+        last = np.append(first[1:] - 1, len(of) - 1) if len(of) else EMPTY
+        i = of[first]
+        columns = [self.key[2][i], self.key[3][i], self.key[4][i] + place[first], self.key[4][i] + place[last] + self.window]
+        return pa.table([pa.array(c, pa.int64()) for c in columns], names=["file", "at", "a", "b"])
 
 
 COVERS = "file long, at long, a long, b long"
@@ -212,8 +269,8 @@ def located(rows: pa.Table, window: int) -> pa.Table:
     part = Part(rows, window)
     first, n = part.firsts()
     pattern, of, place = part.occurrences(first[n > 1])
-    by = np.lexsort((*part.order(of, place)[::-1], pattern))
-    again = by[1:][pattern[by[1:]] == pattern[by[:-1]]]
+    again = np.ones(len(pattern), bool)
+    again[np.unique(pattern, return_index=True)[1]] = False
     return part.covers(of[again], place[again])
 
 

@@ -80,9 +80,20 @@ def test_given_tables(spark):
 def test_every_window_has_one_anchor_by_its_content():
     rng = np.random.default_rng(3)
     words = rng.integers(0, 50, 3000).astype(np.uint64)
-    phrases, of = sd.anchors(words, 20, 5)
-    seen: dict = {}
-    for s, p in enumerate(of.tolist()):
-        assert s <= p <= s + 15
-        assert seen.setdefault(tuple(words[s : s + 20].tolist()), p - s) == p - s
-    assert len(np.unique(of)) < 3000 / 6
+    for window, anchor in ((20, 5), (20, 8), (7, 7), (9, 2)):
+        phrases, of = sd.anchors(words, window, anchor)
+        seen: dict = {}
+        for s, p in enumerate(of.tolist()):
+            assert s <= p <= s + window - anchor and phrases[p] >> np.uint64(20) == phrases[s : s + window - anchor + 1].min() >> np.uint64(20)
+            assert seen.setdefault(tuple(words[s : s + window].tolist()), p - s) == p - s
+    assert len(np.unique(sd.anchors(words, 20, 5)[1])) < 3000 / 6
+
+
+def test_words():
+    texts = [b"", b"  ", b"one", b" two \t\n one\x0b\x0cthree\r", "é x\x85y".encode(), b"w" * 64, b"w" * 65 + b" one " + b"v" * 300, b"one"]
+    words = sd.Words(texts)
+    want = [w for t in texts for w in t.split()]
+    assert words.counts.tolist() == [len(t.split()) for t in texts]
+    assert [words.data[a:b] for a, b in zip(words.begin.tolist(), words.end.tolist())] == want
+    assert len(set(words.hash.tolist())) == len(set(want)) and len({(w, h) for w, h in zip(want, words.hash.tolist())}) == len(set(want))
+    assert not len(sd.Words([]).hash) and not len(sd.Words([b""]).hash)
