@@ -30,14 +30,16 @@ from __future__ import annotations
 
 import itertools
 import re
+from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, pa_schema, slices
+from .common import cut, keyed, pa_schema, slices
 
 K1, B = 1.2, 0.75
 PIECE, SHINGLE, OVERLAP, SHARE = 64, 5, 0.8, 0.6
@@ -200,20 +202,38 @@ class LengthClass:
         return names[pair[kept] // self.n], self.pieces[pair[kept] % self.n], share[kept]
 
 
+def pieces_of(tokens: list[bytes]) -> Iterator[list[bytes]]:
+    """The pieces in which an item is indexed; a short last one reaches back."""
+    for a in range(0, len(tokens), PIECE):
+        piece = tokens[a : a + PIECE]
+        yield tokens[-PIECE:] if a and len(piece) < PIECE // 2 else piece
+
+
+@dataclass
+class Statistics:
+    """What BM25 needs of the whole benchmark: its pieces, their mean length, and how many of them hold a term."""
+
+    n: int
+    mean: float
+    df: dict[bytes, int]
+
+    @staticmethod
+    def of(texts: list[str]) -> Statistics:
+        found = [p for t in texts for p in pieces_of(words(t))]
+        return Statistics(len(found), sum(map(len, found)) / max(1, len(found)), Counter(w for p in found for w in set(p)))
+
+
 class BenchmarkIndex:
-    """Inverted index of (item_id, text) items with block maxima, by length class."""
+    """Inverted index of (item_id, text) items with block maxima, by length class.  ``known`` are the statistics of the benchmark whose part they are."""
 
-    def __init__(self, items: list[tuple[int, str]], share: float = SHARE):
+    def __init__(self, items: list[tuple[int, str]], share: float = SHARE, known: Statistics | None = None):
+        known = known or Statistics.of([t for _, t in items])
         self.items = [(i, *question_answer(t)) for i, t in items]
         self.terms: dict[bytes, int] = {}
         self.counts = {"blocks": 0, "walked": 0}
         pieces, self.of = [], []
         for k, (_, t) in enumerate(items):
-            tokens = words(t)
-            for a in range(0, len(tokens), PIECE):
-                piece = tokens[a : a + PIECE]
-                if a and len(piece) < PIECE // 2:
-                    piece = tokens[-PIECE:]
+            for piece in pieces_of(words(t)):
                 pieces.append(np.unique([self.terms.setdefault(w, len(self.terms)) for w in piece], return_counts=True) + (len(piece),))
                 self.of.append(k)
         n, m = len(pieces), len(self.terms)
@@ -221,9 +241,9 @@ class BenchmarkIndex:
         term = np.concatenate([p[0] for p in pieces]) if n else np.zeros(0, np.int64)
         tf = np.concatenate([p[1] for p in pieces]) if n else np.zeros(0)
         piece = np.repeat(np.arange(n), sizes)
-        df = np.bincount(term, minlength=m)
-        idf = np.log1p((n - df + 0.5) / (df + 0.5))
-        norm = K1 * (1 - B + B * lengths[piece] / lengths.mean()) if n else tf
+        df = np.array([known.df[w] for w in self.terms], np.float64)
+        idf = np.log1p((known.n - df + 0.5) / (df + 0.5))
+        norm = K1 * (1 - B + B * lengths[piece] / known.mean) if n else tf
         impact = idf[term] * tf * (K1 + 1) / (tf + norm)
         self.own = np.bincount(piece, weights=impact, minlength=n)
         self.threshold = share * self.own
@@ -303,26 +323,53 @@ def confirmed(overlaps: list[float]) -> bool:
 RESULT = "doc_id long, item_id long, score double, own_score double, question_overlap double, answer_overlap double"
 
 
-def chunks(items: Iterator, limit: int) -> Iterator[list[tuple[int, str]]]:
+def with_statistics(benchmark: DataFrame) -> tuple[DataFrame, int, float]:
+    """(item_id, text, terms, df) of the items, with the number of pieces in the whole benchmark that hold each of an item's terms; the number of
+    pieces, and their mean length.  The statistics are aggregated by term, so they do not depend on how the items are dealt to indexes."""
+    items = keyed(benchmark.select("item_id", "text").filter(F.col("text").isNotNull()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for file, at, text in zip(*(c.to_pylist() for c in b.columns)):
+                found = list(pieces_of(words(text)))
+                held = Counter(w for p in found for w in set(p))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x] * (len(held) + 1), t) for x, t in ((file, pa.int64()), (at, pa.int64()))]
+                    + [pa.array([None, *held], pa.binary()), pa.array([len(found), *held.values()], pa.int64()), pa.array([sum(map(len, found)), *[0] * len(held)], pa.int64())],
+                    names=["file", "at", "term", "n", "length"],
+                )
+
+    held = cut(items.select("file", "at", "text").mapInArrow(run, "file long, at long, term binary, n long, length long"))
+    pieces, length = held.filter("term IS NULL").agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("length"), F.lit(0))).collect()[0]
+    df = held.filter("term IS NOT NULL").groupBy("term").agg(F.sum("n").alias("df"))
+    own = held.filter("term IS NOT NULL").select("file", "at", "term").join(df, "term").groupBy("file", "at").agg(F.collect_list(F.struct("term", "df")).alias("known"))
+    told = items.join(own, ["file", "at"]).select("item_id", "text", "known")  # an item without words is never found
+    return cut(told), pieces, length / max(1, pieces)
+
+
+def chunks(items: Iterator, limit: int) -> Iterator[list]:
     got, size = [], 0
     for r in items:
         if got and size + len(r.text) > limit:
             yield got
             got, size = [], 0
-        got.append((r.item_id, r.text))
+        got.append(r)
         size += len(r.text)
     if got:
         yield got
 
 
-def parts(benchmark: DataFrame, limit: int) -> Iterator[tuple[list[tuple[int, str]], bool]]:
-    """The benchmark in parts of at most ``limit`` characters (or one item), and whether a part is the last; one part is held at a time."""
-    items = benchmark.filter(F.col("text").isNotNull()).select("item_id", "text").toLocalIterator()
+Part = tuple[list[tuple[int, str]], Statistics]
+
+
+def parts(benchmark: DataFrame, limit: int) -> Iterator[tuple[Part, bool]]:
+    """The benchmark in parts of at most ``limit`` characters (or one item) with the statistics of the whole, and whether a part is the last; one part is held at a time."""
+    told, n, mean = with_statistics(benchmark)
     before = None
-    for part in chunks(items, limit):
+    for rows in chunks(told.toLocalIterator(), limit):
         if before is not None:
             yield before, False
-        before = part
+        before = [(r.item_id, r.text) for r in rows], Statistics(n, mean, {bytes(x.term): x.df for r in rows for x in r.known})
     if before is not None:
         yield before, True
 
@@ -330,15 +377,16 @@ def parts(benchmark: DataFrame, limit: int) -> Iterator[tuple[list[tuple[int, st
 class Asked:
     """The index of a broadcast part, built once a worker."""
 
-    def __init__(self, docs: DataFrame, items: list[tuple[int, str]]):
-        self.spread, self.held = docs.sparkSession.sparkContext.broadcast(items), []
+    def __init__(self, docs: DataFrame, part: Part):
+        self.spread, self.held = docs.sparkSession.sparkContext.broadcast(part), []
 
     def __getstate__(self) -> dict:
         return {"spread": self.spread, "held": []}
 
     def search(self, texts: list[str]) -> list[tuple]:
         if not self.held:
-            self.held.append(BenchmarkIndex(self.spread.value))
+            items, known = self.spread.value
+            self.held.append(BenchmarkIndex(items, known=known))
         return self.held[0].search(texts)
 
 
@@ -346,7 +394,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, limit: int = INDEX_CHARS
     """The (document, item) pairs of ``docs(doc_id, text)`` and ``benchmark(item_id, text)`` that are confirmed.
 
     An index holds at most ``limit`` characters of items (or one item); a larger benchmark takes several indexes, each asked with all
-    documents: one after the other, so that the driver and the tasks never hold more than one.
+    documents: one after the other, so that the driver and the tasks never hold more than one.  All use the statistics of the whole
+    benchmark, so the result is the same for every ``limit``.
     """
     shape = pa_schema(RESULT, docs)
 

@@ -2,10 +2,10 @@
 
 The n-grams (1 to 3 characters of the lower-cased text, white space as one mark) of a whole text are hashed to
 ``BUCKETS`` features.  Document frequencies are counted over all learning documents; the weights are fitted by
-follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a sample of rows whose number is bounded: about
-``SAMPLE_PER_LANG`` learning documents of each language, chosen by a hash of doc_id and text, ``SAMPLE_ROWS`` in all (of
+follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a sample of rows whose number is bounded: the
+``SAMPLE_PER_LANG`` learning documents of each language with the smallest hashes of the row and its place, ``SAMPLE_ROWS`` in all (of
 many languages each has a smaller share, but not less than ``LEAST_PER_LANG`` documents).  Every language is learned, and a sampled document
-with all its n-grams.  A part of the sample is not fitted; it sets the temperature that calibrates the probabilities.
+with all its n-grams; repeated rows are drawn one by one.  A part of the sample is not fitted; it sets the temperature that calibrates the probabilities.
 The weights take BUCKETS numbers a language.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or if nothing could be learned; otherwise the
@@ -21,14 +21,16 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, map_texts
+from .common import crc_mod, fresh, keyed, map_texts
 
 BUCKETS, GRAMS = 1 << 14, 3
 SAMPLE_PER_LANG, LEAST_PER_LANG, SAMPLE_ROWS, EPOCHS = 600, 20, 24_000, 3
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 1e-4, 1e-4
+#: A filtering stage keeps languages of at least this share of the learning documents, predicted with at least this probability.
+LEAST_SHARE, SURE = 0.01, 0.4
 #: A letter is a code point of the category L; numbers such as fractions and circled digits are none.
 LETTER = regex.compile(r"\p{L}")
 PIECE = 1 << 20
@@ -62,6 +64,8 @@ class Model:
         self.langs, self.idf = langs, idf.astype(np.float32)
         self.weights = np.zeros((BUCKETS + 1, len(langs)), np.float32)
         self.temperature = 1.0
+        #: Share of each language of the learning documents.
+        self.shares: dict[str, float] = {}
 
     def vector(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         x = np.log1p(n).astype(np.float32) * self.idf[at]
@@ -144,11 +148,15 @@ def train(learn: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     names = sorted(langs)
     if not names:
         return Model([], idf)
-    # the rows of a language with the smallest hashes: the expected number is its quota or all; limit() bounds what comes in any case
     quota = max(LEAST_PER_LANG, min(per_lang, SAMPLE_ROWS // len(names)))
-    shares = learn.sparkSession.createDataFrame([(k, min(1.0, quota / n)) for k, n in langs.items()], "lang string, share double")
-    draw = F.pmod(F.xxhash64(F.lit("sample"), "doc_id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    sample = learn.withColumn("draw", draw).join(F.broadcast(shares), "lang").filter(F.col("draw") < F.col("share")).select("doc_id", "lang", "text")
+    # the first of each language by hash: every task keeps its own first ones, and at most quota * languages keys are left
+    file, at = fresh(learn, "file"), fresh(learn, "at")
+    rows_ = keyed(learn, file, at)
+    # by row, so that copies are drawn one by one; without the file's path, so that a moved table is sampled alike
+    draw = F.xxhash64(F.lit("sample"), "doc_id", "text", F.col(at).bitwiseAND(F.lit((1 << 40) - 1)))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(draw, file, at))
+    drawn = rows_.select(file, at, "lang", place.alias("place")).filter(F.col("place") <= quota).select(file, at)
+    sample = rows_.join(F.broadcast(drawn), [file, at]).select("doc_id", "lang", "text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -156,11 +164,12 @@ def train(learn: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
                 at, n = features(t.as_py())
                 yield pa.RecordBatch.from_pydict({"doc_id": pa.array([i], pa.int64()), "lang": [lang], "at": [at.astype(np.uint16).tobytes()], "n": [n.astype(np.uint32).tobytes()]})
 
-    got = sample.mapInArrow(collect, "doc_id long, lang string, at binary, n binary").limit(2 * quota * len(names)).toLocalIterator()
+    got = sample.mapInArrow(collect, "doc_id long, lang string, at binary, n binary").toLocalIterator()
     number = {k: i for i, k in enumerate(names)}
-    rows = sorted(((r.doc_id or 0, number[r.lang], np.frombuffer(r.at, np.uint16), np.frombuffer(r.n, np.uint32)) for r in got), key=lambda r: (r[0], r[1], r[3].tobytes()))
+    rows = sorted(((r.doc_id or 0, number[r.lang], np.frombuffer(r.at, np.uint16), np.frombuffer(r.n, np.uint32)) for r in got), key=lambda r: (r[0], r[1], r[3].tobytes(), r[2].tobytes()))
     rows = [(at, n, y) for _, y, at, n in rows]
     model = Model(names, idf)
+    model.shares = {k: n / sum(langs.values()) for k, n in langs.items()}
     fitted, kept = [r for k, r in enumerate(rows) if k % 5], [r for k, r in enumerate(rows) if k % 5 == 0]
     model.fit(fitted or rows)
     model.calibrate(kept)
@@ -187,15 +196,25 @@ def languages(docs: DataFrame, fold: int = 4, held: int = 2) -> DataFrame:
     return predicted(docs, train(learning_documents(docs, fold, held))).select("doc_id", (crc_mod("doc_id", fold) == held).alias("held_out"), "lang_pred", "score")
 
 
-def identified(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of ``docs``, with all their columns, that are in some language: those with a letter.  No row is moved.
+def wanted_languages(model: Model, least_share: float = LEAST_SHARE) -> list[str]:
+    """The languages that a corpus is taken to be meant in: those of at least so much of its learning documents."""
+    return [k for k in model.langs if model.shares.get(k, 1.0) >= least_share]
 
-    With a model the test is that it predicts a language; where none could be learned, rows with a letter stay all the same."""
-    spread = docs.sparkSession.sparkContext.broadcast(model)
+
+def identified(docs: DataFrame, model: Model, wanted: list[str] | None = None, sure: float = SURE) -> DataFrame:
+    """The rows of ``docs``, with all their columns, whose predicted language is one of ``wanted`` (by default ``wanted_languages``) with a calibrated
+    probability of at least ``sure``.  No row is moved.
+
+    Texts without a letter are in no language.  Where none could be learned, rows with a letter stay."""
+    spread = docs.sparkSession.sparkContext.broadcast((model, set(wanted_languages(model) if wanted is None else wanted)))
     at = docs.columns.index("text")
 
     def told(text: str) -> bool:
-        return spread.value.predict(text)[0] != "und" if spread.value.langs else has_letter(text)
+        model, names = spread.value
+        if not model.langs:
+            return has_letter(text)
+        lang, score = model.predict(text)
+        return lang in names and score >= sure
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,13 +1,14 @@
 """Operators over many documents against SQL or brute force, with odd rows and empty tables."""
 
 import itertools
+import zlib
 
 import duckdb
 import numpy as np
 import pytest
 
 import corpus_pipeline
-from loculoom.llm import decontaminate, exact_dedup, line_dedup, mixing, near_dedup
+from loculoom.llm import decontaminate, exact_dedup, language_id, line_dedup, mixing, near_dedup
 
 
 def same(df, docs, sql):
@@ -176,9 +177,11 @@ def test_decontamination(odd, small, empty, spark):
     all_items = [(r.item_id, r.text) for r in extra.collect()]
     want = brute_contaminated(rows, all_items)
     assert (5000, items[1][0]) in want and (5001, 900) in want and (None, items[3][0]) in want
-    for limit in (decontaminate.INDEX_CHARS, 500):
+    whole = sorted(map(tuple, decontaminate.contaminated(docs, extra).collect()), key=repr)
+    for limit in (decontaminate.INDEX_CHARS, 500, 3_000, 1):
         got = decontaminate.contaminated(docs, extra, limit).collect()
-        # the statistics of a part are its own, so proposals at the very threshold may differ; confirmed items do not here
+        # scores and all, since every index has the statistics of the whole benchmark
+        assert [(*r[:2], *(pytest.approx(x) for x in r[2:])) for r in sorted(map(tuple, got), key=repr)] == whole
         assert {(r.doc_id, r.item_id) for r in got} == want and all(r.score >= decontaminate.SHARE * r.own_score - 1e-6 for r in got)
         assert texts_of(decontaminate.without_contaminated(docs, extra, limit)) == sorted([r for r in rows if r[0] not in {d for d, _ in want}], key=repr)
     assert decontaminate.contaminated(odd, extra).count() == 0 and decontaminate.contaminated(empty, extra).count() == 0
@@ -186,6 +189,32 @@ def test_decontamination(odd, small, empty, spark):
     assert decontaminate.contaminated_documents(docs, extra).count() == len({d for d, _ in want})
 
 
+def test_parts_propose_what_the_whole_index_proposes(spark):
+    items = [(r.item_id, r.text) for r in spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet").collect()]
+    whole, known = decontaminate.BenchmarkIndex(items), decontaminate.Statistics.of([t for _, t in items])
+    told, n, mean = decontaminate.with_statistics(spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet"))
+    df = {bytes(x.term): x.df for r in told.collect() for x in r.known}
+    assert (n, df) == (known.n, dict(known.df)) and mean == pytest.approx(known.mean)
+    split = [decontaminate.BenchmarkIndex(items[k : k + 7], known=known) for k in range(0, len(items), 7)]
+    rng = np.random.default_rng(4)
+    texts = []
+    for _, t in items:  # edited passages, many of them near a threshold
+        w = t.split()
+        texts.append(" ".join(x if rng.random() < 0.7 else f"z{rng.integers(9)}" for x in w + items[int(rng.integers(len(items)))][1].split()[:20]))
+    found = []
+    for indexes in ([whole], split):
+        got = {}
+        for index in indexes:
+            for d, t in enumerate(texts):
+                tokens = decontaminate.words(t)
+                at = np.array([k for k, w in enumerate(tokens) if w in index.terms], np.int64)
+                ids = np.array([index.terms[tokens[k]] for k in at], np.int64)
+                got |= {(d, index.items[index.of[k]][0]): s for (_, k), (s, _) in index.passages(ids, np.zeros(len(at), np.int64), at).items()}
+        found.append(got)
+    assert found[0].keys() == found[1].keys() and len(found[0]) > len(items) / 2
+    assert all(found[1][k] == pytest.approx(s) for k, s in found[0].items())
+
+
 def test_block_max_search_is_exhaustive_and_skips():
     rng = np.random.default_rng(12)
     weight = 1.0 / np.arange(1, 20_001)
@@ -323,7 +352,8 @@ def test_pipeline(spark, odd, small):
     for _, stage in corpus_pipeline.STAGES:
         left = stage(spark, left, "/root/testdata/sf0.001")
     kept = {r.doc_id for r in left.collect()}
-    assert kept and not kept & {1, 2, 3, 10} and len(kept & {7, 8, 9}) <= 1
+    # nothing but rows of these few texts is learned here, so the languages of most are guessed
+    assert not kept & {1, 2, 3, 10} and len(kept & {7, 8, 9}) <= 1
     empty = docs.limit(0)
     for _, stage in corpus_pipeline.STAGES:
         empty = stage(spark, empty, "/root/testdata/sf0.001")
@@ -337,9 +367,18 @@ def test_pipeline_against_brute_force(spark, odd, small):
     rows += [(None, "words of a document that has no id at all", None, "s1", 0), (None, "other words of one without an id either", None, None, 0)]
     rows += [(70_001, "first text of an id that comes twice", "en", "s1", 0), (70_001, "quite another text with this same id", "en", "s1", 0), (70_002, "first text of an id that comes twice", "en", "s1", 0)]
     rows += [(None, items[0][1], "en", "s1", 0)] + [(70_010 + k, " ".join(f"n{i}" for i in range(40)) + f" end{k}", "en", None, 0) for k in range(3)]
+    # a language of a single labelled row, which is learned, and a row that is told by it alone
+    one = next(i for i in range(80_000, 80_050) if zlib.crc32(str(i).encode()) % 4 != 2)
+    rows += [(one, "зимой снег идёт над рекой и над полем", "ru", "s1", 0), (80_900, "снег над рекой идёт зимой", None, "s1", 0)]
     docs = near_dedup.cut(spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, row long, kept long").repartition(3))
 
-    left = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    # the first stage by its model, row by row
+    model = language_id.train(language_id.learning_documents(docs))
+    kept = [k for k in model.langs if model.shares[k] >= 0.01]
+    told = [model.predict(r[1] or "") for r in rows]
+    left = [r for r, (lang, score) in zip(rows, told) if lang in kept and score >= 0.4]
+    letters = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
+    assert {one, 80_900} <= {r[0] for r in letters} - {r[0] for r in left} and len(letters) - len(left) < 10  # the model decides
     best: dict = {}
     for r in left:
         k = r[1].encode().lower()

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -288,3 +289,95 @@ def test_base_columns_in_sql(spark, name):
     df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
     want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.ORACLE_SQL[name]})").fetchall()
     assert sorted(map(tuple, df.collect()), key=repr) == sorted(want, key=repr)
+
+
+def test_language_model_against_loops(spark, small):
+    """The sample, the weights, the temperature and the score by plain loops."""
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from loculoom.llm.common import keyed
+
+    learn = language_id.learning_documents(small.filter("n_chars < 1500"))
+    model = language_id.train(learn, per_lang=20)
+    rows = [(r.doc_id, r.text, r.lang, r.file, r.at, r.draw) for r in keyed(learn).withColumn("draw", F.xxhash64(F.lit("sample"), "doc_id", "text", F.col("at").bitwiseAND(F.lit((1 << 40) - 1)))).collect()]
+
+    def grams(text):
+        text, n = f" {' '.join(text.lower().split())} ", language_id.GRAMS
+        out = Counter()
+        for a in range(len(text)):
+            h = 0
+            for k in range(min(n, len(text) - a)):
+                h = (h * 0x01000193 % 2**32) ^ ord(text[a + k])
+                out[((h + (k + 1) * 0x3C6EF372) * 0x9E3779B1 % 2**32) >> 18] += 1
+        return out
+
+    counts = {r[:1] + r[3:5]: grams(r[1]) for r in rows}
+    df = Counter(b for c in counts.values() for b in c)
+    idf = lambda b: math.log((1 + len(rows)) / (1 + df[b])) + 1
+
+    def vector(c):
+        x = {b: math.log1p(n) * idf(b) for b, n in c.items()}
+        size = math.sqrt(sum(v * v for v in x.values())) + 1e-9
+        return {b: v / size for b, v in x.items()}
+
+    names = sorted({r[2] for r in rows})
+    sample = [r for lang in names for r in sorted((r for r in rows if r[2] == lang), key=lambda r: (r[5], r[3], r[4]))[:20]]
+    assert any(sum(r[2] == lang for r in rows) > 20 for lang in names)
+    packed = {r[:1] + r[3:5]: (sorted(counts[r[:1] + r[3:5]].items())) for r in sample}
+    sample.sort(key=lambda r: (r[0], names.index(r[2]), np.array([n for _, n in packed[r[:1] + r[3:5]]], np.uint32).tobytes(), np.array([b for b, _ in packed[r[:1] + r[3:5]]], np.uint16).tobytes()))
+    fit, held = [r for k, r in enumerate(sample) if k % 5], [r for k, r in enumerate(sample) if k % 5 == 0]
+    z, g2 = Counter(), Counter()
+
+    def weight(b, k):
+        if abs(z[b, k]) <= language_id.L1:
+            return 0.0
+        return -(z[b, k] - math.copysign(language_id.L1, z[b, k])) / ((language_id.BETA + math.sqrt(g2[b, k])) / language_id.ALPHA + language_id.L2)
+
+    def softmax(s):
+        e = [math.exp(v - max(s)) for v in s]
+        return [v / sum(e) for v in e]
+
+    for epoch in range(language_id.EPOCHS):
+        for i in np.random.default_rng(epoch).permutation(len(fit)).tolist():
+            x = vector(counts[fit[i][:1] + fit[i][3:5]]) | {language_id.BUCKETS: 1.0}
+            w = {(b, k): weight(b, k) for b in x for k in range(len(names))}
+            p = softmax([sum(x[b] * w[b, k] for b in x) for k in range(len(names))])
+            for b in x:
+                for k in range(len(names)):
+                    g = x[b] * (p[k] - (names[k] == fit[i][2]))
+                    z[b, k] += g - (math.sqrt(g2[b, k] + g * g) - math.sqrt(g2[b, k])) / language_id.ALPHA * w[b, k]
+                    g2[b, k] += g * g
+    for b, k in list(z)[::37]:
+        assert model.weights[b, k] == pytest.approx(weight(b, k), abs=2e-3), (b, k)
+
+    def logits(text):
+        x = vector(grams(text)) | {language_id.BUCKETS: 1.0}
+        return [sum(v * weight(b, k) for b, v in x.items()) for k in range(len(names))]
+
+    loss = lambda t: -sum(math.log(max(1e-300, softmax([v / t for v in logits(r[1])])[names.index(r[2])])) for r in held) / len(held)
+    assert loss(model.temperature) <= min(loss(math.exp(k / 4)) for k in range(-12, 13)) + 1e-3
+    for r in rows[::9]:
+        p = softmax([v / model.temperature for v in logits(r[1])])
+        lang, score = model.predict(r[1])
+        assert lang == names[p.index(max(p))] and score == pytest.approx(max(p), abs=0.02)
+
+
+def test_repeated_rows_are_drawn_one_by_one(spark):
+    rows = [(7, "the same words in every row", "en")] * 300 + [(k, f"mots français numéro {k}", "fr") for k in range(40)]
+    learn = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    first, again = (language_id.train(learn, per_lang=30) for _ in range(2))
+    assert first.langs == ["en", "fr"] and (first.weights == again.weights).all() and first.predict("the same words")[0] == "en" and first.predict("mots français")[0] == "fr"
+
+
+def test_languages_that_a_stage_keeps(spark):
+    rows = [(k, f"{'these are english words' if k % 2 else 'voici quelques mots français'} {k}", "en" if k % 2 else "fr") for k in range(400)] + [(1000, "日本語の文章です", "ja"), (1001, "日本語の文章", "ja")]
+    docs = spark.createDataFrame(rows + [(1002, "12 34", "en"), (1003, None, "en")], "doc_id long, text string, lang string").repartition(3)
+    model = language_id.train(language_id.learning_documents(docs))
+    kept = {r.doc_id for r in language_id.identified(docs, model).collect()}
+    assert kept == {r[0] for r in rows[:400]} and model.langs == ["en", "fr", "ja"] and language_id.wanted_languages(model) == ["en", "fr"]
+    assert {r.doc_id for r in language_id.identified(docs, model, ["fr"]).collect()} == set(range(0, 400, 2))
+    assert {1000, 1001} <= {r.doc_id for r in language_id.identified(docs, model, ["ja"], 0.0).collect()}
+    unsure = language_id.Model(["en", "fr"], model.idf)  # all weights 0
+    assert language_id.identified(docs, unsure, sure=0.6).isEmpty() and language_id.identified(docs, unsure, sure=0.5).count() == 402
