@@ -1,7 +1,7 @@
 """A corpus pipeline of five stages.  Each takes (spark, docs, sf_dir), works on all rows that its predecessor kept, and
 returns them with the columns of ``documents``; the last adds ``size`` and ``taken`` (words that the mix takes).
 
-Rows are decided one by one, by their number in the stage's table and never by doc_id: rows whose doc_id is null or repeats are
+Rows are decided one by one, by the key of their place in the stage's table and never by doc_id: rows whose doc_id is null or repeats are
 neither lost nor multiplied, and further columns pass through, whatever their names (own columns ``size`` and ``taken`` are
 replaced).  Null and empty texts have no letter and go in the first stage; an empty table gives an empty result."""
 
@@ -14,7 +14,9 @@ from loculoom.llm.common import cut, table
 
 
 def keep_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Language ID: documents without a letter are in no language (``und``) and go; all others stay, also where nothing could be learned."""
+    """Language ID: documents stay that the model tells, with a calibrated probability of at least 0.4, to be in one of the corpus's languages:
+    those of at least 1 % of its labelled documents.  Documents in others, unsure ones and those without a letter go; where nothing could
+    be learned, all with a letter stay."""
     return language_id.identified(docs, language_id.train(language_id.learning_documents(docs)))
 
 
