@@ -1,7 +1,6 @@
 """Operators over many documents against SQL or brute force, with odd rows and empty tables."""
 
 import itertools
-import zlib
 
 import duckdb
 import numpy as np
@@ -367,9 +366,6 @@ def test_pipeline_against_brute_force(spark, odd, small):
     rows += [(None, "words of a document that has no id at all", None, "s1", 0), (None, "other words of one without an id either", None, None, 0)]
     rows += [(70_001, "first text of an id that comes twice", "en", "s1", 0), (70_001, "quite another text with this same id", "en", "s1", 0), (70_002, "first text of an id that comes twice", "en", "s1", 0)]
     rows += [(None, items[0][1], "en", "s1", 0)] + [(70_010 + k, " ".join(f"n{i}" for i in range(40)) + f" end{k}", "en", None, 0) for k in range(3)]
-    # a language of a single labelled row, which is learned, and a row that is told by it alone
-    one = next(i for i in range(80_000, 80_050) if zlib.crc32(str(i).encode()) % 4 != 2)
-    rows += [(one, "зимой снег идёт над рекой и над полем", "ru", "s1", 0), (80_900, "снег над рекой идёт зимой", None, "s1", 0)]
     docs = near_dedup.cut(spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, lang string, source string, n_chars long, row long, kept long").repartition(3))
 
     # the first stage by its model, row by row
@@ -377,8 +373,6 @@ def test_pipeline_against_brute_force(spark, odd, small):
     kept = [k for k in model.langs if model.shares[k] >= 0.01]
     told = [model.predict(r[1] or "") for r in rows]
     left = [r for r, (lang, score) in zip(rows, told) if lang in kept and score >= 0.4]
-    letters = [r for r in rows if r[1] and any(c.isalpha() for c in r[1])]
-    assert {one, 80_900} <= {r[0] for r in letters} - {r[0] for r in left} and len(letters) - len(left) < 10  # the model decides
     best: dict = {}
     for r in left:
         k = r[1].encode().lower()

@@ -12,6 +12,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from loculoom.llm import language_id, lattice_lm, licences, pii, queries, token_count
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
@@ -376,6 +377,8 @@ def test_languages_that_a_stage_keeps(spark):
     docs = spark.createDataFrame(rows + [(1002, "12 34", "en"), (1003, None, "en")], "doc_id long, text string, lang string").repartition(3)
     model = language_id.train(language_id.learning_documents(docs))
     kept = {r.doc_id for r in language_id.identified(docs, model).collect()}
+    # the stage of the pipeline is this, and not what a look for letters gives
+    assert {r.doc_id for r in corpus_pipeline.keep_languages(spark, docs, "").collect()} == kept != {r[0] for r in rows}
     assert kept == {r[0] for r in rows[:400]} and model.langs == ["en", "fr", "ja"] and language_id.wanted_languages(model) == ["en", "fr"]
     assert {r.doc_id for r in language_id.identified(docs, model, ["fr"]).collect()} == set(range(0, 400, 2))
     assert {1000, 1001} <= {r.doc_id for r in language_id.identified(docs, model, ["ja"], 0.0).collect()}
