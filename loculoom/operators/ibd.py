@@ -1,8 +1,10 @@
 """Sharing between samples: identity-by-state counts, segments without opposite homozygotes, relationship classes.
 
-All pairs of samples meet, but not call by call: samples are dealt to blocks, the calls of a block on a chromosome are packed to two
-bits each, and every pair of blocks is compared once, as matrices.  Only counts and segments leave a comparison; no row is made for
-a pair and a variant.  A comparison holds two blocks of one chromosome.
+Samples are numbered and dealt to blocks, the calls of a block on a chromosome are packed to two bits each, and every pair of blocks meets
+once, as matrices.  For segments the blocks are screened first: a segment has no opposite homozygotes in any window that it covers,
+the opposite homozygotes of all pairs in a window are one product of 0/1 matrices, and only pairs with as many clean windows in a row as
+the shortest segment covers are compared site by site.  The screen never drops a segment.  Only counts and segments leave a
+comparison; no row is made for a pair and a variant.  A comparison holds two blocks of one chromosome.
 """
 
 from __future__ import annotations
@@ -18,8 +20,10 @@ from pyspark.sql.types import StructType
 
 #: Lower bounds of PropIBD and of IBD2 share per class, after the published defaults of the segment method; configurable.
 DUPLICATE_IBD2, FIRST, SECOND, THIRD, FULL_SIB_IBD2 = 0.7, 0.35355, 0.17678, 0.08839, 0.08
-#: Samples of a block (as dealt by hash, so about), variants that are counted together, calls looked at at once, and what a missing call is packed as.
+#: Samples of a block, variants that are counted together, calls looked at at once, and what a missing call is packed as.
 BLOCK_SAMPLES, PART_VARIANTS, HELD, MISSING = 256, 8_000, 4_000_000, 3
+#: Calls that a pair must be expected to share in the shortest segment's windows for the screen to be worth its products.
+SCREENED = 4
 
 
 def pack(samples: np.ndarray, sites: np.ndarray, dosage: np.ndarray, n_samples: int) -> tuple[bytes, int]:
@@ -40,26 +44,34 @@ def unpack(data: bytes, n_samples: int, width: int) -> np.ndarray:
     return out.reshape(n_samples, -1)
 
 
-def packed_blocks(calls: DataFrame) -> DataFrame:
-    """chrom, block, blocks, samples, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos); sites are numbered by position."""
+def numbered_samples(calls: DataFrame) -> DataFrame:
+    """sample_id and i, its place in the order of ids."""
+    return calls.select("sample_id").distinct().withColumn("i", (F.row_number().over(Window.orderBy("sample_id")) - 1).cast("int"))
+
+
+def packed_blocks(calls: DataFrame, people: DataFrame) -> DataFrame:
+    """chrom, block, blocks, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos); sites are numbered by position, a sample's row in its block is its
+    number's rest.  Numbers alone go to the packer."""
     called = calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", "dosage", "chrom", "pos")
     order = Window.partitionBy("chrom").orderBy("pos", "variant_id")
-    sites = called.groupBy("chrom", "variant_id").agg(F.min("pos").alias("pos")).withColumn("site", F.row_number().over(order) - 1)
-    blocks = F.greatest(F.ceil(called.agg((F.count_distinct("sample_id") / BLOCK_SAMPLES).alias("n")).scalar()), F.lit(1)).cast("long")
-    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).withColumn("blocks", blocks)
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("sample_id"), F.col("blocks"))).select("chrom", "block", "blocks", "sample_id", "site", "pos", F.col("dosage").cast("int").alias("dosage"))
-    kind, chrom = (calls.schema[c].dataType.simpleString() for c in ("sample_id", "chrom"))
+    sites = called.groupBy("chrom", "variant_id").agg(F.min("pos").alias("pos")).withColumn("site", (F.row_number().over(order) - 1).cast("int"))
+    blocks = people.agg(F.greatest(F.ceil(F.count("*") / BLOCK_SAMPLES), F.lit(1)).alias("n")).scalar().cast("long")
+    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).join(people, "sample_id").withColumn("blocks", blocks)
+    rows = rows.select(
+        "chrom", F.expr(f"CAST(i div {BLOCK_SAMPLES} AS LONG)").alias("block"), "blocks", (F.col("i") % BLOCK_SAMPLES).cast("short").alias("k"), "site", F.col("pos").cast("long").alias("pos"),
+        F.col("dosage").cast("tinyint").alias("dosage"),
+    )
+    chrom = calls.schema["chrom"].dataType.simpleString()
 
     def run(t: pa.Table) -> pa.Table:
-        names, number = np.unique(np.array(t.column("sample_id").to_pylist()), return_inverse=True)
-        site = t.column("site").to_numpy()
-        data, width = pack(number, site, t.column("dosage").to_numpy(), len(names))
+        k, site = t.column("k").to_numpy(), t.column("site").to_numpy()
+        data, width = pack(k, site, t.column("dosage").to_numpy(), int(k.max()) + 1)
         pos = np.zeros(width * 4, np.int64)
         pos[site] = t.column("pos").to_numpy()
         one = t.slice(0, 1).select(["chrom", "block", "blocks"])
-        return one.append_column("samples", pa.array([names.tolist()], pa.list_(t.schema.field("sample_id").type))).append_column("pos", pa.array([pos.tobytes()], pa.binary())).append_column("data", pa.array([data], pa.binary()))
+        return one.append_column("rows", pa.array([int(k.max()) + 1], pa.int32())).append_column("pos", pa.array([pos.tobytes()], pa.binary())).append_column("data", pa.array([data], pa.binary()))
 
-    return rows.withColumn("pos", F.col("pos").cast("long")).groupBy("chrom", "block").applyInArrow(run, f"chrom {chrom}, block long, blocks long, samples array<{kind}>, pos binary, data binary")
+    return rows.groupBy("chrom", "block").applyInArrow(run, f"chrom {chrom}, block long, blocks long, rows int, pos binary, data binary")
 
 
 def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str) -> DataFrame:
@@ -68,22 +80,23 @@ def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.nda
     ``compare(ones, others, pos)`` takes the calls of two blocks, samples by sites, and yields arrays: numbers of the one sample,
     of the other, and values.  Within a block each pair comes both ways and is kept once.
     """
-    blocks = packed_blocks(calls)
+    people = numbered_samples(calls)
+    blocks = packed_blocks(calls, people)
     # a block goes once to every pair of blocks that it is in
     k = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = blocks.select("*", k.alias("k")).select("*", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")).drop("k")
-    kind, chrom = (calls.schema[c].dataType.simpleString() for c in ("sample_id", "chrom"))
-    schema = f"s1 {kind}, s2 {kind}, chrom {chrom}, {fields}"
+    dealt = blocks.select("*", k.alias("k")).select("*", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")).drop("k", "blocks")
+    chrom = calls.schema["chrom"].dataType.simpleString()
+    schema = f"i1 int, i2 int, chrom {chrom}, {fields}"
     shape = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(t: pa.Table) -> pa.Table:
-        same = t.column("i")[0].as_py() == t.column("j")[0].as_py()
-        if not same and t.num_rows < 2:  # the other block has no call here
+        i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
+        if i != j and t.num_rows < 2:  # the other block has no call here
             return shape.empty_table()
-        names, data = ([x.as_py() for x in t.column(c)] for c in ("samples", "data"))
-        mine, theirs = np.array(names[0]), np.array(names[-1])
-        width = max(len(d) // len(n) for d, n in zip(data, names))
-        one, two = unpack(data[0], len(mine), width), unpack(data[-1], len(theirs), width)
+        t = t.sort_by("block")
+        data, rows = [x.as_py() for x in t.column("data")], t.column("rows").to_pylist()
+        width = max(len(d) // n for d, n in zip(data, rows))
+        one, two = unpack(data[0], rows[0], width), unpack(data[-1], rows[-1], width)
         pos = np.zeros(width * 4, np.int64)
         for p in t.column("pos"):
             known = np.frombuffer(p.as_py(), np.int64)
@@ -91,13 +104,15 @@ def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.nda
         got = [np.concatenate(c) for c in zip(*compare(one, two, pos))]
         if not got:
             return shape.empty_table()
-        keep = got[0] < got[1] if same else np.ones(len(got[0]), bool)
-        k, o, *values = (c[keep] for c in got)
-        x, y = mine[k], theirs[o]
-        columns = [np.where(x < y, x, y), np.where(x < y, y, x), np.full(len(x), t.column("chrom")[0].as_py()), *values]
+        keep = got[0] < got[1] if i == j else np.ones(len(got[0]), bool)
+        a, b, *values = (c[keep] for c in got)
+        columns = [i * BLOCK_SAMPLES + a, j * BLOCK_SAMPLES + b, np.full(len(a), t.column("chrom")[0].as_py()), *values]
         return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
 
-    return dealt.groupBy("chrom", "i", "j").applyInArrow(run, schema)
+    found = dealt.groupBy("chrom", "i", "j").applyInArrow(run, schema)
+    for n in "12":
+        found = found.join(people.select(F.col("sample_id").alias(f"s{n}"), F.col("i").alias(f"i{n}")), f"i{n}")
+    return found.select("s1", "s2", "chrom", *[f.split()[0] for f in fields.split(", ")])
 
 
 def ibs_counts(calls: DataFrame) -> DataFrame:
@@ -136,23 +151,58 @@ def runs(breaks: np.ndarray, called: np.ndarray, pos: np.ndarray, min_snps: int,
     return row[first[keep]], start[keep], end[keep], n[keep]
 
 
+def window_edges(pos: np.ndarray, min_snps: int, min_bp: int) -> tuple[np.ndarray, int]:
+    """The first sites of windows, and how many whole ones in a row the shortest segment covers: by position if that gives the longer stretch, else by sites."""
+    w = max(1, (min_snps + 1) // 4)
+    by_sites, need = np.arange(0, len(pos), w), max(1, (min_snps - w + 1) // w)
+    if min_bp >= 4 and len(pos):
+        cell = pos // (min_bp // 4)
+        by_pos = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]]))
+        # a segment covers three cells, but those without a site are no windows
+        spread = len(by_pos) / max(1, int(cell[-1] - cell[0]) + 1)
+        if spread == 1.0 and len(pos) / len(by_pos) * 3 > w * need:
+            return by_pos, 3
+    return by_sites, need
+
+
+def may_share(ones: np.ndarray, others: np.ndarray, pos: np.ndarray, min_snps: int, min_bp: int) -> np.ndarray:
+    """ones x others: whether a pair may have a segment; false only if every stretch that is long enough holds an opposite homozygote.
+
+    Sparse calls, of which few pairs share enough for a window to tell anything, are not screened."""
+    whole = np.ones((len(ones), len(others)), bool)
+    edges, need = window_edges(pos, min_snps, min_bp)
+    both = (ones != MISSING).mean(1).mean() * (others != MISSING).mean(1).mean() if len(pos) else 0.0
+    if not len(pos) or both * len(pos) / len(edges) * need < SCREENED:
+        return whole
+    a0, a2, b0, b2 = ((m == d).astype(np.float32) for m in (ones, others) for d in (0, 2))
+    longest, now = (np.zeros((len(ones), len(others)), np.int32) for _ in range(2))
+    for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(pos)]):
+        clean = (a0[:, a:b] @ b2[:, a:b].T + a2[:, a:b] @ b0[:, a:b].T) == 0
+        now = np.where(clean, now + 1, 0)
+        np.maximum(longest, now, out=longest)
+    return longest >= need
+
+
 def all_segments(calls: DataFrame, min_snps: dict[int, int], min_bp: int = 0) -> DataFrame:
     """Runs per pair, chromosome and state (the keys of ``min_snps``), both in one comparison.
 
-    IBD1 runs (state 1) break at opposite homozygotes; IBD2 runs (state 2) break wherever the dosages differ.
+    IBD1 runs (state 1) break at opposite homozygotes; IBD2 runs (state 2) break wherever the dosages differ, so they hold no opposite homozygote either.
     """
 
     def compare(ones: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
+        # sites that neither block is called at have no position here, and no segment needs them
+        sited = np.flatnonzero((ones != MISSING).any(0) | (others != MISSING).any(0))
+        may = may_share(ones[:, sited], others[:, sited], pos[sited], min(min_snps.values()), min_bp)
         for k, one in enumerate(ones):
-            # only sites that this sample is called at
-            site = np.flatnonzero(one != MISSING)
+            # only sites that this sample is called at, and samples that the screen leaves
+            site, left = np.flatnonzero(one != MISSING), np.flatnonzero(may[k])
             step = max(1, HELD // max(1, len(site)))
-            for a in range(0, len(others), step):
-                theirs = others[a : a + step, site]
+            for a in range(0, len(left), step):
+                theirs = others[np.ix_(left[a : a + step], site)]
                 called, d = theirs != MISSING, np.abs(theirs - one[site])
                 for state, least in min_snps.items():
                     row, *values = runs(d == 2 if state == 1 else d != 0, called, pos[site], least, min_bp)
-                    yield np.full(len(row), k), row + a, np.full(len(row), state), *values
+                    yield np.full(len(row), k), left[row + a], np.full(len(row), state), *values
 
     return compared(calls, compare, "state int, start_pos long, end_pos long, n_snps long")
 
