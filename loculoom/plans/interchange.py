@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import stats
 from ..sources import fasta, files, plink, readers, storage, writers
+from ..streaming import rolling
 from . import catalogue, stages
 
 QUERIES: dict = {}
@@ -95,6 +96,22 @@ def frequency_vcf_round_trip(spark, sf_dir):
     return readers.af_reference(spark, path).select("pos", F.round("af", 6).alias("af"))
 
 
+@query(f"""WITH {catalogue.CALLS} SELECT CAST(variant_id AS VARCHAR) AS variant_id, count(*) AS obs_ct, CAST(count(*) - count(dosage) AS BIGINT) AS missing_ct, CAST(coalesce(sum(dosage), 0) AS BIGINT) AS alt_ct,
+CAST(count(*) FILTER (WHERE dosage = 1) AS BIGINT) AS het_ct FROM calls JOIN supplier ON sample_id = s_suppkey WHERE s_acctbal >= 0 GROUP BY variant_id""")
+def rolling_withdrawals(spark, sf_dir):
+    """The stream over two landings: plates by nation; then the rest, the first plates again, and the withdrawal of suppliers who are in debt."""
+    at = storage.scratch(spark)
+    supplier = catalogue.read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("sample_id"), "s_nationkey", "s_acctbal")
+    calls = catalogue.calls(spark, sf_dir).join(supplier, "sample_id").withColumns({c: F.col(c).cast("string") for c in ("sample_id", "variant_id")})
+    table = calls.select(F.concat(F.lit("p"), F.col("s_nationkey").cast("string")).alias("plate"), "variant_id", "sample_id", "dosage", "s_nationkey", "s_acctbal")
+    gone = supplier.filter("s_acctbal < 0").select(F.col("sample_id").cast("string").alias("sample_id"))
+    for plates, off in (("s_nationkey < 13", "1 = 0"), ("s_nationkey >= 13 OR s_nationkey < 3", "1 = 1")):
+        table.filter(plates).select("plate", "variant_id", "sample_id", "dosage").write.mode("append").parquet(f"{at}/plates")
+        gone.filter(off).write.mode("append").parquet(f"{at}/gone")
+        rolling.follow(spark, f"{at}/plates", f"{at}/gone", f"{at}/totals", f"{at}/checkpoint")
+    return rolling.current(spark, f"{at}/totals")
+
+
 #: A part is an array site whose ALT alleles and A and B alleles follow from its number.
 ARRAY_SITES = """sites AS (SELECT p_partkey AS bpm_index, CASE p_partkey % 5 WHEN 0 THEN 'G,T' WHEN 1 THEN 'G,T' ELSE 'G' END AS alt,
 CASE p_partkey % 5 WHEN 0 THEN 'G' WHEN 1 THEN 'A' WHEN 2 THEN 'G' WHEN 3 THEN 'T' ELSE 'C' END AS a, CASE p_partkey % 5 WHEN 0 THEN 'T' WHEN 1 THEN 'T' WHEN 2 THEN 'A' WHEN 3 THEN 'C' ELSE 'G' END AS b FROM part),

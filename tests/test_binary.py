@@ -1,10 +1,8 @@
-"""Binary interchange round trips and the rolling stream."""
+"""Binary interchange round trips."""
 
 import numpy as np
 
-from loculoom.operators import stats
 from loculoom.sources import binary, files, plink, readers, writers
-from loculoom.streaming import rolling
 
 
 def test_gtc(spark, tmp_path):
@@ -14,17 +12,6 @@ def test_gtc(spark, tmp_path):
     assert [r.dosage for r in rows] == [None, 0, 1, 2] and rows[3].y == 3000 and rows[0].sample_id == "s" * 200
 
 
-def test_rolling_equals_rebuild(spark, tmp_path):
-    plates, totals, ck = (str(tmp_path / x) for x in ("plates", "totals", "ck"))
-    rows = [(f"v{v}", f"s{s}", [0, 1, 2, None][(v + s) % 4]) for v in range(5) for s in range(6)]
-    for part in (rows[:15], rows[15:]):
-        spark.createDataFrame(part, rolling.CALLS).write.mode("append").parquet(plates)
-        rolling.follow_plates(spark, plates, totals, ck)
-    want = rolling.variant_totals(spark.createDataFrame(rows, rolling.CALLS))
-    assert sorted(map(tuple, rolling.current(spark, totals).collect())) == sorted(map(tuple, want.collect()))
-    assert stats.missingness(spark.createDataFrame(rows, rolling.CALLS), "variant_id").count() == 5
-
-
 def test_files_of_unlike_plates(spark, tmp_path):
     # v2 is not on s1's plate and nobody is called at v1; contigs sort by number, five samples need two bytes a site
     rows = [("v0", "chr2", 5, "s0", 2), ("v0", "chr2", 5, "s1", 1), ("v0", "chr2", 5, "s4", 0), ("v1", "chr10", 1, "s0", None), ("v2", "chr1", 9, "s3", 1)]
