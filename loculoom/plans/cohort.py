@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import ibd, reports, samples
+from ..operators import catalog, ibd, reports, samples
 from ..sources import binary, files, readers, writers
 from . import stages
 from .workflow import (
@@ -52,13 +52,17 @@ class MergeInputs:
     min_bp: int = 2_500_000
 
 
-def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: str) -> dict[str, Stage]:
+def plate_stages(spark: SparkSession, given: PlateInputs, root: str, workflow: str, cohort: str | None = None) -> dict[str, Stage]:
     """Phase 1.  Outputs: <GtcToBcfs>/heavy, light and metadata, <BafRegress>/baf, <CohortBcfToPlink>/samples, calls,
     genotypes (a row a variant) and plink.bed, .bim and .fam."""
     at = {n: output_prefix(root, workflow, n) for n in PHASE1}
 
     def decode(context: dict) -> None:
         names = readers.manifest_reheader(readers.manifest_csv(spark, given.manifest))
+        if given.registry and cohort:
+            # every sample of the cohort must be in the manifest
+            members = readers.registry(spark, given.registry)[0].filter(F.col("cohort_id") == cohort).select("sg_id").distinct()
+            names = names if members.isEmpty() else catalog.gtc_mapping(names, members)
         writers.reheader(names, f"{at['GtcToBcfs']}/reheader", "overwrite")
         bases = given.reference
         if bases and not bases.endswith((".fa", ".fasta")):
@@ -136,6 +140,8 @@ def merge_stages(spark: SparkSession, given: MergeInputs, root: str, workflow: s
         stages.autosomal_segments(calls, given.min_snps, given.min_bp).write.mode("overwrite").parquet(f"{to}/segments")
         pairs = ibd.relatives(ibd.sharing(read(f"{to}/segments"), given.genome_length)).withColumnsRenamed({"s1": "ID1", "s2": "ID2"})
         writers.segments(pairs, f"{to}/seg_tsv", mode="overwrite")
+        for name in ("segments", "segments_x"):
+            writers.segment_rows(read(f"{to}/{name}"), f"{to}/{name}_tsv", "overwrite")
         pairs.write.mode("overwrite").parquet(f"{to}/seg")
 
     def variant_report(context: dict) -> None:
@@ -175,7 +181,7 @@ def run(spark: SparkSession, given: PlateInputs | MergeInputs, cohort: str, only
     phase = validate_selection(only, [cohort])
     if isinstance(given, PlateInputs) != (phase == 1):
         raise ValueError(f"inputs of the other phase than {phase}")
-    found = plate_stages(spark, given, root, workflow) if phase == 1 else merge_stages(spark, given, root, workflow, cohort, temporary)
+    found = plate_stages(spark, given, root, workflow, cohort) if phase == 1 else merge_stages(spark, given, root, workflow, cohort, temporary)
 
     def register(kind: str, path: str) -> None:
         if registry:

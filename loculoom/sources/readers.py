@@ -44,17 +44,13 @@ def id_list(spark: SparkSession, path: str) -> DataFrame:
 
 
 def whitespace_table(spark: SparkSession, path: str, text: tuple[str, ...] = ("FID", "IID", "FID1", "ID1", "FID2", "ID2", "InfType", "STATUS", "sample_id")) -> DataFrame:
-    """Columns split at white space, '#' stripped from header cells, measures as doubles; ``ord`` is the line's place.
-
-    Report files are small: each is read whole, so that lines keep their order.
-    """
-    whole = spark.read.text(path, wholetext=True)
-    first = whole.select(F.split_part(F.ltrim("value"), F.lit("\n"), F.lit(1)).alias("h")).head()
-    if first is None or not (first.h or "").strip():
+    """Columns split at white space, '#' stripped from header cells, measures as doubles; ``ord`` is the line's place among those that are not blank."""
+    lines = numbered_lines(spark, path)
+    first = lines.filter("ord = 0").select("value").head()
+    if first is None:
         raise ValueError(f"{path} is empty")
-    names = [c.lstrip("#") for c in first.h.split()]
-    lines = whole.select(F.posexplode(F.split("value", r"\r?\n")).alias("ord", "line")).filter("ord > 0 AND length(trim(line)) > 0")
-    cells = lines.select("ord", F.split(F.trim(F.regexp_replace("line", r"\s+", " ")), " ").alias("c"))
+    names = [c.lstrip("#") for c in first.value.split()]
+    cells = lines.filter("ord > 0").select("ord", F.split(F.trim(F.regexp_replace("value", r"\s+", " ")), " ").alias("c"))
     return cells.select("ord", *[(F.get("c", F.lit(i)) if n in text else number(F.get("c", F.lit(i)))).alias(n) for i, n in enumerate(names)])
 
 
@@ -135,13 +131,13 @@ def vcf_calls(spark: SparkSession, path: str) -> DataFrame:
     samples = header.value.split("\t")[9:]
     rows = text.filter("value NOT LIKE '#%' AND length(value) > 0").select(F.split("value", "\t").alias("c"))
     g = lambda i: F.get("c", F.lit(i))
-    names = F.array(*[F.lit(s) for s in samples])
+    names = spark.createDataFrame(list(enumerate(samples)), "i int, sample_id string")
     rows = rows.select(g(0).alias("chrom"), g(1).try_cast("long").alias("pos"), g(2).alias("variant_id"), g(3).alias("ref"), g(4).alias("alt"), F.split(g(8), ":").alias("f"), F.posexplode(F.slice("c", 10, len(samples))).alias("i", "cell"))
     part = F.split("cell", ":")
     field = lambda k: F.get(part, (F.array_position("f", k) - 1).cast("int"))
     alleles = F.split(field("GT"), r"[/|]")
     dosage = F.when(~F.array_contains(alleles, "."), F.size(F.filter(alleles, lambda a: a != "0")))
-    return rows.select("chrom", "pos", "variant_id", "ref", "alt", F.get(names, F.col("i")).alias("sample_id"), dosage.alias("dosage"), field("GQ").try_cast("int").alias("gq"))
+    return rows.join(names, "i").select("chrom", "pos", "variant_id", "ref", "alt", "sample_id", dosage.alias("dosage"), field("GQ").try_cast("int").alias("gq"))
 
 
 def af_reference(spark: SparkSession, path: str) -> DataFrame:
@@ -156,7 +152,7 @@ def egt_from_vcf(spark: SparkSession, path: str) -> DataFrame:
 
 def bpm_loci(spark: SparkSession, path: str) -> DataFrame:
     """bpm_index and chrom of a manifest dump: digits-only rows after the header with Index and Chr, which must be 1..N."""
-    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("ord", "line"))
+    whole = numbered_lines(spark, path, blank=True).withColumnRenamed("value", "line")
     head = whole.filter(F.array_contains(F.split("line", "[,\t]"), "Index") & F.array_contains(F.split("line", "[,\t]"), "Chr")).orderBy("ord").head()
     if head is None:
         raise ValueError("no assay table")
@@ -174,7 +170,7 @@ def bpm_loci(spark: SparkSession, path: str) -> DataFrame:
 
 def bpm_chroms(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
     """One contig a line, optionally the first ``limit``."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.rtrim("value"), r"\r?\n")).alias("ord", "chrom"))
+    lines = numbered_lines(spark, path).withColumnRenamed("value", "chrom")
     lines = lines if limit is None else lines.filter(F.col("ord") < limit)
     return lines.select((F.col("ord") + 1).alias("bpm_index"), F.trim("chrom").alias("chrom"))
 

@@ -58,10 +58,11 @@ def blocks(total: int, step: int) -> list[tuple[int, int]]:
     return [(a, min(total, a + step)) for a in range(0, total, max(1, step))]
 
 
-def numbered_lines(spark: SparkSession, path: str, skip: str | None = None) -> DataFrame:
+def numbered_lines(spark: SparkSession, path: str, skip: str | None = None, blank: bool = False) -> DataFrame:
     """ord (from 0) and value of the lines of a text file, or of the parts of one in the order of their names; lines that begin with ``skip`` and
-    blank ones do not count.  Splits are counted and then read with the same boundaries, so a large file is never one value."""
-    lines = spark.sparkContext.textFile(path).filter(lambda x: x.strip() and not (skip and x.startswith(skip)))
+    (unless ``blank``) blank ones do not count.  Splits are counted and then read with the same boundaries, so a large file is never one value."""
+    spark.read.text(path)  # a path that is not there is told as by any reader
+    lines = spark.sparkContext.textFile(path).filter(lambda x: (blank or x.strip()) and not (skip and x.startswith(skip)))
     return lines.zipWithIndex().map(lambda x: (x[1], x[0])).toDF("ord long, value string")
 
 

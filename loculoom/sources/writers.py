@@ -60,6 +60,13 @@ def segments(pairs: DataFrame, path: str, header: str = SEG_HEADER, mode: str =
     rows.orderBy("ID1", "ID2").coalesce(1).write.mode(mode).csv(path, sep="\t", header=True)
 
 
+def segment_rows(found: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """The segments themselves as compressed TSV, in order; without any, a file with the header alone."""
+    names = {"s1": "ID1", "s2": "ID2", "chrom": "Chr", "state": "IBDType", "start_pos": "StartPos", "end_pos": "StopPos", "n_snps": "N_SNP"}
+    rows = found.withColumn("state", F.concat(F.lit("IBD"), F.col("state").cast("string"))).select(F.lit("0").alias("FID1"), "s1", F.lit("0").alias("FID2"), "s2", "state", "chrom", "start_pos", "end_pos", "n_snps")
+    rows.withColumnsRenamed(names).orderBy("ID1", "ID2", "Chr", "IBDType", "StartPos").coalesce(1).write.mode(mode).option("compression", "gzip").csv(path, sep="\t", header=True)
+
+
 def gtc_metadata(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """The table of samples that leaves beside the calls, one TSV."""
     rows.orderBy("file").coalesce(1).write.mode(mode).csv(path, sep="\t", header=True, emptyValue="")

@@ -92,6 +92,10 @@ def test_runs_by_configuration(spark, plate, capsys):
     assert part(at / "CohortBcfToPlink/sexes") == "0\tSG0\t1\n0\tSG1\t2\n" and part(at / "GtcToBcfs/reheader") == "".join(f"9_S{k} SG{k}\n" for k in range(4))
     spark.createDataFrame([(f"SG{k}",) for k in range(3)], "sample_id string").write.parquet(str(plate / "wanted"))
     (plate / "egt").write_text("".join(f"{c}\t{p}\tA\tG\trs{i}\t{0.5 + i / 100}\t0.8\n" for i, (c, p) in enumerate(LOCI)))
+    (plate / "reg/b.json").write_text(json.dumps({"id": "Q", "name": "q", "sequencingGroups": [{"id": "SG1"}, {"id": "SG8"}], "analyses": []}) + "\n")
+    (plate / "Q.csv").write_text((plate / "P.csv").read_text())
+    config.write_text(PHASE1.format(at=plate).replace('["P"]', '["Q"]'))
+    assert cli.main(["run", str(config)], spark) == 1 and "complete manifest row for: SG8" in capsys.readouterr().err
     found = {}
     for gentrain in (0.2, 0.57):
         config.write_text(PHASE2.format(at=plate, gentrain=gentrain).replace('name = "w"', f'name = "w{gentrain}"'))

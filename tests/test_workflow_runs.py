@@ -145,6 +145,9 @@ def test_stages_end_to_end(spark, tmp_path):
     found = part(tmp_path / "out/w/KingIbdseg/C/seg_tsv").splitlines()
     assert found[0] == "FID1\tID1\tFID2\tID2\tIBD1Seg\tIBD2Seg\tPropIBD\tInfType" and any(x.startswith("0\tSG0\t0\tSG1\t") for x in found[1:])
     assert part(tmp_path / "out/w/KingIbdseg/C/seg_x_tsv").startswith("FID1\tID1\tFID2\tID2\tSex1\tSex2\tMaxIBD1") and not spark.read.parquet(path("out/w/KingIbdseg/C/segments")).isEmpty()
+    rows = spark.read.csv(path("out/w/KingIbdseg/C/segments_tsv"), sep="\t", header=True)
+    assert rows.columns == ["FID1", "ID1", "FID2", "ID2", "IBDType", "Chr", "StartPos", "StopPos", "N_SNP"] and {"IBD1", "IBD2"} >= {r.IBDType for r in rows.collect()} and rows.count() == spark.read.parquet(path("out/w/KingIbdseg/C/segments")).count()
+    assert list((tmp_path / "out/w/KingIbdseg/C/segments_x_tsv").glob("part*.gz"))
     summary = dict(x.split("\t") for x in part(tmp_path / "out/w/SnpQcReport/C/summary").splitlines())
     audit = spark.read.csv(path("out/w/SnpQcReport/C/audit"), sep="\t", header=True).select("ID").collect()
     assert [r.ID for r in audit] == [f"{c}:{p}:A:G" for c, p in loci]
