@@ -308,7 +308,7 @@ def test_near_duplicates_of_rows_without_ids(spark):
 def test_recall_by_similarity(repeats):
     """Share of pairs with a common band, by the similarity of their sets and how often the shingles of one side repeat."""
     rng = np.random.default_rng(repeats)
-    for shared, own, least in ((90, 10, 0.995), (90, 5, 0.9999), (90, 2, 0.9999)):
+    for shared, own, least in ((80, 10, 0.995), (90, 10, 0.995), (90, 5, 0.9999), (90, 2, 0.9999)):
         trials, found = 150, 0
         for _ in range(trials):
             ids = rng.integers(0, 2**63, shared + 2 * own).astype(np.uint64)
