@@ -2,10 +2,10 @@
 
 The n-grams (1 to 3 characters of the lower-cased text, white space as one mark) of a whole text are hashed to
 ``BUCKETS`` features.  Document frequencies are counted over all learning documents; the weights are fitted by
-follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a sample of rows whose number is bounded: the
-``SAMPLE_PER_LANG`` learning documents of each language with the smallest hashes of the row and its place, ``SAMPLE_ROWS`` in all (of
-many languages each has a smaller share, but not less than ``LEAST_PER_LANG`` documents).  Every language is learned, and a sampled document
-with all its n-grams; repeated rows are drawn one by one.  A part of the sample is not fitted; it sets the temperature that calibrates the probabilities.
+follow-the-regularised-leader (FTRL-proximal) with elastic-net penalties on a sample of rows whose number is bounded: about
+``SAMPLE_PER_LANG`` learning documents of each language, drawn by a hash of the row's place in the table's files, ``SAMPLE_ROWS`` in all (of
+many languages each has a smaller share, but not less than about ``LEAST_PER_LANG`` documents).  Every language is learned, and a sampled document
+with all its n-grams; repeated rows are drawn one by one, and a table that is read again gives the same sample.  A part of the sample is not fitted; it sets the temperature that calibrates the probabilities.
 The weights take BUCKETS numbers a language.
 
 Defined results: ``und`` with score 0 if a text is null or has no letter, or if nothing could be learned; otherwise the
@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import crc_mod, fresh, keyed, map_texts
@@ -149,14 +149,11 @@ def train(learn: DataFrame, per_lang: int = SAMPLE_PER_LANG) -> Model:
     if not names:
         return Model([], idf)
     quota = max(LEAST_PER_LANG, min(per_lang, SAMPLE_ROWS // len(names)))
-    # the first of each language by hash: every task keeps its own first ones, and at most quota * languages keys are left
+    # a row comes in by a hash of its place, with the share that its language needs: copies one by one, and no language meets in one task
     file, at = fresh(learn, "file"), fresh(learn, "at")
-    rows_ = keyed(learn, file, at)
-    # by row, so that copies are drawn one by one; without the file's path, so that a moved table is sampled alike
-    draw = F.xxhash64(F.lit("sample"), "doc_id", "text", F.col(at).bitwiseAND(F.lit((1 << 40) - 1)))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(draw, file, at))
-    drawn = rows_.select(file, at, "lang", place.alias("place")).filter(F.col("place") <= quota).select(file, at)
-    sample = rows_.join(F.broadcast(drawn), [file, at]).select("doc_id", "lang", "text")
+    shares = learn.sparkSession.createDataFrame([(k, min(1.0, quota / n)) for k, n in langs.items()], "lang string, share double")
+    draw = F.pmod(F.xxhash64(F.lit("sample"), file, at), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    sample = keyed(learn, file, at).withColumn("draw", draw).join(F.broadcast(shares), "lang").filter(F.col("draw") < F.col("share")).select("doc_id", "lang", "text")
 
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

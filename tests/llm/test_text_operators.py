@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from loculoom.llm import language_id, lattice_lm, licences, pii, queries, token_count
+from loculoom.llm.common import cut
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
 PIECES = public_tokenizers.path("piece_bpe_32k.model")
@@ -302,7 +303,7 @@ def test_language_model_against_loops(spark, small):
 
     learn = language_id.learning_documents(small.filter("n_chars < 1500"))
     model = language_id.train(learn, per_lang=20)
-    rows = [(r.doc_id, r.text, r.lang, r.file, r.at, r.draw) for r in keyed(learn).withColumn("draw", F.xxhash64(F.lit("sample"), "doc_id", "text", F.col("at").bitwiseAND(F.lit((1 << 40) - 1)))).collect()]
+    rows = [(r.doc_id, r.text, r.lang, r.file, r.at, r.draw) for r in keyed(learn).withColumn("draw", F.expr(f"pmod(xxhash64('sample', file, at), {1 << 30})") / float(1 << 30)).collect()]
 
     def grams(text):
         text, n = f" {' '.join(text.lower().split())} ", language_id.GRAMS
@@ -324,8 +325,9 @@ def test_language_model_against_loops(spark, small):
         return {b: v / size for b, v in x.items()}
 
     names = sorted({r[2] for r in rows})
-    sample = [r for lang in names for r in sorted((r for r in rows if r[2] == lang), key=lambda r: (r[5], r[3], r[4]))[:20]]
-    assert any(sum(r[2] == lang for r in rows) > 20 for lang in names)
+    per = Counter(r[2] for r in rows)
+    sample = [r for r in rows if r[5] < 20 / per[r[2]]]
+    assert 20 < len(sample) < len(rows)
     packed = {r[:1] + r[3:5]: (sorted(counts[r[:1] + r[3:5]].items())) for r in sample}
     sample.sort(key=lambda r: (r[0], names.index(r[2]), np.array([n for _, n in packed[r[:1] + r[3:5]]], np.uint32).tobytes(), np.array([b for b, _ in packed[r[:1] + r[3:5]]], np.uint16).tobytes()))
     fit, held = [r for k, r in enumerate(sample) if k % 5], [r for k, r in enumerate(sample) if k % 5 == 0]
@@ -367,7 +369,7 @@ def test_language_model_against_loops(spark, small):
 
 def test_repeated_rows_are_drawn_one_by_one(spark):
     rows = [(7, "the same words in every row", "en")] * 300 + [(k, f"mots français numéro {k}", "fr") for k in range(40)]
-    learn = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    learn = cut(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3))
     first, again = (language_id.train(learn, per_lang=30) for _ in range(2))
     assert first.langs == ["en", "fr"] and (first.weights == again.weights).all() and first.predict("the same words")[0] == "en" and first.predict("mots français")[0] == "fr"
 
