@@ -14,7 +14,7 @@ from ..operators import catalog, ibd, reports, samples
 from ..sources import binary, files, readers, writers
 from . import stages
 from .workflow import (
-    NEEDS, PHASE1, PHASE2, REGISTERS, SECTION, Runner, Stage, Thresholds, output_prefix, reference_path, setting, spark_done, thresholds, validate_selection,
+    NEEDS, PHASE1, PHASE2, REGISTERS, Runner, Stage, Thresholds, output_prefix, pipeline_table, reference_path, setting, spark_done, thresholds, validate_selection,
 )
 
 
@@ -201,8 +201,8 @@ MERGE_NUMBERS = ("genome_length", "x_length", "min_samples", "min_snps", "min_bp
 def configured(config: dict, cohort: str, phase: int) -> PlateInputs | MergeInputs:
     """The inputs of a cohort by a configuration: [inputs] for every cohort, [inputs.<cohort>] before it; ``{cohort}`` in a path is its id.
 
-    References are given by key ([popgen_genotyping.references] for plates, egt_info_reference_key for a merge); thresholds come from
-    [popgen_genotyping.snp_qc_report.thresholds]."""
+    References are given by key ([<pipeline>.references] for plates, egt_info_reference_key for a merge); thresholds come from
+    [<pipeline>.snp_qc_report.thresholds], whatever the pipeline's table is called."""
     table = setting(config, "inputs", default={})
     own = {k: v for k, v in table.items() if not isinstance(v, dict)} | table.get(cohort, {})
     allowed = PLATE_KEYS if phase == 1 else (*MERGE_KEYS, *MERGE_LISTS, *MERGE_NUMBERS)
@@ -212,12 +212,12 @@ def configured(config: dict, cohort: str, phase: int) -> PlateInputs | MergeInpu
     own = {k: filled(v) for k, v in own.items()}
     if phase == 1:
         for key, name in (("fasta_ref_path", "reference"), ("af_ref_path", "frequencies")):
-            if found := setting(config, SECTION, "references", key):
+            if found := setting(pipeline_table(config), "references", key):
                 own.setdefault(name, reference_path(config, found))
         own = own | {k: reference_path(config, own[k]) for k in ("reference", "frequencies") if own.get(k)}
         needed, make = ("gtc", "sites", "manifest"), PlateInputs
     else:
-        own.setdefault("egt", setting(config, SECTION, "snp_qc_report", "egt_info_reference_key"))
+        own.setdefault("egt", setting(pipeline_table(config), "snp_qc_report", "egt_info_reference_key"))
         own = own | {"thresholds": thresholds(config)} | ({"egt": reference_path(config, own["egt"])} if own["egt"] else {})
         needed, make = ("plates", "wanted", "egt"), MergeInputs
     if missing := [k for k in needed if not own.get(k)]:

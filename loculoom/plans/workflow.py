@@ -39,8 +39,19 @@ def load_config(path: str) -> dict:
         return tomllib.load(f)
 
 
-#: Sections and keys of a run's configuration file.
-SECTION = "popgen_genotyping"
+#: Tables of a configuration besides the one of the pipeline, which may have any name.
+COMMON_TABLES = ("workflow", "inputs", "references")
+
+
+def pipeline_table(config: dict) -> dict:
+    """The pipeline's own table of a configuration: the only one that is not common; empty if there is none."""
+    own = sorted(k for k, v in config.items() if isinstance(v, dict) and k not in COMMON_TABLES)
+    if len(own) > 1:
+        raise ValueError(f"several tables may be the pipeline's: {', '.join(own)}")
+    return config[own[0]] if own else {}
+
+
+#: Keys of the thresholds.
 THRESHOLD_KEYS = {
     "gentrain_min": "gentrain_min", "cluster_sep_min": "cluster_sep_min", "fmiss_max": "fmiss_max", "hwe_p": "hwe_p", "hwe_k": "hwe_k", "hwe_midp": "midp", "hwe_keep_fewhet": "keep_few_het",
 }
@@ -48,7 +59,7 @@ THRESHOLD_KEYS = {
 
 def thresholds(config: dict) -> Thresholds:
     """The variant filters of a configuration; a key that is not known is an error, so that a misspelt one is not passed over."""
-    given = setting(config, SECTION, "snp_qc_report", "thresholds", default={})
+    given = setting(pipeline_table(config), "snp_qc_report", "thresholds", default={})
     if unknown := sorted(set(given) - set(THRESHOLD_KEYS)):
         raise ValueError(f"unknown thresholds: {', '.join(unknown)}")
     wrong = [k for k, v in given.items() if isinstance(v, bool) != isinstance(getattr(Thresholds(), THRESHOLD_KEYS[k]), bool) or not isinstance(v, (int, float))]

@@ -54,7 +54,7 @@ only_stages = ["GtcToBcfs", "BafRegress", "CohortBcfToPlink"]
 input_cohorts = ["P"]
 output_root = "{at}/out"
 registry = "{at}/reg"
-[popgen_genotyping.references]
+[array.references]
 fasta_ref_path = "hg38/fasta"
 [references.hg38]
 fasta = "{at}/r.fa"
@@ -71,7 +71,7 @@ only_stages = ["MergeCohortPlink", "ExportCohortDatasets", "SnpQcReport"]
 input_cohorts = ["C"]
 output_root = "{at}/out"
 registry = "{at}/reg"
-[popgen_genotyping.snp_qc_report.thresholds]
+[array.snp_qc_report.thresholds]
 gentrain_min = {gentrain}
 fmiss_max = 1.0
 [inputs.C]
@@ -103,7 +103,7 @@ def test_runs_by_configuration(spark, plate, capsys):
         found[gentrain] = dict(x.split("\t") for x in part(plate / f"out/w{gentrain}/SnpQcReport/C/summary").splitlines())
         assert part(plate / f"out/w{gentrain}/MergeCohortPlink/C/keep") == "0\tSG0\n0\tSG1\n0\tSG2\n"
     assert found[0.2]["first_fail_gentrain"] == "0" and found[0.57]["first_fail_gentrain"] == "7"
-    for bad in (PHASE2.replace("gentrain_min", "gentrain"), PHASE2.replace("fmiss_max = 1.0", "fmiss_max = true"), PHASE2.replace("egt =", "egg ="), PHASE2.replace("wanted", "#wanted"), PHASE1.replace('"hg38/fasta"', '"hg38/none"'), "[workflow]\n"):
+    for bad in (PHASE2.replace("gentrain_min", "gentrain"), PHASE2.replace("fmiss_max = 1.0", "fmiss_max = true"), PHASE2.replace("egt =", "egg ="), PHASE2.replace("wanted", "#wanted"), PHASE1.replace('"hg38/fasta"', '"hg38/none"'), "[workflow]\n", PHASE2 + "[other]\n"):
         config.write_text(bad.format(at=plate, gentrain=0.1))
         assert cli.main(["run", str(config)], spark) == 1
     assert cli.main(["run", str(plate / "none.toml")], spark) == 1
