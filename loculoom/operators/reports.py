@@ -15,13 +15,19 @@ DEGREE_COLUMNS = ["RELATED_MZ", "RELATED_1ST", "RELATED_2ND", "RELATED_3RD"]
 SEG_COLUMNS = ("ID1", "ID2", "IBD1Seg", "IBD2Seg", "InfType")
 
 
-def flag_variants(df: DataFrame, hwe_ids: DataFrame, gentrain_min: float = 0.7, cluster_sep_min: float = 0.4, fmiss_max: float = 0.02) -> DataFrame:
-    """Add five pass flags to a frame with ID, GenTrain_Score, Cluster_Sep and F_MISS; null never passes, bounds are inclusive."""
-    ids = hwe_ids.select(F.col("ID").alias("hwe_id")).distinct()
+def flag_variants(df: DataFrame, hwe_ids: DataFrame | None, gentrain_min: float = 0.7, cluster_sep_min: float = 0.4, fmiss_max: float = 0.02) -> DataFrame:
+    """Add five pass flags to a frame with ID, GenTrain_Score, Cluster_Sep and F_MISS; null never passes, bounds are inclusive.
+
+    The test's outcome is membership in ``hwe_ids``, or (None) the frame's own ``pass_hwe``.
+    """
     out = df.withColumn("pass_gentrain", passes(F.col("GenTrain_Score") >= gentrain_min, F.col("GenTrain_Score")))
     out = out.withColumn("pass_cluster_sep", passes(F.col("Cluster_Sep") >= cluster_sep_min, F.col("Cluster_Sep")))
     out = out.withColumn("pass_fmiss", passes(F.col("F_MISS") <= fmiss_max, F.col("F_MISS")))
-    out = out.join(ids, F.col("ID") == F.col("hwe_id"), "left").withColumn("pass_hwe", F.col("hwe_id").isNotNull()).drop("hwe_id")
+    if hwe_ids is None:
+        out = out.withColumn("pass_hwe", F.coalesce("pass_hwe", F.lit(False)))
+    else:
+        ids = hwe_ids.select(F.col("ID").alias("hwe_id")).distinct()
+        out = out.join(ids, F.col("ID") == F.col("hwe_id"), "left").withColumn("pass_hwe", F.col("hwe_id").isNotNull()).drop("hwe_id")
     return out.withColumn("pass", F.col("pass_gentrain") & F.col("pass_cluster_sep") & F.col("pass_fmiss") & F.col("pass_hwe"))
 
 
@@ -47,6 +53,11 @@ def variant_qc(egt: DataFrame, vmiss: DataFrame, hwe_ids: DataFrame, **threshold
     return flag_variants(egt.join(vmiss.select("ID", "F_MISS"), "ID", "left"), hwe_ids, **thresholds)
 
 
+def variant_qc_of(egt: DataFrame, tested: DataFrame, **thresholds: float) -> DataFrame:
+    """``variant_qc`` where missingness and test are columns of one table ``tested(ID, F_MISS, pass_hwe)``: one join."""
+    return flag_variants(egt.join(tested.select("ID", "F_MISS", "pass_hwe"), "ID", "left"), None, **thresholds)
+
+
 def kinship(ibd1, ibd2):
     """Half of the expected sharing, to four places, half-even."""
     return F.bround(ibd1 / 4 + ibd2 / 2, 4)

@@ -81,6 +81,21 @@ def genotype_counts(calls: DataFrame) -> DataFrame:
     return calls.groupBy("variant_id").agg(*[F.count_if(F.col("dosage") == k).alias(c) for k, c in enumerate(("hom_ref", "het", "hom_alt"))])
 
 
+def variant_profile(calls: DataFrame, cohort: bool = False, diploid: Column | None = None, midp: bool = True) -> DataFrame:
+    """Missingness, genotype counts and exact test per variant out of one aggregation of the calls.
+
+    With ``cohort`` calls count against the cohort's size as in ``cohort_missingness``; ``diploid``, if given, tells by ``chrom`` which variants are tested.
+    """
+    chrom = [] if diploid is None else [F.min("chrom").alias("chrom")]
+    out = calls.groupBy("variant_id").agg(*chrom, F.count("*").alias("obs_ct"), *[F.count_if(F.col("dosage") == k).alias(c) for k, c in enumerate(("hom_ref", "het", "hom_alt"))])
+    if cohort:
+        out = out.withColumn("obs_ct", calls.agg(F.count_distinct("sample_id").alias("n")).scalar())
+    out = out.withColumn("missing_ct", F.col("obs_ct") - F.col("hom_ref") - F.col("het") - F.col("hom_alt"))
+    out = out.withColumn("f_miss", F.col("missing_ct").cast("double") / F.col("obs_ct"))
+    p = hwe_exact(F.col("hom_ref"), F.col("het"), F.col("hom_alt"), midp)
+    return out.withColumn("p_hwe", p if diploid is None else F.when(diploid, p))
+
+
 def hardy_weinberg(calls: DataFrame, midp: bool = True) -> DataFrame:
     """Genotype counts and exact test per variant (p is null without calls)."""
     return genotype_counts(calls).withColumn("p_hwe", hwe_exact(F.col("hom_ref"), F.col("het"), F.col("hom_alt"), midp))
@@ -103,15 +118,20 @@ def hardy_weinberg_x(calls: DataFrame, people: DataFrame, midp: bool = True) ->
     return counts.join(tested, keys).select("variant_id", *keys, "p_hwe")
 
 
-def hwe_pass(tested: DataFrame, p: float = 1e-5, k: float = 0.001, keep_few_het: bool = True) -> DataFrame:
-    """Variants to keep: p-value of at least p * 10^(-n * k), or (keep_few_het) no more heterozygotes than expected."""
+def hwe_keeps(p: float = 1e-5, k: float = 0.001, keep_few_het: bool = True) -> Column:
+    """Whether a tested variant stays: p-value of at least p * 10^(-n * k), or (keep_few_het) no more heterozygotes than expected; untested ones stay."""
     n = F.col("hom_ref") + F.col("het") + F.col("hom_alt")
     alt = (2 * F.col("hom_alt") + F.col("het")).cast("double")
     expected = F.when(n > 0, alt * (2 * n - alt) / (2 * n))
     keep = F.col("p_hwe") >= F.lit(p) * F.pow(F.lit(10.0), -n * F.lit(k))
     if keep_few_het:
         keep = keep | (F.col("het") <= expected)
-    return tested.filter(F.coalesce(keep, F.lit(True))).select("variant_id")
+    return F.coalesce(keep, F.lit(True))
+
+
+def hwe_pass(tested: DataFrame, p: float = 1e-5, k: float = 0.001, keep_few_het: bool = True) -> DataFrame:
+    """The variants that ``hwe_keeps`` keeps."""
+    return tested.filter(hwe_keeps(p, k, keep_few_het)).select("variant_id")
 
 
 def baf_regression(sites: DataFrame) -> DataFrame:

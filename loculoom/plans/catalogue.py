@@ -197,10 +197,9 @@ def egt(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def flagged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    c = calls(spark, sf_dir)
-    vmiss = stats.missingness(c, "variant_id").select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"))
-    passed = stats.hwe_pass(stats.hardy_weinberg(c), HWE_P, 0.0, keep_few_het=False).select(F.col("variant_id").alias("ID"))
-    return reports.variant_qc(egt(spark, sf_dir), vmiss, passed, gentrain_min=GENTRAIN_MIN, cluster_sep_min=CLUSTER_SEP_MIN, fmiss_max=FMISS_MAX)
+    kept = stats.hwe_keeps(HWE_P, 0.0, keep_few_het=False)
+    tested = stats.variant_profile(calls(spark, sf_dir)).select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"), kept.alias("pass_hwe"))
+    return reports.variant_qc_of(egt(spark, sf_dir), tested, gentrain_min=GENTRAIN_MIN, cluster_sep_min=CLUSTER_SEP_MIN, fmiss_max=FMISS_MAX)
 
 
 FLAGGED = f"""{HWE}, {STRICT}, vm AS (SELECT variant_id, (count(*) - count(dosage))::DOUBLE / count(*) AS f_miss FROM calls GROUP BY variant_id),

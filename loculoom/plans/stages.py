@@ -94,17 +94,20 @@ def relatedness(calls: DataFrame, genome_length: int, min_snps: int = 64, min_bp
     return ibd.relatives(ibd.sharing(autosomal_segments(calls, min_snps, min_bp), genome_length))
 
 
-def hwe_passed(calls: DataFrame, people: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
-    """Variants that pass the exact test: chromosome X by sex, haploid contigs (Y, M) untested, all others as diploid."""
+def tested_variants(calls: DataFrame, people: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
+    """ID, F_MISS and pass_hwe of all variants: the calls are aggregated once, those of chromosome X once more by sex.
+
+    Chromosome X is tested by sex, haploid contigs (Y, M) are untested, all others are diploid.
+    """
     bare = F.regexp_replace("chrom", "^chr", "")
     on_x, haploid = bare.isin("X", "23"), bare.isin("Y", "24", "M", "MT", "26")
-    diploid = stats.hwe_pass(stats.hardy_weinberg(calls.filter(~on_x & ~haploid), t.midp), t.hwe_p, t.hwe_k, t.keep_few_het)
-    x = stats.hwe_pass(stats.hardy_weinberg_x(calls.filter(on_x), people, t.midp), t.hwe_p, t.hwe_k, t.keep_few_het)
-    return diploid.unionByName(x).unionByName(calls.filter(haploid).select("variant_id").distinct())
+    counted = stats.variant_profile(calls, cohort=True, diploid=~on_x & ~haploid, midp=t.midp)
+    keeps = stats.hwe_keeps(t.hwe_p, t.hwe_k, t.keep_few_het)
+    x = stats.hardy_weinberg_x(calls.filter(on_x), people, t.midp).select(F.col("variant_id").alias("x_id"), keeps.alias("x_keeps"))
+    both = counted.join(x, F.col("variant_id") == F.col("x_id"), "left")
+    return both.select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"), F.when(on_x, F.col("x_keeps")).when(haploid, True).otherwise(keeps).alias("pass_hwe"))
 
 
 def snp_qc(calls: DataFrame, people: DataFrame, egt: DataFrame, t: Thresholds = Thresholds()) -> DataFrame:
     """Missingness and the exact test both see the full variant set; the filters meet only in the flags."""
-    vmiss = stats.cohort_missingness(calls, "variant_id").select(F.col("variant_id").alias("ID"), F.col("f_miss").alias("F_MISS"))
-    passed = hwe_passed(calls, people, t).select(F.col("variant_id").alias("ID"))
-    return reports.variant_qc(egt, vmiss, passed, gentrain_min=t.gentrain_min, cluster_sep_min=t.cluster_sep_min, fmiss_max=t.fmiss_max)
+    return reports.variant_qc_of(egt, tested_variants(calls, people, t), gentrain_min=t.gentrain_min, cluster_sep_min=t.cluster_sep_min, fmiss_max=t.fmiss_max)

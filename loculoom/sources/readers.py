@@ -5,7 +5,7 @@ from __future__ import annotations
 import warnings
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import number
@@ -25,11 +25,15 @@ def strings(columns) -> str:
     return ", ".join(f"`{c}` string" for c in columns)
 
 
+def place_in_files() -> Column:
+    """The order of the rows of text files: they are read in splits by their path and place, and numbers rise within a split."""
+    return F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+
+
 def egt_info(spark: SparkSession, path: str) -> DataFrame:
     """Header-less 7-column TSV of variants and cluster scores; ids become CHROM:POS:REF:ALT, ``ord`` rises in the file's order."""
     raw = spark.read.schema(strings(EGT_COLUMNS)).csv(path, sep="\t", quote="", nullValue=".")
-    # files are read in splits by their path and place, and numbers rise within a split
-    place = F.struct("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"))
+    place = place_in_files()
     low = raw.select(*[F.col(c).alias(n) for c, n in zip(EGT_COLUMNS, ("chrom", "pos", "ref", "alt", "id", "gentrain", "cluster"))], place.alias("ord"))
     low = canonical_ids(low, "id")
     return low.select("chrom", F.col("pos").try_cast("long"), "ref", "alt", "id", number(F.col("gentrain")), number(F.col("cluster")), "ord").toDF(*EGT_COLUMNS, "ord")
@@ -66,12 +70,19 @@ def bafregress(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def manifest_csv(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(strings(MANIFEST_COLUMNS)).csv(path, header=True, enforceSchema=False)
+    """The 14 columns of a manifest; ``ord`` rises in the file's order."""
+    raw = spark.read.schema(strings(MANIFEST_COLUMNS)).csv(path, header=True, enforceSchema=False)
+    return raw.select("*", place_in_files().alias("ord"))
+
+
+def row_order(manifest: DataFrame) -> Column:
+    """A manifest's own ``ord``; a frame without it is taken as it lies."""
+    return F.col("ord") if "ord" in manifest.columns else F.monotonically_increasing_id()
 
 
 def manifest_paths(manifest: DataFrame) -> DataFrame:
     """sg_id and gtc; of repeated samples the last row wins."""
-    rows = manifest.select(F.col("cpg_sequencing_group_id").alias("sg_id"), F.col("cpg_gcp_filepath").alias("gtc"), F.monotonically_increasing_id().alias("ord"))
+    rows = manifest.select(F.col("cpg_sequencing_group_id").alias("sg_id"), F.col("cpg_gcp_filepath").alias("gtc"), row_order(manifest).alias("ord"))
     return rows.filter("length(sg_id) > 0 AND length(gtc) > 0").groupBy("sg_id").agg(F.max_by("gtc", "ord").alias("gtc"))
 
 
@@ -79,7 +90,7 @@ def manifest_reheader(manifest: DataFrame) -> DataFrame:
     """sg_id, gtc and old_name (barcode_position) of rows that have all four fields."""
     need = ("cpg_sequencing_group_id", "cpg_gcp_filepath", "sentrix_barcode_a", "sentrix_position_a")
     full = reduce(lambda a, b: a & b, [F.length(F.col(c)) > 0 for c in need])
-    rows = manifest.withColumn("ord", F.monotonically_increasing_id()).filter(full)
+    rows = manifest.withColumn("ord", row_order(manifest)).filter(full)
     old = F.concat_ws("_", "sentrix_barcode_a", "sentrix_position_a")
     return rows.groupBy(F.col("cpg_sequencing_group_id").alias("sg_id")).agg(F.max_by("cpg_gcp_filepath", "ord").alias("gtc"), F.max_by(old, "ord").alias("old_name"))
 
