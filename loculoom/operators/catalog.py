@@ -71,11 +71,25 @@ def bed_map(members: DataFrame, analyses: DataFrame, kind: str = "array_cohort_b
     return out.select("sg_id", "cohort_id", F.col("path").alias("bed"), sibling(F.col("path"), ".bed", ".bim").alias("bim"), sibling(F.col("path"), ".bed", ".fam").alias("fam"))
 
 
+#: Faults that one error names; it tells the number of all.
+NAMED = 1_000
+
+
+def named(faults: DataFrame, column: str) -> tuple[list, int]:
+    """The least ``NAMED`` values of a column, and how many rows there are."""
+    first = [r[0] for r in faults.select(column).orderBy(column).limit(NAMED + 1).collect()]
+    return first[:NAMED], len(first) if len(first) <= NAMED else faults.count()
+
+
+def enumerated(values: list, n: int) -> str:
+    return ", ".join(map(str, values)) + (f" and {n - len(values)} more" if n > len(values) else "")
+
+
 def requested(found: DataFrame, wanted: DataFrame, what: str) -> DataFrame:
-    """The rows of ``found`` for ``wanted(sg_id)``; all samples without one are collected and raised together."""
-    missing = wanted.select("sg_id").distinct().join(found, "sg_id", "left_anti").agg(F.array_sort(F.collect_set("sg_id")).alias("m")).collect()[0].m
+    """The rows of ``found`` for ``wanted(sg_id)``; samples without one are raised together."""
+    missing, n = named(wanted.select("sg_id").distinct().join(found, "sg_id", "left_anti"), "sg_id")
     if missing:
-        raise ValueError(f"no {what} for: {', '.join(map(str, missing))}")
+        raise ValueError(f"no {what} for: {enumerated(missing, n)}")
     return found.join(wanted.select("sg_id").distinct(), "sg_id", "left_semi")
 
 
@@ -104,6 +118,12 @@ def plate_counts(new: DataFrame, plates: DataFrame) -> DataFrame:
     return new.join(plates, "sg_id").groupBy("cohort_id").agg(F.count("*").alias("new_count"))
 
 
+def plates_to_merge(members: DataFrame, analyses: DataFrame, everyone: DataFrame, aggregate: DataFrame) -> DataFrame:
+    """cohort_id, bed, bim, fam and new_count of the plates that bring samples which the aggregate lacks; samples without a plate are raised."""
+    plates = requested(bed_map(members, analyses), new_samples(everyone, aggregate), "plate fileset")
+    return plates.groupBy("cohort_id", "bed", "bim", "fam").agg(F.count("*").alias("new_count"))
+
+
 def merge_plan(members: DataFrame, analyses: DataFrame, super_ids: DataFrame, previous: str | None = None) -> dict:
     """What a rolling merge does: the previous fileset, the samples to remove, the plates that bring new samples, and the size.
 
@@ -123,8 +143,7 @@ def merge_plan(members: DataFrame, analyses: DataFrame, super_ids: DataFrame, pr
         prev = {s: path.removesuffix(".pgen") + f".{s}" for s in ("pgen", "pvar", "psam")}
         aggregate = members.filter(F.col("cohort_id") == previous).select("sg_id")
     new = new_samples(super_ids, aggregate)
-    plates = requested(bed_map(members, analyses), new, "plate fileset") if not new.isEmpty() else None
-    pulled = [] if plates is None else [r.asDict() for r in plates.groupBy("cohort_id", "bed", "bim", "fam").agg(F.count("*").alias("new_count")).orderBy("cohort_id").collect()]
+    pulled = [] if new.isEmpty() else [r.asDict() for r in plates_to_merge(members, analyses, super_ids, aggregate).orderBy("cohort_id").collect()]
     gone = [r.sg_id for r in withdrawn_samples(super_ids, aggregate).orderBy("sg_id").collect()]
     return {"previous": prev, "samples_to_remove": gone, "plates": pulled, "size": super_ids.select("sg_id").distinct().count()}
 
@@ -194,13 +213,18 @@ def manifest_rows(samples: DataFrame, cohort_id: str, folder: str) -> DataFrame:
     ).orderBy("sample_plate", "sentrix_barcode_a", "sentrix_position_a")
 
 
+def faulty_files(wanted: DataFrame, listed: DataFrame) -> DataFrame:
+    """path and fault (missing, empty) of every ``wanted(path)`` that ``listed(path, length)`` does not hold with content."""
+    both = wanted.select("path").distinct().join(listed.groupBy("path").agg(F.max("length").alias("length")), "path", "left")
+    return both.filter("length IS NULL OR length = 0").select("path", F.when(F.col("length").isNull(), "missing").otherwise("empty").alias("fault"))
+
+
 def check_files(wanted: DataFrame, listed: DataFrame) -> None:
-    """Every ``wanted(path)`` must be in ``listed(path, length)`` and not empty; all faults are raised together."""
-    both = wanted.select("path").distinct().join(listed.select("path", "length"), "path", "left")
-    bad = both.filter("length IS NULL OR length = 0").orderBy("path").collect()
-    if bad:
-        none, empty = [r.path for r in bad if r.length is None], [r.path for r in bad if r.length == 0]
-        raise ValueError(f"missing: {none}; empty: {empty}")
+    """``faulty_files`` is empty; all faults are raised together."""
+    bad = faulty_files(wanted, listed)
+    of = {k: named(bad.filter(F.col("fault") == k), "path") for k in ("missing", "empty")}
+    if any(n for _, n in of.values()):
+        raise ValueError("; ".join(f"{k}: [{enumerated(paths, n)}]" for k, (paths, n) in of.items()))
 
 
 #: The headers of the listing and the columns under them.

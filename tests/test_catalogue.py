@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from loculoom.plans import catalogue, interchange
+from loculoom.plans import catalogue, interchange, records
 
 from .conftest import DATA
 
@@ -18,7 +18,8 @@ def duck():
     return con
 
 
-QUERIES, SQL = catalogue.QUERIES | interchange.QUERIES, catalogue.ORACLE_SQL | interchange.ORACLE_SQL
+QUERIES = catalogue.QUERIES | interchange.QUERIES | records.QUERIES
+SQL = catalogue.ORACLE_SQL | interchange.ORACLE_SQL | records.ORACLE_SQL
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
