@@ -74,8 +74,10 @@ def relatedness_wide(seg: DataFrame, validate: bool = True) -> DataFrame:
         seg = seg.withColumn("ord", F.monotonically_increasing_id())
     degree = F.create_map(*[x for k, v in DEGREES.items() for x in (F.lit(k), F.lit(v))])
     base = seg.withColumn("degree", F.element_at(degree, F.col("InfType"))).withColumn("k", float_text(kinship(F.col("IBD1Seg"), F.col("IBD2Seg"))))
-    sides = [base.select(F.lit(i).alias("side"), "ord", F.col(me).alias("IID"), "degree", F.concat_ws(":", F.col(you).cast("string"), "k", "InfType").alias("payload")) for i, me, you in ((0, "ID1", "ID2"), (1, "ID2", "ID1"))]
-    joined = sides[0].unionByName(sides[1]).filter("IID IS NOT NULL").groupBy("IID", "degree").agg(ordered_concat(["side", "ord"], "payload").alias("payload"))
+    # both directions of an edge out of one row, so that the edges are read once
+    ends = [F.struct(F.lit(i).alias("side"), F.col(me).alias("IID"), F.concat_ws(":", F.col(you).cast("string"), "k", "InfType").alias("payload")) for i, me, you in ((0, "ID1", "ID2"), (1, "ID2", "ID1"))]
+    sides = base.select("ord", "degree", F.inline(F.array(*ends))).filter("IID IS NOT NULL")
+    joined = sides.groupBy("IID", "degree").agg(ordered_concat(["side", "ord"], "payload").alias("payload"))
     return joined.groupBy("IID").pivot("degree", DEGREE_COLUMNS).agg(F.first("payload"))
 
 
