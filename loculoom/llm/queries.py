@@ -63,8 +63,8 @@ def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def personal_data_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What of op6 SQL expresses: the numbers of base spans."""
-    return op6_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone")
+    """What of op6 SQL expresses: the base spans."""
+    return op6_personal_data(spark, sf_dir).select("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256")
 
 
 def licence_places_base(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -77,18 +77,31 @@ def lm_base_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_lm_scores(spark, sf_dir).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", F.round("base_score", 4).alias("base_score"))
 
 
+def language_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What of op9 SQL expresses: the held-out fold, and which texts are in no language."""
+    return op9_languages(spark, sf_dir).select("doc_id", "held_out", (F.col("lang_pred") == "und").alias("und"))
+
+
 LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-PERSONAL_DATA_SQL = r"""
-WITH m AS (SELECT doc_id,
-    len(regexp_extract_all(coalesce(text, ''), '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+')) AS n_email,
-    list_filter(regexp_extract_all(coalesce(text, ''), '[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)'), lambda x: len(list_filter(string_split(x, '.'), lambda p: coalesce(TRY_CAST(p AS UBIGINT) > 255, true))) = 0) AS ips,
-    list_transform(regexp_extract_all(coalesce(text, ''), '[0-9]([\x20-]?[0-9])+'), lambda x: regexp_replace(x, '[^0-9]', '', 'g')) AS cards,
-    list_filter(regexp_extract_all(coalesce(text, ''), '\+[0-9][\x20().0-9-]+[0-9]'), lambda x: length(regexp_replace(x, '[^0-9]', '', 'g')) BETWEEN 9 AND 15) AS phones FROM documents)
-SELECT doc_id, n_email, len(ips) AS n_ip,
-       len(list_filter(cards, lambda x: length(x) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(x) + 1), lambda i:
-           CASE WHEN (length(x) - i) % 2 = 0 THEN CAST(x[i] AS INT) WHEN CAST(x[i] AS INT) > 4 THEN 2 * CAST(x[i] AS INT) - 9 ELSE 2 * CAST(x[i] AS INT) END)) % 10 = 0)) AS n_card,
-       len(phones) AS n_phone
-FROM m
+#: Proposals of op6's base kinds, by its contract.
+PROPOSALS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+#: A span starts behind the pieces of the text before it and the spans between these.
+PERSONAL_DATA_SQL = rf"""
+WITH t AS (SELECT row_number() OVER () AS place, doc_id, coalesce(text, '') AS text FROM documents),
+p AS ({" UNION ALL ".join(f"SELECT place, {k} AS rank, '{kind}' AS kind, regexp_extract_all(text, '{pattern}') AS m, list_transform(string_split_regex(text, '{pattern}'), lambda x: length(x)) AS gaps FROM t" for k, (kind, pattern) in enumerate(PROPOSALS.items()))}),
+l AS (SELECT *, list_transform(m, lambda x: length(x)) AS sizes FROM p),
+s AS (SELECT place, rank, kind, unnest(list_transform(range(1, len(m) + 1), lambda i: {{'x': m[i], 'start': list_sum(gaps[1:i]) + coalesce(list_sum(sizes[1:i - 1]), 0)}}), recursive := true) FROM l),
+d AS (SELECT *, regexp_replace(x, '[^0-9]', '', 'g') AS digits FROM s),
+v AS (SELECT * FROM d WHERE CASE kind
+    WHEN 'ip' THEN len(list_filter(string_split(x, '.'), lambda p: coalesce(TRY_CAST(p AS UBIGINT) > 255, true))) = 0
+    WHEN 'card' THEN length(digits) BETWEEN 12 AND 19 AND list_sum(list_transform(range(1, length(digits) + 1), lambda i:
+        CASE WHEN (length(digits) - i) % 2 = 0 THEN CAST(digits[i] AS INT) WHEN CAST(digits[i] AS INT) > 4 THEN 2 * CAST(digits[i] AS INT) - 9 ELSE 2 * CAST(digits[i] AS INT) END)) % 10 = 0
+    WHEN 'phone' THEN length(digits) BETWEEN 9 AND 15 ELSE true END),
+g AS (SELECT place, {", ".join(f"count(*) FILTER (WHERE kind = '{k}') AS n_{k}" for k in PROPOSALS)}, string_agg(concat_ws(':', kind, CAST(start AS BIGINT), CAST(start + length(x) AS BIGINT)), ',' ORDER BY start, rank) AS spans FROM v GROUP BY place)
+SELECT doc_id, {", ".join(f"coalesce(n_{k}, 0) AS n_{k}" for k in PROPOSALS)}, sha256(coalesce(spans, '')) AS base_sha256 FROM t LEFT JOIN g USING (place)
 """
 LICENCE_PLACES_SQL = rf"""
 WITH w AS (SELECT doc_id, regexp_extract_all({LOWERED}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -100,11 +113,12 @@ SELECT doc_id, n_words, len(mit) + len(apache) + len(gpl) AS n_base, list_min(mi
 FROM p
 """
 #: The checksum of the id is worked out with its usual table of 256 entries.
-LM_BASE_SQL = rf"""
-WITH RECURSIVE bits(i, c, k) AS (SELECT range, range, 0 FROM range(0, 256) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
+CHECKSUMS = """bits(i, c, k) AS (SELECT range, range, 0 FROM range(0, 256) UNION ALL SELECT i, CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, k + 1 FROM bits WHERE k < 8),
 sums(doc_id, s, p, c) AS (
     SELECT DISTINCT doc_id, CAST(doc_id AS VARCHAR), 0, CAST(4294967295 AS BIGINT) FROM documents
-    UNION ALL SELECT doc_id, s, p + 1, xor(sums.c // 256, bits.c) FROM sums JOIN bits ON k = 8 AND i = xor(sums.c % 256, ascii(substr(s, p + 1, 1))) WHERE p < length(s)),
+    UNION ALL SELECT doc_id, s, p + 1, xor(sums.c // 256, bits.c) FROM sums JOIN bits ON k = 8 AND i = xor(sums.c % 256, ascii(substr(s, p + 1, 1))) WHERE p < length(s))"""
+LM_BASE_SQL = rf"""
+WITH RECURSIVE {CHECKSUMS},
 folds AS (SELECT doc_id, xor(c, 4294967295) % 7 = 2 AS held_out FROM sums WHERE p = length(s)),
 w AS (SELECT doc_id, unnest(list_append(regexp_extract_all({LOWERED}, '[^\x20\x09-\x0D]+'), '')) AS word FROM documents),
 c AS (SELECT word, count(*) AS c FROM w JOIN folds USING (doc_id) WHERE NOT held_out GROUP BY word),
@@ -113,12 +127,16 @@ SELECT doc_id, any_value(held_out) AS held_out, count(*) AS n_tokens, count(*) F
        round(sum(log10((coalesce(c, 0) + 1) / CAST(n + v + 1 AS DOUBLE))), 4) AS base_score
 FROM w JOIN folds USING (doc_id) LEFT JOIN c USING (word), t GROUP BY doc_id
 """
+LANGUAGE_FOLDS_SQL = rf"""
+WITH RECURSIVE {CHECKSUMS}, folds AS (SELECT doc_id, xor(c, 4294967295) % 4 = 2 AS held_out FROM sums WHERE p = length(s))
+SELECT doc_id, held_out, NOT regexp_matches(coalesce(text, ''), '\p{{L}}') AS und FROM documents JOIN folds USING (doc_id)
+"""
 QUERIES = {
     f.__name__: f
     for f in (
         op1_token_counts, op2_exact_dedup, op3_line_dedup, op4_lm_scores, op5_decontamination, op6_personal_data, op7_licences, op8_near_dedup, op9_languages, op10_mixing, op11_clusters,
         op12_passages, op13_conversations,
-        personal_data_base, licence_places_base, lm_base_scores,
+        personal_data_base, licence_places_base, lm_base_scores, language_folds,
     )
 }
-ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL, "op11_clusters": clustering.SQL, "op12_passages": substring_dedup.SQL, "op13_conversations": conversations.SQL, "personal_data_base": PERSONAL_DATA_SQL, "licence_places_base": LICENCE_PLACES_SQL, "lm_base_scores": LM_BASE_SQL}
+ORACLE_SQL = {"op2_exact_dedup": exact_dedup.SQL, "op3_line_dedup": line_dedup.SQL, "op10_mixing": mixing.SQL, "op11_clusters": clustering.SQL, "op12_passages": substring_dedup.SQL, "op13_conversations": conversations.SQL, "personal_data_base": PERSONAL_DATA_SQL, "licence_places_base": LICENCE_PLACES_SQL, "lm_base_scores": LM_BASE_SQL, "language_folds": LANGUAGE_FOLDS_SQL}

@@ -282,7 +282,7 @@ def test_features_of_long_texts():
     assert (want[0] == got[0]).all() and (want[1] == got[1]).all()
 
 
-@pytest.mark.parametrize("name", ["personal_data_base", "licence_places_base", "lm_base_scores"])
+@pytest.mark.parametrize("name", ["personal_data_base", "licence_places_base", "lm_base_scores", "language_folds"])
 def test_base_columns_in_sql(spark, name):
     import duckdb
 
