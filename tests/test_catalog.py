@@ -128,3 +128,18 @@ def test_listing(spark):
         "C1         C1 [legacy]  3      -        7            p     ",
         "C2         two          0      t        8            -     ",
     ]
+
+
+def test_errors_name_a_bounded_list(spark, monkeypatch):
+    wanted = spark.createDataFrame([(f"s{i}",) for i in range(9)], "sg_id string")
+    found = spark.createDataFrame([("s0",)], "sg_id string")
+    with pytest.raises(ValueError, match="for: s1, s2, s3, s4, s5, s6, s7, s8$"):
+        catalog.requested(found, wanted, "plate")
+    monkeypatch.setattr(catalog, "NAMED", 3)
+    with pytest.raises(ValueError, match="no plate for: s1, s2, s3 and 5 more"):
+        catalog.requested(found, wanted, "plate")
+    paths, listed = wanted.withColumnRenamed("sg_id", "path"), spark.createDataFrame([("s0", 0), ("s1", 0), ("s1", 4)], "path string, length long")
+    with pytest.raises(ValueError, match=r"missing: \[s2, s3, s4 and 4 more\]; empty: \[s0\]"):
+        catalog.check_files(paths, listed)
+    assert {(r.path, r.fault) for r in catalog.faulty_files(paths, listed).filter("fault = 'empty'").collect()} == {("s0", "empty")}
+    assert catalog.check_files(paths.limit(0), listed) is None

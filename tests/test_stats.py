@@ -195,3 +195,20 @@ def test_comparison_in_blocks(spark, monkeypatch):
                                 run.append(v)
     assert {(r.s1, r.s2): (r.ibs0, r.ibs1, r.ibs2) for r in ibd.ibs_counts(df).collect()} == counts
     assert {tuple(r) for r in ibd.all_segments(df, {1: 3, 2: 3}).select("s1", "s2", "chrom", "state", "start_pos", "end_pos", "n_snps").collect()} == found
+
+
+def test_profile_of_one_aggregation(spark):
+    """The same as missingness, genotype counts and test apart; untested contigs have no p-value, unlisted calls are no-calls of the cohort."""
+    random.seed(3)
+    rows = [(f"v{v}", f"s{s}", random.choice([0, 1, 1, 2, None]), "chrY" if v == 4 else "chr1") for v in range(5) for s in range(30) if (v + s) % 7]
+    c = spark.createDataFrame([*rows, ("none", "s0", None, "chr1")], "variant_id string, sample_id string, dosage int, chrom string")
+    tested = {r.variant_id: (r.hom_ref, r.het, r.hom_alt, r.p_hwe) for r in stats.hardy_weinberg(c).collect()}
+    for cohort in (False, True):
+        apart = stats.cohort_missingness(c, "variant_id") if cohort else stats.missingness(c, "variant_id")
+        apart = {r.variant_id: (r.missing_ct, r.obs_ct, r.f_miss) for r in apart.collect()}
+        got = stats.variant_profile(c, cohort, F.col("chrom") != "chrY").collect()
+        assert {r.variant_id: (r.missing_ct, r.obs_ct, r.f_miss) for r in got} == apart
+        for r in got:
+            assert (r.hom_ref, r.het, r.hom_alt) == tested[r.variant_id][:3]
+            assert r.p_hwe == (None if r.chrom == "chrY" else tested[r.variant_id][3])
+    assert tested["none"][3] is None
