@@ -1,10 +1,11 @@
 """Sharing between samples: identity-by-state counts, segments without opposite homozygotes, relationship classes.
 
-Samples are numbered and dealt to blocks, the calls of a block on a chromosome are packed to two bits each, and every pair of blocks meets
-once, as matrices.  For segments the blocks are screened first: a segment has no opposite homozygotes in any window that it covers,
-the opposite homozygotes of all pairs in a window are one product of 0/1 matrices, and only pairs with as many clean windows in a row as
-the shortest segment covers are compared site by site.  The screen never drops a segment.  Only counts and segments leave a
-comparison; no row is made for a pair and a variant.  A comparison holds two blocks of one chromosome.
+Samples are numbered and dealt to blocks, sites to tiles, and the calls of a block in a tile are packed to two bits each.  Two blocks meet
+once a chromosome, with those tiles alone in which both have calls, so samples without a common site cost nothing.  Calls so sparse that
+few pairs of a meeting share a site are joined by site; others are compared as matrices.  For segments these are screened first: a segment
+has no opposite homozygotes in any window that it covers, the opposite homozygotes of all pairs in a window are one product of 0/1 matrices,
+and only pairs with as many clean windows in a row as the shortest segment covers are compared site by site.  The screen never drops a
+segment.  Only counts and segments leave a comparison; no row is made for a pair and a variant.  A comparison holds two blocks of one chromosome.
 """
 
 from __future__ import annotations
@@ -18,10 +19,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
+from ..sources import storage
+
 #: Lower bounds of PropIBD and of IBD2 share per class, after the published defaults of the segment method; configurable.
 DUPLICATE_IBD2, FIRST, SECOND, THIRD, FULL_SIB_IBD2 = 0.7, 0.35355, 0.17678, 0.08839, 0.08
-#: Samples of a block, variants that are counted together, calls looked at at once, and what a missing call is packed as.
-BLOCK_SAMPLES, PART_VARIANTS, HELD, MISSING = 256, 8_000, 4_000_000, 3
+#: Samples of a block, sites of a tile, variants of a comparison of counts and of one product in it, calls looked at at once, and what a missing call is packed as.
+BLOCK_SAMPLES, TILE, PART_VARIANTS, STEP, HELD, MISSING = 256, 256, 1 << 17, 8_000, 4_000_000, 3
+#: Blocks whose pairs share less than one in so many of their cells are joined by site.
+SPARSE = 64
 #: Calls that a pair must be expected to share in the shortest segment's windows for the screen to be worth its products.
 SCREENED = 4
 
@@ -49,17 +54,22 @@ def numbered_samples(calls: DataFrame) -> DataFrame:
     return calls.select("sample_id").distinct().withColumn("i", (F.row_number().over(Window.orderBy("sample_id")) - 1).cast("int"))
 
 
-def packed_blocks(calls: DataFrame, people: DataFrame) -> DataFrame:
-    """chrom, block, blocks, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos); sites are numbered by position, a sample's row in its block is its
-    number's rest.  Numbers alone go to the packer."""
-    called = calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", "dosage", "chrom", "pos")
-    order = Window.partitionBy("chrom").orderBy("pos", "variant_id")
-    sites = called.groupBy("chrom", "variant_id").agg(F.min("pos").alias("pos")).withColumn("site", (F.row_number().over(order) - 1).cast("int"))
-    blocks = people.agg(F.greatest(F.ceil(F.count("*") / BLOCK_SAMPLES), F.lit(1)).alias("n")).scalar().cast("long")
-    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).join(people, "sample_id").withColumn("blocks", blocks)
+def kept(df: DataFrame) -> DataFrame:
+    """The rows, written: computed once, whatever is made of them."""
+    at = storage.scratch(df.sparkSession)
+    df.write.parquet(at)
+    return df.sparkSession.read.schema(df.schema).parquet(at)
+
+
+def packed_tiles(calls: DataFrame) -> DataFrame:
+    """chrom, tile, block, rows, ids, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos); sites are numbered by chromosome and position, a sample's row
+    in its block is its number's rest.  Numbers alone go to the packer."""
+    called = kept(calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", F.col("dosage").cast("tinyint").alias("dosage"), "chrom", "pos"))
+    people = kept(numbered_samples(called)).withColumn("block", F.expr(f"CAST(i div {BLOCK_SAMPLES} AS LONG)"))
+    sites = storage.ranked(called.groupBy("chrom", "variant_id").agg(F.min("pos").cast("long").alias("pos")), "chrom", "pos", "variant_id")
+    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).join(people, "sample_id")
     rows = rows.select(
-        "chrom", F.expr(f"CAST(i div {BLOCK_SAMPLES} AS LONG)").alias("block"), "blocks", (F.col("i") % BLOCK_SAMPLES).cast("short").alias("k"), "site", F.col("pos").cast("long").alias("pos"),
-        F.col("dosage").cast("tinyint").alias("dosage"),
+        "chrom", F.expr(f"ord div {TILE}").alias("tile"), "block", (F.col("i") % BLOCK_SAMPLES).cast("int").alias("k"), (F.col("ord") % TILE).cast("int").alias("site"), "pos", "dosage",
     )
     chrom = calls.schema["chrom"].dataType.simpleString()
 
@@ -68,85 +78,130 @@ def packed_blocks(calls: DataFrame, people: DataFrame) -> DataFrame:
         data, width = pack(k, site, t.column("dosage").to_numpy(), int(k.max()) + 1)
         pos = np.zeros(width * 4, np.int64)
         pos[site] = t.column("pos").to_numpy()
-        one = t.slice(0, 1).select(["chrom", "block", "blocks"])
+        one = t.slice(0, 1).select(["chrom", "tile", "block"])
         return one.append_column("rows", pa.array([int(k.max()) + 1], pa.int32())).append_column("pos", pa.array([pos.tobytes()], pa.binary())).append_column("data", pa.array([data], pa.binary()))
 
-    return rows.groupBy("chrom", "block").applyInArrow(run, f"chrom {chrom}, block long, blocks long, rows int, pos binary, data binary")
+    packed = rows.groupBy("chrom", "tile", "block").applyInArrow(run, f"chrom {chrom}, tile long, block long, rows int, pos binary, data binary")
+    ids = people.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", "sample_id"))).getField("sample_id").alias("ids"))
+    return packed.join(ids, "block")
 
 
-def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str) -> DataFrame:
-    """s1, s2, chrom and ``fields`` of pairs of samples s1 < s2.
+def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str, part: int | None = None) -> DataFrame:
+    """s1, s2, chrom and ``fields`` of pairs of samples s1 < s2; with ``part`` a comparison holds so many tiles at most.
 
     ``compare(ones, others, pos)`` takes the calls of two blocks, samples by sites, and yields arrays: numbers of the one sample,
     of the other, and values.  Within a block each pair comes both ways and is kept once.
     """
-    people = numbered_samples(calls)
-    blocks = packed_blocks(calls, people)
-    # a block goes once to every pair of blocks that it is in
-    k = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1))
-    dealt = blocks.select("*", k.alias("k")).select("*", F.least("block", "k").alias("i"), F.greatest("block", "k").alias("j")).drop("k", "blocks")
-    chrom = calls.schema["chrom"].dataType.simpleString()
-    schema = f"i1 int, i2 int, chrom {chrom}, {fields}"
+    tiles = kept(packed_tiles(calls))
+    # a tile of a block goes to the pairs of blocks that both have calls there
+    there = tiles.groupBy("chrom", "tile").agg(F.collect_list("block").alias("there"))
+    dealt = tiles.join(there, ["chrom", "tile"]).select("*", F.explode("there").alias("k")).withColumns({"i": F.least("block", "k"), "j": F.greatest("block", "k")}).drop("k", "there")
+    dealt = dealt.withColumn("part", F.expr(f"tile div {part}") if part else F.lit(0))
+    chrom, sample = (calls.schema[c].dataType.simpleString() for c in ("chrom", "sample_id"))
+    schema = f"s1 {sample}, s2 {sample}, chrom {chrom}, {fields}"
     shape = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(t: pa.Table) -> pa.Table:
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
-        if i != j and t.num_rows < 2:  # the other block has no call here
-            return shape.empty_table()
-        t = t.sort_by("block")
-        data, rows = [x.as_py() for x in t.column("data")], t.column("rows").to_pylist()
-        width = max(len(d) // n for d, n in zip(data, rows))
-        one, two = unpack(data[0], rows[0], width), unpack(data[-1], rows[-1], width)
-        pos = np.zeros(width * 4, np.int64)
-        for p in t.column("pos"):
-            known = np.frombuffer(p.as_py(), np.int64)
-            pos[: len(known)] = np.maximum(pos[: len(known)], known)
-        got = [np.concatenate(c) for c in zip(*compare(one, two, pos))]
+        block, (known, at) = t.column("block").to_numpy(), np.unique(t.column("tile").to_numpy(), return_inverse=True)
+        ids, calls_of = {}, {}
+        pos = np.zeros(len(known) * TILE, np.int64)
+        for k, (b, place, rows) in enumerate(zip(block.tolist(), at.tolist(), t.column("rows").to_pylist())):
+            if b not in ids:
+                ids[b] = pa.array(t.column("ids")[k].values)
+                calls_of[b] = np.full((len(ids[b]), len(known) * TILE), MISSING, np.int8)
+            m = unpack(t.column("data")[k].as_py(), rows, 0)
+            a = place * TILE
+            calls_of[b][:rows, a : a + m.shape[1]] = m
+            own = np.frombuffer(t.column("pos")[k].as_py(), np.int64)
+            np.maximum(pos[a : a + len(own)], own, out=pos[a : a + len(own)])
+        got = [np.concatenate(c) for c in zip(*compare(calls_of[i], calls_of[j], pos))]
         if not got:
             return shape.empty_table()
         keep = got[0] < got[1] if i == j else np.ones(len(got[0]), bool)
         a, b, *values = (c[keep] for c in got)
-        columns = [i * BLOCK_SAMPLES + a, j * BLOCK_SAMPLES + b, np.full(len(a), t.column("chrom")[0].as_py()), *values]
-        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
+        columns = [ids[i].take(pa.array(a)), ids[j].take(pa.array(b)), np.full(len(a), t.column("chrom")[0].as_py()), *values]
+        return pa.Table.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
+
+    return dealt.groupBy("chrom", "part", "i", "j").applyInArrow(run, schema)
+
 
-    found = dealt.groupBy("chrom", "i", "j").applyInArrow(run, schema)
-    for n in "12":
-        found = found.join(people.select(F.col("sample_id").alias(f"s{n}"), F.col("i").alias(f"i{n}")), f"i{n}")
-    return found.select("s1", "s2", "chrom", *[f.split()[0] for f in fields.split(", ")])
+def called_cells(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Samples and sites of the calls, sample by sample, and the calls of each site."""
+    row, site = np.nonzero(m != MISSING)
+    return row, site, np.bincount(site, minlength=m.shape[1])
+
+
+def few_in_common(ones: np.ndarray, others: np.ndarray) -> bool:
+    a, b = ((m != MISSING).sum(0) for m in (ones, others))
+    return int(a @ b) * SPARSE < len(ones) * ones.shape[1] * len(others)
+
+
+def common_calls(ones: np.ndarray, others: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(one, other, site, difference) of the sites that two samples are both called at: by the one, then by site; about ``HELD`` at once, never a sample of the ones in two parts."""
+    (row, site, _), (their, at, n) = called_cells(ones), called_cells(others)
+    by_site = np.argsort(at, kind="stable")
+    their, start = their[by_site], np.concatenate([[0], np.cumsum(n)])
+    # ends of the samples' calls, and how many pairs there are before them
+    ends = np.searchsorted(row, np.arange(len(ones)), "right")
+    before, a = np.concatenate([[0], np.cumsum(n[site])]), 0
+    while a < len(row):
+        fits = int(np.searchsorted(before[ends], before[a] + HELD, "right"))
+        z = max(int(ends[max(fits - 1, 0)]), int(ends[row[a]]))
+        r, s = row[a:z], site[a:z]
+        each = n[s]
+        mine = np.repeat(np.arange(z - a), each)
+        theirs = their[np.arange(len(mine)) - np.repeat(np.cumsum(each) - each, each) + start[s][mine]]
+        one, where = r[mine], s[mine]
+        yield one, theirs, where, np.abs(others[theirs, where] - ones[one, where])
+        a = z
 
 
 def ibs_counts(calls: DataFrame) -> DataFrame:
     """ibs0, ibs1 and ibs2 of every pair of samples that are both called at some variant; variants are counted in parts."""
-    parts = F.greatest(F.ceil(calls.agg((F.count_distinct("variant_id") / PART_VARIANTS).alias("n")).scalar()), F.lit(1)).cast("long")
-    dealt = calls.select("variant_id", "sample_id", "dosage", F.pmod(F.xxhash64("variant_id"), parts).alias("chrom"), F.lit(0).cast("long").alias("pos"))
+    dealt = calls.select("variant_id", "sample_id", "dosage", F.lit(0).cast("long").alias("chrom"), F.lit(0).cast("long").alias("pos"))
 
     def compare(ones: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
-        # counts as products of 0/1 matrices: calls of both, equal dosages, opposite homozygotes
-        (a, b) = ([(m == d).astype(np.float32) for d in range(3)] for m in (ones, others))
-        every = sum(a) @ sum(b).T
-        same = sum(x @ y.T for x, y in zip(a, b))
-        opposite = a[0] @ b[2].T + a[2] @ b[0].T
+        size = len(ones), len(others)
+        if few_in_common(ones, others):
+            counts = np.zeros(size[0] * size[1] * 3, np.int64)
+            for one, other, _, gap in common_calls(ones, others):
+                counts += np.bincount((one * size[1] + other) * 3 + gap, minlength=len(counts))
+            same, differ, opposite = np.moveaxis(counts.reshape(*size, 3), 2, 0)
+            every = same + differ + opposite
+        else:
+            # counts as products of 0/1 matrices: calls of both, equal dosages, opposite homozygotes
+            every, same, opposite = (np.zeros(size, np.int64) for _ in range(3))
+            for p in range(0, len(pos), STEP):
+                (a, b) = ([(m[:, p : p + STEP] == d).astype(np.float32) for d in range(3)] for m in (ones, others))
+                every += (sum(a) @ sum(b).T).astype(np.int64)
+                same += sum(x @ y.T for x, y in zip(a, b)).astype(np.int64)
+                opposite += (a[0] @ b[2].T + a[2] @ b[0].T).astype(np.int64)
         k, o = np.nonzero(every)
-        every, same, opposite = (m[k, o].astype(np.int64) for m in (every, same, opposite))
+        every, same, opposite = (m[k, o] for m in (every, same, opposite))
         yield k, o, opposite, every - same - opposite, same
 
-    counts = compared(dealt, compare, "ibs0 long, ibs1 long, ibs2 long")
+    counts = compared(dealt, compare, "ibs0 long, ibs1 long, ibs2 long", max(1, PART_VARIANTS // TILE))
     return counts.groupBy("s1", "s2").agg(*[F.sum(f"ibs{k}").alias(f"ibs{k}") for k in range(3)])
 
 
 def runs(breaks: np.ndarray, called: np.ndarray, pos: np.ndarray, min_snps: int, min_bp: int) -> tuple[np.ndarray, ...]:
     """(row, start, end, sites) of the stretches of called sites between breaks, row by row."""
     row, site = np.nonzero(called)
-    broken = breaks[row, site]
+    return stretches(row, breaks[row, site], pos[site], min_snps, min_bp)
+
+
+def stretches(row: np.ndarray, broken: np.ndarray, where: np.ndarray, min_snps: int, min_bp: int) -> tuple[np.ndarray, ...]:
+    """``runs`` of called sites that are told by row, whether they break and position, in order."""
     # a stretch ends at a break and at a row's end
     island = np.cumsum(broken)
     open_ = ~broken
-    row, site, island = row[open_], site[open_], island[open_]
+    row, where, island = row[open_], where[open_], island[open_]
     if not len(row):
         return row, row, row, row
     first = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (island[1:] != island[:-1])]))
     last = np.append(first[1:], len(row)) - 1
-    n, start, end = last - first + 1, pos[site[first]], pos[site[last]]
+    n, start, end = last - first + 1, where[first], where[last]
     keep = (n >= min_snps) & (end - start >= min_bp)
     return row[first[keep]], start[keep], end[keep], n[keep]
 
@@ -174,10 +229,10 @@ def may_share(ones: np.ndarray, others: np.ndarray, pos: np.ndarray, min_snps: i
     both = (ones != MISSING).mean(1).mean() * (others != MISSING).mean(1).mean() if len(pos) else 0.0
     if not len(pos) or both * len(pos) / len(edges) * need < SCREENED:
         return whole
-    a0, a2, b0, b2 = ((m == d).astype(np.float32) for m in (ones, others) for d in (0, 2))
     longest, now = (np.zeros((len(ones), len(others)), np.int32) for _ in range(2))
     for a, b in zip(edges.tolist(), [*edges[1:].tolist(), len(pos)]):
-        clean = (a0[:, a:b] @ b2[:, a:b].T + a2[:, a:b] @ b0[:, a:b].T) == 0
+        a0, a2, b0, b2 = ((m[:, a:b] == d).astype(np.float32) for m in (ones, others) for d in (0, 2))
+        clean = (a0 @ b2.T + a2 @ b0.T) == 0
         now = np.where(clean, now + 1, 0)
         np.maximum(longest, now, out=longest)
     return longest >= need
@@ -190,6 +245,14 @@ def all_segments(calls: DataFrame, min_snps: dict[int, int], min_bp: int = 0) ->
     """
 
     def compare(ones: np.ndarray, others: np.ndarray, pos: np.ndarray) -> Iterator[tuple]:
+        if few_in_common(ones, others):
+            for one, other, site, gap in common_calls(ones, others):
+                order = np.argsort(one * len(others) + other, kind="stable")
+                pair, gap, where = (one * len(others) + other)[order], gap[order], pos[site[order]]
+                for state, least in min_snps.items():
+                    row, *values = stretches(pair, gap == 2 if state == 1 else gap != 0, where, least, min_bp)
+                    yield row // len(others), row % len(others), np.full(len(row), state), *values
+            return
         # sites that neither block is called at have no position here, and no segment needs them
         sited = np.flatnonzero((ones != MISSING).any(0) | (others != MISSING).any(0))
         may = may_share(ones[:, sited], others[:, sited], pos[sited], min(min_snps.values()), min_bp)

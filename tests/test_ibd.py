@@ -88,3 +88,44 @@ def test_counts_over_blocks(spark, monkeypatch):
             gap = np.abs(d[i][both].astype(int) - d[j][both])
             want[f"s{i:03}", f"s{j:03}"] = tuple(int((gap == g).sum()) for g in (2, 1, 0))
     assert got == want
+
+
+def blocks_of_their_own(samples=30, sites=200, called=0.06):
+    """Sparse calls of three cohorts of other samples and other sites each, those of the last two at common sites here and there."""
+    rng = np.random.default_rng(5)
+    d = np.full((3 * samples, 3 * sites), ibd.MISSING, np.int8)
+    for c in range(3):
+        own = rng.integers(0, 3, (samples, sites)).astype(np.int8)
+        d[c * samples : (c + 1) * samples, c * sites : (c + 1) * sites] = np.where(rng.random(own.shape) < called, own, ibd.MISSING)
+    d[2 * samples + 3, sites : 2 * sites] = rng.integers(0, 3, sites)
+    return d, np.cumsum(rng.integers(1, 9, 3 * sites))
+
+
+def test_sparse_calls_are_joined_by_site(spark, monkeypatch):
+    for name, value in (("BLOCK_SAMPLES", 10), ("TILE", 32), ("HELD", 50), ("PART_VARIANTS", 64)):
+        monkeypatch.setattr(ibd, name, value)
+    d, pos = blocks_of_their_own()
+    assert ibd.few_in_common(d, d)
+    calls = long_calls(spark, d, pos)
+    got = {(int(r.s1[1:]), int(r.s2[1:]), r.state, r.start_pos, r.end_pos, r.n_snps) for r in ibd.all_segments(calls, {1: 3, 2: 2}).collect()}
+    assert got == brute(d, pos, {1: 3, 2: 2}, 0) and {s for *_, s, _, _, _ in got} == {1, 2}
+    counts = {(int(r.s1[1:]), int(r.s2[1:])): r.ibs0 + r.ibs1 + r.ibs2 for r in ibd.ibs_counts(calls).collect()}
+    both = (d != ibd.MISSING).astype(int)
+    assert counts == {(i, j): n for (i, j), n in np.ndenumerate(both @ both.T) if i < j and n}
+
+
+def test_blocks_meet_in_common_tiles_alone(spark, monkeypatch):
+    """Of cohorts without a common site no two blocks are compared, and a comparison holds the tiles of both blocks alone."""
+    for name, value in (("BLOCK_SAMPLES", 10), ("TILE", 20)):
+        monkeypatch.setattr(ibd, name, value)
+    d, pos = blocks_of_their_own()
+    d[63, 200:400] = ibd.MISSING
+    for c in range(3):  # every site has a call, so that tiles begin where cohorts do
+        d[30 * c, 200 * c : 200 * c + 200] = 1
+
+    def compare(ones, others, pos):
+        yield np.zeros(1, int), np.full(1, len(others) - 1), np.array([ones.shape[1]])
+
+    met = ibd.compared(long_calls(spark, d, pos), compare, "width long").collect()
+    # three blocks a cohort: three pairs of unlike ones, and three of a block with itself, each over the ten tiles of the cohort's own
+    assert len(met) == 3 * 6 and {r.width for r in met} == {200} and all(int(r.s1[1:]) // 30 == int(r.s2[1:]) // 30 for r in met)
