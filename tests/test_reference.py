@@ -89,6 +89,22 @@ def test_sites_over_tiles(spark, tmp_path):
     assert got == {k: w for k, w in want.items() if w is not None} and 0 < len(got) < 450
 
 
+def test_a_long_repeat_is_read_once(tmp_path):
+    """Indels of whole blocks of one repeat, in order: all go to its start, and the file is read about once, not once a site."""
+    lead, n = "GTTAC", 60_000
+    bases = lead + "ACGT" * (n // 4) + "GGA" + "CA" * 500
+    write(tmp_path / "r.fa", {"chr1": bases})
+    f = fasta.Fasta(str(tmp_path / "r.fa"), piece=64)
+    for pos in range(len(lead) + 4, n, 40):
+        assert fasta.normal_form(f, "chr1", pos, bases[pos - 1 : pos + 4], bases[pos - 1]) == (len(lead), "CACGT", "C")
+    assert f.reads < 3 * n / 64 + 200
+    # back in the repeat, and an insertion in another behind it
+    assert fasta.normal_form(f, "chr1", 100, bases[99:104], bases[99])[0] == len(lead)
+    end = len(lead) + n + 3
+    got = fasta.normal_form(f, "chr1", len(bases) - 7, bases[len(bases) - 8], bases[len(bases) - 8] + bases[len(bases) - 7 : len(bases) - 5])
+    assert got == (end - 1, bases[end - 2], bases[end - 2] + bases[end - 1 : end + 1])
+
+
 #: (site, dosage of each ALT for the genotypes no-call, AA, AB, BB)
 ARRAY = [
     ((1, "chr1", 100, "A", "G", None, None), {"G": [None, 0, 1, 2]}),
