@@ -12,14 +12,15 @@ import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .plink import SPLIT, dosage_rows
-from .storage import Part, SingleFile, opened
+from .plink import CELLS, GT, HELD, SPLIT, batch_dosages, cell_lists
+from .storage import SPLITS, Part, SingleFile, opened, size_of
 
 #: Fixed values of the formats: the head of a BGZF block, the empty block at the end, and the parameters of the binning.
 BLOCK_HEAD = b"\x1f\x8b\x08\x04\x00\x00\x00\x00\x00\xff\x06\x00BC\x02\x00"
@@ -278,10 +279,11 @@ def decoded(shared: bytes, own: bytes, head: Header) -> tuple:
         values = np.frombuffer(own, TYPES[kind], n * len(gt), at)
         at += values.nbytes
         if name == "GT":
-            codes = values.reshape(len(gt), n).astype(np.int64)
-            ended = codes == np.iinfo(np.dtype(TYPES[kind])).min + 1
-            missing = (codes >> 1 == 0) & ~ended
-            gt = np.where(missing.any(1) | ended.all(1), -1, ((codes >> 1 > 1) & ~ended).sum(1)).astype(np.int8)
+            # allele by allele, in the width of the file
+            codes = values.reshape(len(gt), n).T
+            ended = [c == np.iinfo(np.dtype(TYPES[kind])).min + 1 for c in codes]
+            missing = reduce(np.logical_or, [(c >> 1 == 0) & ~e for c, e in zip(codes, ended)], reduce(np.logical_and, ended, np.ones(len(gt), bool)))
+            gt = np.where(missing, np.int8(-1), sum(((c >> 1 > 1) & ~e).astype(np.int8) for c, e in zip(codes, ended)))
     return head.contigs[contig], pos + 1, texts[0], texts[1], ",".join(texts[2:]), gt
 
 
@@ -293,7 +295,7 @@ class Chunk(InputPartition):
 class BcfReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.split = options["path"], int(options.get("splitbytes") or options.get("splitBytes") or SPLIT)
-        self.region, self.blocks = None, 0
+        self.region, self.blocks, self.cells = None, 0, bool(options.get("cells"))
         if options.get("region"):
             found = re.fullmatch(r"(.+?)(?::(\d+)-(\d+))?", options["region"])
             self.region = found[1], int(found[2] or 1) - 1, int(found[3] or 1 << MIN_SHIFT + 3 * DEPTH)
@@ -308,9 +310,10 @@ class BcfReader(DataSourceReader):
             return [Chunk(first, None)]
         if self.region is None:
             # every chunk begins with a record; ranges between such beginnings cover the file
+            split = max(self.split, -(-size_of(self.path) // SPLITS))
             starts, begins = [first], sorted(b for bins in index.values() for _, held in bins.values() for b, _ in held)
             for b in begins:
-                if (b >> 16) - (starts[-1] >> 16) >= self.split:
+                if (b >> 16) - (starts[-1] >> 16) >= split:
                     starts.append(b)
             return [Chunk(a, b) for a, b in zip(starts, [*starts[1:], None])]
         contig, begin, end = self.region
@@ -349,12 +352,15 @@ class BcfReader(DataSourceReader):
             if rows:
                 yield self.batch(rows, len(head.samples))
 
-    @staticmethod
-    def batch(rows: list[tuple], samples: int) -> pa.RecordBatch:
+    def batch(self, rows: list[tuple], samples: int) -> pa.RecordBatch:
         flat = np.concatenate([r[5] for r in rows])
-        gt = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * samples, pa.int32()), pa.array(flat, pa.int8(), mask=flat < 0))
+        if self.cells:
+            row, i = np.divmod(np.flatnonzero(flat >= 0), max(1, samples))
+            gt = cell_lists(len(rows), row, i, flat[flat >= 0])
+        else:
+            gt = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * samples, pa.int32()), pa.array(flat, pa.int8(), mask=flat < 0))
         columns = [pa.array([r[k] for r in rows], pa.int64() if k == 1 else pa.string()) for k in range(5)]
-        return pa.RecordBatch.from_arrays([*columns, gt], names=["chrom", "pos", "variant_id", "ref", "alt", "gt"])
+        return pa.RecordBatch.from_arrays([*columns, gt], names=["chrom", "pos", "variant_id", "ref", "alt", "cells" if self.cells else "gt"])
 
 
 class Lines(SingleFile):
@@ -392,11 +398,16 @@ class Blocked(SingleFile):
         self.packer = BlockWriter()
 
     def names(self) -> tuple[list[str], list[str]]:
-        return tuple(self.options[k].split("\t") if self.options[k] else [] for k in ("contigs", "samples"))
+        if not hasattr(self, "told"):
+            self.told = tuple(self.options[k].split("\t") if self.options[k] else [] for k in ("contigs", "samples"))
+        return self.told
+
+    def at_once(self) -> int:
+        return HELD // max(1, len(self.names()[1]))
 
     def rows(self, batch: pa.RecordBatch) -> Iterator[tuple]:
         held = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in Lines.columns]
-        yield from zip(*held, dosage_rows(batch.column(batch.schema.get_field_index("gt")), len(self.names()[1])))
+        yield from zip(*held, batch_dosages(batch, len(self.names()[1])))
 
     def finish(self) -> bytes:
         return self.packer.flush()
@@ -462,14 +473,14 @@ class BcfWriter(Blocked):
 
 
 class BcfSource(DataSource):
-    """Options: path, region (contig or contig:from-to), splitBytes; for writing contigs and samples, by tabs.  Rows are those of the file; gt counts alleles that are not REF."""
+    """Options: path, region (contig or contig:from-to), splitBytes, cells (calls alone); for writing contigs and samples, by tabs.  Rows are those of the file; gt counts alleles that are not REF."""
 
     @classmethod
     def name(cls) -> str:
         return "bcf"
 
     def schema(self) -> str:
-        return "chrom string, pos long, variant_id string, ref string, alt string, gt array<tinyint>"
+        return f"chrom string, pos long, variant_id string, ref string, alt string, {CELLS if self.options.get('cells') else GT}"
 
     def reader(self, schema) -> BcfReader:
         return BcfReader(self.options)

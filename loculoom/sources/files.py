@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import json
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource
@@ -40,37 +38,16 @@ def samples_in_order(people: DataFrame) -> DataFrame:
     return people.dropDuplicates(["sample_id"]).withColumn("i", F.row_number().over(Window.orderBy("sample_id")) - 1)
 
 
-def dosage_matrix(got: pa.Array, n: int) -> np.ndarray:
-    """sites x samples dosages of lists of (i, d), -1 where missing."""
-    out = np.full((len(got), n), -1, np.int8)
-    size = got.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-    flat = got.flatten()
-    out[np.repeat(np.arange(len(got)), size), flat.field("i").to_numpy()] = flat.field("d").to_numpy()
-    return out
-
-
 def genotype_rows(calls: DataFrame, people: DataFrame) -> DataFrame:
-    """One row a variant of long ``calls``: ord (by contig and position), chrom, pos, variant_id, ref, alt and gt, the dosages of
-    ``people(i, sample_id)`` in their order; a sample without a call there is a no-call.
+    """One row a variant of long ``calls``: ord (by contig and position), chrom, pos, variant_id, ref, alt and cells, the (i, d) of the
+    calls of ``people(i, sample_id)``; a sample without a call there is a no-call.
 
     One aggregation by variant makes sites and lists together; places are counted by ranges, so no task sees all sites."""
-    n = people.count()
-    cell = F.when(F.col("i").isNotNull() & F.col("dosage").isNotNull(), F.struct("i", F.col("dosage").cast("tinyint").alias("d")))
+    cell = F.when(F.col("i").isNotNull() & F.col("dosage").isNotNull(), F.struct(F.col("i").cast("int").alias("i"), F.col("dosage").cast("tinyint").alias("d")))
     known = calls.join(people.select("i", "sample_id"), "sample_id", "left")
-    sites = known.groupBy("variant_id").agg(F.min(F.struct("chrom", "pos", "ref", "alt")).alias("s"), F.collect_list(cell).alias("got")).select("variant_id", "s.*", "got")
+    sites = known.groupBy("variant_id").agg(F.min(F.struct("chrom", "pos", "ref", "alt")).alias("s"), F.collect_list(cell).alias("cells")).select("variant_id", "s.*", "cells")
     contig = F.asc_nulls_last(variants.numeric_contig(F.col("chrom")).try_cast("int"))
-    placed = ranked(sites, contig, "chrom", "pos", "variant_id").select("ord", "chrom", "pos", "variant_id", "ref", "alt", "got")
-
-    def run(batches):
-        for b in batches:
-            for k in range(0, b.num_rows, 1000):
-                part = b.slice(k, 1000)
-                d = dosage_matrix(part.column(6), n)
-                flat = pa.array(d.reshape(-1), pa.int8(), mask=d.reshape(-1) < 0)
-                gt = pa.ListArray.from_arrays(pa.array(np.arange(part.num_rows + 1) * n, pa.int32()), flat)
-                yield pa.RecordBatch.from_arrays([*part.columns[:6], gt], names=[*part.schema.names[:6], "gt"])
-
-    return placed.mapInArrow(run, "ord long, chrom string, pos long, variant_id string, ref string, alt string, gt array<tinyint>")
+    return ranked(sites, contig, "chrom", "pos", "variant_id").select("ord", "chrom", "pos", "variant_id", "ref", "alt", "cells")
 
 
 def write_files(rows: DataFrame, people: DataFrame, files: dict[str, str], mode: str = "errorifexists") -> None:
@@ -115,16 +92,16 @@ def write_plink1(rows: DataFrame, people: DataFrame, prefix: str, mode: str = "e
     write_fam(people, f"{prefix}.fam")
 
 
-def read_bcf(spark: SparkSession, path: str, region: str | None = None, split_bytes: int | None = None) -> DataFrame:
-    """Long calls of a BCF, or of a region of it by its index: chrom, pos, variant_id, ref, alt, sample_id, dosage (alleles that are not REF)."""
+def read_bcf(spark: SparkSession, path: str, region: str | None = None, split_bytes: int | None = None, called: bool = False) -> DataFrame:
+    """Long calls of a BCF, or of a region of it by its index: chrom, pos, variant_id, ref, alt, sample_id, dosage (alleles that are not REF); with ``called`` no row for a no-call."""
     spark.dataSource.register(BcfSource)
     store, inner = opened(path)
     with store.open_input_file(inner) as f:
         people = read_header(BlockReader(f)).samples
     source = spark.read.format("bcf")
-    for k, v in (("region", region), ("splitBytes", split_bytes)):
+    for k, v in (("region", region), ("splitBytes", split_bytes), ("cells", "1" if called else None)):
         source = source.option(k, v) if v is not None else source
     names = spark.createDataFrame(list(enumerate(people)), "i int, sample_id string")
-    cells = source.load(path).select("chrom", "pos", "variant_id", "ref", "alt", F.posexplode("gt").alias("i", "dosage"))
+    cells = source.load(path).select("chrom", "pos", "variant_id", "ref", "alt", (F.inline("cells") if called else F.posexplode("gt")).alias("i", "dosage"))
     return cells.join(names, "i").select("chrom", "pos", "variant_id", "ref", "alt", "sample_id", F.col("dosage").cast("int").alias("dosage"))
 

@@ -2,7 +2,8 @@
 
 ``bed`` reads a variant-major BED file in byte ranges (a variant's bytes lie at 3 + ord x width) and decodes only the wanted samples;
 ``pgen`` reads a PLINK 2 file by ranges of variants, from its header's index of record types and lengths.  Both write one file from many
-tasks (see ``storage``).  Genotypes are arrays of dosages in sample order, null where missing: of A1 in BED, of ALT in PGEN.
+tasks (see ``storage``).  Genotypes are arrays of dosages in sample order, null where missing: of A1 in BED, of ALT in PGEN; or, as ``cells``,
+lists of (sample, dosage) of the calls alone, so that a cohort of many no-calls costs what its calls do.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from . import readers
-from .storage import Part, SingleFile, blocks, opened, read_at, size_of
+from .storage import SPLITS, Part, SingleFile, blocks, opened, read_at, size_of
 
 #: Fixed values of the formats: the magic of a variant-major BED file and the dosages of its two-bit codes, lowest bits first (two A1 alleles, missing,
 #: one, none); the magic of PGEN files, whose codes are dosages, 3 where missing.
@@ -25,10 +26,13 @@ BED_MAGIC, BED_DOSAGE = b"\x6c\x1b\x01", np.array([2, -1, 1, 0], np.int8)
 PGEN_MAGIC, PGEN_FIXED, PGEN_VARIABLE = b"\x6c\x1b", 0x02, 0x10
 PGEN_DOSAGE = np.array([0, 1, 2, -1], np.int8)
 SHIFTS = np.array([0, 2, 4, 6], np.uint8)
+#: A byte of four no-calls in BED.
+NO_CALLS = 0x55
 #: Variants of a block of the PGEN index, samples of a group of a difference list.
 PGEN_BLOCK, GROUP = 1 << 16, 64
-#: Bytes of a split, variants that are decoded at once.
-SPLIT, STEP = 32 << 20, 1_000
+#: Bytes of a split; variants, and genotypes, that are decoded or encoded at once.
+SPLIT, STEP, HELD = 32 << 20, 1_000, 4 << 20
+GT, CELLS = "gt array<tinyint>", "cells array<struct<i:int,d:tinyint>>"
 
 
 class Range(InputPartition):
@@ -58,6 +62,39 @@ def genotype_batch(first: int, dosages: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + n), pa.int64()), gt], names=["ord", "gt"])
 
 
+def cell_lists(rows: int, row: np.ndarray, i: np.ndarray, d: np.ndarray) -> pa.Array:
+    """Lists of (i, d) of ``rows`` rows; calls come by row."""
+    ends = np.searchsorted(row, np.arange(rows + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(i, pa.int32()), pa.array(d, pa.int8())], names=["i", "d"]))
+
+
+def cell_batch(first: int, rows: int, row: np.ndarray, i: np.ndarray, d: np.ndarray) -> pa.RecordBatch:
+    """ord and cells of consecutive variants."""
+    return pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + rows), pa.int64()), cell_lists(rows, row, i, d)], names=["ord", "cells"])
+
+
+def called_batch(first: int, dosages: np.ndarray) -> pa.RecordBatch:
+    row, i = np.nonzero(dosages >= 0)
+    return cell_batch(first, len(dosages), row, i, dosages[row, i])
+
+
+def batch_cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, sample, dosage) of a batch's cells."""
+    got = batch.column(batch.schema.get_field_index("cells"))
+    size, flat = got.value_lengths().fill_null(0).to_numpy(zero_copy_only=False), got.flatten()
+    return np.repeat(np.arange(len(got)), size), flat.field("i").to_numpy(), flat.field("d").to_numpy()
+
+
+def batch_dosages(batch: pa.RecordBatch, samples: int) -> np.ndarray:
+    """rows x samples dosages of a batch with gt or cells, -1 where missing."""
+    if "cells" not in batch.schema.names:
+        return dosage_rows(batch.column(batch.schema.get_field_index("gt")), samples)
+    out = np.full((batch.num_rows, samples), -1, np.int8)
+    row, i, d = batch_cells(batch)
+    out[row, i] = d
+    return out
+
+
 def dosage_rows(gt: pa.Array, samples: int) -> np.ndarray:
     """rows x samples dosages, -1 where null."""
     flat = gt.flatten()
@@ -75,7 +112,7 @@ class BedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.samples, self.keep = options["path"], int(options["samples"]), wanted(options)
         self.split = int(options.get("splitbytes") or options.get("splitBytes") or SPLIT)
-        self.width = (self.samples + 3) // 4
+        self.width, self.cells = (self.samples + 3) // 4, bool(options.get("cells"))
 
     def partitions(self) -> list[Range]:
         size = size_of(self.path) - len(BED_MAGIC)
@@ -83,16 +120,28 @@ class BedReader(DataSourceReader):
             raise ValueError(f"{self.path} is not a variant-major BED file")
         if size % self.width:
             raise ValueError(f"{self.path} is no whole number of rows of {self.samples} samples")
-        return [Range(a, b) for a, b in blocks(size // self.width, self.split // self.width)]
+        return [Range(a, b) for a, b in blocks(size // self.width, max(self.split, -(-size // SPLITS)) // self.width)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         store, inner = opened(self.path)
-        step = max(1, min(STEP, (4 << 20) // self.width))
+        step = max(1, min(STEP, HELD // self.samples))
         with store.open_input_file(inner) as f:
             for a in range(partition.begin, partition.end, step):
                 n = min(step, partition.end - a)
-                codes = two_bit(f.read_at(n * self.width, len(BED_MAGIC) + a * self.width), n, self.samples, self.keep)
-                yield genotype_batch(a, BED_DOSAGE[codes])
+                data = f.read_at(n * self.width, len(BED_MAGIC) + a * self.width)
+                if self.cells and self.keep is None:
+                    yield cell_batch(a, n, *self.calls(data, n))
+                else:
+                    yield (called_batch if self.cells else genotype_batch)(a, BED_DOSAGE[two_bit(data, n, self.samples, self.keep)])
+
+    def calls(self, data: bytes, rows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, sample, dosage) of the calls: bytes of no-calls alone are not unpacked."""
+        raw = np.frombuffer(data, np.uint8)
+        at = np.flatnonzero(raw != NO_CALLS)
+        dosage = BED_DOSAGE[raw[at][:, None] >> SHIFTS & 3].reshape(-1)
+        row, i = np.repeat(at // self.width, 4), (at % self.width * 4)[:, None] + np.arange(4)
+        told = (dosage >= 0) & (i.reshape(-1) < self.samples)
+        return row[told], i.reshape(-1)[told], dosage[told]
 
 
 class BedWriter(SingleFile):
@@ -101,19 +150,31 @@ class BedWriter(SingleFile):
     def head(self, parts: list[Part]) -> Iterable[bytes]:
         return (BED_MAGIC,)
 
+    def at_once(self) -> int:
+        return HELD // max(1, int(self.options["samples"]))
+
     def encode(self, batch: pa.RecordBatch) -> bytes:
-        return packed_codes(self.CODES[dosage_rows(batch.column(batch.schema.get_field_index("gt")), int(self.options["samples"]))]).tobytes()
+        n = int(self.options["samples"])
+        if "cells" not in batch.schema.names:
+            return packed_codes(self.CODES[batch_dosages(batch, n)]).tobytes()
+        out = np.full((batch.num_rows, (n + 3) // 4), NO_CALLS, np.uint8)
+        if n % 4:
+            out[:, -1] &= (1 << 2 * (n % 4)) - 1
+        row, i, d = batch_cells(batch)
+        # a no-call's code turns into the call's
+        np.bitwise_xor.at(out, (row, i // 4), (self.CODES[d] ^ self.CODES[-1]) << SHIFTS[i % 4])
+        return out.tobytes()
 
 
 class BedSource(DataSource):
-    """Options: path, samples (their number), keep (places of the samples to read, by commas), splitBytes."""
+    """Options: path, samples (their number), keep (places of the samples to read, by commas), splitBytes, cells (calls alone)."""
 
     @classmethod
     def name(cls) -> str:
         return "bed"
 
     def schema(self) -> str:
-        return "ord long, gt array<tinyint>"
+        return f"ord long, {CELLS if self.options.get('cells') else GT}"
 
     def reader(self, schema) -> BedReader:
         return BedReader(self.options)
@@ -237,36 +298,36 @@ def record_codes(kind: int, data: bytes, samples: int, base: np.ndarray | None)
 
 def to_record(codes: np.ndarray) -> tuple[int, bytes]:
     """The shorter of two bits a sample and a difference list to the most frequent of 0, 2 and 3."""
-    plain = packed_codes(codes[None, :]).tobytes()
-    count = np.bincount(codes, minlength=4)
+    width, count = (len(codes) + 3) // 4, np.bincount(codes, minlength=4)
     common = max((0, 2, 3), key=lambda c: count[c])
     rare = len(codes) - int(count[common])
-    if rare * 5 < len(plain) * 4:
+    if rare * 5 < width * 4:
         at = np.flatnonzero(codes != common)
         short = to_difference_list(at, codes[at], len(codes))
-        if len(short) < len(plain):
+        if len(short) < width:
             return 4 + common, short
-    return 0, plain
+    return 0, packed_codes(codes[None, :]).tobytes()
 
 
 class PgenReader(DataSourceReader):
     def __init__(self, options: dict):
-        self.path, self.keep = options["path"], wanted(options)
+        self.path, self.keep, self.cells = options["path"], wanted(options), bool(options.get("cells"))
         self.split = int(options.get("splitvariants") or options.get("splitVariants") or PGEN_BLOCK)
 
     def partitions(self) -> list[Range]:
         variants = PgenHeader(self.path).variants
         # a range stays within a block of the index
-        return [Range(a + b, a + c) for a, end in blocks(variants, PGEN_BLOCK) for b, c in blocks(end - a, self.split)]
+        return [Range(a + b, a + c) for a, end in blocks(variants, PGEN_BLOCK) for b, c in blocks(end - a, max(self.split, -(-variants // SPLITS)))]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         head = PgenHeader(self.path)
         store, inner = opened(self.path)
         with store.open_input_file(inner) as f:
-            for a in range(partition.begin, partition.end, STEP):
-                n = min(STEP, partition.end - a)
+            step = max(1, min(STEP, HELD // max(1, head.samples)))
+            for a in range(partition.begin, partition.end, step):
+                n = min(step, partition.end - a)
                 codes = self.fixed(f, head, a, n) if head.mode == PGEN_FIXED else self.variable(f, head, a, n, partition)
-                yield genotype_batch(a, PGEN_DOSAGE[codes if self.keep is None else codes[:, self.keep]])
+                yield (called_batch if self.cells else genotype_batch)(a, PGEN_DOSAGE[codes if self.keep is None else codes[:, self.keep]])
 
     def fixed(self, f, head: PgenHeader, first: int, n: int) -> np.ndarray:
         width = (head.samples + 3) // 4
@@ -308,9 +369,12 @@ class PgenWriter(SingleFile):
     def index(self) -> bytes:
         return np.array(self.lengths, "<u4").tobytes() + bytes(self.kinds)
 
+    def at_once(self) -> int:
+        return HELD // max(1, self.samples)
+
     def encode(self, batch: pa.RecordBatch) -> bytes:
         out = bytearray()
-        for row in self.CODES[dosage_rows(batch.column(batch.schema.get_field_index("gt")), self.samples)]:
+        for row in self.CODES[batch_dosages(batch, self.samples)]:
             kind, data = to_record(row)
             self.kinds.append(kind)
             self.lengths.append(len(data))
@@ -338,14 +402,14 @@ class PgenWriter(SingleFile):
 
 
 class PgenSource(DataSource):
-    """Options: path, samples (their number, for writing), keep (places of the samples to read, by commas), splitVariants."""
+    """Options: path, samples (their number, for writing), keep (places of the samples to read, by commas), splitVariants, cells (calls alone)."""
 
     @classmethod
     def name(cls) -> str:
         return "pgen"
 
     def schema(self) -> str:
-        return "ord long, gt array<tinyint>"
+        return f"ord long, {CELLS if self.options.get('cells') else GT}"
 
     def reader(self, schema) -> PgenReader:
         return PgenReader(self.options)
@@ -361,8 +425,9 @@ def registered(spark: SparkSession) -> SparkSession:
 
 
 def long_calls(genotypes: DataFrame, sites: DataFrame, people: DataFrame) -> DataFrame:
-    """One row a call of genotypes(ord, gt), with the columns of ``sites(ord, ...)`` and the sample_id of ``people(i, sample_id)``."""
-    cells = genotypes.join(sites, "ord").select(*sites.columns, F.posexplode("gt").alias("i", "dosage"))
+    """One row a call of genotypes(ord, gt or cells), with the columns of ``sites(ord, ...)`` and the sample_id of ``people(i, sample_id)``."""
+    each = F.inline("cells") if "cells" in genotypes.columns else F.posexplode("gt")
+    cells = genotypes.join(sites, "ord").select(*sites.columns, each.alias("i", "dosage"))
     return cells.join(people.select("i", "sample_id"), "i").select(*[c for c in sites.columns if c != "ord"], "sample_id", F.col("dosage").cast("int").alias("dosage"))
 
 
@@ -376,19 +441,26 @@ def kept_people(people: DataFrame, keep: list[str] | None) -> tuple[DataFrame, s
     return people.sparkSession.createDataFrame([(k, r.sample_id) for k, r in enumerate(rows)], "i int, sample_id string"), ",".join(str(r.i) for r in rows)
 
 
-def read_plink1(spark: SparkSession, prefix: str, keep: list[str] | None = None, split_bytes: int = SPLIT) -> DataFrame:
+def called_counts(spark: SparkSession, prefix: str) -> DataFrame:
+    """ord, called and obs_ct of the variants of <prefix>.bed: calls, and samples; no row is made for a call."""
+    n = readers.fam(spark, f"{prefix}.fam").count()
+    bed = registered(spark).read.format("bed").option("samples", n).option("cells", "1").load(f"{prefix}.bed")
+    return bed.select("ord", F.size("cells").cast("long").alias("called"), F.lit(n).cast("long").alias("obs_ct"))
+
+
+def read_plink1(spark: SparkSession, prefix: str, keep: list[str] | None = None, split_bytes: int = SPLIT, called: bool = False) -> DataFrame:
     """Long calls of <prefix>.bed, .bim and .fam: chrom, variant_id, pos, ref, alt, sample_id, dosage of ALT (A1).
 
-    Only the bytes of the samples in ``keep`` are decoded."""
+    Only the bytes of the samples in ``keep`` are decoded; with ``called`` no row is made for a no-call."""
     everyone = readers.fam(spark, f"{prefix}.fam").select("i", F.col("iid").alias("sample_id"))
     n = everyone.count()
     people, places = kept_people(everyone, keep)
-    bed = registered(spark).read.format("bed").option("samples", n).option("keep", places).option("splitBytes", split_bytes).load(f"{prefix}.bed")
+    bed = registered(spark).read.format("bed").option("samples", n).option("keep", places).option("splitBytes", split_bytes).option("cells", "1" if called else "").load(f"{prefix}.bed")
     return long_calls(bed, readers.bim(spark, f"{prefix}.bim"), people)
 
 
-def read_plink2(spark: SparkSession, prefix: str, keep: list[str] | None = None, split_variants: int = PGEN_BLOCK) -> DataFrame:
+def read_plink2(spark: SparkSession, prefix: str, keep: list[str] | None = None, split_variants: int = PGEN_BLOCK, called: bool = False) -> DataFrame:
     """Long calls of <prefix>.pgen, .pvar and .psam, as ``read_plink1``."""
     people, places = kept_people(readers.psam(spark, f"{prefix}.psam").select(F.col("ord").cast("int").alias("i"), F.col("iid").alias("sample_id")), keep)
-    pgen = registered(spark).read.format("pgen").option("keep", places).option("splitVariants", split_variants).load(f"{prefix}.pgen")
+    pgen = registered(spark).read.format("pgen").option("keep", places).option("splitVariants", split_variants).option("cells", "1" if called else "").load(f"{prefix}.pgen")
     return long_calls(pgen, readers.pvar(spark, f"{prefix}.pvar"), people)

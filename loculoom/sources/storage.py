@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
 
 COPY = 8 << 20
+#: Most splits of a file that is read by ranges: of a large file they are larger than asked.
+SPLITS = 1024
 
 
 def scratch(spark: SparkSession) -> str:
@@ -54,8 +56,9 @@ def read_at(path: str, at: int, n: int) -> bytes:
 
 
 def blocks(total: int, step: int) -> list[tuple[int, int]]:
-    """[from, to) ranges that cover ``total`` in steps."""
-    return [(a, min(total, a + step)) for a in range(0, total, max(1, step))]
+    """[from, to) ranges that cover ``total`` in steps, of 1 at least."""
+    step = max(1, step)
+    return [(a, min(total, a + step)) for a in range(0, total, step)]
 
 
 def numbered_lines(spark: SparkSession, path: str, skip: str | None = None, blank: bool = False) -> DataFrame:
@@ -103,6 +106,10 @@ class SingleFile(DataSourceArrowWriter):
     def tail(self) -> bytes:
         return b""
 
+    def at_once(self) -> int:
+        """Rows that are encoded at once."""
+        return 1 << 16
+
     def beside(self, parts: list[Part], start: int) -> None:
         """A further file that goes with this one; ``start`` is the length of the head."""
 
@@ -120,7 +127,9 @@ class SingleFile(DataSourceArrowWriter):
         if (ords[1:] != ords[:-1] + 1).any() or ords[0] != self.part.last + 1:
             raise ValueError("rows are not in consecutive order of ord")
         self.part.last = int(ords[-1])
-        self.put(self.encode(b))
+        step = max(1, self.at_once())
+        for k in range(0, b.num_rows, step):
+            self.put(self.encode(b.slice(k, step)))
 
     def put(self, data: bytes) -> None:
         self.part.size += len(data)
@@ -153,7 +162,7 @@ class SingleFile(DataSourceArrowWriter):
         self.publish()
 
     def assemble(self, messages: list[Part | None]) -> None:
-        """All parts behind the head, in a file that has no name yet."""
+        """All parts behind the head, in a file that has no name yet.  A part goes as soon as it is copied, so the file is not held twice."""
         parts = sorted((m for m in messages if m is not None and m.name), key=lambda m: m.first)
         for before, p in zip([Part(), *parts], parts):
             if p.first != before.last + 1:
@@ -169,6 +178,7 @@ class SingleFile(DataSourceArrowWriter):
                 with store.open_input_stream(f"{folder}/{p.name}", compression=None) as piece:
                     while data := piece.read(COPY):
                         out.write(data)
+                store.delete_file(f"{folder}/{p.name}")
             out.write(self.tail())
         self.beside(parts, start)
 

@@ -265,3 +265,43 @@ def test_places_are_counted_by_ranges(spark):
     rows = [(k * 7919 % 5000 // 2, k) for k in range(5000)]
     got = storage.ranked(spark.createDataFrame(rows, "a int, b int").repartition(6), "a", "b").orderBy("ord").collect()
     assert [(r.a, r.b, r.ord) for r in got] == [(*r, k) for k, r in enumerate(sorted(rows))]
+
+
+def test_calls_alone(spark, written):
+    """With ``called`` no-calls are no rows, in all formats; batches of writers are cut by genotypes, and a file has few splits however small they are asked."""
+    at, want, _, _ = written
+    told = {k: d for k, d in want.items() if d is not None}
+    assert len(told) < len(want)
+    assert by_call(plink.read_plink1(spark, str(at / "c"), called=True, split_bytes=50)) == told
+    assert by_call(plink.read_plink2(spark, str(at / "c"), called=True, split_variants=7)) == told
+    assert by_call(files.read_bcf(spark, str(at / "c.bcf"), called=True)) == told
+    assert by_call(plink.read_plink1(spark, str(at / "c"), ["s7", "s2"], called=True)) == {k: d for k, d in told.items() if k[1] in ("s7", "s2")}
+    counts = {r.ord: (r.called, r.obs_ct) for r in plink.called_counts(spark, str(at / "c")).collect()}
+    order = {r.variant_id: r.ord for r in readers.bim(spark, str(at / "c.bim")).collect()}
+    assert counts == {o: (sum(k[0] == v for k in told), 9) for v, o in order.items()}
+
+
+def test_memory_of_many_samples(tmp_path):
+    """A batch of 2,000 rows of 100,000 samples with few calls: writer and reader hold a slice of it, and the file is right."""
+    import tracemalloc
+
+    n, rows = 100_000, 2_000
+    k = np.arange(rows)
+    batch = plink.cell_batch(0, rows, np.repeat(k, 2), np.column_stack([k, n - 1 - k]).reshape(-1), np.column_stack([k % 3, (k + 1) % 3]).reshape(-1).astype(np.int8))
+    path = str(tmp_path / "x.bed")
+    writer = plink.BedWriter({"path": path, "samples": str(n)}, False)
+    tracemalloc.start()
+    writer.commit([writer.write(iter([batch]))])
+    reader = plink.BedReader({"path": path, "samples": n, "splitbytes": 1, "cells": "1"})
+    parts = reader.partitions()
+    got = [c for p in parts for b in reader.read(p) for c in b.column(1).to_pylist()]
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert got == batch.column(1).to_pylist() and os.path.getsize(path) == 3 + rows * n // 4
+    assert held < 60 << 20, held
+    # as dense rows
+    dense = plink.BedWriter({"path": path + "2", "samples": str(n)}, False)
+    gt = plink.genotype_batch(0, plink.batch_dosages(batch.slice(0, 20), n))
+    assert dense.encode(gt) == writer.encode(batch.slice(0, 20))
+    large = plink.BedReader({"path": path, "samples": n, "splitbytes": 1})
+    assert len(large.partitions()) == rows and plink.SPLITS < 10_000
