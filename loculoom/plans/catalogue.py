@@ -19,8 +19,19 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of lineitem that a task groups.
+TASK_ROWS = 1_000_000
+
+
+def dealt_pairs(lines: DataFrame) -> DataFrame:
+    """Lines dealt by supplier and part to so many tasks that none groups much more than ``TASK_ROWS``; few lines stay as they are."""
+    n = -(-lines.count() // TASK_ROWS)
+    return lines.repartition(n, "l_suppkey", "l_partkey") if n > int(lines.sparkSession.conf.get("spark.sql.shuffle.partitions")) else lines
+
+
 def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sums = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("sample_id"), F.col("l_partkey").alias("variant_id")).agg((F.sum("l_linenumber") % 4).cast("int").alias("d"))
+    lines = dealt_pairs(read(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber"))
+    sums = lines.groupBy(F.col("l_suppkey").alias("sample_id"), F.col("l_partkey").alias("variant_id")).agg((F.sum("l_linenumber") % 4).cast("int").alias("d"))
     return sums.select("sample_id", "variant_id", F.when(F.col("d") != 3, F.col("d")).alias("dosage"))
 
 

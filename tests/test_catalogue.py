@@ -49,3 +49,13 @@ def test_whole_tables(spark):
     assert pairs == set(edges)
     report = catalogue.QUERIES["sample_qc_report"](spark, DATA).collect()
     assert {r["IID"] for r in report if r["F_baf"] is not None} == {r["IID"] for r in report} and any(r["IID"] % 2 for r in report)
+
+
+def test_a_task_groups_a_bounded_number_of_lines(spark, duck, monkeypatch):
+    """Of many lines there are more tasks than Spark's setting, each with its share; the calls are the same."""
+    want = sorted(map(tuple, catalogue.calls(spark, DATA).collect()), key=repr)
+    monkeypatch.setattr(catalogue, "TASK_ROWS", 100)
+    lines = catalogue.read(spark, DATA, "lineitem").select("l_suppkey", "l_partkey", "l_linenumber")
+    sizes = [len(p) for p in catalogue.dealt_pairs(lines).rdd.glom().collect()]
+    assert len(sizes) == -(-lines.count() // 100) > 4 and max(sizes) < 200 and sum(sizes) == lines.count()
+    assert sorted(map(tuple, catalogue.calls(spark, DATA).collect()), key=repr) == want
