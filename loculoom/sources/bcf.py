@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from .plink import CELLS, GT, HELD, SPLIT, batch_dosages, cell_lists
+from .plink import CELLS, GT, HELD, SPLIT, PiecesReader, batch_dosages, cell_lists
 from .storage import SPLITS, Part, SingleFile, opened, size_of
 
 #: Fixed values of the formats: the head of a BGZF block, the empty block at the end, and the parameters of the binning.
@@ -295,11 +295,17 @@ class Chunk(InputPartition):
 class BcfReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.split = options["path"], int(options.get("splitbytes") or options.get("splitBytes") or SPLIT)
-        self.region, self.blocks, self.cells = None, 0, bool(options.get("cells"))
+        self.region, self.blocks, self.cells, self.splits = None, 0, bool(options.get("cells")), int(options.get("splits") or SPLITS)
         if options.get("region"):
             found = re.fullmatch(r"(.+?)(?::(\d+)-(\d+))?", options["region"])
             self.region = found[1], int(found[2] or 1) - 1, int(found[3] or 1 << MIN_SHIFT + 3 * DEPTH)
 
+    def counts(self) -> tuple[int, int]:
+        """Samples; variants have no numbers."""
+        store, inner = opened(self.path)
+        with store.open_input_file(inner) as f:
+            return 0, len(read_header(BlockReader(f)).samples)
+
     def partitions(self) -> list[Chunk]:
         store, inner = opened(self.path)
         with store.open_input_file(inner) as f:
@@ -310,7 +316,7 @@ class BcfReader(DataSourceReader):
             return [Chunk(first, None)]
         if self.region is None:
             # every chunk begins with a record; ranges between such beginnings cover the file
-            split = max(self.split, -(-size_of(self.path) // SPLITS))
+            split = max(self.split, -(-size_of(self.path) // self.splits))
             starts, begins = [first], sorted(b for bins in index.values() for _, held in bins.values() for b, _ in held)
             for b in begins:
                 if (b >> 16) - (starts[-1] >> 16) >= split:
@@ -473,7 +479,7 @@ class BcfWriter(Blocked):
 
 
 class BcfSource(DataSource):
-    """Options: path, region (contig or contig:from-to), splitBytes, cells (calls alone); for writing contigs and samples, by tabs.  Rows are those of the file; gt counts alleles that are not REF."""
+    """Options: path (or paths, by tabs), region (contig or contig:from-to), splitBytes, cells (calls alone); for writing contigs and samples, by tabs.  Rows are those of the file; gt counts alleles that are not REF."""
 
     @classmethod
     def name(cls) -> str:
@@ -482,8 +488,8 @@ class BcfSource(DataSource):
     def schema(self) -> str:
         return f"chrom string, pos long, variant_id string, ref string, alt string, {CELLS if self.options.get('cells') else GT}"
 
-    def reader(self, schema) -> BcfReader:
-        return BcfReader(self.options)
+    def reader(self, schema) -> DataSourceReader:
+        return PiecesReader(BcfReader, self.options) if self.options.get("paths") else BcfReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> BcfWriter:
         return BcfWriter(self.options, overwrite)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from . import readers
-from .storage import SPLITS, Part, SingleFile, blocks, opened, read_at, size_of
+from .storage import SPLITS, Part, SingleFile, blocks, opened, piece_paths, read_at, size_of
 
 #: Fixed values of the formats: the magic of a variant-major BED file and the dosages of its two-bit codes, lowest bits first (two A1 alleles, missing,
 #: one, none); the magic of PGEN files, whose codes are dosages, 3 where missing.
@@ -40,6 +40,39 @@ class Range(InputPartition):
         self.begin, self.end = begin, end
 
 
+class InFile(InputPartition):
+    """A range of one of several files, and the variants and samples of those before it."""
+
+    def __init__(self, file: int, within: InputPartition, ord: int, sample: int):
+        self.file, self.within, self.ord, self.sample = file, within, ord, sample
+
+
+class PiecesReader(DataSourceReader):
+    """The files of the option ``paths`` (by tabs), each by a reader of its own: variants and samples count on from file to file, so only cells can be told."""
+
+    def __init__(self, of: type[DataSourceReader], options: dict):
+        paths = options["paths"].split("\t")
+        if not options.get("cells") or options.get("keep"):
+            raise ValueError("several files are read as cells of all samples alone")
+        counts = options.get("samples", "").split(",")
+        self.readers = [of({**options, "path": p, "samples": counts[min(k, len(counts) - 1)], "splits": max(1, SPLITS // len(paths))}) for k, p in enumerate(paths)]
+
+    def partitions(self) -> list[InFile]:
+        out, ord, sample = [], 0, 0
+        for k, r in enumerate(self.readers):
+            out += [InFile(k, p, ord, sample) for p in r.partitions()]
+            variants, samples = r.counts()
+            ord, sample = ord + variants, sample + samples
+        return out
+
+    def read(self, partition: InFile) -> Iterator[pa.RecordBatch]:
+        for b in self.readers[partition.file].read(partition.within):
+            row, i, d = batch_cells(b)
+            b = with_cells(b, cell_lists(b.num_rows, row, i + partition.sample, d))
+            k = b.schema.get_field_index("ord")
+            yield b if k < 0 else b.set_column(k, "ord", pa.array(b.column(k).to_numpy() + partition.ord))
+
+
 def two_bit(data: bytes | np.ndarray, rows: int, samples: int, chosen: np.ndarray | None = None) -> np.ndarray:
     """rows x samples two-bit codes; of ``chosen`` samples alone if given."""
     raw = np.frombuffer(data, np.uint8).reshape(rows, (samples + 3) // 4)
@@ -85,6 +118,10 @@ def batch_cells(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return np.repeat(np.arange(len(got)), size), flat.field("i").to_numpy(), flat.field("d").to_numpy()
 
 
+def with_cells(batch: pa.RecordBatch, cells: pa.Array) -> pa.RecordBatch:
+    return batch.set_column(batch.schema.get_field_index("cells"), "cells", cells)
+
+
 def batch_dosages(batch: pa.RecordBatch, samples: int) -> np.ndarray:
     """rows x samples dosages of a batch with gt or cells, -1 where missing."""
     if "cells" not in batch.schema.names:
@@ -112,7 +149,10 @@ class BedReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.samples, self.keep = options["path"], int(options["samples"]), wanted(options)
         self.split = int(options.get("splitbytes") or options.get("splitBytes") or SPLIT)
-        self.width, self.cells = (self.samples + 3) // 4, bool(options.get("cells"))
+        self.width, self.cells, self.splits = (self.samples + 3) // 4, bool(options.get("cells")), int(options.get("splits") or SPLITS)
+
+    def counts(self) -> tuple[int, int]:
+        return (size_of(self.path) - len(BED_MAGIC)) // self.width, self.samples
 
     def partitions(self) -> list[Range]:
         size = size_of(self.path) - len(BED_MAGIC)
@@ -120,7 +160,7 @@ class BedReader(DataSourceReader):
             raise ValueError(f"{self.path} is not a variant-major BED file")
         if size % self.width:
             raise ValueError(f"{self.path} is no whole number of rows of {self.samples} samples")
-        return [Range(a, b) for a, b in blocks(size // self.width, max(self.split, -(-size // SPLITS)) // self.width)]
+        return [Range(a, b) for a, b in blocks(size // self.width, max(self.split, -(-size // self.splits)) // self.width)]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         store, inner = opened(self.path)
@@ -167,7 +207,7 @@ class BedWriter(SingleFile):
 
 
 class BedSource(DataSource):
-    """Options: path, samples (their number), keep (places of the samples to read, by commas), splitBytes, cells (calls alone)."""
+    """Options: path, samples (their number), keep (places of the samples to read, by commas), splitBytes, cells (calls alone); or paths (by tabs), with samples by commas."""
 
     @classmethod
     def name(cls) -> str:
@@ -176,8 +216,8 @@ class BedSource(DataSource):
     def schema(self) -> str:
         return f"ord long, {CELLS if self.options.get('cells') else GT}"
 
-    def reader(self, schema) -> BedReader:
-        return BedReader(self.options)
+    def reader(self, schema) -> DataSourceReader:
+        return PiecesReader(BedReader, self.options) if self.options.get("paths") else BedReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> BedWriter:
         return BedWriter(self.options, overwrite)
@@ -312,12 +352,16 @@ def to_record(codes: np.ndarray) -> tuple[int, bytes]:
 class PgenReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.keep, self.cells = options["path"], wanted(options), bool(options.get("cells"))
-        self.split = int(options.get("splitvariants") or options.get("splitVariants") or PGEN_BLOCK)
+        self.split, self.splits = int(options.get("splitvariants") or options.get("splitVariants") or PGEN_BLOCK), int(options.get("splits") or SPLITS)
+
+    def counts(self) -> tuple[int, int]:
+        head = PgenHeader(self.path)
+        return head.variants, head.samples
 
     def partitions(self) -> list[Range]:
         variants = PgenHeader(self.path).variants
         # a range stays within a block of the index
-        return [Range(a + b, a + c) for a, end in blocks(variants, PGEN_BLOCK) for b, c in blocks(end - a, max(self.split, -(-variants // SPLITS)))]
+        return [Range(a + b, a + c) for a, end in blocks(variants, PGEN_BLOCK) for b, c in blocks(end - a, max(self.split, -(-variants // self.splits)))]
 
     def read(self, partition: Range) -> Iterator[pa.RecordBatch]:
         head = PgenHeader(self.path)
@@ -402,7 +446,7 @@ class PgenWriter(SingleFile):
 
 
 class PgenSource(DataSource):
-    """Options: path, samples (their number, for writing), keep (places of the samples to read, by commas), splitVariants, cells (calls alone)."""
+    """Options: path, samples (their number, for writing), keep (places of the samples to read, by commas), splitVariants, cells (calls alone); or paths, by tabs."""
 
     @classmethod
     def name(cls) -> str:
@@ -411,8 +455,8 @@ class PgenSource(DataSource):
     def schema(self) -> str:
         return f"ord long, {CELLS if self.options.get('cells') else GT}"
 
-    def reader(self, schema) -> PgenReader:
-        return PgenReader(self.options)
+    def reader(self, schema) -> DataSourceReader:
+        return PiecesReader(PgenReader, self.options) if self.options.get("paths") else PgenReader(self.options)
 
     def writer(self, schema, overwrite: bool) -> PgenWriter:
         return PgenWriter(self.options, overwrite)
@@ -441,10 +485,17 @@ def kept_people(people: DataFrame, keep: list[str] | None) -> tuple[DataFrame, s
     return people.sparkSession.createDataFrame([(k, r.sample_id) for k, r in enumerate(rows)], "i int, sample_id string"), ",".join(str(r.i) for r in rows)
 
 
-def called_counts(spark: SparkSession, prefix: str) -> DataFrame:
-    """ord, called and obs_ct of the variants of <prefix>.bed: calls, and samples; no row is made for a call."""
-    n = readers.fam(spark, f"{prefix}.fam").count()
-    bed = registered(spark).read.format("bed").option("samples", n).option("cells", "1").load(f"{prefix}.bed")
+def bed_cells(spark: SparkSession, prefix: str, split_bytes: int = SPLIT) -> DataFrame:
+    """ord and cells of all pieces of a fileset in pieces; both count on from piece to piece."""
+    fams = spark.read.text(f"{prefix}.*.fam").groupBy(F.input_file_name().alias("file")).count().orderBy("file").collect()
+    source = registered(spark).read.format("bed").option("paths", "\t".join(piece_paths(f"{prefix}.bed"))).option("samples", ",".join(str(r["count"]) for r in fams))
+    return source.option("splitBytes", split_bytes).option("cells", "1").load()
+
+
+def called_counts(spark: SparkSession, prefix: str, pieces: bool = False) -> DataFrame:
+    """ord, called and obs_ct of the variants of <prefix>.bed, or of its pieces: calls, and samples of the cohort; no row is made for a call."""
+    n = readers.fam(spark, f"{prefix}.*.fam" if pieces else f"{prefix}.fam").count()
+    bed = bed_cells(spark, prefix) if pieces else registered(spark).read.format("bed").option("samples", n).option("cells", "1").load(f"{prefix}.bed")
     return bed.select("ord", F.size("cells").cast("long").alias("called"), F.lit(n).cast("long").alias("obs_ct"))
 
 
@@ -459,6 +510,20 @@ def read_plink1(spark: SparkSession, prefix: str, keep: list[str] | None = None,
     return long_calls(bed, readers.bim(spark, f"{prefix}.bim"), people)
 
 
+def read_pieces1(spark: SparkSession, prefix: str, split_bytes: int = SPLIT) -> DataFrame:
+    """``read_plink1`` of a fileset in pieces, without rows for no-calls."""
+    people = readers.fam(spark, f"{prefix}.*.fam").select("i", F.col("iid").alias("sample_id"))
+    return long_calls(bed_cells(spark, prefix, split_bytes), readers.bim(spark, f"{prefix}.*.bim"), people)
+
+
+def read_pieces2(spark: SparkSession, prefix: str, split_variants: int = PGEN_BLOCK) -> DataFrame:
+    """``read_plink2`` of a fileset in pieces, without rows for no-calls."""
+    people = readers.psam(spark, f"{prefix}.*.psam").select(F.col("ord").cast("int").alias("i"), F.col("iid").alias("sample_id"))
+    source = registered(spark).read.format("pgen").option("paths", "\t".join(piece_paths(f"{prefix}.pgen")))
+    pgen = source.option("splitVariants", split_variants).option("cells", "1").load()
+    return long_calls(pgen, readers.pvar(spark, f"{prefix}.*.pvar"), people)
+
+
 def read_plink2(spark: SparkSession, prefix: str, keep: list[str] | None = None, split_variants: int = PGEN_BLOCK, called: bool = False) -> DataFrame:
     """Long calls of <prefix>.pgen, .pvar and .psam, as ``read_plink1``."""
     people, places = kept_people(readers.psam(spark, f"{prefix}.psam").select(F.col("ord").cast("int").alias("i"), F.col("iid").alias("sample_id")), keep)

@@ -55,6 +55,21 @@ def read_at(path: str, at: int, n: int) -> bytes:
         return f.read_at(n, at)
 
 
+def piece_path(path: str, piece: int) -> str:
+    """The file of a piece: its number, whose places are those of its name among the others', before the ending."""
+    root, ending = path.rsplit(".", 1)
+    return f"{root}.{piece:06d}.{ending}"
+
+
+def piece_paths(path: str) -> list[str]:
+    """The files of all pieces, in their order."""
+    folder, name = path.rsplit("/", 1)
+    root, ending = name.rsplit(".", 1)
+    store, inner = opened(folder)
+    found = (f.base_name for f in store.get_file_info(fs.FileSelector(inner)))
+    return [f"{folder}/{x}" for x in sorted(x for x in found if re.fullmatch(rf"{re.escape(root)}\.\d{{6}}\.{re.escape(ending)}", x))]
+
+
 def blocks(total: int, step: int) -> list[tuple[int, int]]:
     """[from, to) ranges that cover ``total`` in steps, of 1 at least."""
     step = max(1, step)
@@ -161,10 +176,11 @@ class SingleFile(DataSourceArrowWriter):
         self.assemble(messages)
         self.publish()
 
-    def assemble(self, messages: list[Part | None]) -> None:
-        """All parts behind the head, in a file that has no name yet.  A part goes as soon as it is copied, so the file is not held twice."""
+    def assemble(self, messages: list[Part | None], first: int = 0) -> int:
+        """All parts behind the head, in a file that has no name yet; its rows are those from ``first`` on, and what comes back is the next one.
+        A part goes as soon as it is copied, so the file is not held twice."""
         parts = sorted((m for m in messages if m is not None and m.name), key=lambda m: m.first)
-        for before, p in zip([Part(), *parts], parts):
+        for before, p in zip([Part(last=first - 1), *parts], parts):
             if p.first != before.last + 1:
                 raise ValueError(f"rows {before.last + 1} to {p.first - 1} are missing or repeated")
         store, folder = opened(self.parts)
@@ -181,6 +197,7 @@ class SingleFile(DataSourceArrowWriter):
                 store.delete_file(f"{folder}/{p.name}")
             out.write(self.tail())
         self.beside(parts, start)
+        return parts[-1].last + 1 if parts else first
 
     def publish(self) -> None:
         store, inner = opened(self.path)
@@ -205,18 +222,32 @@ class Several(DataSourceArrowWriter):
     def __init__(self, files: list[SingleFile]):
         self.files = files
 
-    def write(self, batches: Iterator[pa.RecordBatch]) -> Parts:
+    def start(self) -> None:
         for f in self.files:
             f.part, f.out = Part(), None
+
+    def put(self, batch: pa.RecordBatch) -> None:
+        for f in self.files:
+            f.add(batch)
+
+    def done(self) -> Parts:
+        return Parts([f.end() for f in self.files])
+
+    def write(self, batches: Iterator[pa.RecordBatch]) -> Parts:
+        self.start()
         for b in batches:
             if b.num_rows:
-                for f in self.files:
-                    f.add(b)
-        return Parts([f.end() for f in self.files])
+                self.put(b)
+        return self.done()
 
     def commit(self, messages: list[Parts | None]) -> None:
-        for k, f in enumerate(self.files):
-            f.assemble([m.of[k] for m in messages if m is not None])
+        self.assemble([m for m in messages if m is not None])
+        self.publish()
+
+    def assemble(self, messages: list[Parts], first: int = 0) -> int:
+        return max([f.assemble([m.of[k] for m in messages], first) for k, f in enumerate(self.files)], default=first)
+
+    def publish(self) -> None:
         for f in self.files:
             f.publish()
 

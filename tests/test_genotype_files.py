@@ -305,3 +305,39 @@ def test_memory_of_many_samples(tmp_path):
     assert dense.encode(gt) == writer.encode(batch.slice(0, 20))
     large = plink.BedReader({"path": path, "samples": n, "splitbytes": 1})
     assert len(large.partitions()) == rows and plink.SPLITS < 10_000
+
+
+def test_pieces_hold_what_their_samples_are_known_at(spark, tmp_path):
+    """Of cohorts without a common site every piece has the sites of its own samples, so that files grow with the calls; read together they are the whole, in all formats."""
+    rows = [(f"chr{1 + v % 3}", 10 * v, f"v{v:03}", "A", "G", f"s{k:02}", (v + k) % 4 if (v + k) % 4 < 3 else None) for k in range(11) for v in range(60) if v // 20 == k // 4 or (v, k) in ((7, 10), (59, 0))]
+    calls, at = spark.createDataFrame(rows, f"{SITE}, sample_id string, dosage int").repartition(5), str(tmp_path / "c")
+    people = files.samples_in_order(calls.select("sample_id").distinct().withColumn("sex", storage.F.lit(1)))
+    files.genotype_rows(calls, people, 4).write.parquet(f"{at}.parquet")
+    kept = spark.read.parquet(f"{at}.parquet")
+    files.write_files(kept, people, {k: f"{at}.{k}" for k in ("bed", "bim", "pgen", "pvar", "bcf")}, piece=4)
+    files.write_files(files.site_rows(kept), people, {"bim": f"{at}.bim"})
+    files.write_fam(people, f"{at}.fam", 4)
+    files.write_psam(people, f"{at}.psam", 4)
+    assert [os.path.getsize(p) - 3 for p in storage.piece_paths(f"{at}.bed")] == [21, 20, 21] and not [p for p in os.listdir(tmp_path) if "parts" in p]
+    told = {(r[2], r[5]): r[6] for r in rows if r[6] is not None}
+    assert by_call(plink.read_pieces1(spark, at, split_bytes=5)) == told
+    assert by_call(plink.read_pieces2(spark, at, split_variants=7)) == told
+    assert by_call(files.read_bcf(spark, f"{at}.bcf", called=True, pieces=True)) == told
+    assert by_call(files.read_bcf(spark, f"{at}.bcf", "chr2:100-300", called=True, pieces=True)) == {k: d for k, d in told.items() if int(k[0][1:]) % 3 == 1 and 10 <= int(k[0][1:]) <= 30}
+    # a piece is a fileset of its own
+    one = plink.read_plink1(spark, f"{at}.000001", called=True)
+    assert by_call(one) == {k: d for k, d in told.items() if "s04" <= k[1] < "s08"}
+    assert [r.variant_id for r in readers.bim(spark, f"{at}.bim").orderBy("ord").collect()] == sorted({r[2] for r in rows}, key=lambda v: (int(v[1:]) % 3, v))
+    with pytest.raises(ValueError, match="exists"):
+        files.write_files(kept, people, {"bed": f"{at}.bed"}, piece=4)
+
+
+@pytest.mark.parametrize("name", ["bed_round_trip", "pgen_round_trip", "bcf_round_trip", "bcf_region", "bim_and_bed_missingness"])
+def test_queries_do_not_depend_on_pieces(spark, monkeypatch, name):
+    from loculoom.plans import interchange
+
+    from .conftest import DATA
+
+    want = sorted(map(tuple, interchange.QUERIES[name](spark, DATA).collect()))
+    monkeypatch.setattr(files, "PIECE", 3)
+    assert (want or name == "bcf_region") and sorted(map(tuple, interchange.QUERIES[name](spark, DATA).collect())) == want
