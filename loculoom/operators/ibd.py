@@ -10,6 +10,7 @@ segment.  Only counts and segments leave a comparison; no row is made for a pair
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -25,28 +26,45 @@ from ..sources import storage
 DUPLICATE_IBD2, FIRST, SECOND, THIRD, FULL_SIB_IBD2 = 0.7, 0.35355, 0.17678, 0.08839, 0.08
 #: Samples of a block, sites of a tile, variants of a comparison of counts and of one product in it, calls looked at at once, and what a missing call is packed as.
 BLOCK_SAMPLES, TILE, PART_VARIANTS, STEP, HELD, MISSING = 256, 256, 1 << 17, 8_000, 4_000_000, 3
+#: Width, whether places follow, and how many there are of dosages 0 and 1.
+HEAD = struct.Struct("<4I")
 #: Blocks whose pairs share less than one in so many of their cells are joined by site.
 SPARSE = 64
 #: Calls that a pair must be expected to share in the shortest segment's windows for the screen to be worth its products.
 SCREENED = 4
 
 
+def place_type(n_samples: int, width: int) -> np.dtype:
+    """The narrowest numbers for places in a matrix."""
+    return np.dtype("<u2" if n_samples * width <= 1 << 16 else "<u4")
+
+
 def pack(samples: np.ndarray, sites: np.ndarray, dosage: np.ndarray, n_samples: int) -> tuple[bytes, int]:
-    """Calls (sample number, site number, dosage) as a matrix of two bits a call, and the number of bytes a sample."""
+    """Calls (sample number, site number, dosage) as a matrix of two bits a call, or where that is shorter as the places of the calls, dosage by dosage; and the number of bytes a sample of the matrix."""
     width = (int(sites.max()) // 4 + 1) * 4 if len(sites) else 4
+    kind = place_type(n_samples, width)
+    if len(sites) * kind.itemsize < n_samples * width // 4:
+        at = samples.astype(np.int64) * width + sites
+        lists = [np.sort(at[dosage == d]).astype(kind) for d in range(3)]
+        return HEAD.pack(width, 1, len(lists[0]), len(lists[1])) + b"".join(x.tobytes() for x in lists), width // 4
     m = np.full((n_samples, width), MISSING, np.uint8)
     m[samples, sites] = dosage
     m = m.reshape(n_samples, width // 4, 4)
-    return (m[:, :, 0] | m[:, :, 1] << 2 | m[:, :, 2] << 4 | m[:, :, 3] << 6).tobytes(), width // 4
+    return HEAD.pack(width, 0, 0, 0) + (m[:, :, 0] | m[:, :, 1] << 2 | m[:, :, 2] << 4 | m[:, :, 3] << 6).tobytes(), width // 4
 
 
 def unpack(data: bytes, n_samples: int, width: int) -> np.ndarray:
     """The matrix again, to at least ``width`` bytes a sample."""
-    m = np.frombuffer(data, np.uint8).reshape(n_samples, -1)
-    out = np.full((n_samples, max(width, m.shape[1]), 4), MISSING, np.int8)
+    own, places, zeros, ones = HEAD.unpack_from(data)
+    out = np.full((n_samples, max(width, own // 4) * 4), MISSING, np.int8)
+    if places:
+        for d, at in enumerate(np.split(np.frombuffer(data, place_type(n_samples, own), -1, HEAD.size), [zeros, zeros + ones])):
+            out[at // own, at % own] = d
+        return out
+    m = np.frombuffer(data, np.uint8, -1, HEAD.size).reshape(n_samples, own // 4)
     for k in range(4):
-        out[:, : m.shape[1], k] = m >> (2 * k) & 3
-    return out.reshape(n_samples, -1)
+        out[:, k:own:4] = m >> (2 * k) & 3
+    return out
 
 
 def numbered_samples(calls: DataFrame) -> DataFrame:
@@ -61,15 +79,15 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def packed_tiles(calls: DataFrame) -> DataFrame:
-    """chrom, tile, block, rows, ids, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos); sites are numbered by chromosome and position, a sample's row
-    in its block is its number's rest.  Numbers alone go to the packer."""
+def packed_tiles(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """chrom, tile, block, rows, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos), and the numbered samples; sites are numbered by chromosome and position,
+    a sample's row in its block is its number's rest.  Numbers alone go to the packer, and the samples, far fewer than calls, to all tasks."""
     called = kept(calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", F.col("dosage").cast("tinyint").alias("dosage"), "chrom", "pos"))
-    people = kept(numbered_samples(called)).withColumn("block", F.expr(f"CAST(i div {BLOCK_SAMPLES} AS LONG)"))
+    people = kept(numbered_samples(called))
     sites = storage.ranked(called.groupBy("chrom", "variant_id").agg(F.min("pos").cast("long").alias("pos")), "chrom", "pos", "variant_id")
-    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).join(people, "sample_id")
+    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).join(F.broadcast(people), "sample_id")
     rows = rows.select(
-        "chrom", F.expr(f"ord div {TILE}").alias("tile"), "block", (F.col("i") % BLOCK_SAMPLES).cast("int").alias("k"), (F.col("ord") % TILE).cast("int").alias("site"), "pos", "dosage",
+        "chrom", F.expr(f"ord div {TILE}").alias("tile"), F.expr(f"CAST(i div {BLOCK_SAMPLES} AS LONG)").alias("block"), (F.col("i") % BLOCK_SAMPLES).cast("int").alias("k"), (F.col("ord") % TILE).cast("int").alias("site"), "pos", "dosage",
     )
     chrom = calls.schema["chrom"].dataType.simpleString()
 
@@ -81,35 +99,37 @@ def packed_tiles(calls: DataFrame) -> DataFrame:
         one = t.slice(0, 1).select(["chrom", "tile", "block"])
         return one.append_column("rows", pa.array([int(k.max()) + 1], pa.int32())).append_column("pos", pa.array([pos.tobytes()], pa.binary())).append_column("data", pa.array([data], pa.binary()))
 
-    packed = rows.groupBy("chrom", "tile", "block").applyInArrow(run, f"chrom {chrom}, tile long, block long, rows int, pos binary, data binary")
-    ids = people.groupBy("block").agg(F.array_sort(F.collect_list(F.struct("i", "sample_id"))).getField("sample_id").alias("ids"))
-    return packed.join(ids, "block")
+    return rows.groupBy("chrom", "tile", "block").applyInArrow(run, f"chrom {chrom}, tile long, block long, rows int, pos binary, data binary"), people
 
 
 def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str, part: int | None = None) -> DataFrame:
-    """s1, s2, chrom and ``fields`` of pairs of samples s1 < s2; with ``part`` a comparison holds so many tiles at most.
+    """s1, s2, chrom and ``fields`` of pairs of samples s1 < s2; with ``part`` a comparison holds so many tiles at most, and if a block has more
+    there is a further column part.
 
     ``compare(ones, others, pos)`` takes the calls of two blocks, samples by sites, and yields arrays: numbers of the one sample,
     of the other, and values.  Within a block each pair comes both ways and is kept once.
     """
-    tiles = kept(packed_tiles(calls))
+    packed, people = packed_tiles(calls)
+    tiles, size = kept(packed), BLOCK_SAMPLES
+    if part and (tiles.groupBy("chrom", "block").count().agg(F.max("count")).head()[0] or 0) <= part:
+        part = None
     # a tile of a block goes to the pairs of blocks that both have calls there
     there = tiles.groupBy("chrom", "tile").agg(F.collect_list("block").alias("there"))
     dealt = tiles.join(there, ["chrom", "tile"]).select("*", F.explode("there").alias("k")).withColumns({"i": F.least("block", "k"), "j": F.greatest("block", "k")}).drop("k", "there")
     dealt = dealt.withColumn("part", F.expr(f"tile div {part}") if part else F.lit(0))
-    chrom, sample = (calls.schema[c].dataType.simpleString() for c in ("chrom", "sample_id"))
-    schema = f"s1 {sample}, s2 {sample}, chrom {chrom}, {fields}"
+    chrom = calls.schema["chrom"].dataType.simpleString()
+    schema = f"i1 int, i2 int, chrom {chrom}, {fields}" + (", part long" if part else "")
     shape = to_arrow_schema(StructType.fromDDL(schema))
 
     def run(t: pa.Table) -> pa.Table:
         i, j = t.column("i")[0].as_py(), t.column("j")[0].as_py()
         block, (known, at) = t.column("block").to_numpy(), np.unique(t.column("tile").to_numpy(), return_inverse=True)
-        ids, calls_of = {}, {}
+        calls_of = {b: np.full((0, 0), MISSING, np.int8) for b in (i, j)}
         pos = np.zeros(len(known) * TILE, np.int64)
-        for k, (b, place, rows) in enumerate(zip(block.tolist(), at.tolist(), t.column("rows").to_pylist())):
-            if b not in ids:
-                ids[b] = pa.array(t.column("ids")[k].values)
-                calls_of[b] = np.full((len(ids[b]), len(known) * TILE), MISSING, np.int8)
+        held = t.column("rows").to_numpy()
+        for b in calls_of:
+            calls_of[b] = np.full((int(held[block == b].max()), len(known) * TILE), MISSING, np.int8)
+        for k, (b, place, rows) in enumerate(zip(block.tolist(), at.tolist(), held.tolist())):
             m = unpack(t.column("data")[k].as_py(), rows, 0)
             a = place * TILE
             calls_of[b][:rows, a : a + m.shape[1]] = m
@@ -120,10 +140,13 @@ def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.nda
             return shape.empty_table()
         keep = got[0] < got[1] if i == j else np.ones(len(got[0]), bool)
         a, b, *values = (c[keep] for c in got)
-        columns = [ids[i].take(pa.array(a)), ids[j].take(pa.array(b)), np.full(len(a), t.column("chrom")[0].as_py()), *values]
-        return pa.Table.from_arrays([c.cast(f.type) if isinstance(c, pa.Array) else pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
+        columns = [a + i * size, b + j * size, np.full(len(a), t.column("chrom")[0].as_py()), *values, *([np.full(len(a), t.column("part")[0].as_py())] if part else [])]
+        return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
 
-    return dealt.groupBy("chrom", "part", "i", "j").applyInArrow(run, schema)
+    found = dealt.groupBy("chrom", "part", "i", "j").applyInArrow(run, schema)
+    for k in "12":
+        found = found.join(F.broadcast(people.select(F.col("i").alias(f"i{k}"), F.col("sample_id").alias(f"s{k}"))), f"i{k}")
+    return found.select("s1", "s2", *[f.name for f in shape if f.name not in ("i1", "i2")])
 
 
 def called_cells(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,6 +205,8 @@ def ibs_counts(calls: DataFrame) -> DataFrame:
         yield k, o, opposite, every - same - opposite, same
 
     counts = compared(dealt, compare, "ibs0 long, ibs1 long, ibs2 long", max(1, PART_VARIANTS // TILE))
+    if "part" not in counts.columns:  # every pair was compared once
+        return counts.drop("chrom")
     return counts.groupBy("s1", "s2").agg(*[F.sum(f"ibs{k}").alias(f"ibs{k}") for k in range(3)])
 
 

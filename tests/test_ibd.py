@@ -129,3 +129,30 @@ def test_blocks_meet_in_common_tiles_alone(spark, monkeypatch):
     met = ibd.compared(long_calls(spark, d, pos), compare, "width long").collect()
     # three blocks a cohort: three pairs of unlike ones, and three of a block with itself, each over the ten tiles of the cohort's own
     assert len(met) == 3 * 6 and {r.width for r in met} == {200} and all(int(r.s1[1:]) // 30 == int(r.s2[1:]) // 30 for r in met)
+
+
+def test_sparse_tiles_are_packed_by_their_calls():
+    """Few calls take two bytes each, many two bits; both come back."""
+    rng = np.random.default_rng(2)
+    for n, sites, called in ((256, 256, 0.03), (256, 256, 0.6), (7, 20, 0.1), (300, 512, 0.01), (1, 1, 1.0)):
+        d = np.where(rng.random((n, sites)) < called, rng.integers(0, 3, (n, sites)), ibd.MISSING).astype(np.int8)
+        d[-1, -1] = 2
+        k, s = np.nonzero(d != ibd.MISSING)
+        data, width = ibd.pack(k, s, d[k, s], n)
+        back = ibd.unpack(data, n, 0)
+        assert back.shape == (n, 4 * width) and (back[:, :sites] == d).all() and (back[:, sites:] == ibd.MISSING).all()
+        assert len(data) <= ibd.HEAD.size + min(len(k) * (2 if n * width * 4 <= 1 << 16 else 4), n * width)
+
+
+def test_pairs_of_one_part_are_not_summed(spark, monkeypatch):
+    """Where no block has more tiles than a comparison holds, counts of pairs are shuffled no more; else they are summed, to the same."""
+    monkeypatch.setattr(ibd, "BLOCK_SAMPLES", 5)
+    monkeypatch.setattr(ibd, "TILE", 20)
+    d, pos = family(6, 13, 150, 0.4)
+    once = ibd.ibs_counts(long_calls(spark, d, pos))
+    plan = once._jdf.queryExecution().executedPlan().toString()
+    assert "sum(ibs0" not in plan and "HashAggregate" not in plan.split("FlatMapGroups")[0]
+    monkeypatch.setattr(ibd, "PART_VARIANTS", 60)
+    summed = ibd.ibs_counts(long_calls(spark, d, pos))
+    assert "sum(ibs0" in summed._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, once.collect())) == sorted(map(tuple, summed.collect())) and once.columns == summed.columns
