@@ -247,16 +247,16 @@ s AS (SELECT 0 AS side, ord, "ID1" AS iid, "ID2" || ':' || k || ':' || inf AS pa
 wide AS (SELECT iid AS "IID", {', '.join(f"string_agg(payload, ';' ORDER BY side, ord) FILTER (WHERE inf IN ({v})) AS {c}" for c, v in (('"RELATED_MZ"', "'Dup/MZ'"), ('"RELATED_1ST"', "'PO', 'FS'"), ('"RELATED_2ND"', "'2nd'"), ('"RELATED_3RD"', "'3rd'")))} FROM s GROUP BY iid)"""
 
 
-def seg(spark: SparkSession, sf_dir: str) -> DataFrame:
+def seg(calls: DataFrame) -> DataFrame:
     """Edges between samples and variants as in ``SEGS``."""
-    c = calls(spark, sf_dir).filter("sample_id < variant_id AND dosage IS NOT NULL").withColumn("ord", F.struct("sample_id", "variant_id"))
+    c = calls.filter("sample_id < variant_id AND dosage IS NOT NULL").withColumn("ord", F.struct("sample_id", "variant_id"))
     inf = F.when(F.col("dosage") == 0, "PO").when(F.col("dosage") == 1, "FS").otherwise("3rd")
     return c.select(F.col("sample_id").alias("ID1"), F.col("variant_id").alias("ID2"), ((F.col("dosage") + 1).cast("double") / 4).alias("IBD1Seg"), ((F.col("sample_id") % 5).cast("double") / 8).alias("IBD2Seg"), inf.alias("InfType"), "ord")
 
 
 @query(f"WITH {CALLS}, {SEGS}, {SIDES} SELECT * FROM wide")
 def relatedness_pivot(spark, sf_dir):
-    return reports.relatedness_wide(seg(spark, sf_dir), validate=False)
+    return reports.relatedness_wide(seg(calls(spark, sf_dir)), validate=False)
 
 
 @query(f"""WITH t AS (SELECT l_orderkey, l_linenumber, l_partkey, round_even(l_discount::DOUBLE / 4 + l_tax::DOUBLE / 2, 4) AS kinship FROM lineitem),
@@ -278,7 +278,7 @@ def sample_qc_report(spark, sf_dir):
     het = six(stats.inbreeding(c), "f").filter("f IS NOT NULL").select(F.col("sample_id").alias("IID"), F.col("o_hom").alias("O_HOM"), F.col("f").alias("F"))
     sex = read(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("IID"), (F.col("s_nationkey") % 2 + 1).alias("PEDSEX"), F.round("s_acctbal", 6).alias("F"))
     baf = read(spark, sf_dir, "lineitem").groupBy(F.col("l_suppkey").alias("IID")).agg(F.round(F.avg("l_tax"), 6).alias("F"))
-    return reports.sample_qc(sm, het, sex, reports.relatedness_wide(seg(spark, sf_dir), validate=False), baf)
+    return reports.sample_qc(sm, het, sex, reports.relatedness_wide(seg(calls(spark, sf_dir)), validate=False), baf)
 
 
 @query(f"WITH {ANALYSES} SELECT cohort_id, type, analysis_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY cohort_id, type ORDER BY coalesce(ts, '') DESC, analysis_id) AS rn FROM analyses) WHERE rn = 1")

@@ -29,7 +29,7 @@ def text_file(rows: DataFrame, path: str, order: list[str], *cells: Column | str
     """One file of the rows in the given order, the header first; null is NA."""
     told = [F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit("NA")) for c in cells]
     lines = rows.select(*order, F.concat_ws(sep, *told).alias("value"))
-    storage.write_lines(storage.ranked(lines, *order).select("ord", "value"), path, head)
+    storage.write_lines(lines, path, head, tuple(order))
     return path
 
 
@@ -69,11 +69,14 @@ b AS (SELECT l_suppkey AS "IID", round(avg(l_tax), 6) AS baf FROM lineitem WHERE
 SELECT CAST("IID" AS VARCHAR) AS "IID", "MISSING_CT", "F", "O_HOM", "F_het", "PEDSEX", "F_sex", "RELATED_MZ", "RELATED_1ST", "RELATED_2ND", "RELATED_3RD", baf FROM sm JOIN h USING ("IID") JOIN x USING ("IID") LEFT JOIN wide USING ("IID") LEFT JOIN b USING ("IID")""")
 def sample_qc_files(spark, sf_dir):
     """The tools' tables and two contamination reports as text in; the sample report as CSV out."""
-    at, c = storage.scratch(spark), catalogue.calls(spark, sf_dir)
+    at = storage.scratch(spark)
+    # four tables are made of the calls, which are summed once
+    catalogue.calls(spark, sf_dir).write.parquet(f"{at}/calls")
+    c = spark.read.parquet(f"{at}/calls")
     text_file(stats.missingness(c, "sample_id"), f"{at}/smiss", ["sample_id"], "sample_id", "missing_ct", F.round("f_miss", 6), head="#IID\tMISSING_CT\tF\n")
     text_file(stats.inbreeding(c).filter("f IS NOT NULL"), f"{at}/het", ["sample_id"], "sample_id", "o_hom", F.round("f", 6), head="#IID  O_HOM\tF\n", sep="  ")
     text_file(catalogue.read(spark, sf_dir, "supplier"), f"{at}/sex", ["s_suppkey"], "s_suppkey", F.col("s_nationkey") % 2 + 1, F.round("s_acctbal", 6), head="#IID\tPEDSEX\tF\n")
-    text_file(catalogue.seg(spark, sf_dir), f"{at}/seg", ["ID1", "ID2"], "ID1", "ID2", "IBD1Seg", "IBD2Seg", "InfType", head="ID1\tID2\tIBD1Seg\tIBD2Seg\tInfType\n")
+    text_file(catalogue.seg(c), f"{at}/seg", ["ID1", "ID2"], "ID1", "ID2", "IBD1Seg", "IBD2Seg", "InfType", head="ID1\tID2\tIBD1Seg\tIBD2Seg\tInfType\n")
     baf = catalogue.read(spark, sf_dir, "lineitem").groupBy("l_suppkey").agg(F.round(F.avg("l_tax"), 6).alias("baf"))
     for k in (0, 1):
         text_file(baf.filter(f"l_suppkey % 3 = {k}"), f"{at}/baf{k}", ["l_suppkey"], "l_suppkey", "baf", head="sample_id\tbaf\n")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import DataSourceArrowWriter, WriterCommitMessage
 
 COPY = 8 << 20
 #: Most splits of a file that is read by ranges: of a large file they are larger than asked.
@@ -80,8 +80,26 @@ def numbered_lines(spark: SparkSession, path: str, skip: str | None = None, blan
     """ord (from 0) and value of the lines of a text file, or of the parts of one in the order of their names; lines that begin with ``skip`` and
     (unless ``blank``) blank ones do not count.  Splits are counted and then read with the same boundaries, so a large file is never one value."""
     spark.read.text(path)  # a path that is not there is told as by any reader
-    lines = spark.sparkContext.textFile(path).filter(lambda x: (blank or x.strip()) and not (skip and x.startswith(skip)))
-    return lines.zipWithIndex().map(lambda x: (x[1], x[0])).toDF("ord long, value string")
+    # an RDD keeps its splits, which those of a table may not; its lines stay Spark's own and pass no Python
+    rdd = spark.sparkContext._jsc.textFile(path).rdd()
+    lines = DataFrame(spark._jsparkSession.createDataset(rdd, spark._jvm.Encoders.STRING()).toDF(), spark)
+    if not blank:
+        lines = lines.filter(F.col("value").rlike(r"(?U)[^\s\x1c-\x1f]"))
+    if skip:
+        lines = lines.filter(~F.col("value").startswith(skip))
+    placed = lines.withColumn("place_", F.monotonically_increasing_id())
+    sizes, starts, n = placed.groupBy(F.shiftright("place_", 33).cast("int").alias("range_")).count().orderBy("range_").collect(), [], 0
+    for r in sizes:
+        starts.append((r.range_, n))
+        n += r["count"]
+    return numbered(placed, spark.createDataFrame(starts, "range_ int, before_ long")).select("ord", "value")
+
+
+def numbered(placed: DataFrame, before: DataFrame) -> DataFrame:
+    """``ord`` of rows whose ``place_`` is an increasing id, by the rows ``before_`` each range: one a task, so few."""
+    own = F.col("place_").bitwiseAND(F.lit((1 << 33) - 1))
+    rows = placed.withColumn("range_", F.shiftright("place_", 33).cast("int")).join(F.broadcast(before), "range_")
+    return rows.withColumn("ord", F.col("before_") + own).drop("place_", "range_", "before_")
 
 
 @dataclass
@@ -256,36 +274,36 @@ class Several(DataSourceArrowWriter):
             f.abort([])
 
 
-class TextWriter(SingleFile):
-    """Lines of rows(ord, value) behind a head."""
-
-    def head(self, parts: list[Part]) -> Iterable[bytes]:
-        return (self.options.get("head", "").encode(),)
-
-    def encode(self, batch: pa.RecordBatch) -> bytes:
-        return "".join(f"{v}\n" for v in batch.column(batch.schema.get_field_index("value")).to_pylist()).encode()
-
-
-class TextSink(DataSource):
-    """A sink of one text file.  Options: path, head."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "one_text_file"
-
-    def writer(self, schema, overwrite: bool) -> TextWriter:
-        return TextWriter(self.options, overwrite)
-
-
-def write_lines(lines: DataFrame, path: str, head: str = "") -> None:
-    """One text file of ``lines(ord, value)``, written by all tasks."""
-    lines.sparkSession.dataSource.register(TextSink)
-    in_ranges(lines).write.format("one_text_file").option("head", head).mode("append").save(path)
+def write_lines(lines: DataFrame, path: str, head: str = "", order: tuple[str, ...] = ("ord",)) -> None:
+    """One text file of the column ``value`` of ``lines`` in the order of the columns ``order``, behind a head: Spark's own writer makes a part of every range, and the parts are put
+    together as a stream of bytes."""
+    store, inner = opened(path)
+    if store.get_file_info(inner).type != fs.FileType.NotFound:
+        raise ValueError(f"{path} exists")
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    _, folder = opened(parts)
+    try:
+        in_ranges(lines, *order).select("value").write.option("lineSep", "\n").option("compression", "none").text(parts)
+        with store.open_output_stream(f"{folder}/whole", compression=None) as out:
+            out.write(head.encode())
+            # the number of a part, which is that of its range, then that of a part's file
+            found = [f.path for f in store.get_file_info(fs.FileSelector(folder)) if f.base_name.startswith("part-")]
+            for p in sorted(found, key=lambda p: (int(p.rsplit("/", 1)[-1].split("-")[1]), p)):
+                with store.open_input_stream(p, compression=None) as piece:
+                    while data := piece.read(COPY):
+                        out.write(data)
+                # a part goes as soon as it is copied, so the file is not held twice
+                store.delete_file(p)
+        store.move(f"{folder}/whole", inner)
+    finally:
+        if store.get_file_info(folder).type != fs.FileType.NotFound:
+            store.delete_dir(folder)
 
 
-def in_ranges(df: DataFrame) -> DataFrame:
-    """Rows dealt to tasks by ranges of ``ord``, in order."""
-    return df.repartitionByRange("ord").sortWithinPartitions("ord")
+def in_ranges(df: DataFrame, *order: str) -> DataFrame:
+    """Rows dealt to tasks by ranges of ``order`` (else ``ord``), in order."""
+    order = order or ("ord",)
+    return df.repartitionByRange(*order).sortWithinPartitions(*order)
 
 
 def ranked(df: DataFrame, *order) -> DataFrame:
@@ -296,8 +314,7 @@ def ranked(df: DataFrame, *order) -> DataFrame:
     keys = [c if not isinstance(c, str) else F.col(c) for c in order]
     placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place_", F.monotonically_increasing_id())
     placed.write.parquet(at)
-    placed = df.sparkSession.read.schema(placed.schema).parquet(at).withColumn("range_", F.shiftright("place_", 33))
+    placed = df.sparkSession.read.schema(placed.schema).parquet(at)
     # one row a range, so the running sum over them is small
-    sizes, below = placed.groupBy("range_").agg(F.count("*").alias("n_")), Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select("range_", F.coalesce(F.sum("n_").over(below), F.lit(0)).alias("before_"))
-    return placed.join(before, "range_").withColumn("ord", F.col("before_") + F.col("place_").bitwiseAND(F.lit((1 << 33) - 1))).drop("place_", "range_", "before_")
+    sizes, below = placed.groupBy(F.shiftright("place_", 33).cast("int").alias("range_")).count(), Window.orderBy("range_").rowsBetween(Window.unboundedPreceding, -1)
+    return numbered(placed, sizes.select("range_", F.coalesce(F.sum("count").over(below), F.lit(0)).alias("before_")))

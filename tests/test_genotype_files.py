@@ -8,6 +8,7 @@ import struct
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from loculoom.sources import bcf, files, plink, readers, storage
 
@@ -341,3 +342,24 @@ def test_queries_do_not_depend_on_pieces(spark, monkeypatch, name):
     want = sorted(map(tuple, interchange.QUERIES[name](spark, DATA).collect()))
     monkeypatch.setattr(files, "PIECE", 3)
     assert (want or name == "bcf_region") and sorted(map(tuple, interchange.QUERIES[name](spark, DATA).collect())) == want
+
+
+def test_lines_pass_no_python(spark, tmp_path):
+    """A file is numbered by Spark itself, and written where the thread that asks for it has no active session; blank is what has white space of any kind alone."""
+    rows = [(k * 7919 % 5000, f"line {k * 7919 % 5000}") for k in range(5000)]
+    frame, at = spark.createDataFrame(rows, "k int, value string").repartition(6), str(tmp_path / "a.txt")
+    spark._jvm.org.apache.spark.sql.SparkSession.clearActiveSession()
+    try:
+        storage.write_lines(frame.withColumn("ord", F.col("k").cast("long")), at, "#head\n")
+    finally:
+        spark._jvm.org.apache.spark.sql.SparkSession.setActiveSession(spark._jsparkSession)
+    assert (tmp_path / "a.txt").read_text() == "#head\n" + "".join(f"line {k}\n" for k in range(5000)) and {p.name for p in tmp_path.iterdir()} - {".a.txt.crc"} == {"a.txt"}
+    with pytest.raises(ValueError, match="exists"):
+        storage.write_lines(frame.withColumn("ord", F.col("k").cast("long")), at)
+    got = storage.numbered_lines(spark, at, "#")
+    assert {r.ord: r.value for r in got.collect()} == {k: f"line {k}" for k in range(5000)}
+    assert "PythonRDD" not in got._jdf.queryExecution().toRdd().toDebugString()
+    (tmp_path / "b.txt").write_text("a\n \t\n \n\x1c\n\n b \n")
+    assert [(r.ord, r.value) for r in storage.numbered_lines(spark, str(tmp_path / "b.txt")).orderBy("ord").collect()] == [(0, "a"), (1, " b ")]
+    (tmp_path / "c.txt").write_text("")
+    assert storage.numbered_lines(spark, str(tmp_path / "c.txt")).collect() == []
