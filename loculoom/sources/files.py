@@ -105,7 +105,8 @@ def samples_in_order(people: DataFrame) -> DataFrame:
 
 
 def contig_order() -> Column:
-    return F.asc_nulls_last(variants.numeric_contig(F.col("chrom")).try_cast("int"))
+    """Numbered contigs by number, others behind them."""
+    return F.coalesce(variants.numeric_contig(F.col("chrom")).try_cast("int"), F.lit(2**31 - 1))
 
 
 def genotype_rows(calls: DataFrame, people: DataFrame, piece: int | None = None) -> DataFrame:

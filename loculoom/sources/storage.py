@@ -307,12 +307,14 @@ def in_ranges(df: DataFrame, *order: str) -> DataFrame:
 
 
 def ranked(df: DataFrame, *order) -> DataFrame:
-    """Add ``ord``, the place (from 0) in the given order, without a task that sees all rows: ranges are sorted, counted and numbered.
+    """Add ``ord``, the place (from 0) in the given ascending order, without a task that sees all rows: ranges are sorted, counted and numbered.
 
     The ranges are written first, since their boundaries are drawn by sampling and would not be the same again."""
     at = scratch(df.sparkSession)
-    keys = [c if not isinstance(c, str) else F.col(c) for c in order]
-    placed = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("place_", F.monotonically_increasing_id())
+    # an expression is a column of its own before rows are sorted: a sort would compute it anew at every comparison
+    made = {f"key{k}_": c for k, c in enumerate(order) if not isinstance(c, str)}
+    keys = [c if isinstance(c, str) else f"key{k}_" for k, c in enumerate(order)]
+    placed = in_ranges(df.withColumns(made), *keys).drop(*made).withColumn("place_", F.monotonically_increasing_id())
     placed.write.parquet(at)
     placed = df.sparkSession.read.schema(placed.schema).parquet(at)
     # one row a range, so the running sum over them is small

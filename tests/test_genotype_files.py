@@ -363,3 +363,19 @@ def test_lines_pass_no_python(spark, tmp_path):
     assert [(r.ord, r.value) for r in storage.numbered_lines(spark, str(tmp_path / "b.txt")).orderBy("ord").collect()] == [(0, "a"), (1, " b ")]
     (tmp_path / "c.txt").write_text("")
     assert storage.numbered_lines(spark, str(tmp_path / "c.txt")).collect() == []
+
+
+def test_places_by_an_expression_are_sorted_by_a_column(spark, monkeypatch):
+    """The order of contigs is computed once a row and not at every comparison of a sort; contigs without a number come last."""
+    plans, dealt = [], storage.in_ranges
+
+    def seen(df, *order):
+        out = dealt(df, *order)
+        plans.append(out._jdf.queryExecution().optimizedPlan().toString())
+        return out
+
+    monkeypatch.setattr(storage, "in_ranges", seen)
+    sites = spark.createDataFrame([(c, k) for k in range(3) for c in ("chr10", "chrUn", "chr9", "chrX")], "chrom string, pos int")
+    got = [(r.ord, r.chrom, r.pos) for r in storage.ranked(sites, files.contig_order(), "chrom", "pos").orderBy("ord").collect()]
+    assert got == [(3 * n + k, c, k) for n, c in enumerate(("chr9", "chr10", "chrX", "chrUn")) for k in range(3)]
+    assert plans and not [x for p in plans for x in p.splitlines() if ("Sort " in x or "Repartition" in x) and "regexp" in x]
