@@ -6,10 +6,14 @@ few pairs of a meeting share a site are joined by site; others are compared as m
 has no opposite homozygotes in any window that it covers, the opposite homozygotes of all pairs in a window are one product of 0/1 matrices,
 and only pairs with as many clean windows in a row as the shortest segment covers are compared site by site.  The screen never drops a
 segment.  Only counts and segments leave a comparison; no row is made for a pair and a variant.  A comparison holds two blocks of one chromosome.
+
+Where few samples have a call at a site, however they mix, blocks of 256 would all meet in all tiles.  Calls are then dealt to as few and large
+blocks as the pairs of calls at common sites need, each as its site and its sample, and joined by site alone.
 """
 
 from __future__ import annotations
 
+import math
 import struct
 from collections.abc import Callable, Iterator
 
@@ -30,6 +34,10 @@ BLOCK_SAMPLES, TILE, PART_VARIANTS, STEP, HELD, MISSING = 256, 256, 1 << 17, 8_0
 HEAD = struct.Struct("<4I")
 #: Blocks whose pairs share less than one in so many of their cells are joined by site.
 SPARSE = 64
+#: Pairs of calls at common sites and calls of a block in a comparison by site at most, pairs that make a comparison worth a task of its own, and those looked at at once.
+PAIRS, CALLS, LEAST_PAIRS, JOINED = 1 << 25, 12_000_000, 1 << 21, 1 << 21
+#: Sites of a chunk, so that a place in it takes two bytes, and rows of results that leave at once.
+CHUNK, ROWS = 1 << 16, 1 << 18
 #: Calls that a pair must be expected to share in the shortest segment's windows for the screen to be worth its products.
 SCREENED = 4
 
@@ -79,17 +87,25 @@ def kept(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(at)
 
 
-def packed_tiles(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """chrom, tile, block, rows, pos (bytes) and data of calls(variant_id, sample_id, dosage, chrom, pos), and the numbered samples; sites are numbered by chromosome and position,
-    a sample's row in its block is its number's rest.  Numbers alone go to the packer, and the samples, far fewer than calls, to all tasks."""
-    called = kept(calls.filter(F.col("dosage").isNotNull()).select("variant_id", "sample_id", F.col("dosage").cast("tinyint").alias("dosage"), "chrom", "pos"))
+def site_lists(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """chrom, pos, ord and cells (sample number and two bits of dosage) of the sites of calls(variant_id, sample_id, dosage, chrom, pos), numbered by chromosome and position;
+    and the numbered samples, who are far fewer than calls and go to all tasks."""
+    called = kept(calls.filter("dosage IS NOT NULL AND chrom IS NOT NULL AND variant_id IS NOT NULL").select("variant_id", "sample_id", F.col("dosage").cast("tinyint").alias("dosage"), "chrom", "pos"))
     people = kept(numbered_samples(called))
-    sites = storage.ranked(called.groupBy("chrom", "variant_id").agg(F.min("pos").cast("long").alias("pos")), "chrom", "pos", "variant_id")
-    rows = called.drop("pos").join(sites, ["chrom", "variant_id"]).join(F.broadcast(people), "sample_id")
+    # a call travels as one number, and is dealt by its site before lists are made
+    cells = called.join(F.broadcast(people), "sample_id").select("chrom", "variant_id", "pos", (F.col("i") * 4 + F.col("dosage")).cast("int").alias("cell")).repartition("chrom", "variant_id")
+    sites = cells.groupBy("chrom", "variant_id").agg(F.min("pos").cast("long").alias("pos"), F.collect_list("cell").alias("cells"))
+    return storage.ranked(kept(sites), "chrom", "pos", "variant_id").select("chrom", "pos", "ord", "cells"), people
+
+
+def packed_tiles(sites: DataFrame) -> DataFrame:
+    """chrom, tile, block, rows, pos (bytes) and data of ``site_lists``; a sample's row in its block is its number's rest."""
+    rows = sites.select("chrom", "pos", "ord", F.explode("cells").alias("cell")).withColumn("i", F.shiftright("cell", 2))
     rows = rows.select(
-        "chrom", F.expr(f"ord div {TILE}").alias("tile"), F.expr(f"CAST(i div {BLOCK_SAMPLES} AS LONG)").alias("block"), (F.col("i") % BLOCK_SAMPLES).cast("int").alias("k"), (F.col("ord") % TILE).cast("int").alias("site"), "pos", "dosage",
+        "chrom", F.expr(f"ord div {TILE}").alias("tile"), F.expr(f"CAST(i div {BLOCK_SAMPLES} AS LONG)").alias("block"), (F.col("i") % BLOCK_SAMPLES).cast("int").alias("k"), (F.col("ord") % TILE).cast("int").alias("site"), "pos",
+        F.col("cell").bitwiseAND(F.lit(3)).cast("tinyint").alias("dosage"),
     )
-    chrom = calls.schema["chrom"].dataType.simpleString()
+    chrom = sites.schema["chrom"].dataType.simpleString()
 
     def run(t: pa.Table) -> pa.Table:
         k, site = t.column("k").to_numpy(), t.column("site").to_numpy()
@@ -99,18 +115,154 @@ def packed_tiles(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
         one = t.slice(0, 1).select(["chrom", "tile", "block"])
         return one.append_column("rows", pa.array([int(k.max()) + 1], pa.int32())).append_column("pos", pa.array([pos.tobytes()], pa.binary())).append_column("data", pa.array([data], pa.binary()))
 
-    return rows.groupBy("chrom", "tile", "block").applyInArrow(run, f"chrom {chrom}, tile long, block long, rows int, pos binary, data binary"), people
+    return rows.groupBy("chrom", "tile", "block").applyInArrow(run, f"chrom {chrom}, tile long, block long, rows int, pos binary, data binary")
+
+
+def chunks(b: pa.RecordBatch) -> Iterator[tuple[pa.Scalar, np.ndarray, pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """(chromosome, ord, sites, place, cell) of stretches of sites that follow each other on a chromosome; calls are ordered by site and sample, and a sample has one at a site."""
+    if not b.num_rows:
+        return
+    chrom, ords = b.column("chrom").dictionary_encode().indices.to_numpy(), b.column("ord").to_numpy()
+    cuts = np.flatnonzero((chrom[1:] != chrom[:-1]) | (ords[1:] != ords[:-1] + 1)) + 1
+    for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ords)]):
+        for k in range(a, z, CHUNK):
+            part = b.slice(k, min(CHUNK, z - k))
+            cells = part.column("cells")
+            n, values = cells.value_lengths().to_numpy(), cells.flatten().to_numpy().astype(np.int64)
+            key = np.sort(np.repeat(np.arange(len(n)), n) << 34 | values)
+            key = key[np.append(key[1:] >> 2 != key[:-1] >> 2, True)[: len(key)]]
+            yield part.column("chrom")[0], ords[k : k + part.num_rows], part, key >> 34, key & (1 << 34) - 1
+
+
+def totals(sites: DataFrame) -> list:
+    """Calls, pairs of calls at a site and pairs of cells that blocks of samples would compare in tiles, by chromosome."""
+    block, tile = BLOCK_SAMPLES, TILE
+    chrom = sites.schema["chrom"].dataType.simpleString()
+    schema = f"chrom {chrom}, calls long, pairs long, cells double"
+    shape = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chrom, ords, _, place, cell in chunks(b):
+                n = np.bincount(place, minlength=len(ords))
+                there = np.unique((ords[place] // tile - ords[0] // tile) << 32 | (cell >> 2) // block)
+                k = np.bincount(there >> 32).astype(float)
+                values = [chrom.as_py()], [len(cell)], [int((n * (n - 1) // 2).sum())], [float((k * k).sum()) / 2 * block * block * tile]
+                yield pa.RecordBatch.from_arrays([pa.array(v, f.type) for v, f in zip(values, shape)], schema=shape)
+
+    return sites.mapInArrow(run, schema).groupBy("chrom").agg(*[F.sum(c).alias(c) for c in ("calls", "pairs", "cells")]).collect()
+
+
+def block_size(found: list, samples: int, tasks: int) -> tuple[int, int]:
+    """Samples of a block for the join by site, and blocks: so many that no comparison has much more than ``PAIRS`` or ``CALLS``, and that ``tasks`` have work."""
+    pairs, calls = max(r.pairs for r in found), max(r.calls for r in found)
+    alike = sum(r.pairs for r in found) / max(1, pairs)
+    n = max((2 * pairs / PAIRS) ** 0.5, calls / CALLS, min((2 * pairs / LEAST_PAIRS) ** 0.5, (2 * tasks / max(1, alike)) ** 0.5))
+    size = -(-samples // max(1, math.ceil(n)))
+    return size, -(-samples // size)
+
+
+def joined_by_site(sites: DataFrame, by_site: Callable[..., Iterator[tuple]], fields: str, size: int, groups: int) -> DataFrame:
+    """i1, i2, chrom and ``fields`` of pairs of samples i1 < i2 who share a site: chunks of sites are cut to blocks of ``size`` samples, and two blocks meet once a chromosome with
+    the chunks in which both have calls.  ``by_site`` takes (one, other, site, difference) of common sites by the one and then by site, all of a sample together, how many others
+    there are, and positions of sites; it yields arrays as ``compare`` of ``compared``."""
+    chrom = sites.schema["chrom"].dataType.simpleString()
+    kind = np.dtype("<u2" if size <= 1 << 14 else "<u4")
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for chrom, ords, part, place, cell in chunks(b):
+                block = (cell >> 2) // size
+                order = np.argsort(block, kind="stable")
+                there, first = np.unique(block[order], return_index=True)
+                ends, pos = [*first[1:].tolist(), len(order)], part.column("pos").to_numpy().tobytes()
+                own = [order[a:z] for a, z in zip(first.tolist(), ends)]
+                data = [place[x].astype("<u2").tobytes() + (cell[x] - (k * size << 2)).astype(kind).tobytes() for k, x in zip(there.tolist(), own)]
+                n = len(there)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([chrom.as_py()] * n, part.column("chrom").type), pa.array([int(ords[0])] * n), pa.array(there, pa.int64()), pa.array([there.tolist()] * n, pa.list_(pa.int64())), pa.array([pos] * n, pa.binary()), pa.array(data, pa.binary())],
+                    ["chrom", "first", "block", "there", "pos", "data"],
+                )
+
+    pieces = sites.mapInArrow(cut, f"chrom {chrom}, first long, block long, there array<long>, pos binary, data binary")
+    dealt = pieces.select("*", F.explode("there").alias("k")).withColumns({"i": F.least("block", "k"), "j": F.greatest("block", "k")}).drop("k", "there")
+    schema = f"i1 int, i2 int, chrom {chrom}, {fields}"
+    shape = to_arrow_schema(StructType.fromDDL(schema))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, places, chrom, i, j = [], {}, None, 0, 0
+        for b in batches:
+            i, j, chrom = b.column("i")[0].as_py(), b.column("j")[0].as_py(), b.column("chrom")[0].as_py()
+            for first, block, pos, data in zip(*(b.column(c).to_pylist() for c in ("first", "block", "pos", "data"))):
+                held.append((block, first, data))
+                places[first] = np.frombuffer(pos, np.int64)
+        at = sorted(places)
+        before, pos = dict(zip(at, np.cumsum([0, *(len(places[k]) for k in at)]).tolist())), np.concatenate([places[k] for k in at])
+        calls_of = {}
+        for b in {i, j}:
+            parts = sorted((first, data) for block, first, data in held if block == b)
+            n = [len(data) // (2 + kind.itemsize) for _, data in parts]
+            site = np.concatenate([np.frombuffer(data, "<u2", k).astype(np.int32) + before[first] for k, (first, data) in zip(n, parts)])
+            cell = np.concatenate([np.frombuffer(data, kind, k, 2 * k) for k, (_, data) in zip(n, parts)])
+            calls_of[b] = (cell >> 2).astype(np.int32), site.astype(np.int32), (cell & 3).astype(np.int8)
+        del held
+        for common in common_sites(calls_of[i], calls_of[j] if i != j else None, len(pos)):
+            for a, b, *values in by_site(*common, size, pos):
+                for k in range(0, len(a), ROWS):
+                    part = slice(k, k + ROWS)
+                    columns = [a[part] + i * size, b[part] + j * size, np.full(len(a[part]), chrom), *(c[part] for c in values)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
+
+    # a comparison is a task of its own, few others beside it
+    return dealt.repartition(min(4096, 4 * groups), "chrom", "i", "j").groupBy("chrom", "i", "j").applyInArrow(run, schema)
+
+
+def common_sites(ones: tuple[np.ndarray, ...], others: tuple[np.ndarray, ...] | None, sites: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """(one, other, site, difference) of the sites that two samples are both called at, by the one, then by site; about ``JOINED`` at once, never a sample of the ones in two parts.
+    Calls are (sample, site, dosage) by site and sample; without ``others`` a sample meets those of its own that come after it."""
+    row, site, d = ones
+    their, at, e = others or ones
+    n = np.bincount(at, minlength=sites)
+    ends = np.cumsum(n)
+    order = np.argsort(row, kind="stable").astype(np.int32)
+    row, site, d = row[order], site[order], d[order]
+    begin = (ends - n).astype(np.int32)[site] if others else order + 1
+    each = ends.astype(np.int32)[site] - begin
+    del order
+    # where the samples' calls end, and how many pairs there are before them
+    last, before, a = np.append(np.flatnonzero(row[1:] != row[:-1]) + 1, len(row)), np.concatenate([[0], np.cumsum(each)]), 0
+    while a < len(row):
+        k = int(np.searchsorted(before[last], before[a] + JOINED, "right"))
+        z = max(int(last[max(k - 1, 0)]), int(last[np.searchsorted(last, a, "right")]))
+        mine = np.repeat(np.arange(a, z), each[a:z])
+        theirs = np.arange(len(mine)) + np.repeat(begin[a:z] - (before[a:z] - before[a]), each[a:z])
+        if len(mine):
+            yield row[mine], their[theirs], site[mine], np.abs(e[theirs] - d[mine])
+        a = z
+
+
+def named(found: DataFrame, people: DataFrame) -> DataFrame:
+    """s1 and s2 for the samples' numbers i1 and i2."""
+    values = [c for c in found.columns if c not in ("i1", "i2")]
+    for k in "12":
+        found = found.join(F.broadcast(people.select(F.col("i").alias(f"i{k}"), F.col("sample_id").alias(f"s{k}"))), f"i{k}")
+    return found.select("s1", "s2", *values)
 
 
-def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str, part: int | None = None) -> DataFrame:
+def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.ndarray], Iterator[tuple]], fields: str, part: int | None = None, by_site: Callable[..., Iterator[tuple]] | None = None) -> DataFrame:
     """s1, s2, chrom and ``fields`` of pairs of samples s1 < s2; with ``part`` a comparison holds so many tiles at most, and if a block has more
     there is a further column part.
 
     ``compare(ones, others, pos)`` takes the calls of two blocks, samples by sites, and yields arrays: numbers of the one sample,
-    of the other, and values.  Within a block each pair comes both ways and is kept once.
+    of the other, and values.  Within a block each pair comes both ways and is kept once.  With ``by_site`` calls that are sparse as a whole go to ``joined_by_site``.
     """
-    packed, people = packed_tiles(calls)
-    tiles, size = kept(packed), BLOCK_SAMPLES
+    sites, people = site_lists(calls)
+    if by_site:
+        found, samples = totals(sites), people.count()
+        if found and sum(r.pairs for r in found) * SPARSE < sum(r.cells for r in found):
+            width, blocks = block_size(found, samples, 2 * calls.sparkSession.sparkContext.defaultParallelism)
+            return named(joined_by_site(sites, by_site, fields, width, len(found) * blocks * (blocks + 1) // 2), people)
+    tiles, size = kept(packed_tiles(sites)), BLOCK_SAMPLES
     if part and (tiles.groupBy("chrom", "block").count().agg(F.max("count")).head()[0] or 0) <= part:
         part = None
     # a tile of a block goes to the pairs of blocks that both have calls there
@@ -143,10 +295,7 @@ def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.nda
         columns = [a + i * size, b + j * size, np.full(len(a), t.column("chrom")[0].as_py()), *values, *([np.full(len(a), t.column("part")[0].as_py())] if part else [])]
         return pa.Table.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, shape)], schema=shape)
 
-    found = dealt.groupBy("chrom", "part", "i", "j").applyInArrow(run, schema)
-    for k in "12":
-        found = found.join(F.broadcast(people.select(F.col("i").alias(f"i{k}"), F.col("sample_id").alias(f"s{k}"))), f"i{k}")
-    return found.select("s1", "s2", *[f.name for f in shape if f.name not in ("i1", "i2")])
+    return named(dealt.groupBy("chrom", "part", "i", "j").applyInArrow(run, schema), people)
 
 
 def called_cells(m: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -180,6 +329,32 @@ def common_calls(ones: np.ndarray, others: np.ndarray) -> Iterator[tuple[np.ndar
         a = z
 
 
+def pair_numbers(one: np.ndarray, other: np.ndarray, others: int, values: int = 1) -> tuple[np.ndarray, int]:
+    """A number for each pair, in the narrowest type that holds so many values of each, and the first of the ones, which counts as 0."""
+    first = int(one[0])
+    kind = np.int32 if (int(one[-1]) - first + 1) * others * values < 1 << 31 else np.int64
+    return (one - first).astype(kind) * kind(others) + other.astype(kind), first
+
+
+def count_by_site(one: np.ndarray, other: np.ndarray, site: np.ndarray, gap: np.ndarray, others: int, pos: np.ndarray) -> Iterator[tuple]:
+    """ibs0, ibs1 and ibs2 of pairs by their common sites."""
+    pair, first = pair_numbers(one, other, others, 3)
+    code = pair * 3 + gap
+    if (int(one[-1]) - first + 1) * others <= 4 * len(code):
+        counts = np.bincount(code, minlength=(int(one[-1]) - first + 1) * others * 3).reshape(-1, 3)
+        pair = np.flatnonzero(counts.any(1))
+        same, differ, opposite = counts[pair].T
+    else:
+        code = np.sort(code)
+        pair = code // 3
+        at = np.flatnonzero(np.append(True, pair[1:] != pair[:-1]))
+        gap, pair = code - 3 * pair, pair[at]
+        every = np.diff(np.append(at, len(code)))
+        same, opposite = (np.add.reduceat(gap == g, at, dtype=np.int64) for g in (0, 2))
+        differ = every - same - opposite
+    yield pair // others + first, pair % others, opposite, differ, same
+
+
 def ibs_counts(calls: DataFrame) -> DataFrame:
     """ibs0, ibs1 and ibs2 of every pair of samples that are both called at some variant; variants are counted in parts."""
     dealt = calls.select("variant_id", "sample_id", "dosage", F.lit(0).cast("long").alias("chrom"), F.lit(0).cast("long").alias("pos"))
@@ -204,7 +379,7 @@ def ibs_counts(calls: DataFrame) -> DataFrame:
         every, same, opposite = (m[k, o] for m in (every, same, opposite))
         yield k, o, opposite, every - same - opposite, same
 
-    counts = compared(dealt, compare, "ibs0 long, ibs1 long, ibs2 long", max(1, PART_VARIANTS // TILE))
+    counts = compared(dealt, compare, "ibs0 long, ibs1 long, ibs2 long", max(1, PART_VARIANTS // TILE), count_by_site)
     if "part" not in counts.columns:  # every pair was compared once
         return counts.drop("chrom")
     return counts.groupBy("s1", "s2").agg(*[F.sum(f"ibs{k}").alias(f"ibs{k}") for k in range(3)])
@@ -292,7 +467,23 @@ def all_segments(calls: DataFrame, min_snps: dict[int, int], min_bp: int = 0) ->
                     row, *values = runs(d == 2 if state == 1 else d != 0, called, pos[site], least, min_bp)
                     yield np.full(len(row), k), left[row + a], np.full(len(row), state), *values
 
-    return compared(calls, compare, "state int, start_pos long, end_pos long, n_snps long")
+    def by_site(one: np.ndarray, other: np.ndarray, site: np.ndarray, gap: np.ndarray, others: int, pos: np.ndarray) -> Iterator[tuple]:
+        pair, first = pair_numbers(one, other, others)
+        if (least := min(min_snps.values())) > 1:
+            # only pairs with as many common sites as the shortest segment has
+            ordered = np.sort(pair)
+            often = ordered[: len(ordered) - least + 1][ordered[least - 1 :] == ordered[: len(ordered) - least + 1]]
+            if not len(often):
+                return
+            left = often[np.minimum(np.searchsorted(often, pair), len(often) - 1)] == pair
+            pair, site, gap = pair[left], site[left], gap[left]
+        order = np.argsort(pair, kind="stable")
+        pair, gap, where = pair[order], gap[order], pos[site[order]]
+        for state, least in min_snps.items():
+            row, *values = stretches(pair, gap == 2 if state == 1 else gap != 0, where, least, min_bp)
+            yield row // others + first, row % others, np.full(len(row), state), *values
+
+    return compared(calls, compare, "state int, start_pos long, end_pos long, n_snps long", by_site=by_site)
 
 
 def segments(calls: DataFrame, min_snps: int = 8, min_bp: int = 0, state: int = 1) -> DataFrame:

@@ -156,3 +156,59 @@ def test_pairs_of_one_part_are_not_summed(spark, monkeypatch):
     summed = ibd.ibs_counts(long_calls(spark, d, pos))
     assert "sum(ibs0" in summed._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, once.collect())) == sorted(map(tuple, summed.collect())) and once.columns == summed.columns
+
+
+def mixed(samples=320, sites=3000, each=6, seed=9):
+    """Calls of few samples at each site, drawn from all samples."""
+    rng = np.random.default_rng(seed)
+    d = np.full((samples, sites), ibd.MISSING, np.int8)
+    for v in range(sites):
+        d[rng.choice(samples, each, False), v] = rng.integers(0, 3, each)
+    # two samples with a common stretch
+    d[[3, 200], 500:540] = 1
+    return d, np.cumsum(rng.integers(1, 9, sites))
+
+
+def few_calls(spark, d, pos):
+    rows = [(int(v), f"s{int(k):03}", int(d[k, v]), "chr1", int(pos[v])) for k, v in zip(*np.nonzero(d != ibd.MISSING))]
+    return spark.createDataFrame(rows, SCHEMA).repartition(4)
+
+
+def test_mixed_sparse_calls_are_not_dealt_to_all_blocks(spark, monkeypatch):
+    """Few samples a site, of any block: what is shuffled grows with the calls, not with the pairs of blocks, and results are those of all pairs."""
+    for name, value in (("BLOCK_SAMPLES", 10), ("TILE", 32), ("PAIRS", 1 << 13), ("LEAST_PAIRS", 1 << 12), ("JOINED", 300), ("CHUNK", 700), ("ROWS", 50)):
+        monkeypatch.setattr(ibd, name, value, raising=False)
+    d, pos = mixed()
+    calls = few_calls(spark, d, pos)
+    written = lambda: sum(e.totalShuffleWrite() for e in [spark.sparkContext._jsc.sc().statusStore().executorSummary("driver")])
+    before = written()
+    got = {(int(r.s1[1:]), int(r.s2[1:])): (r.ibs0, r.ibs1, r.ibs2) for r in ibd.ibs_counts(calls).collect()}
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    shuffled = written() - before
+    want = {}
+    for v in range(d.shape[1]):
+        there = np.flatnonzero(d[:, v] != ibd.MISSING).tolist()
+        for x, i in enumerate(there):
+            for j in there[x + 1 :]:
+                want.setdefault((i, j), [0, 0, 0])[2 - abs(int(d[i, v]) - int(d[j, v]))] += 1
+    assert got == {k: tuple(n) for k, n in want.items()}
+    assert shuffled < 150 * calls.count(), shuffled
+    found = {(int(r.s1[1:]), int(r.s2[1:]), r.state, r.start_pos, r.end_pos, r.n_snps) for r in ibd.all_segments(calls, {1: 4, 2: 3}).collect()}
+    assert found == brute(d, pos, {1: 4, 2: 3}, 0) and (3, 200, 2) in {r[:3] for r in found}
+
+
+def test_pairs_by_site_are_those_of_the_blocks():
+    """Pairs of calls at common sites, of one block and of two, in chunks that hold a sample's pairs together; a repeated call is one."""
+    rng = np.random.default_rng(1)
+    a, b = (np.where(rng.random((9, 40)) < 0.3, rng.integers(0, 3, (9, 40)), ibd.MISSING).astype(np.int8) for _ in range(2))
+    a[4] = ibd.MISSING
+    lists = lambda m: tuple(x.astype(np.int32) for x in (*reversed(np.nonzero(m.T != ibd.MISSING)), m.T[m.T != ibd.MISSING]))
+    for others in (b, None):
+        got, seen = [], []
+        for one, other, site, gap in ibd.common_sites(lists(a), None if others is None else lists(others), 40):
+            got += zip(one.tolist(), other.tolist(), site.tolist(), gap.tolist())
+            seen.append(set(one.tolist()))
+        m = a if others is None else others
+        assert sorted(got) == sorted((i, j, v, abs(int(a[i, v]) - int(m[j, v]))) for i in range(9) for j in range(9) for v in range(40) if (others is not None or i < j) and a[i, v] != ibd.MISSING and m[j, v] != ibd.MISSING)
+    batch = ibd.pa.RecordBatch.from_pydict({"chrom": ["1", "1", "1", "2"], "ord": [4, 5, 9, 10], "pos": [1, 2, 3, 1], "cells": ibd.pa.array([[9, 4], [8, 10], [], [1]], ibd.pa.list_(ibd.pa.int32()))})
+    assert [(c.as_py(), o.tolist(), p.tolist(), x.tolist()) for c, o, _, p, x in ibd.chunks(batch)] == [("1", [4, 5], [0, 0, 1], [4, 9, 10]), ("1", [9], [], []), ("2", [10], [0], [1])]
