@@ -349,6 +349,67 @@ def to_record(codes: np.ndarray) -> tuple[int, bytes]:
     return 0, packed_codes(codes[None, :]).tobytes()
 
 
+def packed_records(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray, bytes]:
+    """Kinds, lengths and bytes of ``to_record`` of rows x samples codes: rows of one kind with as many samples in their list together."""
+    rows, samples = codes.shape
+    width, number = (samples + 3) // 4, id_bytes(samples)
+    count = np.stack([(codes == c).sum(1) for c in (0, 2, 3)])
+    common = np.array([0, 2, 3])[count.argmax(0)]
+    rare = samples - count.max(0)
+    kinds, lengths, made = np.zeros(rows, np.int64), np.full(rows, width, np.int64), []
+    short = rare * 5 < width * 4
+    for key in np.unique(common[short] << 32 | rare[short]).tolist():
+        c, r = key >> 32, key & 0xFFFFFFFF
+        now = np.flatnonzero(short & (common == c) & (rare == r))
+        size = 1 + (number + (r + 3) // 4 + r - 1 if r else 0)
+        at = np.nonzero(codes[now] != c)[1].reshape(len(now), r)
+        steps = np.diff(at, axis=1) if r else at
+        alike = (steps < 128).all(1) & (r < GROUP)
+        for k in now[~alike].tolist():
+            kinds[k], data = to_record(codes[k])
+            lengths[k] = len(data)
+            made.append((np.array([k]), np.frombuffer(data, np.uint8)[None, :]))
+        now, at, steps = now[alike], at[alike], steps[alike]
+        if size < width and len(now):
+            parts = [np.full((len(now), 1), r)]
+            if r:
+                parts += [at[:, :1] >> (8 * np.arange(number)) & 255, packed_codes(codes[now[:, None], at]), steps]
+            kinds[now], lengths[now] = 4 + c, size
+            made.append((now, np.concatenate([x.astype(np.uint8) for x in parts], 1)))
+    plain = np.ones(rows, bool)
+    for now, _ in made:
+        plain[now] = False
+    if plain.any():
+        made.append((np.flatnonzero(plain), packed_codes(codes[plain])))
+    begin, out = np.cumsum(lengths) - lengths, np.empty(int(lengths.sum()), np.uint8)
+    for now, data in made:
+        out[begin[now][:, None] + np.arange(data.shape[1])] = data
+    return kinds, lengths, out.tobytes()
+
+
+def record_rows(data: np.ndarray, types: np.ndarray, ends: np.ndarray, samples: int) -> tuple[np.ndarray, np.ndarray]:
+    """rows x samples codes, and which rows ``record_codes`` must read: all but two bits a sample, and lists of one group whose steps take a byte each, with no track behind."""
+    width, number, size = (samples + 3) // 4, id_bytes(samples), np.diff(ends)
+    out, left = np.empty((len(types), samples), np.uint8), np.ones(len(types), bool)
+    entries = np.where(size > 0, data[np.minimum(ends[:-1], max(0, len(data) - 1))], 0).astype(np.int64) if len(data) else np.zeros(len(types), np.int64)
+    listed = (types < 8) & (types >= 4) & (types != 5) & (entries < GROUP) & (size == np.where(entries > 0, number + (entries + 3) // 4 + entries, 1))
+    for key in np.unique(types[listed] << 32 | entries[listed]).tolist():
+        kind, n = key >> 32, key & 0xFFFFFFFF
+        now = np.flatnonzero(listed & (types == kind) & (entries == n))
+        out[now] = kind & 3
+        if n:
+            rows = data[ends[now][:, None] + np.arange(number + (n + 3) // 4 + n)]
+            first = rows[:, 1 : 1 + number].astype(np.int64) @ (256 ** np.arange(number))
+            codes, steps = two_bit(np.ascontiguousarray(rows[:, 1 + number : 1 + number + (n + 3) // 4]), len(now), n), rows[:, 1 + number + (n + 3) // 4 :].astype(np.int64)
+            out[now[:, None], np.cumsum(np.column_stack([first, steps]), 1)] = codes
+        left[now] = False
+    now = np.flatnonzero((types == 0) & (size == width))
+    if len(now) and width:
+        out[now] = two_bit(np.ascontiguousarray(data[ends[now][:, None] + np.arange(width)]), len(now), samples)
+        left[now] = False
+    return out, left
+
+
 class PgenReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.keep, self.cells = options["path"], wanted(options), bool(options.get("cells"))
@@ -388,12 +449,16 @@ class PgenReader(DataSourceReader):
                 k = int(own[-1])
                 self.base = record_codes(int(self.types[k]), f.read_at(int(self.ends[k + 1] - self.ends[k]), int(self.ends[k])), head.samples, None)
         data, start = f.read_at(int(self.ends[at + n] - self.ends[at]), int(self.ends[at])), int(self.ends[at])
-        out = np.empty((n, head.samples), np.uint8)
-        for k in range(n):
-            kind = int(self.types[at + k])
-            out[k] = record_codes(kind, data[int(self.ends[at + k]) - start : int(self.ends[at + k + 1]) - start], head.samples, self.base)
-            if kind & 6 != 2:
-                self.base = out[k]
+        types, ends = self.types[at : at + n].astype(np.int64), self.ends[at : at + n + 1].astype(np.int64) - start
+        out, left = record_rows(np.frombuffer(data, np.uint8), types, ends, head.samples)
+        differ = types & 6 == 2
+        # those that are told by their differences come last, when the records that they refer to are known
+        for k in [*np.flatnonzero(left & ~differ).tolist(), *np.flatnonzero(differ).tolist()]:
+            own = np.flatnonzero(~differ[:k])
+            base = out[own[-1]] if len(own) else self.base
+            out[k] = record_codes(int(types[k]), data[int(ends[k]) : int(ends[k + 1])], head.samples, base)
+        if not differ.all():
+            self.base = out[np.flatnonzero(~differ)[-1]].copy()
         return out
 
 
@@ -417,13 +482,10 @@ class PgenWriter(SingleFile):
         return HELD // max(1, self.samples)
 
     def encode(self, batch: pa.RecordBatch) -> bytes:
-        out = bytearray()
-        for row in self.CODES[batch_dosages(batch, self.samples)]:
-            kind, data = to_record(row)
-            self.kinds.append(kind)
-            self.lengths.append(len(data))
-            out += data
-        return bytes(out)
+        kinds, lengths, data = packed_records(self.CODES[batch_dosages(batch, self.samples)])
+        self.kinds += kinds.astype(np.uint8).tobytes()
+        self.lengths += lengths.tolist()
+        return data
 
     def head(self, parts: list[Part]) -> Iterable[bytes]:
         kinds, lengths = [], []

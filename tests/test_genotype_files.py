@@ -379,3 +379,22 @@ def test_places_by_an_expression_are_sorted_by_a_column(spark, monkeypatch):
     got = [(r.ord, r.chrom, r.pos) for r in storage.ranked(sites, files.contig_order(), "chrom", "pos").orderBy("ord").collect()]
     assert got == [(3 * n + k, c, k) for n, c in enumerate(("chr9", "chr10", "chrX", "chrUn")) for k in range(3)]
     assert plans and not [x for p in plans for x in p.splitlines() if ("Sort " in x or "Repartition" in x) and "regexp" in x]
+
+
+def test_pgen_records_are_made_together(monkeypatch):
+    """Rows of one kind are packed and read together, to the same bytes and codes as one by one; others still one by one."""
+    rng, one, told = np.random.default_rng(3), plink.to_record, []
+    monkeypatch.setattr(plink, "to_record", lambda row: told.append(1) or one(row))
+    for samples in (1, 3, 4, 7, 128, 300, 1024):
+        rare = rng.choice([0.0, 0.01, 0.05, 0.3, 0.9], 400)
+        codes = np.where(rng.random((400, samples)) < rare[:, None], rng.integers(0, 4, (400, samples)), rng.choice([0, 2, 3], 400)[:, None]).astype(np.uint8)
+        want = [one(row) for row in codes]
+        kinds, lengths, data = plink.packed_records(codes)
+        assert data == b"".join(x for _, x in want) and kinds.tolist() == [k for k, _ in want] and lengths.tolist() == [len(x) for _, x in want]
+        if samples == 128:
+            assert not told
+        ends = np.append(0, np.cumsum(lengths))
+        got, left = plink.record_rows(np.frombuffer(data, np.uint8), kinds, ends, samples)
+        assert (got[~left] == codes[~left]).all() and (left.sum() == 0 if samples <= 128 else left.mean() < 0.5)
+        assert all((plink.record_codes(kinds[k], data[ends[k] : ends[k + 1]], samples, None) == codes[k]).all() for k in np.flatnonzero(left))
+    assert [x.tolist() if k < 2 else x for k, x in enumerate(plink.packed_records(np.zeros((0, 5), np.uint8)))] == [[], [], b""]
