@@ -16,6 +16,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyarrow import fs
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
@@ -107,6 +108,28 @@ class BlockReader:
             out += piece
         return bytes(out)
 
+    def before(self, end: int | None, least: int) -> bytes:
+        """The next bytes that lie before a virtual offset (None: all), ``least`` or a little more, fewer at the end."""
+        out, n = [], 0
+        while n < least:
+            if self.at >= len(self.data) and ((end is not None and self.next << 16 >= end) or not self.more()):
+                break
+            stop = len(self.data) if end is None or self.start < end >> 16 else end & 0xFFFF if self.start == end >> 16 else 0
+            if stop <= self.at:
+                break
+            out.append(self.data[self.at : stop])
+            self.at, n = stop, n + len(out[-1])
+        return b"".join(out)
+
+
+def bins_of(begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``bin_of`` of many records."""
+    out, first = np.zeros(len(begin), np.int64), 0
+    for level in range(1, DEPTH + 1):
+        shift, first = MIN_SHIFT + 3 * (DEPTH - level), first + (1 << 3 * (level - 1))
+        out = np.where(begin >> shift == (end - 1) >> shift, first + (begin >> shift), out)
+    return out
+
 
 def bin_of(begin: int, end: int) -> int:
     """The smallest bin that holds [begin, end)."""
@@ -155,6 +178,24 @@ class Index:
         for window in range(begin >> MIN_SHIFT, ((end - 1) >> MIN_SHIFT) + 1):
             self.first.setdefault((contig, window), where[0])
 
+    def add_all(self, contig: np.ndarray, begin: np.ndarray, end: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        """``add`` of records one behind the other: those of a bin that follow each other are one chunk."""
+        if not len(contig):
+            return
+        changed = lambda *keys: np.append(True, np.any([k[1:] != k[:-1] for k in keys], 0))
+        bins, low, high = bins_of(begin, end), begin >> MIN_SHIFT, (end - 1) >> MIN_SHIFT
+        starts = np.flatnonzero(changed(contig, bins))
+        for c, x, *where in zip(contig[starts].tolist(), bins[starts].tolist(), a[starts].tolist(), b[np.append(starts[1:], len(b)) - 1].tolist()):
+            held = self.chunks.setdefault((c, x), [])
+            if held and held[-1][1] == where[0]:
+                held[-1][1] = where[1]
+            else:
+                held.append(where)
+        at = np.flatnonzero(changed(contig, low) | (low != high))
+        for c, w, z, first in zip(contig[at].tolist(), low[at].tolist(), high[at].tolist(), a[at].tolist()):
+            for window in range(w, z + 1):
+                self.first.setdefault((c, window), first)
+
     def to_bytes(self, contigs: int) -> bytes:
         out = b"CSI\x01" + struct.pack("<iiii", MIN_SHIFT, DEPTH, 0, contigs)
         windows: dict[int, list[tuple[int, int]]] = {}
@@ -287,6 +328,72 @@ def decoded(shared: bytes, own: bytes, head: Header) -> tuple:
     return head.contigs[contig], pos + 1, texts[0], texts[1], ",".join(texts[2:]), gt
 
 
+#: Of the two alleles of a genotype in one byte each, as ``decoded`` reads them: how many are not REF, -1 where one is missing.
+def pair_dosages() -> np.ndarray:
+    codes = [(np.arange(1 << 16) >> s & 255).astype(np.uint8).view(np.int8) for s in (0, 8)]
+    ended = [c == -127 for c in codes]
+    missing = reduce(np.logical_or, [(c >> 1 == 0) & ~e for c, e in zip(codes, ended)], ended[0] & ended[1])
+    return np.where(missing, np.int8(-1), sum(((c >> 1 > 1) & ~e).astype(np.int8) for c, e in zip(codes, ended))).astype(np.int8)
+
+
+PAIR_DOSAGES = pair_dosages()
+
+
+def texts_of(data: np.ndarray) -> pa.Array:
+    """Texts of equal length, a row of bytes each."""
+    n, length = data.shape
+    return pa.StringArray.from_buffers(n, pa.py_buffer((np.arange(n + 1) * length).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(data)))
+
+
+def plain_layout(one: bytes, shared: int, head: Header) -> list[tuple[int, int]] | None:
+    """Where id, REF and ALT of a record lie (begin, end) that has one ALT allele and hard calls of two one-byte alleles alone; None if it has more."""
+    _, _, _, _, alleles, fields = struct.unpack_from("<iiifII", one, 8)
+    if alleles != 2 << 16 or fields >> 24 != 1:
+        return None
+    at, places = 32, []
+    for _ in range(3):
+        _, n, at = read_typed(one, at)
+        places.append((at, at + n))
+        at += n
+    key, _, at = read_typed(one, 8 + shared)
+    name = head.names[int(np.frombuffer(one, TYPES[key], 1, at)[0])]
+    kind, n, at = read_typed(one, at + np.dtype(TYPES[key]).itemsize)
+    return places if name == "GT" and (TYPES[kind], n) == (TYPES[1], 2) and len(one) - at == 2 * (fields & 0xFFFFFF) else None
+
+
+def decoded_all(data: np.ndarray, at: np.ndarray, shared: np.ndarray, own: np.ndarray, head: Header) -> tuple[list[pa.Array], np.ndarray]:
+    """chrom, pos, variant_id, ref, alt and dosages (-1: missing) of records that begin at ``at``: those of one layout together, others by ``decoded``."""
+    samples, place, columns, dosages = len(head.samples), [], [], np.full((len(at), len(head.samples)), -1, np.int8)
+    names = pa.array([head.contigs.get(k) for k in range(max(head.contigs, default=-1) + 1)], pa.string())
+    for size in np.unique(shared << 32 | own).tolist():
+        s, o = size >> 32, size & 0xFFFFFFFF
+        left = np.flatnonzero((shared == s) & (own == o))
+        while len(left):
+            one = data[at[left[0]] : at[left[0]] + 8 + s + o].tobytes()
+            texts = plain_layout(one, s, head)
+            if texts is None:
+                chrom, pos, *told, dosages[left[0]] = decoded(one[8 : 8 + s], one[8 + s :], head)
+                place.append(left[:1])
+                columns.append([pa.array([chrom], pa.string()), pa.array([pos], pa.int64()), *(pa.array([x], pa.string()) for x in told)])
+                left = left[1:]
+                continue
+            # all that is no number, text or genotype must be as in the first
+            rows = data[at[left][:, None] + np.arange(8 + s + o)]
+            fixed = np.ones(8 + s + o, bool)
+            fixed[8:24] = fixed[8 + s + o - 2 * samples :] = False
+            for a, z in texts:
+                fixed[a:z] = False
+            alike = (rows[:, fixed] == rows[0, fixed]).all(1)
+            rows, now, left = rows[alike], left[alike], left[~alike]
+            contig, pos = (np.ascontiguousarray(rows[:, k : k + 4]).view("<i4")[:, 0] for k in (8, 12))
+            place.append(now)
+            columns.append([names.take(pa.array(contig)), pa.array(pos.astype(np.int64) + 1), *(texts_of(rows[:, a:z]) for a, z in texts)])
+            if samples:
+                dosages[now] = PAIR_DOSAGES[np.ascontiguousarray(rows[:, 8 + s + o - 2 * samples :]).view("<u2")]
+    order = pa.array(np.argsort(np.concatenate(place)))
+    return [pa.concat_arrays(c).take(order) for c in zip(*columns)], dosages
+
+
 class Chunk(InputPartition):
     def __init__(self, begin: int, end: int | None):
         self.begin, self.end = begin, end
@@ -342,60 +449,65 @@ class BcfReader(DataSourceReader):
         store, inner = opened(self.path)
         with store.open_input_file(inner) as f:
             head = read_header(BlockReader(f))
-            reader, rows = BlockReader(f, partition.begin), []
-            while (partition.end is None or reader.tell() < partition.end) and len(sizes := reader.take(8)) == 8:
-                shared, own = struct.unpack("<II", sizes)
-                shared, own = reader.take(shared), reader.take(own)
-                if self.region:
-                    pos, length = struct.unpack_from("<ii", shared, 4)
-                    if head.contigs[struct.unpack_from("<i", shared)[0]] != self.region[0] or pos >= self.region[2] or pos + max(1, length) <= self.region[1]:
-                        continue
-                rows.append(decoded(shared, own, head))
-                if len(rows) * max(1, len(head.samples)) >= 2_000_000:
-                    yield self.batch(rows, len(head.samples))
-                    rows = []
+            reader, data, least = BlockReader(f, partition.begin), b"", 1 << 22
+            while more := reader.before(partition.end, least):
+                data += more
+                at, places, sizes = 0, [], []
+                while at + 8 <= len(data):
+                    shared, own = struct.unpack_from("<II", data, at)
+                    if at + 8 + shared + own > len(data):
+                        break
+                    places.append(at)
+                    sizes.append((shared, own))
+                    at += 8 + shared + own
+                yield from self.batches(np.frombuffer(data, np.uint8), np.array(places, np.int64), np.array(sizes, np.int64).reshape(-1, 2), head)
+                data = data[at:]
             self.blocks += reader.blocks
-            if rows:
-                yield self.batch(rows, len(head.samples))
-
-    def batch(self, rows: list[tuple], samples: int) -> pa.RecordBatch:
-        flat = np.concatenate([r[5] for r in rows])
-        if self.cells:
-            row, i = np.divmod(np.flatnonzero(flat >= 0), max(1, samples))
-            gt = cell_lists(len(rows), row, i, flat[flat >= 0])
-        else:
-            gt = pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * samples, pa.int32()), pa.array(flat, pa.int8(), mask=flat < 0))
-        columns = [pa.array([r[k] for r in rows], pa.int64() if k == 1 else pa.string()) for k in range(5)]
-        return pa.RecordBatch.from_arrays([*columns, gt], names=["chrom", "pos", "variant_id", "ref", "alt", "cells" if self.cells else "gt"])
 
+    def batches(self, data: np.ndarray, at: np.ndarray, sizes: np.ndarray, head: Header) -> Iterator[pa.RecordBatch]:
+        if self.region and len(at):
+            contig, pos, length = (data[at[:, None] + k + np.arange(4)].view("<i4")[:, 0].astype(np.int64) for k in (8, 12, 16))
+            wanted = [k for k, c in head.contigs.items() if c == self.region[0]]
+            inside = np.isin(contig, wanted) & (pos < self.region[2]) & (pos + np.maximum(1, length) > self.region[1])
+            at, sizes = at[inside], sizes[inside]
+        samples = len(head.samples)
+        step = max(1, 2_000_000 // max(1, samples))
+        for k in range(0, len(at), step):
+            own = sizes[k : k + step]
+            columns, dosages = decoded_all(data, at[k : k + step], own[:, 0], own[:, 1], head)
+            if self.cells:
+                row, i = np.nonzero(dosages >= 0)
+                gt = cell_lists(len(own), row, i, dosages[row, i])
+            else:
+                flat = dosages.reshape(-1)
+                gt = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * samples, pa.int32()), pa.array(flat, pa.int8(), mask=flat < 0))
+            yield pa.RecordBatch.from_arrays([*columns, gt], names=["chrom", "pos", "variant_id", "ref", "alt", "cells" if self.cells else "gt"])
 
-class Lines(SingleFile):
-    """A text file of rows(ord, ...)."""
 
-    def line(self, row: dict) -> str:
-        raise NotImplementedError
+class Lines(SingleFile):
+    """A text file of rows(ord, ...): ``fields`` by tabs, columns or constants."""
 
     columns = ("chrom", "pos", "variant_id", "ref", "alt")
+    fields: tuple[str, ...] = columns
 
     def encode(self, batch: pa.RecordBatch) -> bytes:
-        held = [batch.column(batch.schema.get_field_index(c)).to_pylist() for c in self.columns]
-        return "".join(self.line(dict(zip(self.columns, r))) for r in zip(*held)).encode()
+        cells = [batch.column(k).cast(pa.string()) if (k := batch.schema.get_field_index(c)) >= 0 else c for c in self.fields]
+        lines = pc.binary_join_element_wise(pc.binary_join_element_wise(*cells, "\t"), "\n", "")
+        if lines.null_count:
+            raise ValueError("a variant has no contig, position, id or alleles")
+        return pc.binary_join(pa.ListArray.from_arrays([0, len(lines)], lines), "")[0].as_py().encode()
 
 
 class BimWriter(Lines):
     """Variants of a PLINK 1 fileset: contig, id, 0, position, ALT (A1), REF (A2)."""
 
-    def line(self, row: dict) -> str:
-        return "\t".join([row["chrom"], row["variant_id"], "0", str(row["pos"]), row["alt"], row["ref"]]) + "\n"
+    fields = ("chrom", "variant_id", "0", "pos", "alt", "ref")
 
 
 class PvarWriter(Lines):
     def head(self, parts: list[Part]) -> Iterable[bytes]:
         return (b"#CHROM\tPOS\tID\tREF\tALT\n",)
 
-    def line(self, row: dict) -> str:
-        return "\t".join([row["chrom"], str(row["pos"]), row["variant_id"], row["ref"], row["alt"]]) + "\n"
-
 
 class Blocked(SingleFile):
     """A BGZF file; options contigs and samples, by tabs."""
@@ -441,7 +553,8 @@ class BcfWriter(Blocked):
 
     def begin(self) -> None:
         super().begin()
-        self.entries: list[tuple[int, int, int, int]] = []
+        self.entries: list[np.ndarray] = []
+        self.last = -1
         self.number = {c: k for k, c in enumerate(self.names()[0])}
 
     def head(self, parts: list[Part]) -> Iterable[bytes]:
@@ -449,29 +562,57 @@ class BcfWriter(Blocked):
         return self.packed_head(b"BCF\x02\x02" + struct.pack("<I", len(text)) + text)
 
     def encode(self, batch: pa.RecordBatch) -> bytes:
-        out = bytearray()
-        for chrom, pos, variant_id, ref, alt, dosage in self.rows(batch):
-            contig = self.number[chrom]
-            if self.entries and (contig, pos - 1) < self.entries[-1][:2]:
-                raise ValueError(f"{chrom}:{pos} comes after a later position")
-            self.entries.append((contig, pos - 1, pos - 1 + max(1, len(ref)), self.packer.length))
-            out += self.packer.put(record(contig, pos, variant_id, ref, alt.split(","), dosage))
-        return bytes(out)
+        cells = {c: batch.column(batch.schema.get_field_index(c)) for c in Lines.columns}
+        contig = np.array([self.number[c] for c in cells["chrom"].to_pylist()], np.int64)
+        begin, dosages = cells["pos"].to_numpy().astype(np.int64) - 1, batch_dosages(batch, len(self.names()[1]))
+        texts = [cells[c].cast(pa.string()) for c in ("variant_id", "ref", "alt")]
+        place = np.concatenate([[self.last], contig << 40 | begin])
+        if (late := np.flatnonzero(place[1:] < place[:-1])).size:
+            raise ValueError(f"{cells['chrom'][int(late[0])]}:{int(begin[late[0]]) + 1} comes after a later position")
+        self.last = int(place[-1])
+        # rows that follow each other with texts of equal lengths have records of one layout
+        lengths = np.array([pc.binary_length(x).to_numpy() for x in texts])
+        special = ~np.logical_and.reduce([pc.string_is_ascii(x).to_numpy(zero_copy_only=False) for x in texts]) | pc.match_substring(texts[2], ",").to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero((lengths[:, 1:] != lengths[:, :-1]).any(0) | special[1:] | special[:-1]) + 1
+        out, sizes = [], np.zeros(len(contig), np.int64)
+        for a, z in zip([0, *cuts.tolist()], [*cuts.tolist(), len(contig)]):
+            own = [x.slice(a, z - a).to_pylist() for x in texts]
+            data = record(int(contig[a]), int(begin[a]) + 1, own[0][0], own[1][0], own[2][0].split(","), dosages[a])
+            sizes[a:z] = len(data)
+            if z - a > 1:
+                rows = np.tile(np.frombuffer(data, np.uint8), (z - a, 1))
+                for k, values in ((8, contig), (12, begin)):
+                    rows[:, k : k + 4] = values[a:z].astype("<i4")[:, None].view(np.uint8)
+                at = 32
+                for x, n in zip(own, lengths[:, a].tolist()):
+                    at += len(typed_size(n, 7))
+                    if n:
+                        rows[:, at : at + n] = np.array(x, f"S{n}")[:, None].view(np.uint8)
+                    at += n
+                if dosages.shape[1]:
+                    codes = GT_CODES[dosages[a:z]].reshape(z - a, -1).view(np.uint8)
+                    rows[:, rows.shape[1] - codes.shape[1] :] = codes
+                data = rows.tobytes()
+            out.append(data)
+        ends = np.array([max(1, len(x)) for x in texts[1].to_pylist()], np.int64)
+        self.entries.append(np.column_stack([contig, begin, begin + ends, self.packer.length + np.cumsum(sizes) - sizes]))
+        return self.packer.put(b"".join(out))
 
     def index(self) -> bytes:
         """(contig, begin, end, virtual offset, virtual end) of every record, within the part."""
-        table = np.array(self.entries, np.int64).reshape(-1, 4)
+        table = np.concatenate([np.zeros((0, 4), np.int64), *self.entries])
         at = self.packer.virtual(np.append(table[:, 3], self.packer.length))
         return np.column_stack([table[:, :3], at[:-1], at[1:]]).astype("<i8").tobytes()
 
     def beside(self, parts: list[Part], start: int) -> None:
-        index, base, last = Index(), start, (0, -1)
+        index, base, last = Index(), start, -1
         for p in parts:
-            for contig, begin, end, a, b in np.frombuffer(self.index_of(p), "<i8").reshape(-1, 5).tolist():
-                if (contig, begin) < last:
-                    raise ValueError("parts are not in the order of positions")
-                last = contig, begin
-                index.add(contig, begin, end, ((base << 16) + a, (base << 16) + b))
+            contig, begin, end, a, b = np.frombuffer(self.index_of(p), "<i8").reshape(-1, 5).T
+            place = np.append(last, contig << 40 | begin)
+            if (place[1:] < place[:-1]).any():
+                raise ValueError("parts are not in the order of positions")
+            last = int(place[-1])
+            index.add_all(contig, begin, end, (base << 16) + a, (base << 16) + b)
             base += p.size
         store, inner = opened(f"{self.path}.csi")
         with store.open_output_stream(inner, compression=None) as out:

@@ -398,3 +398,20 @@ def test_pgen_records_are_made_together(monkeypatch):
         assert (got[~left] == codes[~left]).all() and (left.sum() == 0 if samples <= 128 else left.mean() < 0.5)
         assert all((plink.record_codes(kinds[k], data[ends[k] : ends[k + 1]], samples, None) == codes[k]).all() for k in np.flatnonzero(left))
     assert [x.tolist() if k < 2 else x for k, x in enumerate(plink.packed_records(np.zeros((0, 5), np.uint8)))] == [[], [], b""]
+
+
+def test_bcf_records_of_any_layout(spark, tmp_path):
+    """Records are made and read together by their layout: lengths of texts change, some have several ALT alleles, and every dosage comes back."""
+    rng = np.random.default_rng(4)
+    rows = [(k, "chr1" if k < 300 else "chr2", 10 + k, "v" * int(rng.integers(1, 20)) + str(k), "A" if k % 5 else "ACG" * (1 + k % 7), "G" if k % 11 else "C,GG", [(i, int(rng.integers(0, 3))) for i in range(5) if rng.random() < 0.6]) for k in range(500)]
+    batch = pa.RecordBatch.from_pydict({c: [r[k] for r in rows] for k, c in enumerate(("ord", "chrom", "pos", "variant_id", "ref", "alt"))})
+    flat = [(row, i, d) for row, r in enumerate(rows) for i, d in r[6]]
+    batch = batch.append_column("cells", plink.cell_lists(500, *(np.array(x) for x in zip(*flat))))
+    whole = bcf.BcfWriter({"path": str(tmp_path / "a.bcf"), "contigs": "chr1\tchr2", "samples": "\t".join("abcde")}, False)
+    whole.commit([whole.write(iter([batch.slice(0, 130), batch.slice(130)]))])
+    for region, want in ((None, rows), ("chr2:400-450", [r for r in rows if r[1] == "chr2" and r[2] <= 450 and r[2] + len(r[4]) > 400])):
+        reader, got = bcf.BcfReader({"path": str(tmp_path / "a.bcf"), "cells": "1", "splitBytes": "1", **({"region": region} if region else {})}), []
+        for p in reader.partitions():
+            for b in reader.read(p):
+                got += [(r["chrom"], r["pos"], r["variant_id"], r["ref"], r["alt"], [(c["i"], c["d"]) for c in r["cells"]]) for r in b.to_pylist()]
+        assert got == [r[1:] for r in want]
