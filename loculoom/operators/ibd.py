@@ -80,22 +80,15 @@ def numbered_samples(calls: DataFrame) -> DataFrame:
     return calls.select("sample_id").distinct().withColumn("i", (F.row_number().over(Window.orderBy("sample_id")) - 1).cast("int"))
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """The rows, written: computed once, whatever is made of them."""
-    at = storage.scratch(df.sparkSession)
-    df.write.parquet(at)
-    return df.sparkSession.read.schema(df.schema).parquet(at)
-
-
 def site_lists(calls: DataFrame) -> tuple[DataFrame, DataFrame]:
     """chrom, pos, ord and cells (sample number and two bits of dosage) of the sites of calls(variant_id, sample_id, dosage, chrom, pos), numbered by chromosome and position;
     and the numbered samples, who are far fewer than calls and go to all tasks."""
-    called = kept(calls.filter("dosage IS NOT NULL AND chrom IS NOT NULL AND variant_id IS NOT NULL").select("variant_id", "sample_id", F.col("dosage").cast("tinyint").alias("dosage"), "chrom", "pos"))
-    people = kept(numbered_samples(called))
+    called = storage.kept(calls.filter("dosage IS NOT NULL AND chrom IS NOT NULL AND variant_id IS NOT NULL").select("variant_id", "sample_id", F.col("dosage").cast("tinyint").alias("dosage"), "chrom", "pos"))
+    people = storage.kept(numbered_samples(called))
     # a call travels as one number, and is dealt by its site before lists are made
     cells = called.join(F.broadcast(people), "sample_id").select("chrom", "variant_id", "pos", (F.col("i") * 4 + F.col("dosage")).cast("int").alias("cell")).repartition("chrom", "variant_id")
     sites = cells.groupBy("chrom", "variant_id").agg(F.min("pos").cast("long").alias("pos"), F.collect_list("cell").alias("cells"))
-    return storage.ranked(kept(sites), "chrom", "pos", "variant_id").select("chrom", "pos", "ord", "cells"), people
+    return storage.ranked(storage.kept(sites), "chrom", "pos", "variant_id").select("chrom", "pos", "ord", "cells"), people
 
 
 def packed_tiles(sites: DataFrame) -> DataFrame:
@@ -262,7 +255,7 @@ def compared(calls: DataFrame, compare: Callable[[np.ndarray, np.ndarray, np.nda
         if found and sum(r.pairs for r in found) * SPARSE < sum(r.cells for r in found):
             width, blocks = block_size(found, samples, 2 * calls.sparkSession.sparkContext.defaultParallelism)
             return named(joined_by_site(sites, by_site, fields, width, len(found) * blocks * (blocks + 1) // 2), people)
-    tiles, size = kept(packed_tiles(sites)), BLOCK_SAMPLES
+    tiles, size = storage.kept(packed_tiles(sites)), BLOCK_SAMPLES
     if part and (tiles.groupBy("chrom", "block").count().agg(F.max("count")).head()[0] or 0) <= part:
         part = None
     # a tile of a block goes to the pairs of blocks that both have calls there

@@ -12,18 +12,29 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, StructField, StructType
 
 from ..operators import variants
 from .bcf import BcfSource, BcfWriter, BimWriter, BlockReader, PvarWriter, VcfWriter, read_header
 from .plink import BedWriter, PgenWriter, batch_cells, cell_lists, with_cells
-from .storage import Parts, Several, SingleFile, in_ranges, opened, piece_path, piece_paths, ranked
+from .storage import Parts, Several, SingleFile, in_ranges, kept, opened, piece_path, piece_paths, ranked
 
 #: The writer of each kind of file, and whether it takes the samples' names (else their number).
 WRITERS = {"bed": (BedWriter, False), "bim": (BimWriter, False), "pgen": (PgenWriter, False), "pvar": (PvarWriter, False), "vcf": (VcfWriter, True), "bcf": (BcfWriter, True)}
 
 
-#: Samples of a piece.
-PIECE = 1024
+#: Samples of a piece at most and at least, and bytes that a variant of a piece takes beside its genotypes.
+PIECE, LEAST_PIECE, SITE_BYTES = 1024, 128, 40
+
+
+def piece_size(samples: int, variants: int, calls: int) -> int:
+    """Samples of a piece by which all pieces together are smallest, if ``calls`` lie anywhere: a genotype takes two bits wherever any sample of the piece is known, so sparse calls
+    ask for small pieces, and dense ones for large, which repeat a variant less often."""
+    unknown, sizes = max(0.0, 1 - calls / max(1, samples * variants)), [PIECE]
+    while sizes[-1] // 2 >= LEAST_PIECE:
+        sizes.append(sizes[-1] // 2)
+    return min(sizes, key=lambda n: -(-samples // n) * (1 - unknown**n) * (SITE_BYTES + n / 4))
 
 
 def file_writers(files: list[list[str]], contigs: str, names: list[str], overwrite: bool) -> list[SingleFile]:
@@ -109,6 +120,42 @@ def contig_order() -> Column:
     return F.coalesce(variants.numeric_contig(F.col("chrom")).try_cast("int"), F.lit(2**31 - 1))
 
 
+def site_cells(rows: DataFrame, *by: str) -> DataFrame:
+    """One row for each variant_id (and ``by``): the least of its chrom, pos, ref and alt, and the cells that are not null.  Rows are sorted and neighbours joined, since an
+    aggregation to lists of mostly one call each keeps a buffer for every list."""
+    spare = ["variant_id", *by]
+    columns = [*by, "variant_id", "chrom", "pos", "ref", "alt"]
+    schema = StructType([*(rows.schema[c] for c in columns), StructField("cells", ArrayType(rows.schema["cell"].dataType))])
+    shape = to_arrow_schema(schema)
+
+    def join(t: pa.Table, whole: bool) -> tuple[pa.Table, pa.RecordBatch | None]:
+        """The rows of the last variant, which may go on unless these are the ``whole``, and those of the others joined."""
+        keys = [t.column(c).combine_chunks().dictionary_encode().indices.fill_null(-1).to_numpy() for c in spare]
+        first = np.flatnonzero(np.append(True, np.any([k[1:] != k[:-1] for k in keys], 0)))
+        end = t.num_rows if whole else int(first[-1])
+        first = first if whole else first[:-1]
+        if not len(first):
+            return t, None
+        cell = t.column("cell").combine_chunks().slice(0, end)
+        ends = np.append(0, np.cumsum(cell.is_valid().to_numpy(zero_copy_only=False)))[np.append(first, end)].astype(np.int32)
+        one = t.select(columns).take(pa.array(first)).combine_chunks()
+        return t.slice(end), pa.RecordBatch.from_arrays([*(one.column(f.name).chunk(0) for f in list(shape)[:-1]), pa.ListArray.from_arrays(pa.array(ends), cell.drop_null())], schema=shape)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held = pa.Table.from_batches([b]) if held is None else pa.concat_tables([held, pa.Table.from_batches([b])])
+            held, done = join(held, False)
+            if done is not None:
+                yield done
+        if held is not None:
+            yield join(held, True)[1]
+
+    return rows.repartition(*spare).sortWithinPartitions(*spare, *[c for c in columns if c not in spare]).mapInArrow(run, schema)
+
+
 def genotype_rows(calls: DataFrame, people: DataFrame, piece: int | None = None) -> DataFrame:
     """One row a variant of long ``calls``: ord (by contig and position), chrom, pos, variant_id, ref, alt and cells, the (i, d) of the
     calls of ``people(i, sample_id)``; a sample without a call there is a no-call.  With ``piece`` every so many samples have rows of their
@@ -121,9 +168,13 @@ def genotype_rows(calls: DataFrame, people: DataFrame, piece: int | None = None)
     by = ["piece"] if piece else []
     if piece:
         known = known.withColumn("piece", F.coalesce(F.expr(f"CAST(i div {piece} AS LONG)"), F.lit(0)))
-    sites = known.groupBy(*by, "variant_id").agg(F.min(F.struct("chrom", "pos", "ref", "alt")).alias("s"), F.collect_list(cell).alias("cells")).select(*by, "variant_id", "s.*", "cells")
+    # a call goes to its site before lists are made, and these are written, since the places ask for them twice
+    sites = site_cells(known.select(*by, "variant_id", "chrom", "pos", "ref", "alt", cell.alias("cell")), *by)
+    # piece and contig are one number, the first that rows are sorted by
+    first = contig_order().cast("long") + (F.col("piece") * (1 << 32) if piece else 0)
+    sites = sites.withColumn("first_", first)
     cells = F.transform("cells", lambda c: F.struct(F.shiftright(c, 2).alias("i"), c.bitwiseAND(F.lit(3)).cast("tinyint").alias("d"))).alias("cells")
-    return ranked(sites, *by, contig_order(), "chrom", "pos", "variant_id").select("ord", *by, "chrom", "pos", "variant_id", "ref", "alt", cells)
+    return ranked(kept(sites), "first_", "chrom", "pos", "variant_id").select("ord", *by, "chrom", "pos", "variant_id", "ref", "alt", cells)
 
 
 def site_rows(rows: DataFrame) -> DataFrame:

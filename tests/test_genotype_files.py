@@ -415,3 +415,27 @@ def test_bcf_records_of_any_layout(spark, tmp_path):
             for b in reader.read(p):
                 got += [(r["chrom"], r["pos"], r["variant_id"], r["ref"], r["alt"], [(c["i"], c["d"]) for c in r["cells"]]) for r in b.to_pylist()]
         assert got == [r[1:] for r in want]
+
+
+def test_calls_are_joined_to_their_sites(spark):
+    """Lists go on over batches, the least site of a variant counts, and a variant without calls has an empty list."""
+    rows = [(k % 3, f"v{k % 7}", "chr1", 5 + (k % 2 if k % 7 == 4 else 0), "A", "G", None if k % 7 == 2 else k) for k in range(400)] + [(0, None, "chr1", 1, "A", "G", 9)]
+    frame = spark.createDataFrame(rows, "piece long, variant_id string, chrom string, pos long, ref string, alt string, cell int").repartition(5)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 7)
+    try:
+        got = files.site_cells(frame, "piece").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {}
+    for piece, v, chrom, pos, ref, alt, cell in rows:
+        held = want.setdefault((piece, v), [(chrom, pos, ref, alt), []])
+        held[0] = min(held[0], (chrom, pos, ref, alt))
+        held[1] += [] if cell is None else [cell]
+    assert {(r.piece, r.variant_id): [(r.chrom, r.pos, r.ref, r.alt), sorted(r.cells)] for r in got} == {k: [s, sorted(c)] for k, (s, c) in want.items()} and len(got) == len(want)
+
+
+def test_sparse_calls_ask_for_small_pieces():
+    """Pieces of sparse cohorts take few genotypes that nobody has; dense cohorts and small ones stay in pieces of the most samples."""
+    assert files.piece_size(60_000, 1_200_000, 36_000_000) == files.LEAST_PIECE
+    assert files.piece_size(60_000, 1_200_000, 60_000 * 1_200_000) == files.PIECE == files.piece_size(1000, 20_000, 600_000)
+    assert files.piece_size(0, 0, 0) == files.PIECE
